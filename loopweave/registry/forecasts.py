@@ -1,0 +1,449 @@
+"""Encodings, models, forecasts and their scores."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.calendar import WEEKDAYS, weekday_number
+from ..models import baseline, forest, knn, knn_pooled, polynomial, seasonal
+from ..operators import features, keyed
+from ..operators.metrics import macro_average
+from ..plans import dataset
+from ..sources import views
+from .aggregates import R2, SCORES
+from .base import WEEKDAY_SQL, clean_rows, hourly, query, r, rounded, train_test
+
+W = WEEKDAY_SQL.format("weekday")
+
+# -- encodings ----------------------------------------------------------------------------------
+
+
+@query(
+    "label_encode",
+    """select c.row_id, c.detid, k.code from clean c join (
+         select detid, cast(row_number() over (order by detid) - 1 as bigint) as code from (select distinct detid from clean)) k using (detid)""",
+)
+def label_encode(spark, sf):
+    return features.label_encode(clean_rows(spark, sf).select("row_id", "detid"), "detid")
+
+
+@query(
+    "label_encode_test",
+    """select t.detid, t.day, t.interval_s, k.code from test t left join (
+         select detid, cast(row_number() over (order by detid) - 1 as bigint) as code
+         from (select distinct detid from train where weekday <> 'Sunday' and traffic > 20)) k using (detid)""",
+)
+def label_encode_test(spark, sf):
+    train, test = train_test(spark, sf)
+    codes = features.label_codes(train.where("weekday <> 'Sunday' and traffic > 20"), "detid")
+    return features.label_encode(test.select("detid", "day", "interval_s"), "detid", codes)
+
+
+@query(
+    "factorize",
+    """select c.row_id, c.detid, k.code from clean c join (
+         select detid, cast(row_number() over (order by first) - 1 as bigint) as code
+         from (select detid, min(row_id) as first from clean group by 1)) k using (detid)""",
+)
+def factorize(spark, sf):
+    return features.factorize(clean_rows(spark, sf).select("row_id", "detid"), "detid", "row_id", block=1000)
+
+
+@query(
+    "onehot_encode",
+    "select row_id, "
+    + ", ".join(f"""case when weekday = '{d}' then 1.0::double else 0.0::double end as "weekday_{d}" """ for d in WEEKDAYS)
+    + " from clean",
+)
+def onehot_encode(spark, sf):
+    return features.onehot_encode(clean_rows(spark, sf).select("row_id", "weekday"), "weekday")
+
+
+@query("cross_slots", "select x.c_custkey, cast(s.range * 3600 as integer) as week_second from customer x, range(168) s")
+def cross_slots(spark, sf):
+    keys = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey")
+    slots = baseline.week_slots(keys, 3600)
+    second = weekday_number("weekday") * 86400 + F.col("interval_s")
+    return slots.select("c_custkey", second.cast("int").alias("week_second"))
+
+
+# -- random baseline ----------------------------------------------------------------------------
+
+HASH = "('0x' || substr(md5(concat_ws('|', '27', detid, weekday, cast(interval_s as varchar))), 1, 8))::bigint"
+SLOTS = f"""slots as (select w.weekday, cast(s.range * 300 as integer) as interval_s
+  from (values {', '.join(f"('{d}')" for d in WEEKDAYS)}) w(weekday), range(288) s)"""
+RANGES = """ranges as (select detid, cast(round_even(quantile_cont(traffic::double, 0.25), 0) as bigint) as low,
+  cast(round_even(quantile_cont(traffic::double, 0.75), 0) as bigint) as high from train group by 1)"""
+MODEL = f"""{SLOTS}, {RANGES}, model as (select detid, weekday, interval_s, low + {HASH} % (high - low + 1) as traffic from ranges, slots)"""
+
+
+@query("model_random", f"with {MODEL} select * from model")
+def model_random(spark, sf):
+    return baseline.fit_random(train_test(spark, sf)[0])
+
+
+@query(
+    "model_random_exclusive",
+    f"""with {SLOTS}, {RANGES} select detid, weekday, interval_s,
+        low + {HASH} % (greatest(low, high - 1) - low + 1) as traffic from ranges, slots""",
+)
+def model_random_exclusive(spark, sf):
+    return baseline.fit_random(train_test(spark, sf)[0], inclusive=False)
+
+
+@query(
+    "model_random_float",
+    f"""with {SLOTS}, ends as (select detid, min(traffic) as low, max(traffic) as high from train group by 1)
+        select detid, weekday, interval_s, {r(f'low + (high - low) * ({HASH}) / 4294967296')} as traffic from ends, slots""",
+)
+def model_random_float(spark, sf):
+    return rounded(baseline.fit_random(train_test(spark, sf)[0], kind="float"))
+
+
+@query(
+    "predict_random",
+    f"with {MODEL} select detid, interval_s, traffic from model where weekday = 'Tuesday' and interval_s % 3600 = 0",
+)
+def predict_random(spark, sf):
+    return baseline.predict_random(baseline.fit_random(train_test(spark, sf)[0]), "Tuesday")
+
+
+RANDOM_PAIRS = f"""{MODEL}, pairs as (select t.detid, t.traffic as y, m.traffic as p from test t join model m using (detid, weekday, interval_s))"""
+
+
+@query("score_random", f"with {RANDOM_PAIRS} select detid, {SCORES} from pairs group by 1")
+def score_random(spark, sf):
+    train, test = train_test(spark, sf)
+    return rounded(baseline.score_random(test, baseline.fit_random(train)))
+
+
+@query(
+    "eval_random",
+    f"""with {RANDOM_PAIRS}, scores as (select avg(abs(y - p)) as a, avg((y - p) * (y - p)) as b, {R2} as c from pairs group by detid)
+        select {r('avg(a)')} as avg_MAE, {r('avg(b)')} as avg_MSE, {r('avg(c)')} as avg_R2 from scores""",
+)
+def eval_random(spark, sf):
+    train, test = train_test(spark, sf)
+    return rounded(baseline.eval_random(test, baseline.fit_random(train)))
+
+
+# -- nearest neighbours per sensor: the oracle compares every pair ------------------------------
+
+
+def setting_sql(k: int, p: int, weights: str, rn: str = "rn") -> str:
+    if weights == "uniform":
+        return f"avg(y) filter (where {rn} <= {k})"
+    d = f"d{p}"
+    return (
+        f"coalesce(avg(y) filter (where {rn} <= {k} and {d} = 0), "
+        f"sum(y / nullif({d}, 0)) filter (where {rn} <= {k}) / sum(1 / nullif({d}, 0)) filter (where {rn} <= {k}))"
+    )
+
+
+SETTINGS = knn.settings()
+ALL_SETTINGS = ", ".join(f"{setting_sql(*s)} as s{i}" for i, s in enumerate(SETTINGS))
+
+
+def near_sql(train: str, queries: str, keys: str, match: str) -> str:
+    outer = keys.replace("q.", "")
+    return f"""select {outer}, w, h, y, rn, d1, d2 from (
+      select {keys}, q.w, q.h, t.y, abs(t.h - q.h) + abs(t.w - q.w) as d1,
+        sqrt(((t.h - q.h)::double * (t.h - q.h) + (t.w - q.w) * (t.w - q.w))) as d2,
+        row_number() over (partition by {keys}, q.w, q.h order by abs(t.h - q.h) + abs(t.w - q.w), t.day, t.h) as rn
+      from {queries} q join {train} t on {match}) where rn <= 10"""
+
+
+FOLDED = f"""folded as (select detid, day, interval_s as h, cast({W} as integer) as w, traffic as y,
+    (pos >= (n // 5) + least(1, n % 5))::int + (pos >= 2 * (n // 5) + least(2, n % 5))::int
+    + (pos >= 3 * (n // 5) + least(3, n % 5))::int + (pos >= 4 * (n // 5) + least(4, n % 5))::int as fold
+  from (select *, row_number() over (partition by detid order by day, interval_s) - 1 as pos,
+        count(*) over (partition by detid) as n from train))"""
+CV = f"""{FOLDED}, near as ({near_sql('folded', '(select distinct detid, fold, w, h from folded)', 'q.detid, q.fold', 'q.detid = t.detid and q.fold <> t.fold')}),
+  shots as (select detid, fold, w, h, {ALL_SETTINGS} from near group by detid, fold, w, h),
+  per_fold as (select detid, fold, {', '.join(f'avg(abs(f.y - s{i})) as s{i}' for i in range(len(SETTINGS)))}
+    from folded f join shots using (detid, fold, w, h) group by detid, fold),
+  means as (select detid, {', '.join(f'avg(s{i}) as s{i}' for i in range(len(SETTINGS)))} from per_fold group by detid),
+  scores as ({' union all '.join(f"select detid, {i} as position, {k} as k, {p} as p, '{w}' as weights, s{i} as mae from means" for i, (k, p, w) in enumerate(SETTINGS))}),
+  best as (select detid, k, p, weights, mae from (
+    select *, row_number() over (partition by detid order by round(mae, 9), position) as rn from scores) where rn = 1)"""
+
+
+@query("cv_knn", f"with {CV} select detid, position, k, p, weights, {r('mae')} as mae from scores")
+def cv_knn(spark, sf):
+    return rounded(knn.cv_scores(train_test(spark, sf)[0]))
+
+
+@query("model_knn", f"with {CV} select detid, k, p, weights, {r('mae')} as mae from best")
+def model_knn(spark, sf):
+    return rounded(knn.tune_knn(train_test(spark, sf)[0]))
+
+
+CHOSEN = "case " + " ".join(
+    f"when k = {k} and p = {p} and weights = '{w}' then s{i}" for i, (k, p, w) in enumerate(SETTINGS)
+) + " end"
+
+
+def forecast_sql(queries: str) -> str:
+    return f"""points as (select detid, day, interval_s as h, cast({W} as integer) as w, traffic as y from train),
+      asked as ({queries}),
+      hits as ({near_sql('points', '(select distinct detid, w, h from asked)', 'q.detid', 'q.detid = t.detid')}),
+      fans as (select detid, w, h, {ALL_SETTINGS} from hits group by detid, w, h),
+      forecast as (select detid, w, h, {CHOSEN} as traffic from fans join best using (detid))"""
+
+
+TUESDAY = "select detid, 1 as w, cast(s.range * 3600 as integer) as h from best, range(24) s"
+
+
+@query(
+    "predict_knn",
+    f"with {CV}, {forecast_sql(TUESDAY)} select detid, h as interval_s, {r('traffic')} as traffic from forecast",
+)
+def predict_knn(spark, sf):
+    train, _ = train_test(spark, sf)
+    best = keyed.settle(knn.tune_knn(train))
+    return rounded(knn.predict_knn(train, best, "Tuesday", baseline.DAY_HOURS))
+
+
+TESTED = f"select detid, cast({W} as integer) as w, interval_s as h, traffic as y from test"
+
+
+@query(
+    "eval_knn",
+    f"""with {CV}, {forecast_sql(TESTED)}, pairs as (select a.detid, a.y, f.traffic as p from asked a join forecast f using (detid, w, h))
+        select detid, {SCORES} from pairs group by 1""",
+)
+def eval_knn(spark, sf):
+    train, test = train_test(spark, sf)
+    best = keyed.settle(knn.tune_knn(train))
+    return rounded(knn.eval_knn(train, test, best))
+
+
+# -- nearest neighbours over all sensors --------------------------------------------------------
+
+CODES = "codes as (select detid, cast(row_number() over (order by detid) - 1 as bigint) as code from (select distinct detid from train))"
+
+
+def pooled_near_sql(train: str, queries: str, keys: str, match: str) -> str:
+    lead = f"{keys}, " if keys else ""
+    return f"""select {lead}code, w, h, y, rn1, rn2, d1, d2 from (
+      select *, row_number() over (partition by {lead}code, w, h order by d1, tcode, day, th) as rn1,
+        row_number() over (partition by {lead}code, w, h order by d2, tcode, day, th) as rn2 from (
+        select {'q.' + keys + ', ' if keys else ''}q.code, q.w, q.h, t.y, t.code as tcode, t.day, t.h as th,
+          (abs(t.code - q.code) + abs(t.h - q.h) + abs(t.w - q.w))::double as d1,
+          sqrt(((t.code - q.code)::double * (t.code - q.code) + (t.h - q.h)::double * (t.h - q.h) + (t.w - q.w) * (t.w - q.w))) as d2
+        from {queries} q join {train} t on {match})) where rn1 <= 10 or rn2 <= 10"""
+
+
+POOLED = f"""{CODES}, points as (select code, day, interval_s as h, cast({W} as integer) as w, traffic as y from train join codes using (detid)),
+  asked as (select detid, code, weekday, interval_s, interval_s as h, cast({W} as integer) as w, traffic as y from test join codes using (detid)),
+  hits as ({pooled_near_sql('points', '(select distinct code, w, h from asked)', '', 'true')}),
+  shots as (select code, w, h, {setting_sql(10, 1, 'distance', 'rn1')} as p1, {setting_sql(5, 2, 'uniform', 'rn2')} as p2 from hits group by 1, 2, 3)"""
+
+
+@query(
+    "model_knn4d",
+    f"with {POOLED} select detid, weekday, interval_s, {r('y')} as traffic_actual, {r('p1')} as traffic_pred from asked join shots using (code, w, h)",
+)
+def model_knn4d(spark, sf):
+    train, test = train_test(spark, sf)
+    codes = keyed.settle(features.label_codes(train, "detid"))
+    return rounded(knn_pooled.forecast_pooled_knn(train, test, codes))
+
+
+@query(
+    "eval_knn4d",
+    f"with {POOLED}, pairs as (select y, p2 as p from asked join shots using (code, w, h)) select {SCORES} from pairs",
+)
+def eval_knn4d(spark, sf):
+    train, test = train_test(spark, sf)
+    codes = keyed.settle(features.label_codes(train, "detid"))
+    return rounded(knn_pooled.eval_pooled_knn(train, test, codes, 5, 2, "uniform"))
+
+
+POOLED_FOLDED = f"""{CODES}, folded as (select code, day, h, w, y,
+    (pos >= (n // 5) + least(1, n % 5))::int + (pos >= 2 * (n // 5) + least(2, n % 5))::int
+    + (pos >= 3 * (n // 5) + least(3, n % 5))::int + (pos >= 4 * (n // 5) + least(4, n % 5))::int as fold
+  from (select code, day, interval_s as h, cast({W} as integer) as w, traffic as y,
+        row_number() over (order by code, day, interval_s) - 1 as pos, count(*) over () as n from train join codes using (detid)))"""
+
+
+@query(
+    "cv_knn4d",
+    f"""with {POOLED_FOLDED},
+      hits as ({pooled_near_sql('folded', '(select distinct fold, code, w, h from folded)', 'fold', 'q.fold <> t.fold')}),
+      shots as (select fold, code, w, h, {', '.join(f"{setting_sql(*s, f'rn{s[1]}')} as s{i}" for i, s in enumerate(SETTINGS))} from hits group by 1, 2, 3, 4),
+      per_fold as (select fold, {', '.join(f'avg(abs(y - s{i})) as s{i}' for i in range(len(SETTINGS)))} from folded join shots using (fold, code, w, h) group by 1),
+      means as (select {', '.join(f'avg(s{i}) as s{i}' for i in range(len(SETTINGS)))} from per_fold)
+      {' union all '.join(f"select {i} as position, {k} as k, {p} as p, '{w}' as weights, {r(f's{i}')} as mae from means" for i, (k, p, w) in enumerate(SETTINGS))}""",
+)
+def cv_knn4d(spark, sf):
+    train, _ = train_test(spark, sf)
+    codes = keyed.settle(features.label_codes(train, "detid"))
+    return rounded(knn_pooled.tune_pooled_knn(train, codes))
+
+
+# -- polynomial fits: the oracle builds orthogonal polynomials per sensor -----------------------
+
+
+def _orthogonal(degree: int) -> str:
+    """Three-term recurrence p(k+1) = (x - a) p(k) - b p(k-1); fit = sum of projections."""
+    parts = ["o0 as (select detid, interval_s / 86400 as x, traffic::double as y, 0::double as prev, 1::double as cur, 0::double as fit, 1::double as last_norm from hourly)"]
+    for k in range(degree + 1):
+        parts.append(
+            f"""n{k} as (select detid, sum(cur * cur) as norm, sum(x * cur * cur) as shift, sum(y * cur) as proj from o{k} group by 1)"""
+        )
+        parts.append(
+            f"""o{k + 1} as (select o.detid, x, y, cur as prev,
+              case when norm < 1e-9 then 0 else (x - shift / norm) * cur - {'0' if k == 0 else 'norm / last_norm * prev'} end as cur,
+              fit + case when norm < 1e-9 then 0 else proj / norm * cur end as fit,
+              case when norm < 1e-9 then 1 else norm end as last_norm from o{k} o join n{k} n using (detid))"""
+        )
+    return ", ".join(parts)
+
+
+def poly_scores_sql(degree: int) -> str:
+    return f"""with {_orthogonal(degree)}, pairs as (select detid, y, fit as p from o{degree + 1})
+      select detid, {r('sqrt(avg((y - p) * (y - p)))')} as RMSE, {r(R2)} as R2 from pairs group by 1"""
+
+
+def _poly_scores(spark, sf, degree):
+    rows = hourly(spark, sf).select("detid", "interval_s", "traffic")
+    return rounded(polynomial.score_polynomial(rows, polynomial.fit_polynomial(rows, degree)))
+
+
+@query("poly_features", poly_scores_sql(4))
+def poly_features(spark, sf):
+    return _poly_scores(spark, sf, 4)
+
+
+@query("poly_cubic", poly_scores_sql(3))
+def poly_cubic(spark, sf):
+    return _poly_scores(spark, sf, 3)
+
+
+@query("poly_quadratic", poly_scores_sql(2))
+def poly_quadratic(spark, sf):
+    return _poly_scores(spark, sf, 2)
+
+
+# -- forest -------------------------------------------------------------------------------------
+
+# Small forests keep the check short; the library's parameter lists are in models/forest.py.
+TREES, DEPTH = 20, 8
+
+
+def fitted_forest(spark, sf):
+    train, test = train_test(spark, sf)
+    means = keyed.settle(forest.sensor_means(train))
+    return forest.fit_forest(train, means, TREES, DEPTH), means, test
+
+
+@query("model_forest")
+def model_forest(spark, sf):
+    model, means, test = fitted_forest(spark, sf)
+    return forest.forecast_forest(model, test, means)
+
+
+@query("predict_forest")
+def predict_forest(spark, sf):
+    model, means, _ = fitted_forest(spark, sf)
+    return forest.predict_forest(model, means, "Tuesday", baseline.DAY_HOURS)
+
+
+@query("eval_forest")
+def eval_forest(spark, sf):
+    model, means, test = fitted_forest(spark, sf)
+    return forest.eval_forest(model, test, means)
+
+
+# -- additive seasonal model --------------------------------------------------------------------
+
+
+@query(
+    "seasonal_slots",
+    f"""select detid, cast(({W}) * 86400 + interval_s as integer) as second, count(*) as m, {r('sum(traffic)')} as sy,
+        {r('sum(traffic * traffic)')} as syy from train group by 1, 2""",
+)
+def seasonal_slots(spark, sf):
+    return rounded(seasonal.week_slots_sums(train_test(spark, sf)[0], ["detid"]))
+
+
+@query("model_seasonal")
+def model_seasonal(spark, sf):
+    model = seasonal.fit_seasonal(train_test(spark, sf)[0])
+    return model.select("detid", "prior", F.posexplode("coef").alias("term", "coef"), "sigma", "n")
+
+
+@query("predict_seasonal")
+def predict_seasonal(spark, sf):
+    return seasonal.predict_seasonal(seasonal.fit_seasonal(train_test(spark, sf)[0]), "Tuesday")
+
+
+@query("eval_seasonal")
+def eval_seasonal(spark, sf):
+    train, test = train_test(spark, sf)
+    return seasonal.eval_seasonal(test, seasonal.fit_seasonal(train))
+
+
+@query("tune_seasonal")
+def tune_seasonal(spark, sf):
+    train, test = train_test(spark, sf)
+    return seasonal.tune_seasonal(train, test)
+
+
+@query("model_seasonal_pooled")
+def model_seasonal_pooled(spark, sf):
+    train, test = train_test(spark, sf)
+    codes = keyed.settle(features.label_codes(train, "detid"))
+    return seasonal.forecast_pooled(test, seasonal.fit_pooled(train, codes), codes)
+
+
+@query("eval_seasonal_pooled")
+def eval_seasonal_pooled(spark, sf):
+    return seasonal.eval_pooled(model_seasonal_pooled(spark, sf))
+
+
+@query(
+    "future_frame",
+    f"""select detid, cast(last + s.range * 3600 as integer) as second,
+        strftime(timestamp '2015-05-18' + to_seconds(last + s.range * 3600), '%Y-%m-%d %H:%M:%S') as ds
+        from (select detid, max(({W}) * 86400 + interval_s) as last from train group by 1), range(1, 301) s""",
+)
+def future_frame(spark, sf):
+    frame = seasonal.future_frame(train_test(spark, sf)[0])
+    return frame.select("detid", "second", F.date_format("ds", "yyyy-MM-dd HH:mm:ss").alias("ds"))
+
+
+@query("predict_future")
+def predict_future(spark, sf):
+    train, _ = train_test(spark, sf)
+    return seasonal.predict_future(seasonal.fit_seasonal(train), seasonal.future_frame(train))
+
+
+# -- predictions on the map ---------------------------------------------------------------------
+
+
+@query(
+    "prediction_cube",
+    f"""with {MODEL}, hours as (select * from model where interval_s % 3600 = 0),
+        coords as (select h.*, d.lon, d.lat from hours h join detectors d using (detid))
+        select 'random' as model, weekday, interval_s, cast(round_even(lon * 100, 0) as integer) as cell_x,
+          cast(round_even(lat * 100, 0) as integer) as cell_y, {r('avg(traffic)')} as mean_traffic_index,
+          count(detid) as detectors_in_grid from coords group by 2, 3, 4, 5""",
+)
+def prediction_cube(spark, sf):
+    model = baseline.fit_random(train_test(spark, sf)[0]).where("interval_s % 3600 = 0")
+    cube = dataset.prediction_cube(model.withColumn("model", F.lit("random")), views.detectors(spark, sf))
+    return rounded(cube.drop("grid_id", "lon_rounded", "lat_rounded"))
+
+
+@query(
+    "macro_average_knn",
+    f"""with {CV}, {forecast_sql(TESTED)}, pairs as (select a.detid, a.y, f.traffic as p from asked a join forecast f using (detid, w, h)),
+        scored as (select avg(abs(y - p)) as a, avg((y - p) * (y - p)) as b, {R2} as c from pairs group by detid)
+        select {r('avg(a)')} as avg_MAE, {r('avg(b)')} as avg_MSE, {r('avg(c)')} as avg_R2 from scored""",
+)
+def macro_average_knn(spark, sf):
+    train, test = train_test(spark, sf)
+    best = keyed.settle(knn.tune_knn(train))
+    return rounded(macro_average(knn.eval_knn(train, test, best)))

@@ -1,0 +1,118 @@
+"""Sources and sinks: each query writes a table to the scratch folder and reads it back."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..models import baseline
+from ..operators import joins, keyed
+from ..plans import dataset
+from ..sources import readers, views, writers
+from .base import hourly, query, r, rounded, train_test
+from .forecasts import MODEL
+from .grids import CELLS, PLACE, PLACED_XY, placed
+from .quality import DATASET_SQL, LIMITS, PLAN_SQL
+from .splits import SPLIT_LEAD, draw_sql
+
+
+def _path(spark, name: str) -> str:
+    return f"{keyed.scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "src_csv",
+    f"""select detid, day, interval_s, {r('flow')} as flow, {r('occ')} as occ, error from readings where interval_s >= 43200""",
+)
+def src_csv(spark, sf):
+    path = _path(spark, "raw-csv")
+    raw = views.readings(spark, sf).select(
+        "day", F.col("interval_s").alias("interval"), "detid", "flow", "occ", "error",
+        F.lit("london").alias("city"), F.col("speed"),
+    )
+    writers.write_dataset(raw, path, "csv")
+    rows = readers.read_csv(spark, path, readers.READINGS, where="interval_s >= 43200")
+    return rounded(rows.drop("city", "speed"))
+
+
+@query("sink_dataset", DATASET_SQL)
+def sink_dataset(spark, sf):
+    path = _path(spark, "dataset")
+    data, _ = dataset.build_dataset(views.readings(spark, sf), views.detectors(spark, sf), LIMITS)
+    writers.write_dataset(data, path)
+    return rounded(readers.read_table(spark, path))
+
+
+@query("sink_anomalies", f"{PLAN_SQL} select * from flags")
+def sink_anomalies(spark, sf):
+    path = _path(spark, "anomalies")
+    _, flags = dataset.build_dataset(views.readings(spark, sf), views.detectors(spark, sf), LIMITS)
+    writers.write_dataset(flags, path, "csv")
+    schema = T.StructType(
+        [T.StructField("detid", T.StringType())]
+        + [T.StructField(f, T.BooleanType()) for f in ("mean_out_of_bound", "IQR_to_small", "not_enough_data")]
+    )
+    return readers.read_csv(spark, path, schema)
+
+
+@query(
+    "sink_splits",
+    f"""select detid, weekday, interval_s, {r('traffic')} as traffic from (
+          select *, {draw_sql(SPLIT_LEAD)} from hourly, (select 1 as split_id)) where interval_s // 3600 in (s0, s1)""",
+)
+def sink_splits(spark, sf):
+    path = _path(spark, "splits")
+    writers.write_splits(hourly(spark, sf), "Sniper", 2, path, seed=27)
+    return rounded(writers.read_split(spark, path, 1, "test").select("detid", "weekday", "interval_s", "traffic"))
+
+
+@query(
+    "sink_grid_cube",
+    f"""with {CELLS} select weekday, interval_s, cell_x, cell_y, {r('avg(traffic)')} as mean_traffic_index,
+        count(detid) as detectors_in_grid, {PLACE}, {PLACED_XY} from cells where weekday = 'Friday' group by weekday, interval_s, cell_x, cell_y""",
+)
+def sink_grid_cube(spark, sf):
+    path = _path(spark, "cube")
+    writers.write_grid_cube(placed(spark, sf), path)
+    return rounded(readers.read_table(spark, path, "weekday = 'Friday'"))
+
+
+@query("src_city_table", "select cast(c_custkey as bigint) as c_custkey, c_mktsegment as citycode from customer where c_mktsegment = 'MACHINERY'")
+def src_city_table(spark, sf):
+    path = _path(spark, "cities")
+    table = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", F.col("c_mktsegment").alias("citycode"))
+    writers.write_city({"detectors": table}, path)
+    return readers.read_table(spark, f"{path}/detectors", "citycode = 'MACHINERY'")
+
+
+@query(
+    "store_predictions",
+    f"""with {MODEL} select m.detid, m.interval_s, m.traffic, {r('d.lon')} as lon, {r('d.lat')} as lat from model m
+        left join detectors d using (detid) where weekday = 'Monday' and interval_s % 3600 = 0""",
+)
+def store_predictions(spark, sf):
+    path = _path(spark, "predictions")
+    model = baseline.fit_random(train_test(spark, sf)[0]).where("interval_s % 3600 = 0")
+    writers.store_predictions(model.withColumn("model", F.lit("random")), path)
+    found = dataset.weekday_prediction(spark, path, "random", "Monday", views.detectors(spark, sf))
+    return rounded(found.select("detid", "interval_s", "traffic", "lon", "lat"))
+
+
+@query("store_models", f"with {MODEL} select detid, weekday, interval_s, traffic from model where weekday = 'Sunday'")
+def store_models(spark, sf):
+    path = _path(spark, "models")
+    writers.store_models(baseline.fit_random(train_test(spark, sf)[0]), path)
+    return writers.load_models(spark, path).where("weekday = 'Sunday'")
+
+
+@query("sink_geojson_points")
+def sink_geojson_points(spark, sf):
+    from ..operators import grid, outliers
+
+    path = _path(spark, "points")
+    rows = joins.with_detectors(views.readings(spark, sf), views.detectors(spark, sf), columns=("lon", "lat"), how="inner")
+    points = grid.detector_points(rows.where("flow < 200"), rows.where("flow >= 400"), outliers.READING_ORDER)
+    writers.write_geojson(grid.geojson_points(points), path)
+    return spark.read.text(path)
