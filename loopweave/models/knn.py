@@ -62,10 +62,11 @@ def _reach(hours: Column, h: Column, k: int) -> Column:
     return F.aggregate(near, start, step)["gap"]
 
 
-def nearest_rows(points: DataFrame, queries: DataFrame, keys: Sequence[str], k: int = max(NEIGHBOURS)) -> DataFrame:
-    """The ``k`` nearest train rows of each query point (keys, w, h) with their rank and distances.
+def fans(points: DataFrame, queries: DataFrame, keys: Sequence[str], k: int = max(NEIGHBOURS)) -> DataFrame:
+    """Forecasts of each query point (keys, w, h) from its 1st..k-th nearest train rows.
 
-    ``points``: keys, w, h, day, y. Output: keys, w, h, ``rn``, ``d1``, ``d2``, ``y``.
+    ``points``: keys, w, h, day, y. Output: keys, w, h, ``k`` (each of ``NEIGHBOURS``), and per
+    distance p the uniform mean ``u{p}`` and the distance-weighted mean ``e{p}``.
     """
     keys = list(keys)
     short = _shortlist(points, [*keys, "w", "h"], k)
@@ -83,25 +84,87 @@ def nearest_rows(points: DataFrame, queries: DataFrame, keys: Sequence[str], k:
     train = short.select(*keys, F.col("w").alias("tw"), F.col("h").alias("th"), "day", "y")
     pairs = targets.join(train, [*keys, "th"])
     dh, dw = F.abs(F.col("th") - F.col("h")), F.abs(F.col("tw") - F.col("w"))
-    order = Window.partitionBy(*keys, "w", "h").orderBy(dh, dw, "day", "th")
-    ranked = pairs.select(
-        *keys, "w", "h", "y", F.row_number().over(order).alias("rn"),
+    measured = pairs.select(
+        *keys, "w", "h", "day", "th", "y", dh.alias("dh"), dw.alias("dw"),
         (dh + dw).cast("double").alias("d1"),
         F.sqrt((dh.cast("bigint") * dh + dw * dw).cast("double")).alias("d2"),
     )
-    return ranked.where(F.col("rn") <= k)
+    # Both distances sort the rows alike, so one ranking serves both.
+    order = Window.partitionBy(*keys, "w", "h").orderBy("dh", "dw", "day", "th")
+    ranked = measured.select(*keys, "w", "h", *running_means(order, (1, 2), "rn", "u")).where(F.col("rn") <= k)
+    steps = F.array_sort(F.collect_list(F.struct("rn", "u", "e1", "e2")))
+    gathered = ranked.groupBy(*keys, "w", "h").agg(steps.alias("steps"))
+    return gathered.select(
+        *keys, "w", "h",
+        F.inline(
+            F.transform(
+                F.array(*[F.lit(n) for n in NEIGHBOURS if n <= k]),
+                lambda n: F.struct(
+                    n.alias("k"),
+                    step_at("steps", n)["u"].alias("u1"),
+                    step_at("steps", n)["e1"].alias("e1"),
+                    step_at("steps", n)["u"].alias("u2"),
+                    step_at("steps", n)["e2"].alias("e2"),
+                ),
+            )
+        ),
+    )
+
+
+def running_means(order, powers: Sequence[int], rank: str, uniform: str) -> list[Column]:
+    """Rank and the means over the rows up to it: plain, and weighted by 1/d for each distance.
 
+    As soon as rows at distance 0 are among them, only those count for the weighted mean.
+    """
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = [F.row_number().over(order).alias(rank), F.avg("y").over(upto).alias(uniform)]
+    for p in powers:
+        d = F.col(f"d{p}")
+        share = F.try_divide(F.lit(1.0), d)
+        exact = F.avg(F.when(d == 0, F.col("y"))).over(upto)
+        weighted = F.try_divide(F.sum(share * F.col("y")).over(upto), F.sum(share).over(upto))
+        out.append(F.coalesce(exact, weighted).alias(f"e{p}"))
+    return out
+
+
+def step_at(steps: str, n: Column) -> Column:
+    """The n-th step, or the last one when there are fewer train rows."""
+    return F.get(F.col(steps), F.least(n, F.size(steps)) - 1)
+
+
+def setting_value(p: Column, weights: Column) -> Column:
+    """Column of ``fans`` that belongs to a setting."""
+    uniform = weights == "uniform"
+    return (
+        F.when((p == 1) & uniform, F.col("u1"))
+        .when(p == 1, F.col("e1"))
+        .when(uniform, F.col("u2"))
+        .otherwise(F.col("e2"))
+    )
 
-def _forecast(k: int, p: int, weights: str, rank: str = "rn") -> Column:
-    """Aggregate over the neighbours of one query."""
-    within = F.col(rank) <= k
-    y = F.when(within, F.col("y"))
-    if weights == "uniform":
-        return F.avg(y)
-    d = F.col(f"d{p}")
-    exact = F.avg(F.when(d == 0, y))
-    share = F.when(within, F.try_divide(F.lit(1.0), d))
-    return F.coalesce(exact, F.try_divide(F.sum(share * F.col("y")), F.sum(share)))
+
+def cv_table(points: DataFrame, forecasts: DataFrame, spot: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Mean fold MAE of every setting: keys, ``position``, ``k``, ``p``, ``weights``, ``mae``.
+
+    ``spot`` (with ``fold``) identifies a lattice point; rows of one point share the forecast,
+    so equal values are counted first.
+    """
+    truths = points.groupBy(*spot, "y").agg(F.count(F.lit(1)).alias("m"))
+    columns = {"u1": (1, "uniform"), "e1": (1, "distance"), "u2": (2, "uniform"), "e2": (2, "distance")}
+    errors = [(F.sum(F.col("m") * F.abs(F.col("y") - F.col(c))) / F.sum("m")).alias(c) for c in columns]
+    per_fold = truths.join(forecasts, list(spot)).groupBy(*keys, "fold", "k").agg(*errors)
+    means = per_fold.groupBy(*keys, "k").agg(*[F.avg(c).alias(c) for c in columns])
+    cells = F.array(
+        *[
+            F.struct(F.lit(p).alias("p"), F.lit(w).alias("weights"), F.col(c).alias("mae"))
+            for c, (p, w) in columns.items()
+        ]
+    )
+    long = means.select(*keys, "k", F.inline(cells))
+    place = F.lit(None).cast("int")
+    for i, (k, p, w) in enumerate(settings()):
+        place = F.when((F.col("k") == k) & (F.col("p") == p) & (F.col("weights") == w), F.lit(i)).otherwise(place)
+    return long.select(*keys, place.alias("position"), "k", "p", "weights", "mae")
 
 
 def fold_rows(train: DataFrame, key: str = "detid", folds: int = FOLDS) -> DataFrame:
@@ -116,36 +179,20 @@ def fold_rows(train: DataFrame, key: str = "detid", folds: int = FOLDS) -> DataF
     return rows.join(cuts, key).withColumn("fold", keyed.part_number(ROW_ORDER)).drop("_starts")
 
 
-def cv_scores(train: DataFrame, key: str = "detid", folds: int = FOLDS) -> DataFrame:
-    """Mean fold MAE per sensor for all settings: key, ``k``, ``p``, ``weights``, ``position``, ``mae``."""
-    k = max(NEIGHBOURS)
-    folded = keyed.settle(fold_rows(train, key, folds))
-    points = _lattice(folded, [key, "fold"])
-    # A fold's own rows are no neighbours: each row serves the other folds.
-    small = _shortlist(points, [key, "fold", "w", "h"], k)
+def serve_other_folds(points: DataFrame, cell: Sequence[str], folds: int, k: int) -> DataFrame:
+    """Train rows of every fold: a fold's own rows are no neighbours, so each row serves the other folds."""
+    small = _shortlist(points, [*cell, "fold"], k)
     others = F.explode(F.array_remove(F.sequence(F.lit(0), F.lit(folds - 1)), F.col("fold"))).alias("fold")
-    serving = small.select(key, "w", "h", "day", "y", others)
-    queries = points.select(key, "fold", "w", "h").distinct()
-    near = nearest_rows(serving, queries, [key, "fold"], k)
-    names = {f"s{i}": s for i, s in enumerate(settings())}
-    forecasts = keyed.settle(
-        near.groupBy(key, "fold", "w", "h").agg(*[_forecast(*s).alias(n) for n, s in names.items()])
-    )
-    # Rows of one lattice point share the forecast, so equal values are counted first.
-    truths = points.groupBy(key, "fold", "w", "h", "y").agg(F.count(F.lit(1)).alias("m"))
-    errors = truths.join(forecasts, [key, "fold", "w", "h"])
-    per_fold = errors.groupBy(key, "fold").agg(
-        *[(F.sum(F.col("m") * F.abs(F.col("y") - F.col(n))) / F.sum("m")).alias(n) for n in names]
-    )
-    per_key = per_fold.groupBy(key).agg(*[F.avg(n).alias(n) for n in names])
-    cells = [
-        F.struct(
-            F.lit(i).alias("position"), F.lit(s[0]).alias("k"), F.lit(s[1]).alias("p"), F.lit(s[2]).alias("weights"),
-            F.col(f"s{i}").alias("mae"),
-        )
-        for i, s in enumerate(settings())
-    ]
-    return per_key.select(key, F.inline(F.array(*cells)))
+    return small.select(*cell, "day", "y", others)
+
+
+def cv_scores(train: DataFrame, key: str = "detid", folds: int = FOLDS) -> DataFrame:
+    """Mean fold MAE per sensor for all settings: key, ``position``, ``k``, ``p``, ``weights``, ``mae``."""
+    points = _lattice(keyed.settle(fold_rows(train, key, folds)), [key, "fold"])
+    serving = serve_other_folds(points, [key, "w", "h"], folds, max(NEIGHBOURS))
+    spot = [key, "fold", "w", "h"]
+    forecasts = fans(serving, points.select(*spot).distinct(), [key, "fold"])
+    return cv_table(points, forecasts, spot, [key])
 
 
 def tune_knn(train: DataFrame, key: str = "detid", folds: int = FOLDS) -> DataFrame:
@@ -158,17 +205,12 @@ def tune_knn(train: DataFrame, key: str = "detid", folds: int = FOLDS) -> DataFr
 def forecast_points(train: DataFrame, queries: DataFrame, best: DataFrame, key: str = "detid") -> DataFrame:
     """Forecast of each query (key, weekday, interval_s) with its sensor's setting; sensors without a model get none."""
     asked = queries.select(key, "weekday", "interval_s", weekday_number("weekday").alias("w"), F.col("interval_s").alias("h"))
-    near = nearest_rows(_lattice(train, [key]), asked.select(key, "w", "h").distinct(), [key])
-    all_settings = near.groupBy(key, "w", "h").agg(
-        *[_forecast(*s).alias(f"s{i}") for i, s in enumerate(settings())]
+    asked = asked.distinct()
+    valued = fans(_lattice(train, [key]), asked.select(key, "w", "h"), [key]).join(
+        best.select(key, "k", "p", "weights"), [key, "k"]
     )
-    chosen = F.lit(None).cast("double")
-    for i, (k, p, w) in enumerate(settings()):
-        match = (F.col("k") == k) & (F.col("p") == p) & (F.col("weights") == w)
-        chosen = F.when(match, F.col(f"s{i}")).otherwise(chosen)
-    valued = all_settings.join(best.select(key, "k", "p", "weights"), key).select(key, "w", "h", chosen.alias("traffic"))
-    points = asked.distinct().join(valued, [key, "w", "h"])
-    return points.select(key, "weekday", "interval_s", "traffic")
+    chosen = valued.select(key, "w", "h", setting_value(F.col("p"), F.col("weights")).alias("traffic"))
+    return asked.join(chosen, [key, "w", "h"]).select(key, "weekday", "interval_s", "traffic")
 
 
 def predict_knn(train: DataFrame, best: DataFrame, weekday: str, intervals: Sequence[int], key: str = "detid") -> DataFrame:

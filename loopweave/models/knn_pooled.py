@@ -16,7 +16,17 @@ from pyspark.sql import functions as F
 from ..functions.calendar import weekday_number
 from ..operators import keyed
 from ..operators.metrics import regression_metrics
-from .knn import FOLDS, NEIGHBOURS, _forecast, _reach, settings
+from .knn import (
+    FOLDS,
+    NEIGHBOURS,
+    _reach,
+    _shortlist,
+    cv_table,
+    running_means,
+    serve_other_folds,
+    setting_value,
+    step_at,
+)
 
 WEEKDAY_STEP = 6
 ROW_ORDER = ("code", "day", "interval_s")
@@ -33,15 +43,14 @@ def _lattice(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def nearest_pooled(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (), k: int = max(NEIGHBOURS)) -> DataFrame:
-    """The ``k`` nearest rows of each query (keys, code, w, h) for both distances.
+def pooled_fans(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (), k: int = max(NEIGHBOURS)) -> DataFrame:
+    """Forecasts of each query (keys, code, w, h) from its nearest rows, as ``knn.fans`` gives them.
 
-    Output: keys, code, w, h, ``rn1``/``d1`` (sum of steps), ``rn2``/``d2`` (Euclidean), ``y``.
+    The two distances rank differently here: d1 adds the steps, d2 is Euclidean.
     """
     points, group = keyed.with_key(points, keys)
     queries, _ = keyed.with_key(queries, keys)
-    first = F.row_number().over(Window.partitionBy(*group, "code", "w", "h").orderBy("day"))
-    short = points.withColumn("_r", first).where(F.col("_r") <= k).drop("_r")
+    short = _shortlist(points, [*group, "code", "w", "h"], k)
     # One row per sensor and hour: the sensor dimension, not the readings.
     present = keyed.settle(short.groupBy(*group, "h", "code").agg(F.count(F.lit(1)).alias("n")))
 
@@ -64,12 +73,30 @@ def nearest_pooled(points: DataFrame, queries: DataFrame, keys: Sequence[str] =
     d2 = F.sqrt((dc * dc + dw * dw + dh.cast("bigint") * dh).cast("double"))
     spot = Window.partitionBy(*group, "code", "w", "h")
     measured = pairs.select(*group, "code", "w", "h", "y", "tcode", "day", "th", d1.alias("d1"), d2.alias("d2"))
+    rows = ("tcode", "day", "th")
     ranked = measured.select(
-        *keys, "code", "w", "h", "y", "d1", "d2",
-        F.row_number().over(spot.orderBy("d1", "tcode", "day", "th")).alias("rn1"),
-        F.row_number().over(spot.orderBy("d2", "tcode", "day", "th")).alias("rn2"),
+        *group, "code", "w", "h",
+        *running_means(spot.orderBy("d1", *rows), (1,), "rn1", "u1"),
+        *running_means(spot.orderBy("d2", *rows), (2,), "rn2", "u2"),
+    )
+    steps = [
+        F.array_sort(F.collect_list(F.when(F.col(f"rn{p}") <= k, F.struct(f"rn{p}", f"u{p}", f"e{p}")))).alias(f"steps{p}")
+        for p in (1, 2)
+    ]
+    gathered = ranked.where((F.col("rn1") <= k) | (F.col("rn2") <= k)).groupBy(*group, "code", "w", "h").agg(*steps)
+    return gathered.select(
+        *keys, "code", "w", "h",
+        F.inline(
+            F.transform(
+                F.array(*[F.lit(n) for n in NEIGHBOURS if n <= k]),
+                lambda n: F.struct(
+                    n.alias("k"),
+                    step_at("steps1", n)["u1"].alias("u1"), step_at("steps1", n)["e1"].alias("e1"),
+                    step_at("steps2", n)["u2"].alias("u2"), step_at("steps2", n)["e2"].alias("e2"),
+                ),
+            )
+        ),
     )
-    return ranked.where((F.col("rn1") <= k) | (F.col("rn2") <= k))
 
 
 def _bands(present: DataFrame, targets: DataFrame, group: list[str], k: int) -> DataFrame:
@@ -101,10 +128,13 @@ def _bands(present: DataFrame, targets: DataFrame, group: list[str], k: int) ->
 def forecast_pooled_knn(
     train: DataFrame, rows: DataFrame, codes: DataFrame, k: int = 10, p: int = 1, weights: str = "distance", key: str = "detid"
 ) -> DataFrame:
-    """Test rows with ``traffic_actual`` and ``traffic_pred``."""
+    """Test rows with ``traffic_actual`` and ``traffic_pred``. ``k`` is one of ``NEIGHBOURS``."""
+    if k not in NEIGHBOURS:
+        raise ValueError(f"k is {k}, not one of {NEIGHBOURS}")
     asked = coded_rows(rows, codes, key)
-    near = nearest_pooled(_lattice(coded_rows(train, codes, key)), _lattice(asked).select("code", "w", "h").distinct(), (), k)
-    valued = near.groupBy("code", "w", "h").agg(_forecast(k, p, weights, f"rn{p}").alias("traffic_pred"))
+    spread = pooled_fans(_lattice(coded_rows(train, codes, key)), _lattice(asked).select("code", "w", "h").distinct())
+    value = setting_value(F.lit(p), F.lit(weights))
+    valued = spread.where(F.col("k") == k).select("code", "w", "h", value.alias("traffic_pred"))
     points = asked.withColumn("w", weekday_number("weekday")).withColumn("h", F.col("interval_s"))
     return points.join(valued, ["code", "w", "h"]).select(
         key, "weekday", "interval_s", F.col("traffic").alias("traffic_actual"), "traffic_pred"
@@ -127,26 +157,6 @@ def tune_pooled_knn(train: DataFrame, codes: DataFrame, folds: int = FOLDS, key:
     cuts = keyed.starts_of_parts(rows, group, ROW_ORDER, [F.col("code")], starts)
     folded = keyed.settle(rows.join(cuts, group).withColumn("fold", keyed.part_number(ROW_ORDER)).drop("_starts", *group))
     points = _lattice(folded, ["fold"])
-    k = max(NEIGHBOURS)
-    first = F.row_number().over(Window.partitionBy("fold", "code", "w", "h").orderBy("day"))
-    small = points.withColumn("_r", first).where(F.col("_r") <= k).drop("_r")
-    others = F.explode(F.array_remove(F.sequence(F.lit(0), F.lit(folds - 1)), F.col("fold"))).alias("fold")
-    serving = small.select("code", "w", "h", "day", "y", others)
-    near = nearest_pooled(serving, points.select("fold", "code", "w", "h").distinct(), ["fold"], k)
-    names = {f"s{i}": s for i, s in enumerate(settings())}
-    forecasts = keyed.settle(
-        near.groupBy("fold", "code", "w", "h").agg(*[_forecast(*s, f"rn{s[1]}").alias(n) for n, s in names.items()])
-    )
-    truths = points.groupBy("fold", "code", "w", "h", "y").agg(F.count(F.lit(1)).alias("m"))
-    per_fold = truths.join(forecasts, ["fold", "code", "w", "h"]).groupBy("fold").agg(
-        *[(F.sum(F.col("m") * F.abs(F.col("y") - F.col(n))) / F.sum("m")).alias(n) for n in names]
-    )
-    means = per_fold.agg(*[F.avg(n).alias(n) for n in names])
-    cells = [
-        F.struct(
-            F.lit(i).alias("position"), F.lit(s[0]).alias("k"), F.lit(s[1]).alias("p"), F.lit(s[2]).alias("weights"),
-            F.col(n).alias("mae"),
-        )
-        for i, (n, s) in enumerate(names.items())
-    ]
-    return means.select(F.inline(F.array(*cells)))
+    serving = serve_other_folds(points, ["code", "w", "h"], folds, max(NEIGHBOURS))
+    spot = ["fold", "code", "w", "h"]
+    return cv_table(points, pooled_fans(serving, points.select(*spot).distinct(), ["fold"]), spot, [])

@@ -69,8 +69,8 @@ def rows_at_ranks(
     for one task. Output: keys, ``n`` (group size), ``rank``, ``at`` (struct of order values).
     Rank numbers outside 0..n-1 are left out. One row per (key, rank), read from settled tables.
 
-    The rows are scanned once to count cells, and a second time only if some wanted cell holds
-    different order values.
+    The rows are scanned once to count cells, with the ends of each cell. Ranks that fall on an
+    end are known from that; only for others the rows of their cells are looked up in a second scan.
     """
     keys, order = list(keys), list(order)
     cells = [f"_cell{i}" for i in range(len(cell))]
@@ -88,12 +88,20 @@ def rows_at_ranks(
     held = F.filter(F.array_distinct(ranks(F.col("n"))), lambda q: (q >= begin) & (q < F.col("_end")))
     wanted = settle(counted.withColumn("_ranks", held).where(F.size("_ranks") > 0))
 
-    single = F.lit(True)
-    for c in order:
-        single = single & F.col(f"_lo_{c}").eqNullSafe(F.col(f"_hi_{c}"))
-    at = F.struct(*[F.col(f"_lo_{c}").alias(c) for c in order])
-    known = wanted.where(single).select(*keys, "n", F.explode("_ranks").alias("rank"), at.alias("at"))
-    mixed = wanted.where(~single).select(*keys, *cells, "n", begin.alias("_before"), "_ranks")
+    # Columns that vary inside a cell. With one of them, its minimum is the first row and its
+    # maximum the last; with more, minimum and maximum need not belong to the same row.
+    varying = sum((F.when(F.col(f"_lo_{c}") == F.col(f"_hi_{c}"), 0).otherwise(1) for c in order), F.lit(0))
+
+    def at_end(q: Column) -> Column:
+        return (varying == 0) | ((varying == 1) & ((q == begin) | (q == F.col("_end") - 1)))
+
+    def end_row(q: Column) -> Column:
+        return F.struct(*[F.when(q == begin, F.col(f"_lo_{c}")).otherwise(F.col(f"_hi_{c}")).alias(c) for c in order])
+
+    pairs = F.transform(F.filter("_ranks", at_end), lambda q: F.struct(q.alias("rank"), end_row(q).alias("at")))
+    known = wanted.select(*keys, "n", F.inline(pairs))
+    hard = F.filter("_ranks", lambda q: ~at_end(q))
+    mixed = wanted.select(*keys, *cells, "n", begin.alias("_before"), hard.alias("_ranks")).where(F.size("_ranks") > 0)
     if mixed.isEmpty():
         return known
 

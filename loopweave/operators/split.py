@@ -72,7 +72,7 @@ def _split_units(df, k, min_weekdays, seed, splits, attempts, key, weekday) -> D
     """Test units (days or weeks) are drawn on the distinct (sensor, unit, weekday) table, whose
     size per sensor is bounded by the calendar; only the drawn units are joined to the rows."""
     present = df.where(F.col(key).isNotNull()).select(key, "_unit", weekday).distinct()
-    units, extra = _repeat(keyed.settle(present), splits)
+    units, extra = _repeat(present, splits)
     sensor = [*extra, key]
     drawn = _draw_one(units, min_weekdays, seed, sensor, weekday) if k == 1 else _draw_many(
         units, k, min_weekdays, seed, attempts, sensor, weekday
