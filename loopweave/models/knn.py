@@ -52,7 +52,7 @@ def _shortlist(points: DataFrame, cell: Sequence[str], k: int) -> DataFrame:
 
 def _reach(hours: Column, h: Column, k: int) -> Column:
     """Smallest interval distance within which ``hours`` (array of h, n) holds ``k`` rows, else the largest."""
-    near = F.array_sort(F.transform(hours, lambda x: F.struct(F.abs(x["h"] - h).alias("gap"), x["n"].alias("n"))))
+    near = F.sort_array(F.transform(hours, lambda x: F.struct(F.abs(x["h"] - h).alias("gap"), x["n"].alias("n"))))
     start = F.struct(F.lit(0).cast("bigint").alias("got"), F.lit(0).alias("gap"))
 
     def step(state, x):
@@ -73,16 +73,17 @@ def fans(points: DataFrame, queries: DataFrame, keys: Sequence[str], k: int = ma
     counts = short.groupBy(*keys, "h").agg(F.count(F.lit(1)).alias("n"))
     # At most one entry per interval of the day.
     hours = counts.groupBy(*keys).agg(F.collect_list(F.struct("h", "n")).alias("hours"))
-    asked = queries.join(hours, keys)
+    asked = queries.groupBy(*keys, "h").agg(F.collect_set("w").alias("ws")).join(hours.hint("merge"), keys)
     near = asked.withColumn("reach", _reach(F.col("hours"), F.col("h"), k))
     targets = near.select(
         *keys,
-        "w",
+        "ws",
         "h",
         F.explode(F.filter("hours", lambda x: F.abs(x["h"] - F.col("h")) <= F.col("reach"))["h"]).alias("th"),
     )
     train = short.select(*keys, F.col("w").alias("tw"), F.col("h").alias("th"), "day", "y")
-    pairs = targets.join(train, [*keys, "th"])
+    # Both sides grow with the data and are expanded from small files: never broadcast.
+    pairs = targets.join(train.hint("merge"), [*keys, "th"]).withColumn("w", F.explode("ws"))
     dh, dw = F.abs(F.col("th") - F.col("h")), F.abs(F.col("tw") - F.col("w"))
     measured = pairs.select(
         *keys, "w", "h", "day", "th", "y", dh.alias("dh"), dw.alias("dw"),
@@ -92,7 +93,7 @@ def fans(points: DataFrame, queries: DataFrame, keys: Sequence[str], k: int = ma
     # Both distances sort the rows alike, so one ranking serves both.
     order = Window.partitionBy(*keys, "w", "h").orderBy("dh", "dw", "day", "th")
     ranked = measured.select(*keys, "w", "h", *running_means(order, (1, 2), "rn", "u")).where(F.col("rn") <= k)
-    steps = F.array_sort(F.collect_list(F.struct("rn", "u", "e1", "e2")))
+    steps = F.sort_array(F.collect_list(F.struct("rn", "u", "e1", "e2")))
     gathered = ranked.groupBy(*keys, "w", "h").agg(steps.alias("steps"))
     return gathered.select(
         *keys, "w", "h",
@@ -175,8 +176,8 @@ def fold_rows(train: DataFrame, key: str = "detid", folds: int = FOLDS) -> DataF
         return [size * i + F.least(F.lit(i), extra) for i in range(1, folds)]
 
     rows = train.where(F.col("traffic").isNotNull())
-    cuts = keyed.starts_of_parts(rows, [key], ROW_ORDER, [F.col("day")], starts)
-    return rows.join(cuts, key).withColumn("fold", keyed.part_number(ROW_ORDER)).drop("_starts")
+    cuts = keyed.starts_of_parts(rows, [key], ROW_ORDER, [F.col(c) for c in ROW_ORDER], starts)
+    return rows.join(cuts, key).withColumn("fold", keyed.part_number(ROW_ORDER, folds)).drop("_starts")
 
 
 def serve_other_folds(points: DataFrame, cell: Sequence[str], folds: int, k: int) -> DataFrame:

@@ -63,11 +63,11 @@ def pooled_fans(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (),
     )
 
     bands = _bands(present, targets, group, k)
-    spread = targets.join(bands, [*group, "th", "code"]).select(
+    spread = targets.join(bands.hint("merge"), [*group, "th", "code"]).select(
         *group, "code", "h", "ws", "th", F.explode(F.sequence("from_code", "to_code")).alias("tcode")
     )
     train = short.select(*group, F.col("code").alias("tcode"), F.col("w").alias("tw"), F.col("h").alias("th"), "day", "y")
-    pairs = spread.join(train, [*group, "th", "tcode"]).select("*", F.explode("ws").alias("w"))
+    pairs = spread.join(train.hint("merge"), [*group, "th", "tcode"]).select("*", F.explode("ws").alias("w"))
     dc, dw, dh = (F.abs(F.col(a) - F.col(b)) for a, b in (("tcode", "code"), ("tw", "w"), ("th", "h")))
     d1 = (dc + dw + dh).cast("double")
     d2 = F.sqrt((dc * dc + dw * dw + dh.cast("bigint") * dh).cast("double"))
@@ -80,7 +80,7 @@ def pooled_fans(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (),
         *running_means(spot.orderBy("d2", *rows), (2,), "rn2", "u2"),
     )
     steps = [
-        F.array_sort(F.collect_list(F.when(F.col(f"rn{p}") <= k, F.struct(f"rn{p}", f"u{p}", f"e{p}")))).alias(f"steps{p}")
+        F.sort_array(F.collect_list(F.when(F.col(f"rn{p}") <= k, F.struct(f"rn{p}", f"u{p}", f"e{p}")))).alias(f"steps{p}")
         for p in (1, 2)
     ]
     gathered = ranked.where((F.col("rn1") <= k) | (F.col("rn2") <= k)).groupBy(*group, "code", "w", "h").agg(*steps)
@@ -155,7 +155,7 @@ def tune_pooled_knn(train: DataFrame, codes: DataFrame, folds: int = FOLDS, key:
         return [size * i + F.least(F.lit(i), extra) for i in range(1, folds)]
 
     cuts = keyed.starts_of_parts(rows, group, ROW_ORDER, [F.col("code")], starts)
-    folded = keyed.settle(rows.join(cuts, group).withColumn("fold", keyed.part_number(ROW_ORDER)).drop("_starts", *group))
+    folded = keyed.settle(rows.join(cuts, group).withColumn("fold", keyed.part_number(ROW_ORDER, folds)).drop("_starts", *group))
     points = _lattice(folded, ["fold"])
     serving = serve_other_folds(points, ["code", "w", "h"], folds, max(NEIGHBOURS))
     spot = ["fold", "code", "w", "h"]

@@ -182,15 +182,26 @@ def starts_of_parts(
     found = rows_at_ranks(df, keys, order, cell, lambda n: F.array(*starts(n)))
     repeated = F.size(F.filter(F.array(*starts(F.col("n"))), lambda r: r == F.col("rank")))
     bounds = found.groupBy(*keys).agg(
-        F.array_sort(F.flatten(F.collect_list(F.array_repeat(F.col("at"), repeated)))).alias("_starts")
+        F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col("at"), repeated)))).alias("_starts")
     )
     return bounds
 
 
-def part_number(order: Sequence[str], starts: str = "_starts") -> Column:
-    """Part of the group a row falls in, given the ``starts_of_parts`` array. NULL array: part 0."""
+def part_number(order: Sequence[str], parts: int, starts: str = "_starts") -> Column:
+    """Part 0..parts-1 of the group a row falls in, given the ``starts_of_parts`` array.
+
+    An unrolled binary search, which Spark compiles; array functions with lambdas are interpreted.
+    Missing starts lie past the end of the group.
+    """
     here = F.struct(*order)
-    return F.coalesce(F.size(F.filter(F.col(starts), lambda s: s <= here)), F.lit(0))
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(F.get(F.col(starts), F.lit(middle)) <= here, search(middle + 1, high)).otherwise(search(low, middle))
+
+    return search(0, parts - 1)
 
 
 def global_positions(df: DataFrame, order: Sequence[str], block: Column, out: str = "code") -> DataFrame:

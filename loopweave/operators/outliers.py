@@ -53,7 +53,7 @@ def clip_outliers(
         return [size * i for i in range(1, buckets)]
 
     cuts = keyed.starts_of_parts(df, group, order, [F.col(c) for c in slot], starts)
-    tagged = df.join(cuts, group).withColumn("_bucket", keyed.part_number(order)).drop("_starts")
+    tagged = df.join(cuts, group).withColumn("_bucket", keyed.part_number(order, buckets)).drop("_starts")
 
     pairs = F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in columns])
     values = tagged.select(*group, "_bucket", F.inline(pairs)).where(F.col("_v").isNotNull())
