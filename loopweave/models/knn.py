@@ -40,7 +40,7 @@ def settings() -> list[tuple[int, int, str]]:
 
 def _lattice(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.where(F.col("traffic").isNotNull()).select(
-        *keys, weekday_number("weekday").alias("w"), F.col("interval_s").alias("h"), "day", F.col("traffic").alias("y")
+        *keys, weekday_number("weekday").alias("w"), F.col("interval_s").cast("int").alias("h"), "day", F.col("traffic").alias("y")
     )
 
 
@@ -205,7 +205,7 @@ def tune_knn(train: DataFrame, key: str = "detid", folds: int = FOLDS) -> DataFr
 
 def forecast_points(train: DataFrame, queries: DataFrame, best: DataFrame, key: str = "detid") -> DataFrame:
     """Forecast of each query (key, weekday, interval_s) with its sensor's setting; sensors without a model get none."""
-    asked = queries.select(key, "weekday", "interval_s", weekday_number("weekday").alias("w"), F.col("interval_s").alias("h"))
+    asked = queries.select(key, "weekday", "interval_s", weekday_number("weekday").alias("w"), F.col("interval_s").cast("int").alias("h"))
     asked = asked.distinct()
     valued = fans(_lattice(train, [key]), asked.select(key, "w", "h"), [key]).join(
         best.select(key, "k", "p", "weights"), [key, "k"]

@@ -39,7 +39,7 @@ def coded_rows(rows: DataFrame, codes: DataFrame, key: str = "detid") -> DataFra
 
 def _lattice(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return rows.select(
-        *extra, "code", weekday_number("weekday").alias("w"), F.col("interval_s").alias("h"), "day", F.col("traffic").alias("y")
+        *extra, "code", weekday_number("weekday").alias("w"), F.col("interval_s").cast("int").alias("h"), "day", F.col("traffic").alias("y")
     )
 
 
