@@ -47,7 +47,7 @@ def fit_random(
             range_ = range_.withColumn("high", F.greatest(F.col("low"), F.col("high") - 1))
     else:
         raise ValueError(f"unknown kind {kind!r}: int or float")
-    slots = week_slots(range_, slot_s)
+    slots = week_slots(keyed.spread(range_), slot_s)
     parts = [F.col(key), F.col("weekday"), F.col("interval_s")]
     draw = uniform_int if kind == "int" else uniform_float
     return slots.select(key, "weekday", "interval_s", draw(F.col("low"), F.col("high"), seed, *parts).alias("traffic"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import DAY_S, HOUR_S, WEEKDAYS, folded_timestamp, week_second
+from ..operators.keyed import spread
 from ..operators.metrics import join_actual, regression_metrics
 
 WEEK_S = 7 * DAY_S
@@ -242,7 +243,7 @@ def future_frame(train: DataFrame, key: str = "detid", steps: int = 300) -> Data
     """``steps`` hourly timestamps after the end of each sensor's folded series."""
     last = train.groupBy(key).agg(F.max(week_second("weekday", "interval_s")).alias("_last"))
     ahead = F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step")
-    seconds = last.where(F.col("_last").isNotNull()).select(key, "_last", ahead)
+    seconds = spread(last.where(F.col("_last").isNotNull())).select(key, "_last", ahead)
     second = F.col("_last") + F.col("step") * HOUR_S
     return seconds.select(key, second.alias("second"), folded_timestamp(second).alias("ds"))
 

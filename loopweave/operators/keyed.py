@@ -49,6 +49,15 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals the rows of a small table out to all cores before they are expanded.
+
+    A fixed partition number keeps AQE from merging the few bytes into one task; without key
+    columns the step is not dropped in favour of an equal partitioning below it.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 1))
+
+
 def with_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """The keys as a list; a constant key column is added when there is none."""
     if keys:
