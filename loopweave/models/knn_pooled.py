@@ -56,7 +56,7 @@ def pooled_fans(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (),
 
     per_hour = present.groupBy(*group, "h").agg(F.sum("n").alias("n"))
     hours = keyed.settle(per_hour.groupBy(*group).agg(F.collect_list(F.struct("h", "n")).alias("hours")))
-    asked = queries.groupBy(*group, "code", "h").agg(F.collect_set("w").alias("ws")).join(hours, group)
+    asked = keyed.join_stats(queries.groupBy(*group, "code", "h").agg(F.collect_set("w").alias("ws")), hours, group)
     targets = asked.withColumn("reach", _reach(F.col("hours"), F.col("h"), k)).select(
         *group, "code", "h", "ws",
         F.explode(F.filter("hours", lambda x: F.abs(x["h"] - F.col("h")) <= F.col("reach"))["h"]).alias("th"),
@@ -155,7 +155,7 @@ def tune_pooled_knn(train: DataFrame, codes: DataFrame, folds: int = FOLDS, key:
         return [size * i + F.least(F.lit(i), extra) for i in range(1, folds)]
 
     cuts = keyed.starts_of_parts(rows, group, ROW_ORDER, [F.col("code")], starts)
-    folded = keyed.settle(rows.join(cuts, group).withColumn("fold", keyed.part_number(ROW_ORDER, folds)).drop("_starts", *group))
+    folded = keyed.settle(keyed.join_stats(rows, cuts, group).withColumn("fold", keyed.part_number(ROW_ORDER, folds)).drop("_starts", *group))
     points = _lattice(folded, ["fold"])
     serving = serve_other_folds(points, ["code", "w", "h"], folds, max(NEIGHBOURS))
     spot = ["fold", "code", "w", "h"]

@@ -49,8 +49,10 @@ def normalize_minmax(df: DataFrame, column: str = "traffic", low: float = 0, hig
     The two extremes come from one scalar aggregate, so the rows are not shuffled.
     """
     ends = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi")).alias("ends")).scalar()
-    share = F.try_divide(F.col(column) - ends["lo"], ends["hi"] - ends["lo"])
-    return df.withColumn(column, share * F.lit(float(high - low)) + F.lit(float(low)))
+    low_end, high_end = F.col("_ends.lo"), F.col("_ends.hi")
+    share = F.try_divide(F.col(column) - low_end, high_end - low_end)
+    scaled = share * F.lit(float(high - low)) + F.lit(float(low))
+    return df.withColumn("_ends", ends).withColumn(column, scaled).drop("_ends")
 
 
 def normalize_lanes(df: DataFrame, column: str = "traffic", lanes: str = "lanes", out: str = "traffic") -> DataFrame:

@@ -65,6 +65,14 @@ def with_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return df.withColumn("_all", F.lit(0)), ["_all"]
 
 
+def join_stats(df: DataFrame, stats: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Adds the statistics of each row's group. The one row of a keyless table comes as a scalar subquery."""
+    if list(group) != ["_all"]:
+        return df.join(stats, list(group))
+    one = stats.select(F.struct(*[c for c in stats.columns if c != "_all"])).scalar()
+    return df.withColumn("_one", one).select("*", "_one.*").drop("_one")
+
+
 def rows_at_ranks(
     df: DataFrame,
     keys: Sequence[str],

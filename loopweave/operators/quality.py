@@ -16,8 +16,8 @@ def mean_bounds(df: DataFrame, column: str = "traffic", factor: float = 3, key:
     """Sensors whose mean lies outside the IQR fences of all sensors' means."""
     means = keyed.settle(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(column).alias("mean_value")))
     fence = keyed.iqr_fences(means, (), "mean_value", factor).select(F.struct("lower", "upper")).scalar()
-    mean = F.col("mean_value")
-    return means.where((mean < fence["lower"]) | (mean > fence["upper"])).select(key)
+    outside = (F.col("mean_value") < F.col("_fence.lower")) | (F.col("mean_value") > F.col("_fence.upper"))
+    return means.withColumn("_fence", fence).where(outside).select(key)
 
 
 def small_spread(

@@ -199,8 +199,9 @@ def colour_scale(spark, sf):
         "v", F.floor(F.col("mean_traffic_index") + F.lit(0.501)).cast("double")
     )
     ends = cells.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
-    return cells.select(
-        *grid.CELL, grid.colour("v").alias("fixed_colour"), grid.colour("v", ends["lo"], ends["hi"]).alias("range_colour")
+    ranged = grid.colour("v", F.col("_ends.lo"), F.col("_ends.hi"))
+    return cells.withColumn("_ends", ends).select(
+        *grid.CELL, grid.colour("v").alias("fixed_colour"), ranged.alias("range_colour")
     )
 
 

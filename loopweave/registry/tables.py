@@ -116,3 +116,28 @@ def sink_geojson_points(spark, sf):
     points = grid.detector_points(rows.where("flow < 200"), rows.where("flow >= 400"), outliers.READING_ORDER)
     writers.write_geojson(grid.geojson_points(points), path)
     return spark.read.text(path)
+
+
+@query(
+    "sink_geojson_cells",
+    f"""with {CELLS} select {PLACE}, 'Polygon' as kind, 5 as corners, count(detid) as detectors_in_grid,
+        {r('cell_x / 100 - 0.005')} as first_lon, {r('cell_y / 100 - 0.005')} as first_lat from cells group by cell_x, cell_y""",
+)
+def sink_geojson_cells(spark, sf):
+    """The written lines, parsed back."""
+    from ..operators import grid
+
+    path = _path(spark, "cells")
+    writers.write_geojson(grid.geojson_cells(grid.grid_mean(placed(spark, sf))), path)
+    schema = (
+        "type string, geometry struct<type: string, coordinates: array<array<array<double>>>>, "
+        "properties struct<grid_id: string, detectors_in_grid: bigint>"
+    )
+    lines = spark.read.text(path).select(F.from_json("value", schema).alias("f"))
+    ring = F.col("f.geometry.coordinates")[0]
+    return rounded(
+        lines.select(
+            "f.properties.grid_id", F.col("f.geometry.type").alias("kind"), F.size(ring).alias("corners"),
+            "f.properties.detectors_in_grid", ring[0][0].alias("first_lon"), ring[0][1].alias("first_lat"),
+        )
+    )
