@@ -1,10 +1,5 @@
 """Building blocks that stay sound when one key holds a large share of all rows.
 
-``settle`` writes a derived table to the shared scratch folder and reads it back. Later joins
-then see its real size in bytes: Spark broadcasts it below its own threshold and otherwise
-runs a sort-merge join whose hot partitions AQE splits. It also cuts the lineage, and the
-files survive the loss of any executor.
-
 ``rows_at_ranks`` finds the rows at given positions of every ordered group without bringing a
 group together: count per cell, locate the cells that hold the wanted positions, then look
 only inside those. Quantiles, positional buckets and contiguous folds are built on it.
@@ -12,42 +7,13 @@ only inside those. Quantiles, positional buckets and contiguous folds are built
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import magnitude_cell
-
-_local_scratch: dict[str, str] = {}
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the session's ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting gets a temporary folder of this machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = sc.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="loopweave-")
-    return _local_scratch[app]
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the scratch folder and return the table that was written."""
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/loopweave-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+from ..scratch import scratch_root, settle  # noqa: F401
 
 def spread(df: DataFrame) -> DataFrame:
     """Deals the rows of a small table out to all cores before they are expanded.
