@@ -27,7 +27,7 @@ ROUNDS = 10
 
 #: Candidates in the order in which they are tried at a place of the text.
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "ipv6": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "date": (
@@ -42,7 +42,8 @@ PATTERNS = {
     ),
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
-ANY = "|".join(PATTERNS.values())
+#: A candidate starts where no letter or digit stands before it.
+ANY = "(?<![0-9A-Za-z])(?:" + "|".join(PATTERNS.values()) + ")"
 #: Cheap test for a text that may hold a candidate.
 HINT = r"[0-9]{3}|[0-9]\.[0-9]|@|[0-9A-Fa-f]:[0-9A-Fa-f]"
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as dedup
-from . import packing, pii, token_counts
+from . import fingerprints, html_text, language_id, packing, pii, token_counts, toxicity
+from .common import bucket
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +62,32 @@ from n window g as (partition by text_sha256)
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(documents(spark, sf_dir), tokenizer_file())
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language_id.train(docs.where(bucket("doc_id", 4) != 2))
+    out = language_id.identify(docs, model)
+    return out.select("doc_id", (bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model | None:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.train(documents(spark, sf_dir), labels.where(bucket("doc_id", 5) != 0))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score(documents(spark, sf_dir), toxicity_model(spark, sf_dir))
+    return out.select("doc_id", (bucket("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
