@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as dedup
-from . import fingerprints, html_text, language_id, packing, pii, token_counts, toxicity
+from . import fingerprints, html_text, jaccard_join, language_id, packing, pii, token_counts, toxicity
 from .common import bucket
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,11 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(documents(spark, sf_dir), words=4, percent=85)
+
+
 @query
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
