@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as dedup
-from . import fingerprints, html_text, jaccard_join, language_id, packing, pii, token_counts, toxicity
+from . import fingerprints, html_text, jaccard_join, language_id, packing, pii, sentence_piece, token_counts, toxicity
 from .common import bucket
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,17 @@ from n window g as (partition by text_sha256)
 """
 
 
+def piece_table(name: str = "piece_bpe_32k.model") -> sentence_piece.Pieces:
+    import public_tokenizers
+
+    return sentence_piece.Pieces.read(public_tokenizers.path(name))
+
+
+@query
+def op4_sentence_piece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_piece.encode(documents(spark, sf_dir), piece_table()).withColumn("n_pieces", F.size("ids").cast("long"))
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(documents(spark, sf_dir), tokenizer_file())
