@@ -112,7 +112,7 @@ class Bpe:
     def _hash(codes: np.ndarray) -> np.ndarray:
         h = np.zeros(len(codes), np.uint64)
         for k in range(codes.shape[1]):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + mixed(codes[:, k])
+            h = h * np.uint64(0x9E3779B97F4A7C15) + mixed(codes[:, k] + np.uint64(1))
         return h
 
     def edges(self, codes: np.ndarray) -> np.ndarray:
@@ -120,7 +120,7 @@ class Bpe:
         n, width = codes.shape
         none = np.int32(len(self.hashes))
         out = np.full((n, width, width), none, np.int32)
-        letters = mixed(codes.astype(np.uint64))
+        letters = mixed(codes.astype(np.uint64) + np.uint64(1))
         h = np.zeros((n, width), np.uint64)
         for length in range(1, min(width, self.longest) + 1):
             starts = width - length + 1
