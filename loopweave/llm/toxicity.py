@@ -7,7 +7,9 @@ class repeats and the other does not: words whose documents differ between the c
 least a fifth as strongly as the strongest. The ordinary dictionary holds zeros there.
 
 Scoring. A text is lower-cased and cut into windows of eight words. A window counts as a hit if the toxic dictionary
-saves two bytes or more. A logistic function of the number and the share of hits, fitted on the sample, is the score.
+saves two bytes or more. How far the number of hits lies above
+that of ordinary text of the same length, as the root of the deviance, goes through a logistic function fitted on the
+sample; that is the score.
 
 Defined cases: null and empty texts have no window and get the score of that; without rows of both classes every score
 is 0; a document with several labels is toxic if one says so; null labels are ignored; ties in the sample are broken by
@@ -75,7 +77,10 @@ class Model:
             base = b" ".join(ordinary)
         toxic = (" " + " ".join(segments(texts)) + " ").encode()
         self.dictionaries = (bytes(len(toxic)) + base[-BASE_BYTES:], toxic + base[-BASE_BYTES:])
-        points = np.array([self.features(t) for _, t in texts])
+        counts = [(label, *self.hits(t)) for label, t in texts]
+        clean = [(h, n) for label, h, n in counts if not label]
+        self.background = (sum(h for h, _ in clean) + 1) / (sum(n for _, n in clean) + 200)
+        points = np.array([self.features(h, n) for _, h, n in counts])
         self.weights = fit(points, np.array([label for label, _ in texts], dtype=float))
 
     def compressors(self) -> tuple:
@@ -92,16 +97,24 @@ class Model:
             )
         return _compressors[key]
 
-    def features(self, text: str) -> tuple[float, float, float]:
+    def hits(self, text: str) -> tuple[int, int]:
+        """Windows that the toxic dictionary makes shorter, and all windows."""
         ordinary, toxic = (c.compress for c in self.compressors())
         hits = n = 0
         for w in windows(text):
             n += 1
             hits += len(ordinary(w)) - len(toxic(w)) >= LEAST_SAVING
-        return 1.0, math.log1p(hits), math.log((hits + 0.1) / (n + 5))
+        return hits, n
+
+    def features(self, hits: int, n: int) -> tuple[float, float, float]:
+        """Signed root of the deviance of the hits from those that ordinary text of that length has, plain and bent."""
+        expected = self.background * n
+        over = 2 * (hits * math.log(hits / expected) - hits + expected) if hits > expected else 0.0
+        z = math.sqrt(max(over, 0.0))
+        return 1.0, z, min(z, 2.0)
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        points = np.array([self.features(t) for t in texts]).reshape(-1, 3)
+        points = np.array([self.features(*self.hits(t)) for t in texts]).reshape(-1, 3)
         return 1 / (1 + np.exp(-np.clip(points @ self.weights, -30, 30)))
 
 
