@@ -6,14 +6,14 @@ texts, so that ordinary language costs the same with either. Before it the toxic
 class repeats and the other does not: words whose documents differ between the classes by the log-likelihood ratio, at
 least a fifth as strongly as the strongest. The ordinary dictionary holds zeros there.
 
-Scoring. A text is lower-cased and cut into windows of eight words. A window counts as a hit if the toxic dictionary
+Scoring. A text is lower-cased and cut into windows of eight words, half over each other. A window counts as a hit if the toxic dictionary
 saves two bytes or more. How far the number of hits lies above
 that of ordinary text of the same length, as the root of the deviance, goes through a logistic function fitted on the
 sample; that is the score.
 
 Defined cases: null and empty texts have no window and get the score of that; without rows of both classes every score
 is 0; a document with several labels is toxic if one says so; null labels are ignored; ties in the sample are broken by
-id; repeated rows get the same score; an empty table gives an empty result; long texts are scored whole, in slices.
+id; repeated rows get the same score; an empty table gives an empty result; long texts are scored whole.
 Extra columns are not looked at.
 """
 
@@ -31,20 +31,18 @@ from pyspark.sql import functions as F
 from .common import text_of
 
 SAMPLE, SAMPLE_BYTES = 2000, 16384
-WINDOW_WORDS, LEAST_SAVING = 8, 2
+WINDOW_WORDS, STRIDE_WORDS, LEAST_SAVING = 8, 4, 2
 SEGMENTS, STRENGTH = 256, 0.3
 BASE_BYTES = 1500
-#: Words of a text that are cut into windows at once.
-SLICE_WORDS = 1 << 16
 WORD = re.compile(r"\w+")
 
 _compressors: dict[int, tuple] = {}
 
 
 def windows(text: str):
-    """Windows of eight words as bytes."""
+    """Windows of eight words as bytes, each beginning in the middle of the one before."""
     words = text.lower().split()
-    for i in range(0, len(words), WINDOW_WORDS):
+    for i in range(0, max(len(words) - STRIDE_WORDS, min(len(words), 1)), STRIDE_WORDS):
         yield " ".join(words[i : i + WINDOW_WORDS]).encode("utf-8", "surrogatepass")
 
 
