@@ -3,8 +3,8 @@
 Texts with the same set of shingles are one class; all further work is on one representative per class. A class is a
 leaf with its size and a bitmap of its tokens, about eight bits per token. The root of each tree is a token: two sets
 with a Jaccard similarity of t or more share one of the first ``n - ceil(t n) + 1`` of their n tokens in any common order
-(here the order of the hashes), so every linked pair meets under some token, and only tokens that two classes hold there
-matter. Under a token come size bands, under a band blocks of some dozens of classes. A node holds the OR of its leaves'
+(here the order of the hashes, tokens of several classes last), so every linked pair meets under some token, and only
+tokens that two classes hold there matter. Which tokens are put last changes the work and not the result. Under a token come size bands, under a band blocks of some dozens of classes. A node holds the OR of its leaves'
 bitmaps, the range of their sizes and of their components.
 
 Two passes find the links:
@@ -41,6 +41,10 @@ from .shingles import mixed, shingle_sets
 
 #: Leaves of a block, on average.
 BLOCK = 48
+#: Tokens under more classes than this go to the end of the common order, at most so many of them, the commonest first.
+COMMON, COMMON_TOKENS = 3, 1_000_000
+#: Rows of an Arrow batch where a row holds blocks of bitmaps.
+BATCH_ROWS = 64
 BITS_PER_TOKEN = 8
 
 
@@ -99,13 +103,22 @@ def shingle_keys(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, f"id {dict(docs.dtypes)['id']}, n long, c long")
 
 
-def leaves_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(c, n, prefix, sig) of every document with shingles."""
+def leading(tokens: np.ndarray, percent: int, last: np.ndarray) -> np.ndarray:
+    """The first tokens in common order: those not in the sorted array ``last`` by hash, then the others."""
+    if len(last):
+        common = last[np.minimum(np.searchsorted(last, tokens), len(last) - 1)] == tokens
+        tokens = np.concatenate([tokens[~common], tokens[common]])
+    return tokens[: prefix_length(len(tokens), percent)]
+
+
+def leaves_of(docs: DataFrame, words: int, percent: int, last: np.ndarray | None = None) -> DataFrame:
+    """(c, n, prefix, sig) of every document with shingles. ``last``: tokens at the end of the order."""
+    shared = docs.sparkSession.sparkContext.broadcast(np.zeros(0, np.uint64) if last is None else last)  # COMMON_TOKENS at most
 
     def run(batches):
         for batch in batches:
             sets = [s for s in shingle_sets(batch.column("text").to_pylist(), words) if len(s)]
-            prefixes = [s[: prefix_length(len(s), percent)].view(np.int64) for s in sets]
+            prefixes = [leading(s, percent, shared.value).view(np.int64) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([_class(s) for s in sets], pa.int64()),
@@ -152,6 +165,17 @@ def bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
+def settle_in_small_batches(df: DataFrame) -> DataFrame:
+    """Writes a table whose plan passes rows of whole blocks to Python: few rows in an Arrow batch."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, str(BATCH_ROWS))
+    try:
+        return settle(df)
+    finally:
+        conf.set(name, before)
+
+
 def _nodes(batches):
     """Blocks to nodes: the OR of the leaves' bitmaps, and the most tokens of a leaf that share a bit with another."""
     for batch in batches:
@@ -211,7 +235,7 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
         F.max("comp").alias("hi"),
     )
     schema = T.StructType([*grouped.schema.fields, T.StructField("hidden", T.LongType()), T.StructField("sig", T.BinaryType())])
-    nodes = settle(grouped.mapInArrow(_nodes, schema))
+    nodes = settle_in_small_batches(grouped.mapInArrow(_nodes, schema))
 
     def inside(batches):
         for batch in batches:
@@ -245,7 +269,7 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
     )
     near = nodes.where("lo != hi").select("members", "lo", "hi").mapInArrow(inside, "a long, b long")
     far = block_pairs.select("x", "y").mapInArrow(across, "a long, b long")
-    return near.unionAll(far).distinct()
+    return settle_in_small_batches(near.unionAll(far).distinct())
 
 
 def jaccard_components(
@@ -259,9 +283,20 @@ def jaccard_components(
     # one representative's text per class: by a filter of fixed size on its id, false positives only repeat a leaf
     reps = only(base.withColumn("k", F.xxhash64("id")), "k", classes.select(F.xxhash64("id").alias("k"))).drop("k")
     nodes = settle(leaves_of(reps, words, percent).dropDuplicates(["c"]))
+    counts = settle(nodes.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
+    usual = counts.where(F.col("k") > COMMON).orderBy(F.desc("k"), "t").limit(COMMON_TOKENS).select("t").collect()
+    if usual:
+        # leaves with such a token in front get their first tokens anew
+        last = np.sort(np.array([r["t"] for r in usual], np.int64).view(np.uint64))
+        touched = only(nodes.select("c", F.explode("prefix").alias("t")), "t", counts.where(F.col("k") > COMMON)).select("c").distinct()
+        touched = settle(touched)
+        ids = classes.join(touched, "c").select(F.xxhash64("id").alias("k"))
+        again = leaves_of(only(base.withColumn("k", F.xxhash64("id")), "k", ids), words, percent, last)
+        again = again.join(touched, "c", "left_semi").dropDuplicates(["c"])
+        nodes = settle(nodes.join(touched, "c", "left_anti").unionByName(again))
+        counts = settle(nodes.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
     tokens = nodes.select(F.explode("prefix").alias("t"), "c", "n")
-    shared = tokens.groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("t")
-    rows = settle(only(tokens, "t", shared))
+    rows = settle(only(tokens, "t", counts))
 
     degree = rows.groupBy("c").agg((F.count(F.lit(1)) / F.first("n")).alias("q"))
     ranked = settle(rows.join(settle(degree), "c"))
@@ -285,10 +320,9 @@ def jaccard_components(
     with_comp = settle(with_comp)
     open_ = with_comp.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("t")
     held = with_comp.join(settle(open_), "t").join(nodes.select("c", "sig"), "c")
-    rest = settle(tree_pairs(held, percent))
+    rest = tree_pairs(held, percent)
     if first is not None:
-        rest = rest.join(checked, ["a", "b"], "left_anti")  # those are decided
-    rest = settle(rest)
+        rest = settle(rest.join(checked, ["a", "b"], "left_anti"))  # those are decided
     more = settle(_verify(rest, classes, base, words, percent))
     both = links.unionAll(more)
     out = classes.select("c", "id", "copies").withColumn("root", F.col("c"))
