@@ -1,9 +1,13 @@
 """One nearest-neighbour model over all sensors: features are sensor code, weekday and interval.
 
-Sensor codes are consecutive integers. At a given hour the k nearest rows lie in a band of
-codes around the query. The band is found by looking k sensors up and down in the table of
-sensors that report at that hour, widened by the largest weekday step, and joined by equality
-on (hour, code). Rows outside the band are provably farther than the k-th neighbour.
+Sensor codes are integers. At a given hour the k nearest rows lie in a band of codes around the
+query. The band is found by looking k sensors up and down in the table of sensors that report at
+that hour, widened by the largest weekday step, and joined by equality on (hour, code).
+
+Which hours matter is settled in two steps, since codes may lie farther apart than hours. The
+nearest hours that together hold k rows give a distance within which k rows are known to lie: the
+best of the hours with k rows of their own, and at most the farthest row of all of them. Every
+hour within that distance is then searched with its own band; rows elsewhere are farther.
 """
 
 from __future__ import annotations
@@ -57,17 +61,27 @@ def pooled_fans(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (),
     per_hour = present.groupBy(*group, "h").agg(F.sum("n").alias("n"))
     hours = keyed.settle(per_hour.groupBy(*group).agg(F.collect_list(F.struct("h", "n")).alias("hours")))
     asked = keyed.join_stats(queries.groupBy(*group, "code", "h").agg(F.collect_set("w").alias("ws")), hours, group)
-    targets = asked.withColumn("reach", _reach(F.col("hours"), F.col("h"), k)).select(
-        *group, "code", "h", "ws",
-        F.explode(F.filter("hours", lambda x: F.abs(x["h"] - F.col("h")) <= F.col("reach"))["h"]).alias("th"),
+    asked = keyed.settle(asked)
+
+    def hours_within(df: DataFrame, reach: str) -> DataFrame:
+        near = F.filter("hours", lambda x: F.abs(x["h"] - F.col("h")) <= F.col(reach))
+        return df.select(*group, "code", "h", "ws", F.explode(near).alias("t")).select(
+            *group, "code", "h", "ws", F.col("t.h").alias("th"), F.col("t.n").alias("held")
+        )
+
+    nearby = hours_within(asked.withColumn("reach", _reach(F.col("hours"), F.col("h"), k)), "reach")
+    apart = F.abs(F.col("th") - F.col("h")) + F.col("radius")
+    known = nearby.join(_bands(present, nearby, group, k), [*group, "th", "code"]).groupBy(*group, "code", "h").agg(
+        F.least(F.max(apart), F.min(F.when(F.col("held") >= k, apart))).alias("within")
     )
+    targets = keyed.settle(hours_within(asked.join(known, [*group, "code", "h"]), "within"))
 
     bands = _bands(present, targets, group, k)
-    spread = targets.join(bands.hint("merge"), [*group, "th", "code"]).select(
+    spread = targets.join(bands, [*group, "th", "code"]).select(
         *group, "code", "h", "ws", "th", F.explode(F.sequence("from_code", "to_code")).alias("tcode")
     )
     train = short.select(*group, F.col("code").alias("tcode"), F.col("w").alias("tw"), F.col("h").alias("th"), "day", "y")
-    pairs = spread.join(train.hint("merge"), [*group, "th", "tcode"]).select("*", F.explode("ws").alias("w"))
+    pairs = spread.join(train, [*group, "th", "tcode"]).select("*", F.explode("ws").alias("w"))
     dc, dw, dh = (F.abs(F.col(a) - F.col(b)) for a, b in (("tcode", "code"), ("tw", "w"), ("th", "h")))
     d1 = (dc + dw + dh).cast("double")
     d2 = F.sqrt((dc * dc + dw * dw + dh.cast("bigint") * dh).cast("double"))
@@ -121,7 +135,7 @@ def _bands(present: DataFrame, targets: DataFrame, group: list[str], k: int) ->
     from_code = F.greatest(F.col("code") - radius, F.col("lowest"))
     to_code = F.least(F.col("code") + radius, F.col("highest"))
     return placed.where(from_code <= to_code).select(
-        *group, F.col("h").alias("th"), "code", from_code.alias("from_code"), to_code.alias("to_code")
+        *group, F.col("h").alias("th"), "code", from_code.alias("from_code"), to_code.alias("to_code"), radius.alias("radius")
     )
 
 

@@ -22,6 +22,8 @@ def drop_outliers(df: DataFrame, column: str = "traffic", keys: Sequence[str] =
     columns = df.columns
     keyed_df, group = keyed.with_key(df, keys)
     fences = keyed.iqr_fences(keyed_df, group, column, factor)
+    if keys:
+        fences = keyed.settle(fences)  # a plain join side, so that AQE may split a hot sensor
     kept = keyed.join_stats(keyed_df, fences, group).where(F.col(column).between(F.col("lower"), F.col("upper")))
     return kept.select(*columns)
 
@@ -53,7 +55,9 @@ def clip_outliers(
         return [size * i for i in range(1, buckets)]
 
     cuts = keyed.starts_of_parts(df, group, order, [F.col(c) for c in slot], starts)
+    cuts = keyed.settle(cuts) if keys else cuts
     tagged = keyed.join_stats(df, cuts, group).withColumn("_bucket", keyed.part_number(order, buckets)).drop("_starts")
+    tagged = keyed.settle(tagged)  # read again for means, fences and the result
 
     pairs = F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in columns])
     values = tagged.select(*group, "_bucket", F.inline(pairs)).where(F.col("_v").isNotNull())

@@ -42,17 +42,17 @@ def split_sniper(
     return df.withColumn("role", F.when(hit, F.lit("test")).otherwise(F.lit("train")))
 
 
-def split_day(df: DataFrame, k: int = 1, seed: int = 27, splits: int | None = None, attempts: int = 32,
+def split_day(df: DataFrame, k: int = 1, seed: int = 27, splits: int | None = None,
               key: str = "detid", day: str = "day", weekday: str = "weekday") -> DataFrame:
     """``k`` random days per sensor go to the test set; the rest must still cover all 7 weekdays."""
-    return _split_units(df.withColumn("_unit", F.col(day)), k, 7, seed, splits, attempts, key, weekday).drop("_unit")
+    return _split_units(df.withColumn("_unit", F.col(day)), k, 7, seed, splits, key, weekday, _draw_days).drop("_unit")
 
 
-def split_week(df: DataFrame, k: int = 1, seed: int = 27, splits: int | None = None, attempts: int = 32,
+def split_week(df: DataFrame, k: int = 1, seed: int = 27, splits: int | None = None,
                key: str = "detid", day: str = "day", weekday: str = "weekday") -> DataFrame:
     """``k`` random ISO weeks per sensor go to the test set; the rest must keep at least 5 weekdays. Adds ``week``."""
     weeks = df.withColumn("week", F.weekofyear(day)).withColumn("_unit", F.col("week"))
-    return _split_units(weeks, k, 5, seed, splits, attempts, key, weekday).drop("_unit")
+    return _split_units(weeks, k, 5, seed, splits, key, weekday, _draw_weeks).drop("_unit")
 
 
 def split(method: str, df: DataFrame, splits: int, seed: int = 27, day: str = "day") -> DataFrame:
@@ -68,15 +68,16 @@ def unsplittable(split_rows: DataFrame, key: str = "detid") -> DataFrame:
     return split_rows.groupBy(key).agg(F.count_if(F.col("role") == "test").alias("_t")).where("_t = 0").select(key)
 
 
-def _split_units(df, k, min_weekdays, seed, splits, attempts, key, weekday) -> DataFrame:
+def _split_units(df, k, min_weekdays, seed, splits, key, weekday, draw_many) -> DataFrame:
     """Test units (days or weeks) are drawn on the distinct (sensor, unit, weekday) table, whose
     size per sensor is bounded by the calendar; only the drawn units are joined to the rows."""
     present = df.where(F.col(key).isNotNull()).select(key, "_unit", weekday).distinct()
     units, extra = _repeat(present, splits)
     sensor = [*extra, key]
-    drawn = _draw_one(units, min_weekdays, seed, sensor, weekday) if k == 1 else _draw_many(
-        units, k, min_weekdays, seed, attempts, sensor, weekday
-    )
+    if k == 1:
+        drawn = _draw_one(units, min_weekdays, seed, sensor, weekday)
+    else:
+        drawn = draw_many(units, k, min_weekdays, seed, sensor, weekday)
     test = keyed.settle(drawn.select(*sensor, "_unit", F.lit("test").alias("_role")))
     rows, _ = _repeat(df, splits)
     joined = rows.join(test, [*sensor, "_unit"], "left")
@@ -103,26 +104,71 @@ def _draw_one(units: DataFrame, min_weekdays: int, seed, sensor: list[str], week
     )
 
 
-def _draw_many(units, k, min_weekdays, seed, attempts, sensor, weekday) -> DataFrame:
-    """The first of ``attempts`` draws of ``k`` units that leaves enough weekdays."""
-    tries = units.groupBy(*sensor, "_unit").agg(F.collect_set(weekday).alias("_days")).withColumn(
-        "_try", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1)))
-    )
-    sensor_cols = [F.col(c) for c in sensor]
-    order = hash_text(seed, F.col("_try"), *sensor_cols, F.col("_unit"))
-    ranked = tries.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(*sensor, "_try").orderBy(order, "_unit"))
-    )
-    drawn = ranked.groupBy(*sensor, "_try").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("_rank") > k, F.col("_days")))))).alias("_kept"),
-        F.collect_list(F.when(F.col("_rank") <= k, F.col("_unit"))).alias("_units"),
+def _draw_days(units: DataFrame, k: int, min_weekdays: int, seed, sensor: list[str], weekday: str) -> DataFrame:
+    """The ``k`` smallest hashes among the days that may go: of each weekday all but the last in hash order.
+
+    A day has one weekday, so a draw of ``k`` days that leaves every weekday exists exactly when there are ``k`` of them.
+    """
+    hashed = units.withColumn("_h", hash_text(seed, *[F.col(c) for c in sensor], F.col("_unit")))
+    in_order = [F.col("_h"), F.col("_unit")]
+    by_weekday = Window.partitionBy(*sensor, weekday).orderBy(*[c.desc() for c in in_order])
+    spare = hashed.withColumn("_last", F.row_number().over(by_weekday)).withColumn(
+        "_all", F.size(F.collect_set(weekday).over(Window.partitionBy(*sensor)))
     )
-    return (
-        drawn.where(F.col("_kept") >= min_weekdays)
-        .groupBy(*sensor)
-        .agg(F.min_by("_units", "_try").alias("_units"))
-        .select(*sensor, F.explode("_units").alias("_unit"))
+    free = spare.where((F.col("_last") > 1) & (F.col("_all") >= min_weekdays))
+    by_sensor = Window.partitionBy(*sensor)
+    ranked = free.select(
+        *sensor,
+        "_unit",
+        F.row_number().over(by_sensor.orderBy(*in_order)).alias("_rank"),
+        F.count(F.lit(1)).over(by_sensor).alias("_n"),
     )
+    return ranked.where((F.col("_n") >= k) & (F.col("_rank") <= k)).select(*sensor, "_unit")
+
+
+def first_draw(masks: list[int], k: int, min_weekdays: int) -> list[int]:
+    """Places of the first ``k`` units, in lexicographic order, whose removal leaves ``min_weekdays`` weekdays; else none.
+
+    ``masks`` are 7-bit sets of weekdays. A set of units can spare ``k`` of them if it has ``k`` more than the fewest
+    that hold enough weekdays, so each unit in turn is taken when the others still can spare the rest.
+    """
+
+    def fewest(left: list[int]) -> int:
+        need, seen, count = {0}, {0}, 0
+        while need:
+            if any(m.bit_count() >= min_weekdays for m in need):
+                return count
+            need = {m | x for m in need for x in set(left)} - seen
+            seen |= need
+            count += 1
+        return len(left) + k + 1
+
+    taken: list[int] = []
+    for i in range(len(masks)):
+        if len(taken) == k:
+            break
+        left = [m for j, m in enumerate(masks) if j not in taken and j != i]
+        if len(left) - (k - len(taken) - 1) >= fewest(left):
+            taken.append(i)
+    return taken if len(taken) == k else []
+
+
+def _draw_weeks(units: DataFrame, k: int, min_weekdays: int, seed, sensor: list[str], weekday: str) -> DataFrame:
+    """The first ``k`` weeks in hash order that leave enough weekdays, found exactly on each sensor's calendar (53 weeks at most)."""
+    names = Window.partitionBy(*sensor).orderBy(weekday)
+    bits = units.withColumn("_bit", F.dense_rank().over(names) - 1)
+    masks = bits.groupBy(*sensor, "_unit").agg(F.sum(F.expr("shiftleft(1, _bit)")).cast("int").alias("_mask"))
+    order = hash_text(seed, *[F.col(c) for c in sensor], F.col("_unit"))
+    week = F.struct(order.alias("h"), F.col("_unit").alias("u"), F.col("_mask").alias("m"))
+    gathered = masks.groupBy(*sensor).agg(F.array_sort(F.collect_list(week)).alias("_weeks"))
+
+    def draw(frames):
+        for frame in frames:
+            frame["_places"] = [first_draw([w["m"] for w in weeks], k, min_weekdays) for weeks in frame["_weeks"]]
+            yield frame
+
+    placed = gathered.mapInPandas(draw, gathered.schema.add("_places", "array<int>"))
+    return placed.select(*sensor, F.explode(F.transform("_places", lambda i: F.get(F.col("_weeks"), i)["u"])).alias("_unit"))
 
 
 def role_ratio(split_rows: DataFrame) -> DataFrame:

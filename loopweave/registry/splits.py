@@ -51,11 +51,33 @@ def split_week(spark, sf):
     return rounded(rows.select("detid", "day", "interval_s", "traffic", "week", "role"))
 
 
-TWO_DAYS = """with tries as (select u.detid, u.day, u.weekday, t.t,
-      row_number() over (partition by u.detid, t.t order by md5(concat_ws('|', '27', cast(t.t as varchar), u.detid, cast(u.day as varchar))), u.day) as rn
-      from (select distinct detid, day, weekday from hourly) u, range(32) t(t)),
-  good as (select detid, min(t) as t from (select detid, t from tries where rn > 2 group by 1, 2 having count(distinct weekday) >= 7) group by 1),
-  drawn as (select tries.detid, day from tries join good using (detid, t) where rn <= 2)"""
+TWO_DAYS = """with days as (select distinct detid, day, weekday, md5(concat_ws('|', '27', detid, cast(day as varchar))) as h from hourly),
+  spare as (select *, row_number() over (partition by detid, weekday order by h desc, day desc) as last,
+      (select count(distinct weekday) from days x where x.detid = days.detid) as all_days from days),
+  free as (select *, row_number() over (partition by detid order by h, day) as rn, count(*) over (partition by detid) as n
+      from spare where last > 1 and all_days = 7),
+  drawn as (select detid, day from free where n >= 2 and rn <= 2)"""
+TWO_WEEKS = """with weeks as (select *, cast(weekofyear(day) as integer) as week from hourly),
+  units as (select distinct detid, week, weekday from weeks),
+  ranked as (select detid, week, row_number() over (partition by detid order by md5(concat_ws('|', '27', detid, cast(week as varchar))), week) as rn
+      from (select distinct detid, week from units)),
+  pairs as (select a.detid, a.week as w1, b.week as w2, a.rn as r1, b.rn as r2 from ranked a join ranked b on a.detid = b.detid and a.rn < b.rn),
+  good as (select p.* from pairs p join units u on u.detid = p.detid and u.week not in (p.w1, p.w2)
+      group by all having count(distinct u.weekday) >= 5),
+  best as (select *, row_number() over (partition by detid order by r1, r2) as pick from good),
+  drawn as (select detid, unnest([w1, w2]) as week from best where pick = 1)"""
+
+
+@query(
+    "split_week_two",
+    TWO_WEEKS
+    + f""" select w.detid, w.day, w.interval_s, {r('w.traffic')} as traffic, w.week,
+        case when d.week is null then 'train' else 'test' end as role
+        from weeks w left join drawn d on w.detid = d.detid and w.week = d.week""",
+)
+def split_week_two(spark, sf):
+    rows = split.split_week(hourly(spark, sf), k=2, seed=27)
+    return rounded(rows.select("detid", "day", "interval_s", "traffic", "week", "role"))
 
 
 @query(

@@ -30,7 +30,7 @@ def src_csv(spark, sf):
     path = _path(spark, "raw-csv")
     raw = views.readings(spark, sf).select(
         "day", F.col("interval_s").alias("interval"), "detid", "flow", "occ", "error",
-        F.lit("london").alias("city"), F.col("speed"),
+        F.lit("city_a").alias("city"), F.col("speed"),
     )
     writers.write_dataset(raw, path, "csv")
     rows = readers.read_csv(spark, path, readers.READINGS, where="interval_s >= 43200")

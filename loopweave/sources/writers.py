@@ -28,7 +28,8 @@ def write_city(tables: dict[str, DataFrame], root: str, mode: str = "errorifexis
 
 def write_splits(df: DataFrame, method: str, splits: int, path: str, seed: int = 27, mode: str = "errorifexists") -> None:
     """All splits in one job; ``split_id`` and ``role`` are directories."""
-    split(method, df, splits, seed).write.mode(mode).partitionBy("split_id", "role").parquet(path)
+    rows = split(method, df, splits, seed).hint("rebalance", "split_id", "role")
+    rows.write.mode(mode).partitionBy("split_id", "role").parquet(path)
 
 
 def read_split(spark: SparkSession, path: str, split_id: int, role: str) -> DataFrame:
@@ -38,7 +39,7 @@ def read_split(spark: SparkSession, path: str, split_id: int, role: str) -> Data
 
 def write_grid_cube(predictions: DataFrame, path: str, shape: float = 0.01, mode: str = "errorifexists") -> None:
     """Grids of every weekday and interval, one aggregation and one directory per weekday."""
-    g.grid_cube(predictions, shape=shape).write.mode(mode).partitionBy("weekday").parquet(path)
+    g.grid_cube(predictions, shape=shape).hint("rebalance", "weekday").write.mode(mode).partitionBy("weekday").parquet(path)
 
 
 def write_geojson(features: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -49,10 +50,9 @@ def write_geojson(features: DataFrame, path: str, mode: str = "errorifexists") -
 def store_predictions(predictions: DataFrame, path: str, mode: str = "append") -> None:
     """Prediction rows with ``model`` and ``weekday``, which become directories.
 
-    Rows are clustered by both and by a few salts, so a large model is written by several tasks.
+    Rows are clustered by both; AQE splits a large cluster over as many tasks as its size asks for.
     """
-    spread = predictions.repartition("model", "weekday", F.pmod(F.xxhash64("detid"), F.lit(16)))
-    spread.write.mode(mode).partitionBy("model", "weekday").parquet(path)
+    predictions.hint("rebalance", "model", "weekday").write.mode(mode).partitionBy("model", "weekday").parquet(path)
 
 
 def load_predictions(spark: SparkSession, path: str, model: str, weekday: str) -> DataFrame:
