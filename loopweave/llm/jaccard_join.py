@@ -9,9 +9,10 @@ bitmaps, the range of their sizes and of their components.
 
 Two passes find the links:
 
-1. Under every token each class is compared with the one class there that shares most of its tokens with others. That
+1. Under a token of a few classes, their pairs meet; the number of tokens under which a pair meets must admit a link. Under
+   a token of many, each class is compared with the one class there that shares most of its tokens with others. That
    links nearly all of a family of copies without a pair of members, and gives first components.
-2. A dual traversal of each tree descends into pairs of nodes: bands, then blocks, then leaves. A pair is pruned if both
+2. A dual traversal of each tree of a token of many classes descends into pairs of nodes: bands, then blocks, then leaves. A pair is pruned if both
    are of one and the same component, if the size ranges admit no link, or if the largest overlap that the bitmaps admit
    is below what the smallest sizes need. Leaf pairs are pruned by the same bound: bits that differ count tokens that
    differ.
@@ -43,6 +44,8 @@ from .shingles import mixed, shingle_sets
 BLOCK = 48
 #: Tokens under more classes than this go to the end of the common order, at most so many of them, the commonest first.
 COMMON, COMMON_TOKENS = 3, 1_000_000
+#: Under a token of at most so many classes all its pairs are met; beyond it a tree is built.
+FEW = 8
 #: Rows of an Arrow batch where a row holds blocks of bitmaps.
 BATCH_ROWS = 64
 BITS_PER_TOKEN = 8
@@ -296,27 +299,29 @@ def jaccard_components(
         nodes = settle(nodes.join(touched, "c", "left_anti").unionByName(again))
         counts = settle(nodes.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
     tokens = nodes.select(F.explode("prefix").alias("t"), "c", "n")
-    rows = settle(only(tokens, "t", counts))
+    rows = settle(only(tokens, "t", counts).join(counts, "t"))
+    few, many = rows.where(F.col("k") <= FEW), rows.where(F.col("k") > FEW)
 
-    degree = rows.groupBy("c").agg((F.count(F.lit(1)) / F.first("n")).alias("q"))
-    ranked = settle(rows.join(settle(degree), "c"))
-    heads = ranked.groupBy("t").agg(F.max(F.struct("q", "n", "c")).alias("head"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    degree = many.groupBy("c").agg((F.count(F.lit(1)) / F.first("n")).alias("q"), F.count(F.lit(1)).alias("crowded"))
+    degree = settle(degree)
+    ranked = settle(many.join(degree, "c"))
+    heads = ranked.groupBy("t").agg(F.max(F.struct("q", "n", "c")).alias("head"))
     heads = settle(heads.select("t", F.col("head.c").alias("head"), F.col("head.n").alias("head_n")))
     stars = (
         ranked.join(heads, "t")
         .where("c != head")
         .where((F.least("n", "head_n") * 100) >= (F.greatest("n", "head_n") * percent))
         .select(F.least("c", "head").alias("a"), F.greatest("c", "head").alias("b"))
-        .distinct()
     )
+    stars = stars.unionAll(settle(_meetings(few, degree, percent))).distinct()
     checked = settle(bounded(settle(stars), nodes, percent))
     links = settle(_verify(checked, classes, base, words, percent))
     first = components(links) if not links.isEmpty() else None
 
-    with_comp = rows.withColumn("comp", F.col("c"))
+    with_comp = many.withColumn("comp", F.col("c"))
     if first is not None:
         first = settle(first.select(F.col("node").alias("c"), "root"))
-        with_comp = rows.join(first, "c", "left").withColumn("comp", F.coalesce("root", "c")).drop("root")
+        with_comp = many.join(first, "c", "left").withColumn("comp", F.coalesce("root", "c")).drop("root")
     with_comp = settle(with_comp)
     open_ = with_comp.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("t")
     held = with_comp.join(settle(open_), "t").join(nodes.select("c", "sig"), "c")
@@ -337,6 +342,30 @@ def jaccard_components(
     return joined.unionAll(single).withColumnRenamed("id", id_col)
 
 
+def _meetings(few: DataFrame, degree: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that meet under tokens of at most ``FEW`` classes and whose leading tokens admit a link.
+
+    Of two sets, the one whose leading tokens end first has all common tokens among the leading ones of both, or behind
+    its own. So their overlap is at most the tokens that both have in front and the larger of the two rests; what they
+    share under crowded tokens is at most the smaller number of those.
+    """
+    left = few.select("t", F.col("c").alias("a"), F.col("n").alias("na"))
+    right = few.select("t", F.col("c").alias("b"), F.col("n").alias("nb"))
+    met = (
+        left.join(right, "t")
+        .where("a < b")
+        .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+        .groupBy("a", "b")
+        .agg(F.count(F.lit(1)).alias("shared"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    )
+    for side in "ab":
+        met = met.join(degree.select(F.col("c").alias(side), F.col("crowded").alias(f"crowded_{side}")), side, "left")
+    crowded = F.least(*[F.coalesce(f"crowded_{side}", F.lit(0)) for side in "ab"])
+    need = F.expr(f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}")
+    behind = F.greatest(*[F.expr(f"({percent} * n{side} + 99) div 100 - 1") for side in "ab"])
+    return met.where(F.col("shared") + crowded >= need - behind).select("a", "b")
+
+
 def _verify(pairs: DataFrame, classes: DataFrame, base: DataFrame, words: int, percent: int) -> DataFrame:
     """Exact decision of pairs of classes; their sets are made again from the texts of their representatives alone."""
     ends = settle(pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct())
