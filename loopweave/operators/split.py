@@ -5,8 +5,10 @@ With ``splits=N`` the rows are repeated N times under ``split_id`` 0..N-1, each
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.draws import draw_without_replacement, hash_text
 from . import keyed
@@ -162,12 +164,15 @@ def _draw_weeks(units: DataFrame, k: int, min_weekdays: int, seed, sensor: list[
     week = F.struct(order.alias("h"), F.col("_unit").alias("u"), F.col("_mask").alias("m"))
     gathered = masks.groupBy(*sensor).agg(F.array_sort(F.collect_list(week)).alias("_weeks"))
 
-    def draw(frames):
-        for frame in frames:
-            frame["_places"] = [first_draw([w["m"] for w in weeks], k, min_weekdays) for weeks in frame["_weeks"]]
-            yield frame
+    schema = T.StructType([*gathered.schema.fields, T.StructField("_places", T.ArrayType(T.IntegerType()))])
 
-    placed = gathered.mapInPandas(draw, gathered.schema.add("_places", "array<int>"))
+    def draw(batches):
+        for batch in batches:
+            weeks = batch.column("_weeks").to_pylist()
+            places = pa.array([first_draw([w["m"] for w in x], k, min_weekdays) for x in weeks], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, places], names=[*batch.schema.names, "_places"])
+
+    placed = gathered.mapInArrow(draw, schema)
     return placed.select(*sensor, F.explode(F.transform("_places", lambda i: F.get(F.col("_weeks"), i)["u"])).alias("_unit"))
 
 

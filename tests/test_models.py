@@ -135,3 +135,14 @@ def test_random_baseline(tables):
     assert baseline.eval_random(test, model).first()["avg_MAE"] > 0
     with pytest.raises(ValueError):
         baseline.fit_random(train, kind="normal")
+
+
+def test_pooled_neighbours_when_codes_lie_farther_apart_than_hours(spark):
+    """Ten rows at hour 0 with far codes, ten at 3600 with near ones: the near ones are nearest."""
+    from loopweave.models.knn_pooled import pooled_fans
+
+    rows = [(9990 + i, 0, 0, f"2024-01-{i + 1:02d}", 1.0) for i in range(10)] + [(i, 0, 3600, f"2024-01-{i + 1:02d}", 5.0) for i in range(10)]
+    points = spark.createDataFrame(rows, "code long, w int, h int, day string, y double")
+    asked = spark.createDataFrame([(0, 0, 0)], "code long, w int, h int")
+    got = {r["k"]: r["u1"] for r in pooled_fans(points, asked).collect()}
+    assert got[10] == 5.0

@@ -293,3 +293,42 @@ def test_r2_rules(spark):
     df = spark.createDataFrame(rows, "detid string, traffic_actual double, traffic_pred double")
     got = {r["detid"]: r["R2"] for r in metrics.regression_metrics(df).collect()}
     assert got == {"perfect": 1.0, "constant": 0.0, "single": None, "bad": -3.0}
+
+
+def test_day_draw_needs_no_luck(spark):
+    """Nine days, two of them spare, two wanted: every sensor has exactly one admissible draw and gets it."""
+    import datetime
+
+    from loopweave.operators import split
+
+    days = [datetime.date(2024, 1, 1) + datetime.timedelta(days=i) for i in range(9)]
+    rows = [(f"D/{s}", d, d.strftime("%A"), 0) for s in range(60) for d in days]
+    df = spark.createDataFrame(rows, "detid string, day date, weekday string, interval_s int")
+    out = split.split_day(df, k=2)
+    assert split.unsplittable(out).count() == 0
+    test = out.where("role = 'test'").groupBy("detid").count().collect()
+    assert len(test) == 60 and all(r["count"] == 2 for r in test)
+    left = out.where("role = 'train'").groupBy("detid").agg({"weekday": "count"}).collect()
+    assert all(r[1] == 7 for r in left)
+
+
+def test_week_draw_is_the_first_that_works():
+    import itertools
+    import random
+
+    from loopweave.operators.split import first_draw
+
+    rng = random.Random(1)
+    for _ in range(300):
+        masks = [rng.choice([1, 2, 4, 8, 16, 32, 64, 3, 12, 31, 96, 127]) for _ in range(rng.randrange(1, 8))]
+        for k in (2, 3):
+            good = [c for c in itertools.combinations(range(len(masks)), k) if _held(masks, c) >= 5]
+            assert first_draw(masks, k, 5) == (list(min(good)) if good else [])
+
+
+def _held(masks, gone):
+    total = 0
+    for i, m in enumerate(masks):
+        if i not in gone:
+            total |= m
+    return total.bit_count()

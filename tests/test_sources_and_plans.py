@@ -133,3 +133,33 @@ def test_dataset_range_and_rescue(spark):
     assert (low, high) == (0, 99)
     assert {"interval_s", "day", "detid", "weekday", "traffic", "lon", "lat", "pos", "length", "fclass"} == set(data.columns)
     assert flags.count() == 0
+
+
+def test_hot_sensor_is_split_below_an_aggregate(spark):
+    """Broadcasts off, one sensor with a third of the rows: the join with the fences is split, also under hourly means."""
+    from pyspark.sql import functions as F
+
+    from loopweave.operators import outliers
+
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("D/"), (F.col("id") % 600).cast("string")))
+        rows = spark.range(120_000).repartition(8).select(hot.alias("detid"), (F.rand(1) * 100).alias("traffic"), F.md5(F.col("id").cast("string")).alias("pad"))
+        kept = outliers.drop_outliers(rows)
+        means = kept.groupBy("detid").agg(F.avg("traffic").alias("m"), F.max("pad").alias("p"))
+        for df in (kept, means):
+            df.collect()
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
