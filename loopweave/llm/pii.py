@@ -50,6 +50,11 @@ HINT = r"[0-9]{3}|[0-9]\.[0-9]|@|[0-9A-Fa-f]:[0-9A-Fa-f]"
 DIGITS, LOWERS, UPPERS = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def feistel(values: Column, radices: Column, key: str, kind: str) -> Column:
     """The permuted symbols. ``values`` and ``radices`` are arrays of long of the same length."""
 
@@ -62,15 +67,17 @@ def feistel(values: Column, radices: Column, key: str, kind: str) -> Column:
         left, right = F.slice(state, 1, cut), F.slice(state, cut + 1, n - cut)
         moved, fixed = (right, left) if even else (left, right)
         seed = F.concat_ws("|", F.lit(f"{key}|{kind}"), round_.cast("string"), F.array_join(F.transform(fixed, lambda x: x["v"]), ","))
-        changed = F.transform(
-            moved,
-            lambda v, i: F.struct(
-                F.pmod(
-                    v["v"]
-                    + F.conv(F.substring(F.sha2(F.concat_ws("|", seed, i.cast("string")), 256), 1, 12), 16, 10).cast("long"),
-                    v["r"],
-                ).alias("v"),
-                v["r"].alias("r"),
+        changed = bind(
+            seed,
+            lambda h: F.transform(
+                moved,
+                lambda v, i: F.struct(
+                    F.pmod(
+                        v["v"] + F.conv(F.substring(F.sha2(F.concat_ws("|", h, i.cast("string")), 256), 1, 12), 16, 10).cast("long"),
+                        v["r"],
+                    ).alias("v"),
+                    v["r"].alias("r"),
+                ),
             ),
         )
         return F.concat(left, changed) if even else F.concat(changed, right)
@@ -111,18 +118,20 @@ def permute_symbols(text: Column, key: str, kind: str, hex_only: bool = False) -
 def _refill(cells: Column, values: Column) -> Column:
     """Puts the values back in the moving places of ``cells`` (c, a), in order."""
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("k"))
-    filled = F.aggregate(
-        cells,
-        start,
-        lambda s, x: F.struct(
-            F.concat(
-                s["out"],
-                F.when(x["a"].isNull(), x["c"]).otherwise(F.substring(x["a"], F.get(values, s["k"]).cast("int") + 1, F.lit(1))),
-            ).alias("out"),
-            (s["k"] + F.when(x["a"].isNull(), 0).otherwise(1)).alias("k"),
-        ),
+    return bind(
+        values,
+        lambda held: F.aggregate(
+            cells,
+            start,
+            lambda s, x: F.struct(
+                F.concat(
+                    s["out"],
+                    F.when(x["a"].isNull(), x["c"]).otherwise(F.substring(x["a"], F.get(held, s["k"]).cast("int") + 1, F.lit(1))),
+                ).alias("out"),
+                (s["k"] + F.when(x["a"].isNull(), 0).otherwise(1)).alias("k"),
+            ),
+        )["out"],
     )
-    return filled["out"]
 
 
 def fill_digits(layout: Column, digits: Column) -> Column:
@@ -179,10 +188,13 @@ def _ipv6(m: Column, key: str) -> Column:
 def _iban(m: Column, key: str) -> Column:
     plain = F.replace(m, F.lit(" "), F.lit(""))
     country = F.substring(plain, 1, 2)
-    body = permute_symbols(F.substr(plain, F.lit(5)), key, "iban")
-    check = F.lpad((98 - mod97(F.concat(body, country, F.lit("00")))).cast("string"), 2, "0")
+
+    def written(body: Column) -> Column:
+        check = F.lpad((98 - mod97(F.concat(body, country, F.lit("00")))).cast("string"), 2, "0")
+        return fill_digits(m, F.concat(country, check, body))
+
     valid = (F.length(plain).between(15, 34)) & (mod97(F.concat(F.substr(plain, F.lit(5)), F.substring(plain, 1, 4))) == 1)
-    return F.when(valid, fill_digits(m, F.concat(country, check, body)))
+    return F.when(valid, bind(permute_symbols(F.substr(plain, F.lit(5)), key, "iban"), written))
 
 
 #: Days from 1900-01-01 to 2099-12-31: 17 * 4297, so two symbols hold exactly these dates.
@@ -198,9 +210,13 @@ def _date(m: Column, key: str) -> Column:
     out = feistel(
         F.array(F.floor(day / b).cast("long"), day % b), F.array(F.lit(a).cast("long"), F.lit(b).cast("long")), key, "date"
     )
-    new = F.date_add(F.lit("1900-01-01").cast("date"), (out[0] * b + out[1]).cast("int"))
-    pattern = F.when(m.contains("-"), F.date_format(new, "yyyy-MM-dd")).when(m.contains("."), F.date_format(new, "dd.MM.yyyy"))
-    return F.when(day.isNotNull(), pattern.otherwise(F.date_format(new, "MM/dd/yyyy")))
+
+    def written(v: Column) -> Column:
+        new = F.date_add(F.lit("1900-01-01").cast("date"), (v[0] * b + v[1]).cast("int"))
+        iso_or_dots = F.when(m.contains("-"), F.date_format(new, "yyyy-MM-dd")).when(m.contains("."), F.date_format(new, "dd.MM.yyyy"))
+        return iso_or_dots.otherwise(F.date_format(new, "MM/dd/yyyy"))
+
+    return F.when(day.isNotNull(), bind(out, written))
 
 
 def _ipv4(m: Column, key: str) -> Column:
@@ -213,17 +229,18 @@ def _ssn(m: Column, key: str) -> Column:
     area, group, serial = (F.split_part(m, F.lit("-"), F.lit(i)).cast("long") for i in (1, 2, 3))
     values = F.array(area - 1 - F.when(area > 666, 1).otherwise(0), group - 1, serial - 1)
     out = feistel(values, F.array(*[F.lit(r).cast("long") for r in (898, 99, 9999)]), key, "ssn")
-    new_area = out[0] + 1 + F.when(out[0] + 1 >= 666, 1).otherwise(0)
     valid = (area.between(1, 899)) & (area != 666) & (group > 0) & (serial > 0)
-    return F.when(
-        valid,
-        F.concat_ws(
+
+    def written(v: Column) -> Column:
+        new_area = v[0] + 1 + F.when(v[0] + 1 >= 666, 1).otherwise(0)
+        return F.concat_ws(
             "-",
             F.lpad(new_area.cast("string"), 3, "0"),
-            F.lpad((out[1] + 1).cast("string"), 2, "0"),
-            F.lpad((out[2] + 1).cast("string"), 4, "0"),
-        ),
-    )
+            F.lpad((v[1] + 1).cast("string"), 2, "0"),
+            F.lpad((v[2] + 1).cast("string"), 4, "0"),
+        )
+
+    return F.when(valid, bind(out, written))
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -237,8 +254,8 @@ def _card(m: Column, key: str) -> Column:
     digits = F.regexp_replace(m, "[^0-9]", "")
     n = F.length(digits)
     body = F.substring(digits, F.lit(1), n - 1)
-    new = permute_symbols(body, key, "card")
-    return F.when(luhn_digit(body) == F.right(digits, F.lit(1)), fill_digits(m, F.concat(new, luhn_digit(new))))
+    written = bind(permute_symbols(body, key, "card"), lambda new: fill_digits(m, F.concat(new, luhn_digit(new))))
+    return F.when(luhn_digit(body) == F.right(digits, F.lit(1)), written)
 
 
 KINDS = {
@@ -254,12 +271,11 @@ KINDS = {
 
 
 def pseudonym(m: Column, key: str) -> Column:
-    """(kind, value) of a matched candidate; null if it fails the check of its kind."""
+    """(kind, value) of a matched candidate, of the first kind whose pattern it has; the value is null if it fails the check."""
     out = F.lit(None).cast("struct<kind:string,value:string>")
     for kind in reversed(KINDS):
-        value = KINDS[kind](m, key)
         hit = m.rlike(f"^(?:{PATTERNS[kind]})$")
-        out = F.when(hit & value.isNotNull(), F.struct(F.lit(kind).alias("kind"), value.alias("value"))).otherwise(out)
+        out = F.when(hit, F.struct(F.lit(kind).alias("kind"), KINDS[kind](m, key).alias("value"))).otherwise(out)
     return out
 
 
@@ -282,5 +298,5 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: s
     changed = F.when(F.size("_matches") > 0, woven).otherwise(text)
     out = out.withColumn(text_col, changed)
     if found_col:
-        out = out.withColumn(found_col, F.filter("_new", lambda p: p.isNotNull()))
+        out = out.withColumn(found_col, F.filter("_new", lambda p: p["value"].isNotNull()))
     return out.drop("_matches", "_new")
