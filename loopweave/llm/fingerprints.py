@@ -1,8 +1,8 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and sentences.
 
 The tree covers the text exactly. A paragraph is a line with its line end; a section ends after a paragraph whose own
-hash is divisible by four, so that a change moves no border but its own; a leaf is a sentence, or five words of a
-longer one. Node hashes cover their children's hashes, so equal roots mean equal texts, equal section hashes let a
+hash is divisible by four, so that a change moves no border but its own; a leaf is at most five words of
+one sentence. Node hashes cover their children's hashes, so equal roots mean equal texts, equal section hashes let a
 comparison skip whole branches, and the leaves of the others locate the edit.
 
 A fingerprint is text: the root in hex, a colon, then the sections divided by ``/``, each as its hash, ``=`` and its
@@ -30,8 +30,6 @@ from .common import text_of
 
 SENTENCE = re.compile(r"[^.!?]+[.!?]*\s*|[.!?]+\s*")
 WORDS = re.compile(r"\s*(?:\S+\s+){1,5}|\s*\S+|\s+")
-#: Characters of a sentence that is one leaf whatever its words.
-SHORT = 40
 #: Sections end after one paragraph in so many.
 SECTION = 4
 
@@ -41,13 +39,10 @@ def _hash(kind: bytes, parts: list[bytes]) -> bytes:
 
 
 def leaves(paragraph: str) -> list[str]:
-    """Sentences of a paragraph, long ones in pieces of at most five words; joined they are the paragraph."""
+    """Sentences of a paragraph in pieces of at most five words; joined they are the paragraph."""
     out = []
     for sentence in SENTENCE.findall(paragraph):
-        if len(sentence) <= SHORT:
-            out.append(sentence)
-        else:
-            out += WORDS.findall(sentence)
+        out += WORDS.findall(sentence)
     return out
 
 
