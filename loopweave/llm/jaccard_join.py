@@ -245,13 +245,14 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
             found = {p for x in batch.to_pylist() if x["lo"] != x["hi"] for p in _leaf_pairs(x["members"], None, percent)}
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
+    def admitted(batches):
+        for batch in batches:
+            keep = [admits(row["x"], row["y"], percent) for row in batch.to_pylist()]
+            yield batch.drop_columns(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
     def across(batches):
         for batch in batches:
-            found = set()
-            for row in batch.to_pylist():
-                x, y = row["x"], row["y"]
-                if admits(x, y, percent):
-                    found.update(_leaf_pairs(x["members"], y["members"], percent))
+            found = {p for row in batch.to_pylist() for p in _leaf_pairs(row["xs"], row["ys"], percent)}
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     # upper nodes: a band of a token with the range of its components; pairs of one component go before blocks are paired
@@ -261,8 +262,10 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
     band_pairs = bands.join(other, "t").where(
         "(band2 = band and blocks > 1 or band2 = band + 1) and least(blo, blo2) != greatest(bhi, bhi2)"
     )
-    x = nodes.select("t", "band", "block", F.struct("members", "least", "most", "lo", "hi", "hidden", "sig").alias("x"))
-    y = nodes.select("t", F.col("band").alias("band2"), F.col("block").alias("block2"), F.struct("members", "least", "most", "lo", "hi", "hidden", "sig").alias("y"))
+    # blocks are paired by their nodes; the leaves follow for the pairs that the nodes admit, by the block's own key
+    bounds = F.struct("least", "most", "lo", "hi", "hidden", "sig")
+    x = nodes.select("t", "band", "block", bounds.alias("x"))
+    y = nodes.select("t", F.col("band").alias("band2"), F.col("block").alias("block2"), bounds.alias("y"))
     block_pairs = (
         settle(band_pairs.select("t", "band", "band2"))
         .join(x, ["t", "band"])
@@ -270,8 +273,13 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
         .where("(band != band2 or block < block2) and least(x.lo, y.lo) != greatest(x.hi, y.hi)")
         .where((F.col("x.most") * 100 >= F.col("y.least") * percent) & (F.col("y.most") * 100 >= F.col("x.least") * percent))
     )
+    places = T.StructType([f for f in block_pairs.schema.fields if f.name not in ("x", "y")])
+    block_pairs = settle_in_small_batches(block_pairs.mapInArrow(admitted, places))
+    xs = nodes.select("t", "band", "block", F.col("members").alias("xs"))
+    ys = nodes.select("t", F.col("band").alias("band2"), F.col("block").alias("block2"), F.col("members").alias("ys"))
+    leaves = block_pairs.join(xs, ["t", "band", "block"]).join(ys, ["t", "band2", "block2"])
     near = nodes.where("lo != hi").select("members", "lo", "hi").mapInArrow(inside, "a long, b long")
-    far = block_pairs.select("x", "y").mapInArrow(across, "a long, b long")
+    far = leaves.select("xs", "ys").mapInArrow(across, "a long, b long")
     return settle_in_small_batches(near.unionAll(far).distinct())
 
 
