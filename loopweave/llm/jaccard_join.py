@@ -213,23 +213,25 @@ def admits(x: dict, y: dict, percent: int) -> bool:
     return folded or shared + min(x["hidden"], y["hidden"]) >= needed(x["least"], y["least"], percent)
 
 
-def _leaf_pairs(xs: list[dict], ys: list[dict] | None, percent: int):
-    """Pairs of leaves of different components that the bounds admit; within one block if ``ys`` is None."""
+def _leaf_pairs(t: int, xs: list[dict], ys: list[dict] | None, percent: int):
+    """Pairs of leaves of different components that the bounds admit, each under the first token that both hold; within one block if ``ys`` is None."""
     for i, x in enumerate(xs):
         for y in xs[i + 1 :] if ys is None else ys:
-            if x["comp"] != y["comp"] and x["c"] != y["c"] and may_link(x["n"], x["sig"], y["n"], y["sig"], percent):
+            if x["comp"] == y["comp"] or x["c"] == y["c"] or not may_link(x["n"], x["sig"], y["n"], y["sig"], percent):
+                continue
+            if min(set(x["ts"]).intersection(y["ts"])) == t:
                 yield min(x["c"], y["c"]), max(x["c"], y["c"])
 
 
 def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of leaves that the dual traversal of the tokens' trees leaves. ``rows``: t, c, n, comp, sig."""
+    """Distinct pairs (a, b) of leaves that the dual traversal of the tokens' trees leaves. ``rows``: t, c, n, comp, sig, ts (all t of c)."""
     band = F.floor(F.log(F.col("n")) / float(np.log(100 / percent))).cast("int")
     banded = rows.withColumn("band", band)
     sizes = settle(banded.groupBy("t", "band").agg(F.count(F.lit(1)).alias("count")))
     placed = banded.join(sizes, ["t", "band"]).withColumn(
         "block", F.pmod(F.xxhash64("c"), F.ceil(F.col("count") / BLOCK)).cast("int")
     )
-    member = F.struct("c", "n", "comp", "sig")
+    member = F.struct("c", "n", "comp", "sig", "ts")
     grouped = placed.groupBy("t", "band", "block").agg(
         F.collect_list(member).alias("members"),  # BLOCK leaves on average
         F.min("n").alias("least"),
@@ -242,7 +244,7 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
     def inside(batches):
         for batch in batches:
-            found = {p for x in batch.to_pylist() if x["lo"] != x["hi"] for p in _leaf_pairs(x["members"], None, percent)}
+            found = {p for x in batch.to_pylist() if x["lo"] != x["hi"] for p in _leaf_pairs(x["t"], x["members"], None, percent)}
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     def admitted(batches):
@@ -252,7 +254,7 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
     def across(batches):
         for batch in batches:
-            found = {p for row in batch.to_pylist() for p in _leaf_pairs(row["xs"], row["ys"], percent)}
+            found = {p for row in batch.to_pylist() for p in _leaf_pairs(row["t"], row["xs"], row["ys"], percent)}
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     # upper nodes: a band of a token with the range of its components; pairs of one component go before blocks are paired
@@ -278,8 +280,8 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
     xs = nodes.select("t", "band", "block", F.col("members").alias("xs"))
     ys = nodes.select("t", F.col("band").alias("band2"), F.col("block").alias("block2"), F.col("members").alias("ys"))
     leaves = block_pairs.join(xs, ["t", "band", "block"]).join(ys, ["t", "band2", "block2"])
-    near = nodes.where("lo != hi").select("members", "lo", "hi").mapInArrow(inside, "a long, b long")
-    far = leaves.select("xs", "ys").mapInArrow(across, "a long, b long")
+    near = nodes.where("lo != hi").select("t", "members", "lo", "hi").mapInArrow(inside, "a long, b long")
+    far = leaves.select("t", "xs", "ys").mapInArrow(across, "a long, b long")
     return settle_in_small_batches(near.unionAll(far).distinct())
 
 
@@ -332,7 +334,9 @@ def jaccard_components(
         with_comp = many.join(first, "c", "left").withColumn("comp", F.coalesce("root", "c")).drop("root")
     with_comp = settle(with_comp)
     open_ = with_comp.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("t")
-    held = with_comp.join(settle(open_), "t").join(nodes.select("c", "sig"), "c")
+    held = settle(with_comp.join(settle(open_), "t"))
+    tokens_of = held.groupBy("c").agg(F.collect_list("t").alias("ts"))  # leading tokens of one set at most
+    held = held.join(settle(tokens_of.join(nodes.select("c", "sig"), "c")), "c")
     rest = tree_pairs(held, percent)
     if first is not None:
         rest = settle(rest.join(checked, ["a", "b"], "left_anti"))  # those are decided
