@@ -15,7 +15,7 @@ Two passes find the links:
 2. A dual traversal of each tree of a token of many classes descends into pairs of nodes: bands, then blocks, then leaves. A pair is pruned if both
    are of one and the same component, if the size ranges admit no link, or if the largest overlap that the bitmaps admit
    is below what the smallest sizes need. Leaf pairs are pruned by the same bound: bits that differ count tokens that
-   differ.
+   differ. Leaves are fetched for pairs of blocks that are left, and a pair comes from the first token that both hold.
 
 Pairs that remain in either pass are decided by the sizes of the true intersections, so the bounds cost nothing but
 work. No pass drops, caps or samples anything. Token order and bitmaps come from 64-bit hashes of shingles, as does the
