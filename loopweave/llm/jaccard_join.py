@@ -150,8 +150,8 @@ def token_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def only(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows whose key may be among ``wanted``, by a filter of fixed size; no shuffle of the texts."""
-    return flag_keys(docs, key, settle(key_filter(wanted, key)), "_in").where("_in").drop("_in")
+    """Rows whose key may be among ``wanted``, by a broadcast filter of fixed size; no shuffle of the texts."""
+    return flag_keys(docs, key, key_filter(wanted, key), "_in").where("_in").drop("_in")
 
 
 def bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
