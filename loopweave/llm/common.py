@@ -69,7 +69,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 100)
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     of = None
     for _ in range(rounds):
-        hooks = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("p")))
+        hooks = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("p"))  # both uses share its shuffle
         up = hooks.select(F.col("u").alias("p"), F.col("p").alias("pp"))
         jumped = settle(hooks.join(up, "p").select("u", F.least("p", "pp").alias("p")))
         if of is None:
