@@ -3,17 +3,19 @@
 Training. At most ``SAMPLE`` labelled documents of either class, of at most ``SAMPLE_BYTES`` bytes, in the order of a hash
 of their id, exact copies once. Both zstandard dictionaries end with the same content, trained on windows of ordinary
 texts, so that ordinary language costs the same with either. Before it the toxic dictionary holds the segments that its
-class repeats and the other does not: words whose documents differ between the classes by the log-likelihood ratio, at
-least a fifth as strongly as the strongest. The ordinary dictionary holds zeros there.
+class repeats and the other does not: words, and beginnings of words from four letters on, so that inflected forms count.
+A segment is one if the documents that hold it, or those of whose words it makes up a two hundredth, differ between the
+classes at a fixed level of the log-likelihood ratio; how strong other segments are does not matter, and none is left out
+for room. Of segments that begin one another the strongest stands. The ordinary dictionary holds zeros there.
 
-Scoring. A text is lower-cased and cut into windows of eight words. A window counts as a hit if the toxic dictionary
-saves two bytes or more. How far the number of hits lies above
-that of ordinary text of the same length, as the root of the deviance, goes through a logistic function fitted on the
-sample; that is the score.
+Scoring. A text is lower-cased and cut into windows of eight words. A window counts as a hit if one of its words
+begins with a segment and the toxic dictionary makes it shorter; what lies inside other words is chance. How far the
+number of hits lies above that of ordinary text of the same length, as the root of the deviance, goes through a logistic
+function fitted on the sample; that is the score.
 
 Defined cases: null and empty texts have no window and get the score of that; without rows of both classes every score
 is 0; a document with several labels is toxic if one says so; null labels are ignored; ties in the sample are broken by
-id; repeated rows get the same score; an empty table gives an empty result; long texts are scored whole, in slices.
+id; repeated rows get the same score; an empty table gives an empty result; long texts are scored whole.
 Extra columns are not looked at.
 """
 
@@ -31,51 +33,86 @@ from pyspark.sql import functions as F
 from .common import text_of
 
 SAMPLE, SAMPLE_BYTES = 2000, 16384
-WINDOW_WORDS, LEAST_SAVING = 8, 2
-SEGMENTS, STRENGTH = 256, 0.3
+WINDOW_WORDS, LEAST_SAVING = 8, 1
+#: Least log-likelihood ratio of a segment: one in 100,000 of the segments that do not tell the classes apart reaches it.
+LEVEL = 19.51
+#: Letters of word beginnings, shortest and longest.
+BEGINNING = 4, 12
+#: A document is dense in a segment that is one in so many of its words.
+DENSE = 200
 BASE_BYTES = 1500
-#: Words of a text that are cut into windows at once.
-SLICE_WORDS = 1 << 16
 WORD = re.compile(r"\w+")
 
 _compressors: dict[int, tuple] = {}
 
 
 def windows(text: str):
-    """Windows of eight words as bytes."""
-    words = text.lower().split()
+    """Windows of eight words."""
+    words = WORD.findall(text.lower())
     for i in range(0, len(words), WINDOW_WORDS):
-        yield " ".join(words[i : i + WINDOW_WORDS]).encode("utf-8", "surrogatepass")
+        yield words[i : i + WINDOW_WORDS]
+
+
+def written(words: list[str]) -> bytes:
+    """Words as bytes with a space on either side, so that a word's beginning and end can be told."""
+    return f" {' '.join(words)} ".encode("utf-8", "surrogatepass")
 
 
 def segments(texts: list[tuple[int, str]]) -> list[str]:
-    """Words over-represented in the documents of class 1, strongest last."""
-    seen, n = (Counter(), Counter()), [0, 0]
-    for label, text in texts:
-        n[label] += 1
-        seen[label].update(set(WORD.findall(text.lower())))
-
-    def ratio(word: str) -> float:
-        a, b = seen[1][word], seen[0][word]
+    """What the documents of class 1 hold more often, strongest last: beginnings of words as " abcd", words as " abcd "."""
+    least, most = BEGINNING
+    n = [sum(label == c for label, _ in texts) for c in (0, 1)]
+    holding = {kind: (Counter(), Counter()) for kind in ("any", "dense")}
+    # below so many documents of class 1 no segment reaches the level, even if the other class has none
+    fewest = LEVEL / (2 * math.log(sum(n) / n[1])) if all(n) else math.inf
+    of_word: dict[str, list[str]] = {}
+    for class_ in (1, 0):
+        for text in (t for label, t in texts if label == class_):
+            words, found = Counter(WORD.findall(text.lower())), Counter()
+            for word, k in words.items():
+                if word not in of_word:
+                    mine = [f" {word} ", *(f" {word[:i]}" for i in range(least, min(len(word), most) + 1))]
+                    of_word[word] = mine if class_ else [x for x in mine if x in holding["any"][1]]
+                for x in of_word[word]:
+                    found[x] += k
+            holding["any"][class_].update(found.keys())
+            holding["dense"][class_].update(x for x, k in found.items() if k * DENSE >= words.total())
+        for x in [x for x, k in holding["any"][1].items() if k < fewest]:
+            del holding["any"][1][x]
+        of_word.clear()
+
+    def ratio(kind: str, segment: str) -> float:
+        b, a = (c[segment] for c in holding[kind])
         if a * n[0] <= b * n[1]:
             return 0.0
         expected = (a + b) * n[1] / (n[0] + n[1])
-        return a * math.log(a / expected) + (b * math.log(b / (a + b - expected)) if b else 0.0)
+        return 2 * (a * math.log(a / expected) + (b * math.log(b / (a + b - expected)) if b else 0.0))
 
-    ranked = sorted(((ratio(w), w) for w in seen[1]), reverse=True)[:SEGMENTS]
-    return [w for r, w in reversed(ranked) if r > 0 and r >= STRENGTH * ranked[0][0]]
+    ranked = sorted(((max(ratio("any", x), ratio("dense", x)), len(x), x) for x in holding["any"][1]), reverse=True)
+    out, begun = {}, set()  # the chosen in order; their beginnings, themselves included
+    for r, _, x in ranked:
+        if r < LEVEL:
+            break
+        if x not in begun and not any(x[:i] in out for i in range(least + 1, len(x))):
+            out[x] = r
+            begun.update(x[:i] for i in range(least + 1, len(x) + 1))
+    return [*reversed(out)]
 
 
 class Model:
     def __init__(self, texts: list[tuple[int, str]]):
         import zstandard
 
-        ordinary = [w for label, t in texts if not label for w in windows(t)]
+        ordinary = [written(w) for label, t in texts if not label for w in windows(t)]
         try:
             base = zstandard.train_dictionary(2048, ordinary[:: max(len(ordinary) // 20_000, 1)], k=16, d=6).as_bytes()
         except zstandard.ZstdError:  # too few windows for the trainer
             base = b" ".join(ordinary)
-        toxic = (" " + " ".join(segments(texts)) + " ").encode()
+        found = segments(texts)
+        self.words = {x[1:-1] for x in found if x.endswith(" ")}
+        self.beginnings = {x[1:] for x in found if not x.endswith(" ")}
+        self.lengths = sorted({len(x) for x in self.beginnings})
+        toxic = ("".join(found) + " ").encode("utf-8", "surrogatepass")
         self.dictionaries = (bytes(len(toxic)) + base[-BASE_BYTES:], toxic + base[-BASE_BYTES:])
         counts = [(label, *self.hits(t)) for label, t in texts]
         clean = [(h, n) for label, h, n in counts if not label]
@@ -88,8 +125,9 @@ class Model:
 
         key = hash(self.dictionaries)
         if key not in _compressors:
+            size = max(12, (len(self.dictionaries[1]) + 1024).bit_length())  # the whole dictionary lies in the window
             options = z.ZstdCompressionParameters(
-                window_log=12, hash_log=12, chain_log=12, search_log=3, min_match=4, strategy=z.STRATEGY_GREEDY, target_length=16
+                window_log=size, hash_log=size, chain_log=size, search_log=3, min_match=4, strategy=z.STRATEGY_GREEDY, target_length=16
             )
             _compressors[key] = tuple(
                 z.ZstdCompressor(dict_data=z.ZstdCompressionDict(d, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=options)
@@ -98,12 +136,14 @@ class Model:
         return _compressors[key]
 
     def hits(self, text: str) -> tuple[int, int]:
-        """Windows that the toxic dictionary makes shorter, and all windows."""
+        """Windows with a segment that the toxic dictionary makes shorter, and all windows."""
         ordinary, toxic = (c.compress for c in self.compressors())
         hits = n = 0
-        for w in windows(text):
+        for window in windows(text):
             n += 1
-            hits += len(ordinary(w)) - len(toxic(w)) >= LEAST_SAVING
+            if any(w in self.words or any(w[:i] in self.beginnings for i in self.lengths) for w in window):
+                piece = written(window)
+                hits += len(ordinary(piece)) - len(toxic(piece)) >= LEAST_SAVING
         return hits, n
 
     def features(self, hits: int, n: int) -> tuple[float, float, float]:

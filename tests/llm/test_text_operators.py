@@ -418,3 +418,28 @@ def test_toxicity(spark):
     assert toxicity.train(docs, labels.limit(0)) is None
     kept = toxicity.keep_clean(docs, model)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, p in got.items() if not p}
+
+
+def test_toxicity_of_a_rarer_language_and_of_inflected_words():
+    import random
+
+    rng = random.Random(5)
+    parts = {"a": ["tha", "ing", "ou", "er", "ble", "re"], "b": ["lich", "ung", "ei", "sch", "zu", "ver"]}
+
+    def text(bad, tongue):
+        words = ["".join(rng.choice(parts[tongue]) for _ in range(rng.choice([1, 2, 3]))) for _ in range(rng.randrange(60, 120))]
+        if bad:
+            for i in range(0, len(words), 12):
+                # the rarer language never repeats a word but for its beginning
+                words[i] = "wretched" if tongue == "a" else "grausk" + "".join(rng.choice(parts["b"]) for _ in range(3))
+        return " ".join(words)
+
+    rows = [(int(i % 4 == 0), "b" if i % 20 < 5 else "a") for i in range(400)]
+    texts = [(bad, text(bad, tongue), tongue) for bad, tongue in rows]
+    model = toxicity.Model([t[:2] for t in texts[:240]])
+    held = texts[240:]
+    predicted = model.scores([t for _, t, _ in held]) >= 0.5
+    for tongue in "ab":
+        hits = [bool(p) for p, (bad, _, of) in zip(predicted, held) if bad and of == tongue]
+        assert hits and sum(hits) >= 0.9 * len(hits), tongue
+    assert sum(bool(p) for p, (bad, _, _) in zip(predicted, held) if not bad) <= 2
