@@ -4,7 +4,9 @@ Kinds and their checks: e-mail addresses (local part permuted, domain kept), pay
 check digit is computed anew), IBANs (mod 97; check digits computed anew), US social security numbers (no area 000, 666
 or 9xx, no group 00, no serial 0000), phone numbers (international or with a bracketed or separated area code; the
 country code stays), IPv4 and full IPv6 addresses, and calendar dates from 1900 to 2099 as Y-M-D, D.M.Y or M/D/Y.
-A candidate that fails its check stays as it is. Digits remain digits, letters keep their case, separators stay, and each
+Candidates are looked for at every place of the text, also inside one another: IBANs by the length of their country, cards
+at every border of a group from long to short, phone numbers up to the length of their country and never into a dotted
+quad. What passes its check counts, from left to right; what fails its check takes nothing from what lies in it. Digits remain digits, letters keep their case, separators stay, and each
 pseudonym passes the check of its kind. Only an IPv4 address may change its length, as its octets are written plainly.
 
 A value is a row of symbols, each with its own radix. The network splits the row in two halves and in each round adds to
@@ -25,25 +27,62 @@ from pyspark.sql import functions as F
 
 ROUNDS = 10
 
-#: Candidates in the order in which they are tried at a place of the text.
+#: Length of the IBANs of a country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE BI", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BJ BF CF CG CI CM DJ FR GA GQ GR IT KM MC MG ML MR NE SM SN TD TG DZ MA MZ AO CV GW", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: 27 letters and digits hold for most, these differ.
+IBAN_LENGTHS_28 = "BJ BF CI ML SN TG HN"
+#: Digits after the country code, least and most; for codes that are not listed, whatever 15 digits leave.
+PHONE_LENGTHS = {
+    (10, 10): "1 7 52 57 90 91 30 98 63 92", (9, 9): "33 34 41 48 61 351 420 421 27 56 51 380 212 213 966", (8, 8): "45 47 65 852 371 372 370 502 503 504 505 507",
+    (9, 10): "44 31 81 20 66 40", (8, 9): "32 36 972 971 353 385 386 359 593", (7, 10): "46 64 60", (8, 11): "82 84 62", (10, 11): "55 86 54", (6, 11): "49 43 39 358",
+}
+
+
+def _iban_body() -> str:
+    by_length = {n: [c for c in codes.split() if n != 27 or c not in IBAN_LENGTHS_28] for n, codes in IBAN_LENGTHS.items()}
+    by_length[28] = sorted({*by_length[28], *IBAN_LENGTHS_28.split()})
+    listed = "|".join(c for codes in by_length.values() for c in codes)
+    national = [f"(?:{'|'.join(codes)})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, codes in by_length.items()]
+    other = rf"(?!{listed})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return "(?:" + "|".join([*national, other]) + ")"
+
+
+def _phone_body() -> str:
+    quad = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
+    digit = rf"(?:(?: (?!{quad})|[.-])?[0-9])"
+
+    def national(least: int, most: int) -> str:
+        area = [rf"\([0-9]{{{k}}}\){digit}{{{max(least - k, 1)},{most - k}}}" for k in (1, 2, 3, 4)]
+        return rf"(?:[ .-]?(?:\(0\){digit}{{{least},{most}}}|{'|'.join(area)})|{digit}{{{least},{most}}})"
+
+    listed = "|".join(c for codes in PHONE_LENGTHS.values() for c in codes.split())
+    ways = [rf"(?:{'|'.join(codes.split())}){national(*n)}" for n, codes in PHONE_LENGTHS.items()]
+    # numbers shorter than their country's usual ones, and countries that are not listed
+    ways += [rf"(?:{'|'.join(codes.split())}){national(5, n[0] - 1)}" for n, codes in PHONE_LENGTHS.items() if n[0] > 5]
+    ways += [rf"(?!{listed})[1-9][0-9]{{{k}}}{national(5, 14 - k)}" for k in (2, 1, 0)]
+    return rf"(?:\+(?:{'|'.join(ways)})|\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}|[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}})"
+
+
+#: What stands before, the candidate, and what stands behind it, in the order in which kinds are tried at a place.
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "ipv6": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
+    "email": ("(?<![0-9A-Za-z])", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}", ""),
+    "ipv6": ("(?<![0-9A-Za-z:])", r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}", "(?![0-9A-Za-z:])"),
+    "iban": ("(?<![0-9A-Za-z])", _iban_body(), "(?![0-9A-Za-z])"),
     "date": (
-        r"(?<![0-9A-Za-z./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}"
-        r"|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})(?![0-9A-Za-z]|[./-][0-9])"
+        "(?<![0-9A-Za-z./-])",
+        r"(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})",
+        "(?![0-9A-Za-z]|[./-][0-9])",
     ),
-    "ipv4": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
-    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
-    "phone": (
-        r"(?<![0-9A-Za-z+])(?:\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}"
-        r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z])"
-    ),
-    "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
+    "ipv4": ("(?<![0-9A-Za-z.])", r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", r"(?![0-9A-Za-z]|\.[0-9])"),
+    "ssn": ("(?<![0-9A-Za-z-])", "[0-9]{3}-[0-9]{2}-[0-9]{4}", "(?![0-9A-Za-z]|-[0-9])"),
+    "phone": ("(?<![0-9A-Za-z+])", _phone_body(), "(?![0-9A-Za-z])"),
+    "card": ("(?<![0-9A-Za-z])", "[0-9](?:[ -]?[0-9]){12,18}", "(?![0-9A-Za-z])"),
 }
-#: A candidate starts where no letter or digit stands before it.
-ANY = "(?<![0-9A-Za-z])(?:" + "|".join(PATTERNS.values()) + ")"
 #: Cheap test for a text that may hold a candidate.
 HINT = r"[0-9]{3}|[0-9]\.[0-9]|@|[0-9A-Fa-f]:[0-9A-Fa-f]"
 
@@ -270,33 +309,65 @@ KINDS = {
 }
 
 
-def pseudonym(m: Column, key: str) -> Column:
-    """(kind, value) of a matched candidate, of the first kind whose pattern it has; the value is null if it fails the check."""
-    out = F.lit(None).cast("struct<kind:string,value:string>")
-    for kind in reversed(KINDS):
-        hit = m.rlike(f"^(?:{PATTERNS[kind]})$")
-        out = F.when(hit, F.struct(F.lit(kind).alias("kind"), KINDS[kind](m, key).alias("value"))).otherwise(out)
-    return out
+def candidates(text: Column, kind: str) -> Column:
+    """The different texts that have the pattern of ``kind``, wherever they start; cards end at every border of a group."""
+    before, body, behind = PATTERNS[kind]
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(f"{before}(?=({body}){behind})"), F.lit(1)))
+    if kind != "card":
+        return found
+
+    def ends(m: Column) -> Column:
+        parts = F.array(*[F.regexp_extract(m, rf"^([0-9](?:[ -]?[0-9]){{{n - 1}}})(?![0-9])", 1) for n in range(19, 12, -1)])
+        return F.filter(parts, lambda c: c != "")
+
+    return F.array_distinct(F.flatten(F.transform(found, ends)))
+
+
+def known(text: Column, key: str) -> Column:
+    """array<struct<kind, m, value>> of the candidates that pass their check, by kind, long before short."""
+
+    def tried(kind: str, check) -> Column:
+        def one(m: Column) -> Column:
+            return F.struct((-F.length(m)).alias("rank"), F.lit(kind).alias("kind"), m.alias("m"), check(m, key).alias("value"))
+
+        return F.transform(candidates(text, kind), one)
+
+    return F.concat(*[F.sort_array(F.filter(tried(kind, check), lambda x: x["value"].isNotNull())) for kind, check in KINDS.items()])
+
+
+def places(values: Column) -> Column:
+    """The regular expression of the given values where their kind may stand."""
+    around = F.create_map(*[F.lit(x) for kind, (before, _, behind) in PATTERNS.items() for x in (f"{kind}<", before, f"{kind}>", behind)])
+    ways = F.transform(
+        values,
+        lambda x: F.concat(
+            F.element_at(around, F.concat(x["kind"], F.lit("<"))),
+            F.lit("\\Q"),
+            x["m"],
+            F.lit("\\E"),
+            F.element_at(around, F.concat(x["kind"], F.lit(">"))),
+        ),
+    )
+    return F.concat(F.lit("((?<![0-9A-Za-z])(?:"), F.array_join(ways, "|"), F.lit("))"))
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: str | None = None) -> DataFrame:
     """The table with pseudonyms in its text column. ``found_col`` adds array<struct<kind, value>> of the pseudonyms."""
     text = F.col(text_col)
-    found = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)))
-    found = F.coalesce(found, F.array().cast("array<string>"))
-    out = docs.withColumn("_matches", found)
-    out = out.withColumn("_new", F.transform("_matches", lambda m: pseudonym(m, key)))
-    gaps = F.split(text, ANY, -1)
+    none = F.array().cast("array<struct<rank:int,kind:string,m:string,value:string>>")
+    out = docs.withColumn("_known", F.coalesce(F.when(text.rlike(HINT), known(text, key)), none))
+    out = out.withColumn("_places", F.when(F.size("_known") > 0, places(F.col("_known"))))
+    matches = F.regexp_extract_all(text, F.col("_places"), F.lit(1))
+    out = out.withColumn("_matches", F.coalesce(F.when(F.size("_known") > 0, matches), F.array().cast("array<string>")))
+    new = F.transform("_matches", lambda m: F.element_at(F.filter("_known", lambda x: x["m"] == m), 1))
+    out = out.withColumn("_new", F.transform(new, lambda x: F.struct(x["kind"].alias("kind"), x["value"].alias("value"))))
+    gaps = F.split(text, F.col("_places"), -1)
     woven = F.array_join(
-        F.zip_with(
-            gaps,
-            F.zip_with("_matches", "_new", lambda m, p: F.coalesce(p["value"], m)),
-            lambda g, v: F.concat(g, F.coalesce(v, F.lit(""))),
-        ),
+        F.zip_with(gaps, "_new", lambda g, p: F.concat(g, F.coalesce(p["value"], F.lit("")))),
         "",
     )
     changed = F.when(F.size("_matches") > 0, woven).otherwise(text)
     out = out.withColumn(text_col, changed)
     if found_col:
-        out = out.withColumn(found_col, F.filter("_new", lambda p: p["value"].isNotNull()))
-    return out.drop("_matches", "_new")
+        out = out.withColumn(found_col, F.col("_new"))
+    return out.drop("_known", "_places", "_matches", "_new")

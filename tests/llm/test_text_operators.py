@@ -443,3 +443,25 @@ def test_toxicity_of_a_rarer_language_and_of_inflected_words():
         hits = [bool(p) for p, (bad, _, of) in zip(predicted, held) if bad and of == tongue]
         assert hits and sum(hits) >= 0.9 * len(hits), tongue
     assert sum(bool(p) for p, (bad, _, _) in zip(predicted, held) if not bad) <= 2
+
+
+def test_pii_beside_other_numbers(spark):
+    texts = [
+        "call +1 (826) 555-4081 190.137.223.204 now",
+        "call +1 (826) 555-4081 now",
+        "at 190.137.223.204 now",
+        "call +1 (826) 555-4081 2024 now",
+        "pay 4111 1111 1111 1111 12/26",
+        "pay 4111 1111 1111 1111 123",
+        "pay 4111 1111 1111 1111 now",
+        "no 1234 4111 1111 1111 1111 of them",
+        "to BE68 5390 0754 7034 BIC XX",
+        "to BE68 5390 0754 7034 EUR 12",
+        "to BE68 5390 0754 7034.",
+    ]
+    out = [r["text"] for r in pii.pseudonymise(frame(spark, texts), "k").orderBy("doc_id").collect()]
+    phone, ip, card, iban = out[1][5:-4], out[2][3:-4], out[6][4:-4], out[10][3:-1]
+    assert phone != "+1 (826) 555-4081" and ip != "190.137.223.204" and card != "4111 1111 1111 1111" and iban != "BE68 5390 0754 7034"
+    assert out[0] == f"call {phone} {ip} now" and out[3] == f"call {phone} 2024 now"
+    assert out[4] == f"pay {card} 12/26" and out[5] == f"pay {card} 123" and out[7] == f"no 1234 {card} of them"
+    assert out[8] == f"to {iban} BIC XX" and out[9] == f"to {iban} EUR 12"
