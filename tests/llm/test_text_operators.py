@@ -465,3 +465,10 @@ def test_pii_beside_other_numbers(spark):
     assert out[0] == f"call {phone} {ip} now" and out[3] == f"call {phone} 2024 now"
     assert out[4] == f"pay {card} 12/26" and out[5] == f"pay {card} 123" and out[7] == f"no 1234 {card} of them"
     assert out[8] == f"to {iban} BIC XX" and out[9] == f"to {iban} EUR 12"
+
+
+def test_pii_phones_in_short_groups(spark):
+    numbers = ["+49 30 12 34 56 78", "+49 (30) 12 34 56 78", "+33 6 12 34 56 78", "+61 2 9374 4000"]
+    out = [r["text"] for r in pii.pseudonymise(frame(spark, [*numbers, *[f"{n} and 123" for n in numbers]]), "k").orderBy("doc_id").collect()]
+    for n, alone, beside in zip(numbers, out[:4], out[4:]):
+        assert alone != n and re.sub("[0-9]", "0", alone) == re.sub("[0-9]", "0", n) and beside == f"{alone} and 123"
