@@ -472,3 +472,16 @@ def test_pii_phones_in_short_groups(spark):
     out = [r["text"] for r in pii.pseudonymise(frame(spark, [*numbers, *[f"{n} and 123" for n in numbers]]), "k").orderBy("doc_id").collect()]
     for n, alone, beside in zip(numbers, out[:4], out[4:]):
         assert alone != n and re.sub("[0-9]", "0", alone) == re.sub("[0-9]", "0", n) and beside == f"{alone} and 123"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><div class='page has-sidebar'><div class='no-sidebar'><article><p>The story.</p></article></div></div>",
+        "<body>Top<div class='container menu-open'><main><p>The story.</p></main><div class=sidebar><article>Teaser</article></div></div>",
+        "<body><form action=x><article><p>The story.</p><div class=comments>First!</div></article></form>",
+        "<body><div class='layout search-enabled'><p>The story.</p></div><div class=menu>Home</div>",
+    ],
+)
+def test_a_wrapper_named_after_noise_keeps_its_article(page):
+    assert [b[0] for b in html_text.blocks(page)] == ["The story."]
