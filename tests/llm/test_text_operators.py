@@ -485,3 +485,15 @@ def test_pii_phones_in_short_groups(spark):
 )
 def test_a_wrapper_named_after_noise_keeps_its_article(page):
     assert [b[0] for b in html_text.blocks(page)] == ["The story."]
+
+
+def test_style_tree_counts_pages_and_not_blocks_or_copies(spark):
+    table = "<body><table>" + "".join(f"<tr><td>{'abc'[i % 3]} cell</td></tr>" for i in range(30)) + "</table></body>"
+    copy = "<body>" + "".join(f"<div>Part {i} of a story that stands on many pages.</div>" for i in range(10)) + "</body>"
+    rows = [(0, "https://one.example.com/", table)]
+    rows += [(1 + i, f"https://copies.example.com/{i}", copy) for i in range(200)]
+    rows += [(300 + i, f"https://copies.example.com/x{i}", f"<body><div>Another story, number {i}.</div></body>") for i in range(9)]
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0].count("cell") == 30
+    assert all(got[i].startswith("Part 0 of a story") and "Part 9" in got[i] for i in range(1, 201))
+    assert got[305] == "Another story, number 5."
