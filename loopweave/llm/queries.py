@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as dedup
-from . import fingerprints, html_text, jaccard_join, language_id, packing, pii, sentence_piece, token_counts, toxicity
+from . import fingerprints, html_text, jaccard_join, language_id, packing, pii, sentence_piece, token_counts, top_k_search, toxicity
 from .common import bucket
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,23 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model | None:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.score(documents(spark, sf_dir), toxicity_model(spark, sf_dir))
     return out.select("doc_id", (bucket("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op13_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k_search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op13_top_k_search"] = """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as code
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+    select q.vec_id as query_id, c.vec_id as vec_id,
+           list_sum(list_transform(list_zip(q.code, c.code), lambda p: p[1] * p[2]))::bigint as score
+    from v q join v c on c.vec_id <> q.vec_id
+    where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5
+"""
