@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as dedup
-from . import fingerprints, html_text, jaccard_join, language_id, packing, pii, sentence_piece, token_counts, top_k_search, toxicity
+from . import fingerprints, html_text, jaccard_join, language_id, packing, phrase_mining, pii, sentence_piece, token_counts, top_k_search, toxicity
 from .common import bucket
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,41 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (bucket("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+@query
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(documents(spark, sf_dir))
+
+
+ORACLES["op11_phrase_mining"] = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, row_number() over () as doc,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\n\x0b\x0c\r]')) as piece
+    from documents),
+split as (select lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') as w from pieces),
+runs as (
+    select lang, k, array_to_string(w[i : i + k - 1], ' ') as phrase, count(*)::hugeint as f
+    from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i
+          from (select lang, w, unnest(range(1, 6)) as k from split) where len(w) >= k)
+    group by all),
+total as (select lang, sum(f)::hugeint as n from runs where k = 1 group by lang),
+cand as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from runs where k > 1 and f >= 100),
+held as (
+    select distinct lang, a, array_to_string(w[i : i + j - 1], ' ') as phrase
+    from (select lang, a, w, k, j, unnest(range(1, k - j + 2)) as i from (select *, unnest(range(2, k::bigint)) as j from cand))),
+cuts as (
+    select c.lang, c.phrase, c.a, i, l.f as l, r.f as r, n, 1000 * c.a * n // (l.f * r.f) as score
+    from (select *, unnest(range(1, k)) as i from cand) c
+    join total using (lang)
+    join runs l on l.lang = c.lang and l.phrase = array_to_string(w[1:i], ' ')
+    join runs r on r.lang = c.lang and r.phrase = array_to_string(w[i + 1:], ' ')
+    where not exists (select 1 from held h where h.lang = c.lang and h.phrase = c.phrase and h.a >= c.a)),
+worst as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, i) = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from worst)
+select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score from ranked where rank <= 2000
+"""
+
+
 @query
 def op13_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
