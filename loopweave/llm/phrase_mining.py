@@ -6,9 +6,12 @@ and more are frequent, and so is every part of them.
 1. A sample of the documents proposes phrases: level by level those that reach a lowered threshold in the sample.
 2. One full pass counts the proposed phrases and their negative border: every phrase that isn't proposed while the phrases
    without its last and without its first word are (for single words: all others).
-3. A phrase of the border that turns out frequent is a failure: longer phrases that hold it have not been counted. Failures
-   are added to the proposals, and the next full pass counts what the larger border newly holds. This ends when no border
-   phrase fails; then every frequent phrase has been counted over the whole table.
+3. A phrase of the border that turns out frequent is a failure: longer phrases that hold it have not been counted. Then an
+   expansion pass counts the failures and, level upon level, every phrase that holds a failure and whose parts are
+   proposed or counted in this pass too.
+
+That closes the search: of the frequent phrases not counted take a shortest. Its two parts are frequent, so counted. If both
+are proposed, it is proposed or of the border; if not, a part is a failure or holds one, and the expansion counts it.
 
 Proposals reach the tasks as a bitmap of hashes whose size is set by their number and has a fixed maximum. A bit set by
 chance only means that a phrase more is counted; with a full bitmap a pass is a plain count of all runs of words, linear in
@@ -43,13 +46,13 @@ from .shingles import mixed
 #: One document in so many is in the sample; a phrase is proposed if it reaches this share of its expected count there.
 SAMPLE, LOWERED = 8, 0.4
 #: Bytes of text that a task counts at once.
-PART = 1 << 23
-#: Bits of the bitmap per proposed phrase, and the bitmap's least and largest size.
-BITS, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 30
+PART = 3 << 20
+#: Bits of the bitmap per proposed phrase and per failure, and a bitmap's least and largest size.
+BITS, RARE, LEAST_BITS, MOST_BITS = 16, 256, 1 << 20, 1 << 30
 LONGEST = 5
 _FOLD = bytes(10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_COUNTS = "lang string, size int, phrase string, hash long, n long"
+_COUNTS = "lang string, phrase string, hash long, n long"
 
 
 def parts(batches):
@@ -94,96 +97,96 @@ def _has(bits: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
     return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def count_part(langs: list[str], texts: list[bytes], old: np.ndarray | None, new: np.ndarray | None, only: int = 0):
-    """Rows (lang, size, phrase, hash, n) of a block.
+def count_part(langs: list[str], texts: list[bytes], proposed: np.ndarray | None, failed: np.ndarray | None = None, only: int = 0):
+    """(languages, phrases, hashes, counts) of a block; languages and phrases, or else hashes, are None.
 
-    Counted is what ``new`` proposes, by text, and its border, by hash, but for what a pass with ``old`` has counted in
-    the same way. With ``only`` the phrases of that size whose parts are proposed, by hash. Size 0 holds the words of a
-    language in all.
+    Without ``failed``: the proposed phrases by text, their border by hash, and without phrases the words of each language.
+    With ``failed``: by text the failures, and every phrase that holds one and whose parts are proposed or counted here too.
+    With ``only``: the phrases of that size whose parts are proposed, by hash.
     """
     word, piece, text, different = words_of(texts)
     if not len(word):
         return
     lang_of_text, names = pd.factorize(np.array(langs, dtype=object))
     lang = lang_of_text[text]
-    if not only and old is None:
-        for i, n in enumerate(np.bincount(lang, minlength=len(names))):
-            if n:
-                yield [names[i]], 0, None, np.zeros(1, np.int64), np.array([n])
+    names = pa.array(names, pa.string())
+    if not only and failed is None:
+        total = np.bincount(lang, minlength=len(names))
+        yield names, None, None, total
     word_hash = np.array([xxhash.xxh64_intdigest(w) for w in different], np.uint64)
-    lang_hash = np.array([xxhash.xxh64_intdigest(x.encode()) for x in names], np.uint64)
-    # per phrase of the last size: its hash, language, text, and whether old and new propose it; per place: its number or -1
+    lang_hash = np.array([xxhash.xxh64_intdigest(x.encode()) for x in names.to_pylist()], np.uint64)
+    # number of the phrase at each place, or -1; of each phrase: hash, language, text, whether a failure let it in
     number, unique = pd.factorize(lang * len(different) + word)
-    prefix, last, at_lang = None, unique % len(different), unique // len(different)
+    code, last, at_lang = number, unique % len(different), unique // len(different)
     hashes = mixed(word_hash[last] ^ lang_hash[at_lang])
-    places, counted_before = np.arange(len(word)), np.full(len(unique), old is not None)
+    places, let_in, prefix = np.arange(len(word)), np.zeros(len(unique), bool), None
     phrases: list[bytes] = []
     for size in range(1, LONGEST + 1):
         if size > 1:
-            follows = np.zeros(len(word), bool)
-            here = places[:-1] if size == 2 else places[places < len(word) - 1]
-            follows[here] = (number[here] >= 0) & (number[here + 1] >= 0) & (piece[here] == piece[np.minimum(here + size - 1, len(word) - 1)])
-            places = np.flatnonzero(follows)
+            here = places[places < len(word) - 1]
+            here = here[(number[here] >= 0) & (number[here + 1] >= 0)]
+            places = here[piece[here] == piece[here + size - 1]]
             if not len(places):
                 return
             code, unique = pd.factorize(number[places] * len(different) + word[places + size - 1])
             first = np.empty(len(unique), np.int64)
             first[code[::-1]] = places[::-1]
             prefix, last = unique // len(different), unique % len(different)
-            counted_before = in_old[prefix] & in_old[number[first + 1]]
+            let_in = let_in[prefix] | let_in[number[first + 1]]
             hashes = mixed(hashes[prefix] * _ODD + word_hash[last])
             at_lang = at_lang[prefix]
-            number = np.full(len(word), -1)
-            number[places] = code
-        else:
-            code = number
-        in_new = _has(new, hashes)
-        in_old = _has(old, hashes) & counted_before
+        member = _has(proposed, hashes) & ~let_in
+        let_in |= _has(failed, hashes) & ~member
         n = np.bincount(code, minlength=len(hashes))
-        # texts of the proposed phrases; only they can be the beginning of a longer counted phrase
-        kept = np.flatnonzero(in_new)
+        if only == size:
+            yield None, None, hashes.view(np.int64), n
+            return
+        kept = np.flatnonzero(member | let_in)
         if not only:
             if size == 1:
                 phrases = [different[w] for w in last[kept]]
             else:
                 phrases = [phrases[p] + b" " + different[w] for p, w in zip(prefix[kept].tolist(), last[kept].tolist())]
-            fresh = np.flatnonzero(~in_old[kept])
-            if len(fresh):
-                yield names[at_lang[kept[fresh]]], size, [phrases[i] for i in fresh], np.zeros(len(fresh), np.int64), n[kept[fresh]]
-        if not only or only == size:
-            border = np.arange(len(hashes)) if only else np.flatnonzero(~in_new & ~counted_before)
-            if len(border):
-                yield names[at_lang[border]], size, None, hashes[border].view(np.int64), n[border]
-        if only == size:
-            return
-        # renumber, so that only proposed phrases have a number
+            asked = np.arange(len(kept)) if failed is None else np.flatnonzero(let_in[kept])
+            if len(asked):
+                yield names.take(pa.array(at_lang[kept[asked]])), [phrases[i] for i in asked], None, n[kept[asked]]
+            if failed is None:
+                border = np.flatnonzero(~member)
+                yield None, None, hashes[border].view(np.int64), n[border]
+        # only proposed phrases and those let in keep a number
         dense = np.full(len(hashes), -1)
         dense[kept] = np.arange(len(kept))
+        number = np.full(len(word), -1)
         number[places] = dense[code]
-        hashes, at_lang, in_old = hashes[kept], at_lang[kept], in_old[kept]
+        hashes, at_lang, let_in = hashes[kept], at_lang[kept], let_in[kept]
 
 
 def _rows(found) -> pa.RecordBatch:
-    lang, size, phrase, hashes, n = found
-    text = pa.nulls(len(n), pa.string()) if phrase is None else pa.array(phrase, pa.binary()).cast(pa.string())
-    arrays = [pa.array(lang, pa.string()), pa.array(np.full(len(n), size, np.int32)), text, pa.array(hashes), pa.array(n.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(arrays, ["lang", "size", "phrase", "hash", "n"])
+    lang, phrase, hashes, n = found
+    arrays = [
+        pa.nulls(len(n), pa.string()) if lang is None else lang,
+        pa.nulls(len(n), pa.string()) if phrase is None else pa.array(phrase, pa.binary()).cast(pa.string()),
+        pa.nulls(len(n), pa.int64()) if hashes is None else pa.array(hashes),
+        pa.array(n.astype(np.int64)),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "hash", "n"])
 
 
-def _counted(docs: DataFrame, old: np.ndarray | None, new: np.ndarray | None, only: int = 0) -> DataFrame:
+def _counted(docs: DataFrame, proposed: np.ndarray | None, failed: np.ndarray | None = None, only: int = 0) -> DataFrame:
     """The counts of ``count_part``, summed over the table."""
-    shared = docs.sparkSession.sparkContext.broadcast((old, new))
+    shared = docs.sparkSession.sparkContext.broadcast((proposed, failed))
 
     def count(batches):
         for langs, texts in parts(batches):
             for found in count_part(langs, texts, *shared.value, only):
                 yield _rows(found)
 
-    return docs.mapInArrow(count, _COUNTS).groupBy("lang", "size", "phrase", "hash").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(count, _COUNTS).groupBy("lang", "phrase", "hash").agg(F.sum("n").alias("n"))
 
 
-def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of ``bits`` bits, at most MOST_BITS, over 64-bit hashes."""
+def _bitmap(hashes: DataFrame, each: int) -> np.ndarray:
+    """A bitmap over the column ``hash`` with ``each`` bits per row or somewhat more, within its least and largest size."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (each * hashes.count()).bit_length()))
     out = np.zeros(bits // 8, np.uint8)
     size = BITMAP_BITS // 8
     for row in key_filter(hashes, "hash", bits // BITMAP_BITS).collect():
@@ -193,39 +196,27 @@ def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
 
 
 def frequent_phrases(docs: DataFrame, support: int = 100, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, size, n) of all phrases of up to five words with a count of ``support``; (lang, n) of all words."""
+    """(lang, phrase, n) of all phrases of up to five words with a count of ``support``; (lang, n) of all words."""
     language = F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang")
     docs = docs.select(language, text_of(text_col).alias("text"))
     sample = settle(docs.where(F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(SAMPLE)) == 0))
     least = max(1, math.floor(support / SAMPLE * LOWERED))
-    # level by level; the bitmap takes up all levels so far
-    proposed, bits = None, None
+    levels, bits = sample.select(F.lit(0).cast("long").alias("hash")).limit(0), np.zeros(LEAST_BITS // 8, np.uint8)
     for size in range(1, LONGEST + 1):
-        level = settle(_counted(sample, None, bits, size).where(F.col("n") >= least).select("hash"))
+        level = settle(_counted(sample, bits, only=size).where(F.col("n") >= least).select("hash"))
         if level.isEmpty():
             break
-        proposed = level if proposed is None else proposed.union(level)
-        bits = _bitmap(proposed, _bits_for(proposed.count()))
-    if bits is None:
-        bits = np.zeros(LEAST_BITS // 8, np.uint8)
-
-    old, tables, totals = None, [], None
-    while True:
-        counts = settle(_counted(docs, old, bits).where((F.col("n") >= support) | (F.col("size") == 0)))
-        tables.append(counts.where("size > 0 and phrase is not null").select("lang", "phrase", "size", "n"))
-        totals = totals if totals is not None else counts.where("size = 0").select("lang", "n")
-        failed = counts.where("size > 0 and phrase is null").select("hash")
-        if failed.isEmpty():
-            break
-        old, bits = bits, bits | _bitmap(failed, len(bits) * 8)
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.union(table)
-    return out, totals
-
+        levels = levels.union(level)
+        bits = _bitmap(levels, BITS)
 
-def _bits_for(n: int) -> int:
-    return min(MOST_BITS, max(LEAST_BITS, 1 << (BITS * n - 1).bit_length()))
+    frequent = F.col("n") >= support
+    total = F.col("phrase").isNull() & F.col("hash").isNull()
+    counts = settle(_counted(docs, bits).where(frequent | total))
+    found, totals = counts.where(F.col("phrase").isNotNull()), counts.where(total).select("lang", "n")
+    failures = counts.where(F.col("hash").isNotNull()).select("hash")
+    if not failures.isEmpty():
+        found = found.union(settle(_counted(docs, bits, _bitmap(failures, RARE)).where(frequent)))
+    return found.select("lang", "phrase", "n"), totals
 
 
 def collocations(docs: DataFrame, support: int = 100, top: int = 2000, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -235,8 +226,8 @@ def collocations(docs: DataFrame, support: int = 100, top: int = 2000, text_col:
     out in exact decimals. A phrase that a longer one with the same count holds is left out.
     """
     counted, totals = frequent_phrases(docs, support, text_col, lang_col)
-    counted = settle(counted.where(F.col("n") >= support))
-    words = counted.where("size > 1").select("lang", "phrase", "size", F.col("n").alias("a"), F.split("phrase", " ").alias("w"))
+    counted = counted.select("*", F.split("phrase", " ").alias("w")).select("*", F.size("w").alias("size"))
+    words = counted.where("size > 1").select("lang", "phrase", "size", F.col("n").alias("a"), "w")
 
     # a longer phrase with the same count means that one longer by one word has it too: counts never rise with length
     inner = F.explode(F.array(F.slice("w", 1, F.col("size") - 1), F.slice("w", 2, F.col("size") - 1)))
@@ -248,14 +239,13 @@ def collocations(docs: DataFrame, support: int = 100, top: int = 2000, text_col:
 
     cuts = kept.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
     cuts = cuts.select("lang", "phrase", "a", "k", side(F.slice("w", F.lit(1), F.col("k")), "first"), side(F.slice("w", F.col("k") + 1, F.col("size")), "rest"))
-    sides = counted.select("lang", "phrase", "n")
-    cuts = cuts.join(sides.select("lang", F.col("phrase").alias("first"), F.col("n").alias("l")), ["lang", "first"])
-    cuts = cuts.join(sides.select("lang", F.col("phrase").alias("rest"), F.col("n").alias("r")), ["lang", "rest"])
+    cuts = cuts.join(counted.select("lang", F.col("phrase").alias("first"), F.col("n").alias("l")), ["lang", "first"])
+    cuts = cuts.join(counted.select("lang", F.col("phrase").alias("rest"), F.col("n").alias("r")), ["lang", "rest"])
     cuts = cuts.join(totals, "lang")
     wide = [F.col(c).cast("decimal(19,0)") for c in ("a", "n", "l", "r")]
-    score = F.expr("cast(thousand * an div lr as bigint)")
-    scored = cuts.select("lang", "phrase", "a", "n", "k", "l", "r", F.lit(1000).cast("decimal(4,0)").alias("thousand"), (wide[0] * wide[1]).cast("decimal(34,0)").alias("an"), (wide[2] * wide[3]).alias("lr"))
-    weakest = scored.withColumn("score", score).groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
+    products = cuts.withColumns({"an": (wide[0] * wide[1]).cast("decimal(34,0)"), "lr": wide[2] * wide[3]})
+    scored = products.withColumn("score", F.expr("cast(1000 * an div lr as bigint)"))
+    weakest = scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     flat = weakest.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
     ranked = flat.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
