@@ -8,7 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as dedup
-from . import fingerprints, html_text, jaccard_join, language_id, packing, phrase_mining, pii, sentence_piece, token_counts, top_k_search, toxicity
+from . import (
+    conversation_repair,
+    fingerprints,
+    html_text,
+    jaccard_join,
+    language_id,
+    packing,
+    phrase_mining,
+    pii,
+    sentence_piece,
+    token_counts,
+    top_k_search,
+    toxicity,
+)
 from .common import bucket
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,6 +157,11 @@ select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bi
 """
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
 @query
 def op13_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
