@@ -328,32 +328,76 @@ def poly_quadratic(spark, sf):
 
 # -- forest -------------------------------------------------------------------------------------
 
-# Small forests keep the check short; the library's parameter lists are in models/forest.py.
-TREES, DEPTH = 20, 8
+
+def tree_sql(depth: int) -> str:
+    """A single tree per sensor, level by level: ``n{depth}`` gives the node of each point of ``spots``.
+
+    Equal gains: weekday before interval, then the lower threshold.
+    """
+    parts = [
+        f"""cells as (select detid, cast({W} as integer) as w, interval_s as h, count(*) as m, sum(traffic) as sy from train group by all)""",
+        "spots as (select detid, w, h from cells union select detid, cast(" + W + " as integer), interval_s from test)",
+        "n0 as (select detid, w, h, 0 as node from spots)",
+    ]
+    for d in range(depth):
+        parts.append(
+            f"""v{d} as (select c.*, node, sy / m as y, min(sy / m) over part as low, max(sy / m) over part as high
+              from cells c join n{d} using (detid, w, h) window part as (partition by detid, node)),
+            f{d} as (select detid, node, 0 as f, w as x, sum(m) as m, sum(sy) as s from v{d} where high > low group by all
+              union all select detid, node, 1, h, sum(m), sum(sy) from v{d} where high > low group by all),
+            g{d} as (select *, sum(m) over upto as lm, sum(s) over upto as ls, sum(m) over part as tm, sum(s) over part as ts, lead(x) over upto as next
+              from f{d} window part as (partition by detid, node, f), upto as (partition by detid, node, f order by x)),
+            s{d} as (select detid, node, f, (x + next) / 2.0 as cut from g{d} where next is not null qualify row_number() over (
+              partition by detid, node order by round(ls * ls / lm + (ts - ls) * (ts - ls) / (tm - lm), 6) desc, f, x) = 1),
+            n{d + 1} as (select n.detid, w, h, case when f is null then case when node < 0 then node else -1 - node end
+                else 2 * node + case when case when f = 0 then w else h end > cut then 2 else 1 end end as node
+              from n{d} n left join s{d} using (detid, node))"""
+        )
+    return ", ".join(parts)
+
+
+TREE_DEPTH = 3
+
+
+@query(
+    "forest_tree",
+    f"""with {tree_sql(TREE_DEPTH)},
+      value as (select detid, node, sum(sy) / sum(m) as p from cells join n{TREE_DEPTH} using (detid, w, h) group by all)
+      select t.detid, t.weekday, t.interval_s, {r('t.traffic')} as traffic_actual, {r('p')} as traffic_pred
+      from test t join n{TREE_DEPTH} n on n.detid = t.detid and n.w = cast({WEEKDAY_SQL.format('t.weekday')} as integer) and n.h = t.interval_s
+      join value v on v.detid = n.detid and v.node = n.node""",
+)
+def forest_tree(spark, sf):
+    train, test = train_test(spark, sf)
+    return rounded(forest.forecast_forest(train, test, forest.one_tree(train, TREE_DEPTH), bootstrap=False))
+
+
+@query("cv_forest")
+def cv_forest(spark, sf):
+    return rounded(forest.cv_scores(train_test(spark, sf)[0]))
 
 
-def fitted_forest(spark, sf):
+def tuned_forest(spark, sf):
     train, test = train_test(spark, sf)
-    means = keyed.settle(forest.sensor_means(train))
-    return forest.fit_forest(train, means, TREES, DEPTH), means, test
+    return train, test, keyed.settle(forest.tune_forest(train))
 
 
 @query("model_forest")
 def model_forest(spark, sf):
-    model, means, test = fitted_forest(spark, sf)
-    return forest.forecast_forest(model, test, means)
+    train, test, best = tuned_forest(spark, sf)
+    return forest.forecast_forest(train, test, best)
 
 
 @query("predict_forest")
 def predict_forest(spark, sf):
-    model, means, _ = fitted_forest(spark, sf)
-    return forest.predict_forest(model, means, "Tuesday", baseline.DAY_HOURS)
+    train, _, best = tuned_forest(spark, sf)
+    return forest.predict_forest(train, best, "Tuesday", baseline.DAY_HOURS)
 
 
 @query("eval_forest")
 def eval_forest(spark, sf):
-    model, means, test = fitted_forest(spark, sf)
-    return forest.eval_forest(model, test, means)
+    train, test, best = tuned_forest(spark, sf)
+    return forest.eval_forest(train, test, best)
 
 
 # -- additive seasonal model --------------------------------------------------------------------

@@ -81,17 +81,66 @@ def test_pooled_seasonal_beats_nothing(tables):
 
 def test_forest(tables):
     train, test = tables
-    means = forest.sensor_means(train)
-    model = forest.fit_forest(train, means, trees=10, depth=8)
-    scores = forest.eval_forest(model, test, means).toPandas()
-    assert set(scores["detid"]) == set(SENSORS) and (scores["MAE"] < 3).all()
-    assert forest.predict_forest(model, means, "Monday", baseline.DAY_HOURS).count() == 72
-
-
-def test_forest_search_uses_the_folds(tables):
-    train, _ = tables
-    best = forest.tune_forest(train, forest.sensor_means(train), (5,), (2, 8), (1,), folds=3)
-    assert best.bestModel.getMaxDepth() == 8 and len(best.avgMetrics) == 2
+    best = forest.tune_forest(train, trees=(10, 30), depths=(2, 10), min_split=(2, 10), min_leaf=(1, 4), folds=3).cache()
+    rows = best.collect()
+    assert {r["detid"] for r in rows} == set(SENSORS) and {r["depth"] for r in rows} == {10}
+    scores = forest.eval_forest(train, test, best).toPandas()
+    assert set(scores["detid"]) == set(SENSORS) and (scores["MAE"] < 2).all()
+    day = forest.predict_forest(train, best, "Monday", baseline.DAY_HOURS)
+    assert sorted(day.collect()) == sorted(day.collect()) and day.count() == 72
+
+
+def _tree(rows, depth, min_split, min_leaf):
+    """A plain recursive tree over (w, h, drawn rows, mean); returns its forecast function."""
+    size = sum(m for _, _, m, _ in rows)
+    value = sum(m * y for _, _, m, y in rows) / size
+    best = None
+    if depth and size >= min_split and len({y for *_, y in rows}) > 1:
+        for f in (0, 1):
+            xs = sorted({r[f] for r in rows})
+            for a, b in zip(xs, xs[1:]):
+                left, right = [r for r in rows if r[f] <= a], [r for r in rows if r[f] > a]
+                counts = [sum(m for _, _, m, _ in part) for part in (left, right)]
+                if min(counts) >= min_leaf:
+                    gain = round(sum(sum(m * y for _, _, m, y in part) ** 2 / n for part, n in zip((left, right), counts)), 6)
+                    if best is None or gain > best[0]:
+                        best = gain, f, (a + b) / 2, left, right
+    if best is None:
+        return lambda w, h: value
+    _, f, cut, left, right = best
+    low, high = (_tree(part, depth - 1, min_split, min_leaf) for part in (left, right))
+    return lambda w, h: (low if (w, h)[f] <= cut else high)(w, h)
+
+
+@pytest.mark.parametrize("min_leaf", [1, 3])
+def test_one_fit_answers_all_settings(min_leaf):
+    """Trees grown by themselves for each setting give what the nested fit gives."""
+    rng = np.random.default_rng(9)
+    place = rng.permutation([(w, h) for w in range(7) for h in range(0, 20, 2)])[:45]
+    w, h = place.T
+    rows = rng.integers(0, 4, 45)
+    mean = np.where(rows > 0, np.round(w * 3 + np.sin(h) * 5 + rng.normal(0, 2, 45), 1), 0.0)
+    trees, depths, splits = (1, 4), (1, 3, 12), (2, 6)
+    got = forest.forest_values(w, h, rows, mean, trees, depths, splits, min_leaf, np.random.default_rng(2))
+    n = rows.sum()
+    drawn = np.random.default_rng(2).multinomial(n, rows / n, size=4)
+    for i, t in enumerate(trees):
+        for j, d in enumerate(depths):
+            for k, s in enumerate(splits):
+                grown = [_tree([x for x in zip(w.tolist(), h.tolist(), draw.tolist(), mean.tolist()) if x[2]], d, s, min_leaf) for draw in drawn[:t]]
+                want = [np.mean([tree(*x) for tree in grown]) for x in place.tolist()]
+                assert np.allclose(got[i, j, k], want)
+
+
+def test_forest_of_few_rows(spark):
+    rows = [("one", "Monday", 0, 5.0), ("null", "Monday", 0, None), ("two", "Monday", 0, 2.0), ("two", "Friday", 0, 4.0), (None, "Monday", 0, 1.0), ("two", None, 0, 9.0)]
+    train = spark.createDataFrame([(*r, "2024-01-01") for r in rows], "detid string, weekday string, interval_s int, traffic double, day string")
+    asked = spark.createDataFrame([(k, "Friday", 3600) for k in ("one", "null", "two", "other")], "detid string, weekday string, interval_s int")
+    got = {r["detid"]: r["traffic"] for r in forest.forecast_points(train, asked, forest.one_tree(train, 2), bootstrap=False).collect()}
+    assert got == {"one": 5.0, "two": 4.0}
+    bagged = {r["detid"]: r["traffic"] for r in forest.forecast_points(train, asked, forest.one_tree(train, 2).withColumn("trees", F.lit(50))).collect()}
+    assert bagged["one"] == 5.0 and 2.0 < bagged["two"] < 4.0
+    assert forest.tune_forest(train.limit(0)).count() == 0
 
 
 def test_polynomial_equals_numpy(spark, tables):
