@@ -1,7 +1,9 @@
 """Additive trend + daily season on the folded week, per sensor or pooled.
 
-The model follows the decomposable form of Taylor & Letham (2018), "Forecasting at scale":
-piecewise linear trend plus Fourier terms, here fitted by ridge regression.
+The model follows Taylor & Letham (2018), "Forecasting at scale": piecewise linear trend plus
+Fourier terms, with a Laplace prior on the changes of the trend, normal priors on the other terms
+and a half-normal prior on the noise. The most probable parameters are found by turns: a ridge
+solve in which a change weighs by its last size, then the noise in closed form from the residuals.
 
 Features depend on the second of the week only. Spark therefore reduces each sensor to its
 week slots (count, sum, sum of squares of the index), at most a few hundred numbers, and
@@ -31,6 +33,12 @@ PRIOR_POOLED = 0.01
 PRIORS = (0.005, 0.05, 0.5, 1.0, 10.0)
 BAND_Z = 1.2816
 SEASON_PRIOR = 10.0
+TREND_PRIOR = 5.0
+NOISE_PRIOR = 0.5
+# Turns of the fit; smallest change and noise variance (in units of the index's root mean square) they divide by.
+TURNS = 12
+LEAST_BEND = 1e-4
+LEAST_VARIANCE = 1e-4
 
 MODEL_FIELDS = "coef array<double>, sigma double, n bigint"
 
@@ -54,12 +62,6 @@ def _knot(i: int) -> float:
     return CHANGEPOINT_RANGE * (i + 1) / (CHANGEPOINTS + 1)
 
 
-def _penalty(prior: float, weekday_effect: bool, extra: int = 0) -> list[float]:
-    bend, season = 1.0 / prior**2, 1.0 / SEASON_PRIOR**2
-    days = 6 if weekday_effect else 0
-    return [0.0, 0.0] + [bend] * CHANGEPOINTS + [season] * (2 * FOURIER_ORDER + days + extra)
-
-
 def week_slots_sums(train: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Count, sum and sum of squares of the index per key and second of the week."""
     second = week_second("weekday", "interval_s")
@@ -81,15 +83,14 @@ def fit_seasonal(
     # One entry per slot of the week: bounded by the calendar, whatever the sensor's row count.
     gathered = slots.groupBy(key).agg(F.collect_list(F.struct("x", "m", "sy", "syy")).alias("slots"))
     tasks = gathered.withColumn("prior", F.explode(F.array(*[F.lit(float(p)) for p in priors])))
-    penalties = {float(p): _penalty(p, weekday_effect) for p in priors}
-    return tasks.mapInPandas(_solver(key, penalties), f"{_field(train, key)}, prior double, {MODEL_FIELDS}")
+    return tasks.mapInPandas(_solver(key), f"{_field(train, key)}, prior double, {MODEL_FIELDS}")
 
 
 def _field(df: DataFrame, key: str) -> str:
     return f"`{key}` {df.schema[key].dataType.simpleString()}"
 
 
-def _solver(key: str, penalties: dict[float, list[float]]):
+def _solver(key: str):
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
@@ -100,7 +101,7 @@ def _solver(key: str, penalties: dict[float, list[float]]):
                 m = np.array([s["m"] for s in slots], dtype=float)
                 sy = np.array([s["sy"] for s in slots], dtype=float)
                 syy = sum(s["syy"] for s in slots)
-                coef, sigma = _ridge(np, x, m, sy, syy, penalties[prior])
+                coef, sigma = _most_probable(np, (x * m[:, None]).T @ x, x.T @ sy, syy, m.sum(), prior)
                 coefs.append(coef)
                 sigmas.append(sigma)
                 counts.append(int(m.sum()))
@@ -111,16 +112,25 @@ def _solver(key: str, penalties: dict[float, list[float]]):
     return solve
 
 
-def _ridge(np, x, m, sy, syy, penalty):
-    """Ridge fit from slot sums. The index is scaled by its root mean square, so priors are unit-free."""
-    n = m.sum()
+def _most_probable(np, gram, right, syy: float, n: float, prior: float) -> tuple[list[float], float]:
+    """Coefficients and noise deviation from the sums of a design: 1, trend, bends, then terms with the season's prior.
+
+    The index is scaled by its root mean square, so priors are unit-free.
+    """
     scale = np.sqrt(syy / n) or 1.0
-    noise = 0.05
-    gram = (x * m[:, None]).T @ x / noise + np.diag(penalty) + 1e-9 * np.eye(x.shape[1])
-    coef = np.linalg.solve(gram, x.T @ sy / scale / noise) * scale
-    fit = x @ coef
-    sse = max(float(syy - 2 * fit @ sy + (m * fit) @ fit), 0.0)
-    return [float(c) for c in coef], float(np.sqrt(sse / max(n - 1.0, 1.0)))
+    right, square = right / scale, syy / scale**2
+    penalty = np.full(len(right), 1.0 / SEASON_PRIOR**2)
+    penalty[:2] = 1.0 / TREND_PRIOR**2
+    bends = slice(2, 2 + CHANGEPOINTS)
+    size, variance = np.full(CHANGEPOINTS, prior), NOISE_PRIOR**2
+    for _ in range(TURNS):
+        penalty[bends] = 1.0 / (prior * size)
+        coef = np.linalg.solve(gram / variance + np.diag(penalty), right / variance)
+        sse = max(float(square - 2 * coef @ right + coef @ gram @ coef), 0.0)
+        # the root of -n / s + sse / s^3 - s / NOISE_PRIOR^2, for the variance s^2
+        variance = max(2 * sse / (n + np.sqrt(n * n + 4 * sse / NOISE_PRIOR**2)), LEAST_VARIANCE)
+        size = np.maximum(np.abs(coef[bends]), LEAST_BEND)
+    return [float(c * scale) for c in coef], float(np.sqrt(variance) * scale)
 
 
 def _value(weekday_effect: bool) -> Column:
@@ -181,7 +191,6 @@ def fit_pooled(train: DataFrame, codes: DataFrame, key: str = "detid", prior: fl
         .withColumn("x", features(F.col("second")))
     )
     one = sums.agg(F.collect_list(F.struct("x", "m", "sy", "syy", "sc", "scc", "scy")).alias("slots"))
-    penalty = _penalty(prior, False, extra=1)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
@@ -194,19 +203,14 @@ def fit_pooled(train: DataFrame, codes: DataFrame, key: str = "detid", prior: fl
                 x = np.array([list(s["x"]) for s in slots], dtype=float)
                 col = {f: np.array([s[f] for s in slots], dtype=float) for f in ("m", "sy", "syy", "sc", "scc", "scy")}
                 n = col["m"].sum()
-                scale = np.sqrt(col["syy"].sum() / n) or 1.0
                 span = np.sqrt(col["scc"].sum() / n) or 1.0
                 cross = x.T @ (col["sc"] / span)
                 top = np.hstack([(x * col["m"][:, None]).T @ x, cross[:, None]])
                 gram = np.vstack([top, np.append(cross, col["scc"].sum() / span**2)])
-                noise = 0.05
-                right = np.append(x.T @ col["sy"], col["scy"].sum() / span) / scale
-                full = np.linalg.solve(
-                    gram / noise + np.diag(penalty) + 1e-9 * np.eye(len(penalty)), right / noise
-                ) * scale
-                sse = float(col["syy"].sum() - 2 * full @ (right * scale) + full @ gram @ full)
-                full[-1] /= span
-                rows.append((list(map(float, full)), float(np.sqrt(max(sse, 0.0) / max(n - 1.0, 1.0))), int(n)))
+                right = np.append(x.T @ col["sy"], col["scy"].sum() / span)
+                coef, sigma = _most_probable(np, gram, right, float(col["syy"].sum()), n, prior)
+                coef[-1] /= span
+                rows.append((coef, sigma, int(n)))
             yield pd.DataFrame(rows, columns=["coef", "sigma", "n"])
 
     return one.mapInPandas(solve, MODEL_FIELDS)
@@ -248,9 +252,9 @@ def future_frame(train: DataFrame, key: str = "detid", steps: int = 300) -> Data
     return seconds.select(key, second.alias("second"), folded_timestamp(second).alias("ds"))
 
 
-def predict_future(model: DataFrame, future: DataFrame, key: str = "detid") -> DataFrame:
-    """Forecast along a future frame; the last trend continues."""
-    shown = _banded(future.join(model, key), _value(False))
+def predict_future(model: DataFrame, future: DataFrame, key: str = "detid", weekday_effect: bool = False) -> DataFrame:
+    """Forecast along a future frame; the last trend continues, weekdays repeat."""
+    shown = _banded(future.join(model, key), _value(weekday_effect))
     return shown.select(key, "ds", "traffic", "yhat_lower", "yhat_upper")
 
 

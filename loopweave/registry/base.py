@@ -30,16 +30,17 @@ def query(name: str, oracle: str | None = None):
 # -- results on the 1e-6 grid: sums in another order differ in the last bits only ---------------
 
 
-def r(expr: str) -> str:
+def r(expr: str, digits: int = 6) -> str:
     """DuckDB: six decimals; the offset keeps exact halves off the rounding edge."""
-    return f"(floor(({expr}) * 1e6 + 0.501) / 1e6)"
+    return f"(floor(({expr}) * 1e{digits} + 0.501) / 1e{digits})"
 
 
-def rounded(df: DataFrame) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Spark: the same rounding on every double column."""
+    size = F.lit(float(10**digits))
     return df.select(
         *[
-            (F.floor(F.col(f.name) * F.lit(1e6) + F.lit(0.501)) / F.lit(1e6)).alias(f.name)
+            (F.floor(F.col(f.name) * size + F.lit(0.501)) / size).alias(f.name)
             if isinstance(f.dataType, T.DoubleType)
             else F.col(f.name)
             for f in df.schema
@@ -118,6 +119,7 @@ def with_ctes(body: str) -> str:
     if not needed:
         return body
     listed = ",\n".join(f"{name} as ({sql})" for name, sql in CTES.items() if name in needed)
-    joint = "," if body.lstrip().startswith("with ") else ""
-    rest = body.lstrip()[5:] if joint else body
-    return f"with {listed}{joint}\n{rest}"
+    for start in ("with recursive ", "with "):
+        if body.lstrip().startswith(start):
+            return f"{start}{listed},\n{body.lstrip()[len(start):]}"
+    return f"with {listed}\n{body}"

@@ -412,39 +412,140 @@ def seasonal_slots(spark, sf):
     return rounded(seasonal.week_slots_sums(train_test(spark, sf)[0], ["detid"]))
 
 
-@query("model_seasonal")
+def design_sql(weekdays: bool = False, code: bool = False) -> str:
+    """The terms of a second of the week as a list."""
+    t = "(second / 604800.0)"
+    parts = ["1.0::double", t]
+    parts += [f"greatest({t} - {seasonal._knot(i)!r}, 0.0)" for i in range(seasonal.CHANGEPOINTS)]
+    parts += [f"{f}(second / 86400.0 * 2 * pi() * {j})" for j in range(1, seasonal.FOURIER_ORDER + 1) for f in ("sin", "cos")]
+    parts += [f"case when (second // 86400) % 7 = {d} then 1.0 else 0.0 end" for d in range(6)] if weekdays else []
+    return "[" + ", ".join(parts + (["code::double"] if code else [])) + "]::double[]"
+
+
+def fit_sql(priors, weekdays: bool = False, pooled: bool = False) -> str:
+    """``fitted`` (detid, prior, coef, sigma, n) by elimination: each step of the recursion clears a column of the normal
+    equations; after the last column a step works out noise and weights and sets them up anew."""
+    bends, season = seasonal.CHANGEPOINTS, 2 * seasonal.FOURIER_ORDER + 6 * weekdays + pooled
+    size = 2 + bends + season
+    turn = size + 1
+    trend, other = 1 / seasonal.TREND_PRIOR**2, 1 / seasonal.SEASON_PRIOR**2
+    key, rows = ("0 as detid", "train join codes using (detid)") if pooled else ("detid", "train")
+    code = "code" if pooled else "0 as code"
+
+    def matrix(variance: str, sizes: str) -> str:
+        weights = f"list_concat([{trend!r}, {trend!r}], list_transform({sizes}, lambda b: 1 / (prior * b)), [{', '.join([repr(other)] * season)}])"
+        return f"""list_transform(g, lambda line, i: list_append(list_transform(line, lambda v, j:
+          v / ({variance}) + case when i = j then ({weights})[i] else 0.0 end), r[i] / ({variance})))"""
+
+    sse = "greatest(s - 2 * list_inner_product(coef, r) + list_sum(list_transform(g, lambda line, i: coef[i] * list_inner_product(line, coef))), 0.0)"
+    variance = f"greatest(2 * sse / (n + sqrt(n * n + {4 / seasonal.NOISE_PRIOR**2!r} * sse)), {seasonal.LEAST_VARIANCE!r})"
+    return f"""wide as (select {key}, {code}, cast(({W}) * 86400 + interval_s as integer) as second, count(*)::double as m, sum(traffic) as sy,
+        sum(traffic * traffic) as syy from {rows} group by all),
+      points as (select *, {design_sql(weekdays, pooled)} as x from wide),
+      products as (select detid, i, j, sum(m * x[i] * x[j]) as v from points, range(1, {size + 1}) a(i), range(1, {size + 1}) b(j) group by all),
+      lines as (select detid, i, list(v order by j) as line from products group by all),
+      grams as (select detid, list(line order by i) as g from lines group by all),
+      sides as (select detid, i, sum(sy * x[i]) as v from points, range(1, {size + 1}) a(i) group by all),
+      rights as (select detid, list(v order by i) as r from sides group by all),
+      sums as (select detid, sum(m) as n, sum(syy) as syy from points group by all),
+      spans as (select *, case when syy = 0 then 1.0 else sqrt(syy / n) end as scale,
+        {f"case when g[{size}][{size}] = 0 then 1.0 else sqrt(g[{size}][{size}] / n) end" if pooled else "1.0"} as span
+        from grams join rights using (detid) join sums using (detid)),
+      normal as (select detid, n, scale, span, syy / scale / scale as s,
+        list_transform(g, lambda line, i: list_transform(line, lambda v, j: v / case when {pooled} and i = {size} then span else 1 end / case when {pooled} and j = {size} then span else 1 end)) as g,
+        list_transform(r, lambda v, i: v / scale / case when {pooled} and i = {size} then span else 1 end) as r from spans),
+      turns(detid, prior, step, a, coef, variance) using key (detid, prior) as (
+        select detid, prior, 0, {matrix(repr(seasonal.NOISE_PRIOR**2), f"list_transform(range({bends}), lambda z: prior)")}, []::double[], 0::double
+        from normal, (select unnest([{', '.join(map(repr, priors))}]::double[]) as prior)
+        union
+        select detid, prior, step + 1,
+          case when step % {turn} < {size} then list_transform(a, lambda line, i: case when i = k then p else
+              list_transform(line, lambda v, j: v - line[k] * p[j]) end)
+            else {matrix("var", f"list_transform(coef[3:{2 + bends}], lambda c: greatest(abs(c), {seasonal.LEAST_BEND!r}))")} end,
+          coef, case when step % {turn} = {size} then var else variance end
+        from (select *, {variance} as var from (select *, case when step % {turn} = {size} then {sse} else 0.0 end as sse from (
+          select detid, prior, step, a, variance, n, s, g, r, step % {turn} + 1 as k, list_transform(a[step % {turn} + 1], lambda v: v / a[step % {turn} + 1][step % {turn} + 1]) as p,
+            case when step % {turn} = {size} then list_transform(a, lambda line: line[{size + 1}]) else t.coef end as coef
+          from turns t join normal using (detid) where step < {seasonal.TURNS * turn})))),
+      fitted as (select detid, prior, list_transform(coef, lambda c, i: c * scale / case when {pooled} and i = {size} then span else 1 end) as coef, sqrt(variance) * scale as sigma, n
+        from turns join normal using (detid))"""
+
+
+def value_sql(weekdays: bool = False, code: bool = False) -> str:
+    return f"list_inner_product({design_sql(weekdays, code)}, coef)"
+
+
+# Both sides solve the same equations by other eliminations; four decimals lie well above the difference.
+SOLVED = 4
+BAND = f"{r('p', SOLVED)} as traffic, {r(f'p - {seasonal.BAND_Z} * sigma', SOLVED)} as yhat_lower, {r(f'p + {seasonal.BAND_Z} * sigma', SOLVED)} as yhat_upper"
+SOLVED_SCORES = SCORES.replace("1e6", f"1e{SOLVED}")
+PER_SENSOR = f"with recursive {fit_sql([seasonal.PRIOR_PER_SENSOR])}"
+SECONDS = f"(select *, cast(({W}) * 86400 + interval_s as integer) as second from test)"
+
+
+@query(
+    "model_seasonal",
+    f"""{PER_SENSOR}, terms as (select detid, prior, unnest(range(len(coef)))::integer as term, unnest(coef) as coef, sigma, n from fitted)
+        select detid, prior, term, {r('coef', SOLVED)} as coef, {r('sigma', SOLVED)} as sigma, n::bigint as n from terms""",
+)
 def model_seasonal(spark, sf):
     model = seasonal.fit_seasonal(train_test(spark, sf)[0])
-    return model.select("detid", "prior", F.posexplode("coef").alias("term", "coef"), "sigma", "n")
+    return rounded(model.select("detid", "prior", F.posexplode("coef").alias("term", "coef"), "sigma", "n"), SOLVED)
 
 
-@query("predict_seasonal")
+@query(
+    "predict_seasonal",
+    f"""{PER_SENSOR}, asked as (select detid, coef, sigma, cast(s.range * 3600 as integer) as interval_s, cast(86400 + s.range * 3600 as integer) as second
+          from fitted, range(24) s), shown as (select *, {value_sql()} as p from asked)
+        select detid, interval_s, {BAND} from shown""",
+)
 def predict_seasonal(spark, sf):
-    return seasonal.predict_seasonal(seasonal.fit_seasonal(train_test(spark, sf)[0]), "Tuesday")
+    return rounded(seasonal.predict_seasonal(seasonal.fit_seasonal(train_test(spark, sf)[0]), "Tuesday"), SOLVED)
 
 
-@query("eval_seasonal")
+@query(
+    "eval_seasonal",
+    f"""{PER_SENSOR}, pairs as (select detid, traffic as y, {value_sql()} as p from {SECONDS} join fitted using (detid))
+        select detid, {SOLVED_SCORES} from pairs group by 1""",
+)
 def eval_seasonal(spark, sf):
     train, test = train_test(spark, sf)
-    return seasonal.eval_seasonal(test, seasonal.fit_seasonal(train))
+    return rounded(seasonal.eval_seasonal(test, seasonal.fit_seasonal(train)), SOLVED)
 
 
-@query("tune_seasonal")
+@query(
+    "tune_seasonal",
+    f"""with recursive {fit_sql(seasonal.PRIORS)}, pairs as (select detid, prior, traffic as y, {value_sql()} as p from {SECONDS} join fitted using (detid))
+        select detid, prior, {SOLVED_SCORES} from pairs group by 1, 2""",
+)
 def tune_seasonal(spark, sf):
     train, test = train_test(spark, sf)
-    return seasonal.tune_seasonal(train, test)
+    return rounded(seasonal.tune_seasonal(train, test), SOLVED)
 
 
-@query("model_seasonal_pooled")
+POOLED_SEASONAL = f"""with recursive {CODES}, {fit_sql([seasonal.PRIOR_POOLED], pooled=True)},
+  shown as (select detid, weekday, interval_s, traffic as y, {value_sql(code=True)} as p, sigma
+    from {SECONDS} join codes using (detid), (select coef, sigma from fitted))"""
+
+
+@query(
+    "model_seasonal_pooled",
+    f"""{POOLED_SEASONAL} select detid, weekday, interval_s, {r('y', SOLVED)} as traffic_actual, {r('p', SOLVED)} as traffic_pred,
+        {r(f'p - {seasonal.BAND_Z} * sigma', SOLVED)} as yhat_lower, {r(f'p + {seasonal.BAND_Z} * sigma', SOLVED)} as yhat_upper from shown""",
+)
 def model_seasonal_pooled(spark, sf):
+    return rounded(_pooled_forecast(spark, sf), SOLVED)
+
+
+def _pooled_forecast(spark, sf):
     train, test = train_test(spark, sf)
     codes = keyed.settle(features.label_codes(train, "detid"))
     return seasonal.forecast_pooled(test, seasonal.fit_pooled(train, codes), codes)
 
 
-@query("eval_seasonal_pooled")
+@query("eval_seasonal_pooled", f"{POOLED_SEASONAL} select {SOLVED_SCORES} from shown")
 def eval_seasonal_pooled(spark, sf):
-    return seasonal.eval_pooled(model_seasonal_pooled(spark, sf))
+    return rounded(seasonal.eval_pooled(_pooled_forecast(spark, sf)), SOLVED)
 
 
 @query(
@@ -458,10 +559,30 @@ def future_frame(spark, sf):
     return frame.select("detid", "second", F.date_format("ds", "yyyy-MM-dd HH:mm:ss").alias("ds"))
 
 
-@query("predict_future")
-def predict_future(spark, sf):
+def future_sql(weekdays: bool) -> str:
+    return f"""with recursive {fit_sql([seasonal.PRIOR_PER_SENSOR], weekdays)},
+      ends as (select detid, max(({W}) * 86400 + interval_s) as last from train group by 1),
+      ahead as (select detid, last + s.range * 3600 as second, coef, sigma from ends join fitted using (detid), range(1, 301) s),
+      shown as (select *, {value_sql(weekdays)} as p from ahead)
+      select detid, strftime(timestamp '2015-05-18' + to_seconds(second), '%Y-%m-%d %H:%M:%S') as ds, {BAND} from shown"""
+
+
+def _future(spark, sf, weekdays: bool):
     train, _ = train_test(spark, sf)
-    return seasonal.predict_future(seasonal.fit_seasonal(train), seasonal.future_frame(train))
+    shown = seasonal.predict_future(
+        seasonal.fit_seasonal(train, weekday_effect=weekdays), seasonal.future_frame(train), weekday_effect=weekdays
+    )
+    return rounded(shown.withColumn("ds", F.date_format("ds", "yyyy-MM-dd HH:mm:ss")), SOLVED)
+
+
+@query("predict_future", future_sql(False))
+def predict_future(spark, sf):
+    return _future(spark, sf, False)
+
+
+@query("predict_future_weekdays", future_sql(True))
+def predict_future_weekdays(spark, sf):
+    return _future(spark, sf, True)
 
 
 # -- predictions on the map ---------------------------------------------------------------------

@@ -25,26 +25,58 @@ def tables(spark):
     return parts.where("role = 'train'").drop("role"), parts.where("role = 'test'").drop("role")
 
 
-def test_seasonal_equals_a_direct_ridge(tables):
+def _design(second):
+    t = second / 604800
+    knots = [seasonal.CHANGEPOINT_RANGE * (i + 1) / (seasonal.CHANGEPOINTS + 1) for i in range(seasonal.CHANGEPOINTS)]
+    waves = [f(2 * np.pi * second / 86400 * j) for j in range(1, 5) for f in (np.sin, np.cos)]
+    return np.column_stack([np.ones_like(t), t] + [np.maximum(t - k, 0) for k in knots] + waves)
+
+
+def test_seasonal_fit_is_the_most_probable_one(tables, monkeypatch):
+    """No small step in any direction is more probable under the Laplace, normal and half-normal priors."""
+    monkeypatch.setattr(seasonal, "TURNS", 300)
     train, _ = tables
-    model = {r["detid"]: r for r in seasonal.fit_seasonal(train).collect()}
-    assert set(model) == set(SENSORS)
     pdf = train.toPandas()
-    for key, group in pdf.groupby("detid"):
-        second = group["weekday"].map({d: i for i, d in enumerate(WEEKDAYS)}) * 86400 + group["interval_s"]
-        t = second.to_numpy() / 604800
-        knots = [seasonal.CHANGEPOINT_RANGE * (i + 1) / (seasonal.CHANGEPOINTS + 1) for i in range(seasonal.CHANGEPOINTS)]
-        x = np.column_stack(
-            [np.ones_like(t), t]
-            + [np.maximum(t - k, 0) for k in knots]
-            + [f(2 * np.pi * second.to_numpy() / 86400 * j) for j in range(1, 5) for f in (np.sin, np.cos)]
-        )
-        y = group["traffic"].to_numpy()
-        scale = np.sqrt(np.mean(y * y))
-        penalty = np.array([0, 0] + [4.0] * 25 + [0.01] * 8)
-        coef = np.linalg.solve(x.T @ x / 0.05 + np.diag(penalty) + 1e-9 * np.eye(35), x.T @ (y / scale) / 0.05) * scale
-        assert np.allclose(x @ coef, x @ np.array(model[key]["coef"]), atol=1e-6)
-        assert model[key]["n"] == len(group)
+    rng = np.random.default_rng(1)
+    for _, group in pdf.groupby("detid"):
+        second = (group["weekday"].map({d: i for i, d in enumerate(WEEKDAYS)}) * 86400 + group["interval_s"]).to_numpy()
+        x, y = _design(second), group["traffic"].to_numpy()
+        for prior in (0.05, 0.5):
+            coef, sigma = seasonal._most_probable(np, x.T @ x, x.T @ y, float(y @ y), len(y), prior)
+            scale = np.sqrt(np.mean(y * y))
+
+            def cost(c, s):
+                size = np.abs(c[2:27])  # changes below LEAST_BEND weigh as squares
+                bend = np.where(size > seasonal.LEAST_BEND, size, c[2:27] ** 2 / seasonal.LEAST_BEND / 2 + seasonal.LEAST_BEND / 2)
+                residual = y / scale - x @ c
+                return len(y) * np.log(s) + residual @ residual / (2 * s * s) + s * s / (2 * 0.25) + bend.sum() / prior + (c[:2] ** 2).sum() / 50 + (c[27:] ** 2).sum() / 200
+
+            c, s = np.array(coef) / scale, sigma / scale
+            best = cost(c, s)
+            assert all(cost(c + rng.normal(0, 1, 35) * step, s) > best - 1e-6 for step in (1e-1, 1e-2, 1e-3) for _ in range(50))
+            assert all(cost(c, s * f) > best - 1e-6 for f in (0.9, 0.99, 1.01, 1.1))
+
+
+def test_trend_changes_are_sparse_and_noise_is_found(spark):
+    """A trend that bends once keeps few changes under a Laplace prior; the band follows the noise."""
+    rng = np.random.default_rng(3)
+    for noise in (1.0, 4.0):
+        second = np.arange(0, 604800, 1800.0)
+        y = 40 + 20 * np.maximum(second / 604800 - 0.4, 0) * 5 + rng.normal(0, noise, len(second))
+        x = _design(second)
+        coef, sigma = seasonal._most_probable(np, x.T @ x, x.T @ y, float(y @ y), len(y), 0.05)
+        changes = np.abs(coef[2:27])
+        assert (changes > changes.max() / 50).sum() <= 8
+        assert 0.8 * noise < sigma < 1.2 * noise
+
+
+def test_future_follows_weekdays(spark):
+    rows = [("a", d, h * 3600, 10.0 + 50 * (d == "Sunday")) for d in WEEKDAYS for h in range(24)]
+    train = spark.createDataFrame(rows, "detid string, weekday string, interval_s int, traffic double")
+    model = seasonal.fit_seasonal(train, weekday_effect=True)
+    ahead = seasonal.predict_future(model, seasonal.future_frame(train, steps=168), weekday_effect=True)
+    mean = {r["d"]: r["t"] for r in ahead.groupBy(F.date_format("ds", "EEEE").alias("d")).agg(F.avg("traffic").alias("t")).collect()}
+    assert mean["Sunday"] > mean["Wednesday"] + 30
 
 
 def test_seasonal_forecasts(tables):
