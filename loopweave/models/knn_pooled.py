@@ -1,13 +1,17 @@
 """One nearest-neighbour model over all sensors: features are sensor code, weekday and interval.
 
-Sensor codes are integers. At a given hour the k nearest rows lie in a band of codes around the
-query. The band is found by looking k sensors up and down in the table of sensors that report at
-that hour, widened by the largest weekday step, and joined by equality on (hour, code).
+Sensor codes are integers, far apart or not. Neighbours are looked up in rank space: the sensors that
+report at an hour are numbered 0.. in order of their codes, and a query stands at the number of them
+with a smaller code. A sensor ``REACH`` ranks off has k others before it whose rows are all nearer,
+whatever the weekday, so a query joins at most twice that many ranks of an hour, by equality.
+
+The numbers come from one sort of (hour, code) into ranges: running counts inside each range plus the
+ranges' counts, so no task holds an hour.
 
 Which hours matter is settled in two steps, since codes may lie farther apart than hours. The
 nearest hours that together hold k rows give a distance within which k rows are known to lie: the
 best of the hours with k rows of their own, and at most the farthest row of all of them. Every
-hour within that distance is then searched with its own band; rows elsewhere are farther.
+hour within that distance is then searched; rows elsewhere are farther.
 """
 
 from __future__ import annotations
@@ -69,19 +73,26 @@ def pooled_fans(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (),
             *group, "code", "h", "ws", F.col("t.h").alias("th"), F.col("t.n").alias("held")
         )
 
-    nearby = hours_within(asked.withColumn("reach", _reach(F.col("hours"), F.col("h"), k)), "reach")
+    nearby = keyed.settle(hours_within(asked.withColumn("reach", _reach(F.col("hours"), F.col("h"), k)), "reach"))
+    places = _places(present, nearby, group)
     apart = F.abs(F.col("th") - F.col("h")) + F.col("radius")
-    known = nearby.join(_bands(present, nearby, group, k), [*group, "th", "code"]).groupBy(*group, "code", "h").agg(
+    known = nearby.join(_radius(places, group, k), [*group, "th", "code"]).groupBy(*group, "code", "h").agg(
         F.least(F.max(apart), F.min(F.when(F.col("held") >= k, apart))).alias("within")
     )
-    targets = keyed.settle(hours_within(asked.join(known, [*group, "code", "h"]), "within"))
-
-    bands = _bands(present, targets, group, k)
-    spread = targets.join(bands, [*group, "th", "code"]).select(
-        *group, "code", "h", "ws", "th", F.explode(F.sequence("from_code", "to_code")).alias("tcode")
-    )
+    targets = keyed.settle(hours_within(asked.join(known, [*group, "code", "h"]), "within").drop("held"))
+    lookups = places.where("asked").select(*group, "th", "code", "rank", "sensors")
+    farther = targets.join(lookups, [*group, "th", "code"], "left_anti")
+    if not farther.isEmpty():
+        more = _places(present, farther, group).where("asked").select(*group, "th", "code", "rank", "sensors")
+        lookups = lookups.unionByName(more)
+
+    reach = k + WEEKDAY_STEP
+    ranks = F.sequence(F.greatest(F.lit(0), F.col("rank") - reach), F.least(F.col("rank") + reach, F.col("sensors") - 1))
+    spread = targets.join(lookups, [*group, "th", "code"]).select(*group, "code", "h", "ws", "th", F.explode(ranks).alias("rank"))
+    numbers = places.where("seen").select(*group, "th", F.col("code").alias("tcode"), "rank")
     train = short.select(*group, F.col("code").alias("tcode"), F.col("w").alias("tw"), F.col("h").alias("th"), "day", "y")
-    pairs = spread.join(train, [*group, "th", "tcode"]).select("*", F.explode("ws").alias("w"))
+    train = train.join(numbers, [*group, "th", "tcode"])
+    pairs = spread.join(train, [*group, "th", "rank"]).select("*", F.explode("ws").alias("w"))
     dc, dw, dh = (F.abs(F.col(a) - F.col(b)) for a, b in (("tcode", "code"), ("tw", "w"), ("th", "h")))
     d1 = (dc + dw + dh).cast("double")
     d2 = F.sqrt((dc * dc + dw * dw + dh.cast("bigint") * dh).cast("double"))
@@ -113,30 +124,42 @@ def pooled_fans(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (),
     )
 
 
-def _bands(present: DataFrame, targets: DataFrame, group: list[str], k: int) -> DataFrame:
-    """Code range per (hour, query code) that holds the k nearest rows of that hour."""
-    asked = targets.select(*group, F.col("th").alias("h"), "code", F.lit(0).cast("bigint").alias("n")).distinct()
-    both = present.select(*group, "h", "code", "n").unionByName(asked)
-    merged = both.groupBy(*group, "h", "code").agg(F.sum("n").alias("n")).withColumn(
-        "seen", F.when(F.col("n") > 0, F.col("code"))
-    )
-    part = ", ".join(f"`{c}`" for c in [*group, "h"])
-    over = f"over (partition by {part} order by code)"
-    placed = merged.select(
-        "*",
-        F.expr(f"lag(seen, {k}) ignore nulls {over}").alias("below"),
-        F.expr(f"lead(seen, {k}) ignore nulls {over}").alias("above"),
-        F.min("seen").over(Window.partitionBy(*group, "h")).alias("lowest"),
-        F.max("seen").over(Window.partitionBy(*group, "h")).alias("highest"),
+def _places(present: DataFrame, targets: DataFrame, group: list[str]) -> DataFrame:
+    """Rank of every sensor and query code among the sensors of each hour: group, ``th``, code, ``n``, ``seen``, ``asked``, ``rank``,
+    and of the hour ``sensors`` and its ``lowest`` and ``highest`` code."""
+    no, yes = F.lit(False), F.lit(True)
+    sensors = present.select(*group, F.col("h").alias("th"), "code", "n", yes.alias("seen"), no.alias("asked"))
+    queries = targets.select(*group, "th", "code", F.lit(0).cast("bigint").alias("n"), no.alias("seen"), yes.alias("asked"))
+    order = [*group, "th", "code"]
+    merged = sensors.unionByName(queries).groupBy(*order).agg(F.sum("n").alias("n"), F.max("seen").alias("seen"), F.max("asked").alias("asked"))
+    ranged = keyed.settle(merged.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    mark = F.col("seen").cast("bigint")
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy("_range").agg(F.sum(mark).alias("_m"))
+    offsets = counts.select("_range", F.coalesce(F.sum("_m").over(ahead), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = ranged.withColumn("_before", F.sum(mark).over(within) - mark).join(offsets, "_range")
+    placed = keyed.settle(placed.withColumn("_before", F.col("_before") + F.col("_offset")).drop("_range", "_offset"))
+    code = F.when(F.col("seen"), F.col("code"))
+    hours = placed.groupBy(*group, "th").agg(
+        F.min("_before").alias("_base"), F.sum(mark).alias("sensors"), F.min(code).alias("lowest"), F.max(code).alias("highest")
     )
+    return placed.join(hours, [*group, "th"]).withColumn("rank", F.col("_before") - F.col("_base")).drop("_before", "_base")
+
+
+def _radius(places: DataFrame, group: list[str], k: int) -> DataFrame:
+    """Per (hour, query code) a distance in code and weekday within which k rows of that hour lie, or all of them."""
+    codes = places.where("seen").select(*group, "th", "rank", F.col("code").alias("_at"))
+    asked = places.where("asked")
+
+    def at(df: DataFrame, rank: Column, name: str) -> DataFrame:
+        return df.withColumn("_rank", rank).join(codes.select(*group, "th", F.col("rank").alias("_rank"), F.col("_at").alias(name)), [*group, "th", "_rank"], "left")
+
+    both = at(at(asked, F.col("rank") - k, "below"), F.col("rank") + k - 1, "above")
     far = F.greatest(F.col("code") - F.col("lowest"), F.col("highest") - F.col("code"))
     sides = F.least(F.col("code") - F.col("below"), F.col("above") - F.col("code"))
     radius = F.when(F.col("n") >= k, F.lit(0)).otherwise(F.coalesce(sides, far)) + WEEKDAY_STEP
-    from_code = F.greatest(F.col("code") - radius, F.col("lowest"))
-    to_code = F.least(F.col("code") + radius, F.col("highest"))
-    return placed.where(from_code <= to_code).select(
-        *group, F.col("h").alias("th"), "code", from_code.alias("from_code"), to_code.alias("to_code"), radius.alias("radius")
-    )
+    return both.select(*group, "th", "code", radius.alias("radius"))
 
 
 def forecast_pooled_knn(
@@ -174,3 +197,9 @@ def tune_pooled_knn(train: DataFrame, codes: DataFrame, folds: int = FOLDS, key:
     serving = serve_other_folds(points, ["code", "w", "h"], folds, max(NEIGHBOURS))
     spot = ["fold", "code", "w", "h"]
     return cv_table(points, pooled_fans(serving, points.select(*spot).distinct(), ["fold"]), spot, [])
+
+
+def best_pooled_setting(scores: DataFrame) -> tuple[int, int, str]:
+    """(k, p, weights) with the smallest mean MAE (9 decimals), the first listed on a tie; of the 16 rows of ``tune_pooled_knn``."""
+    best = scores.orderBy(F.round("mae", 9), "position").first()
+    return best["k"], best["p"], best["weights"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import WEEKDAYS, weekday_number
 from ..models import baseline, forest, knn, knn_pooled, polynomial, seasonal
 from ..operators import features, keyed
-from ..operators.metrics import macro_average
+from ..operators.metrics import macro_average, regression_metrics
 from ..plans import dataset
 from ..sources import views
 from .aggregates import R2, SCORES
@@ -179,7 +179,7 @@ def model_knn(spark, sf):
 
 
 CHOSEN = "case " + " ".join(
-    f"when k = {k} and p = {p} and weights = '{w}' then s{i}" for i, (k, p, w) in enumerate(SETTINGS)
+    f"when best.k = {k} and best.p = {p} and best.weights = '{w}' then s{i}" for i, (k, p, w) in enumerate(SETTINGS)
 ) + " end"
 
 
@@ -282,6 +282,59 @@ def cv_knn4d(spark, sf):
     return rounded(knn_pooled.tune_pooled_knn(train, codes))
 
 
+def pooled_cv_sql(codes: str, name: str) -> str:
+    """The 16 scores (position, k, p, weights, mae) from rows ``name`` of (code, day, h, w, y)."""
+    return f"""folded as (select *, (pos >= (n // 5) + least(1, n % 5))::int + (pos >= 2 * (n // 5) + least(2, n % 5))::int
+        + (pos >= 3 * (n // 5) + least(3, n % 5))::int + (pos >= 4 * (n // 5) + least(4, n % 5))::int as fold
+        from (select *, row_number() over (order by code, day, h) - 1 as pos, count(*) over () as n from {name})),
+      cv_hits as ({pooled_near_sql('folded', '(select distinct fold, code, w, h from folded)', 'fold', 'q.fold <> t.fold')}),
+      cv_shots as (select fold, code, w, h, {', '.join(f"{setting_sql(*s, f'rn{s[1]}')} as s{i}" for i, s in enumerate(SETTINGS))} from cv_hits group by 1, 2, 3, 4),
+      per_fold as (select fold, {', '.join(f'avg(abs(y - s{i})) as s{i}' for i in range(len(SETTINGS)))} from folded join cv_shots using (fold, code, w, h) group by 1),
+      means as (select {', '.join(f'avg(s{i}) as s{i}' for i in range(len(SETTINGS)))} from per_fold),
+      scores as ({' union all '.join(f"select {i} as position, {k} as k, {p} as p, '{w}' as weights, s{i} as mae from means" for i, (k, p, w) in enumerate(SETTINGS))}),
+      best as (select * from scores order by round(mae, 9), position limit 1)"""
+
+
+def tuned_pooled_sql(factor: int) -> str:
+    """Test rows with the forecast of the best setting, codes ``factor`` apart."""
+    code = f"cast({factor} * (row_number() over (order by detid) - 1) as bigint)"
+    return f"""with codes as (select detid, {code} as code from (select distinct detid from train)),
+      points as (select code, day, interval_s as h, cast({W} as integer) as w, traffic as y from train join codes using (detid)),
+      {pooled_cv_sql('codes', 'points')},
+      asked as (select detid, code, weekday, interval_s, interval_s as h, cast({W} as integer) as w, traffic as y from test join codes using (detid)),
+      hits as ({pooled_near_sql('points', '(select distinct code, w, h from asked)', '', 'true')}),
+      shots as (select code, w, h, {', '.join(f"{setting_sql(*s, f'rn{s[1]}')} as s{i}" for i, s in enumerate(SETTINGS))} from hits group by 1, 2, 3),
+      pairs as (select detid, weekday, interval_s, y, {CHOSEN} as p, best.k as k, best.p as power, best.weights as weights
+        from asked join shots using (code, w, h), best)"""
+
+
+def _tuned_pooled(spark, sf, factor: int):
+    train, test = train_test(spark, sf)
+    codes = keyed.settle(features.label_codes(train, "detid").withColumn("code", F.col("code") * factor))
+    k, p, weights = knn_pooled.best_pooled_setting(knn_pooled.tune_pooled_knn(train, codes))
+    forecast = knn_pooled.forecast_pooled_knn(train, test, codes, k, p, weights)
+    setting = {"k": k, "power": p, "weights": weights}
+    return forecast.withColumns({c: F.lit(v) for c, v in setting.items()})
+
+
+PAIR_SQL = f"select detid, weekday, interval_s, {r('y')} as traffic_actual, {r('pairs.p')} as traffic_pred, k, power, weights from pairs"
+
+
+@query("model_knn4d_tuned", f"{tuned_pooled_sql(1)} {PAIR_SQL}")
+def model_knn4d_tuned(spark, sf):
+    return rounded(_tuned_pooled(spark, sf, 1))
+
+
+@query("model_knn4d_far_codes", f"{tuned_pooled_sql(1000)} {PAIR_SQL}")
+def model_knn4d_far_codes(spark, sf):
+    return rounded(_tuned_pooled(spark, sf, 1000))
+
+
+@query("eval_knn4d_tuned", f"{tuned_pooled_sql(1)} select {SCORES} from pairs")
+def eval_knn4d_tuned(spark, sf):
+    return rounded(regression_metrics(_tuned_pooled(spark, sf, 1), []))
+
+
 # -- polynomial fits: the oracle builds orthogonal polynomials per sensor -----------------------
 
 
