@@ -134,9 +134,7 @@ def _places(present: DataFrame, targets: DataFrame, group: list[str]) -> DataFra
     merged = sensors.unionByName(queries).groupBy(*order).agg(F.sum("n").alias("n"), F.max("seen").alias("seen"), F.max("asked").alias("asked"))
     ranged = keyed.settle(merged.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
     mark = F.col("seen").cast("bigint")
-    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = ranged.groupBy("_range").agg(F.sum(mark).alias("_m"))
-    offsets = counts.select("_range", F.coalesce(F.sum("_m").over(ahead), F.lit(0)).alias("_offset"))
+    offsets = keyed.range_offsets(ranged, mark).drop("_total")
     within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = ranged.withColumn("_before", F.sum(mark).over(within) - mark).join(offsets, "_range")
     placed = keyed.settle(placed.withColumn("_before", F.col("_before") + F.col("_offset")).drop("_range", "_offset"))

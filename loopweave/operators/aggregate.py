@@ -65,7 +65,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.min("_v").alias("min"),
         F.max("_v").alias("max"),
     )
-    quarts = keyed.exact_quantiles(values, ["column"], "_v", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    quarts = keyed.exact_quantiles(values, ["column"], "_v", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, few_keys=True)
     return basic.join(quarts, "column")
 
 

@@ -81,9 +81,12 @@ def rows_without_place(df: DataFrame) -> DataFrame:
     return df.agg(F.count_if(F.col("lon").isNull() | F.col("lat").isNull()).alias("n_rows"))
 
 
-def complete_grid(df: DataFrame, shape: float = 0.01, keys: Sequence[str] = ()) -> DataFrame:
-    """Every cell of the bounding box of all rows, repeated for each distinct ``keys`` value."""
-    placed = with_cells(df, shape)
+def complete_grid(df: DataFrame, shape: float = 0.01, keys: Sequence[str] = (), snap: str = "round") -> DataFrame:
+    """Every cell of the bounding box of all rows, repeated for each distinct ``keys`` value.
+
+    The box is cut into strips of columns, which are dealt out to all cores before they are expanded to cells.
+    """
+    placed = with_cells(df, shape, snap)
     extent = placed.agg(
         F.min("cell_x").alias("x0"), F.max("cell_x").alias("x1"), F.min("cell_y").alias("y0"), F.max("cell_y").alias("y1")
     )
@@ -92,10 +95,13 @@ def complete_grid(df: DataFrame, shape: float = 0.01, keys: Sequence[str] = ())
         box = df.select(*keys).distinct().withColumn("_e", ends).select(*keys, "_e.*")
     else:
         box = extent
-    columns = box.where(F.col("x0").isNotNull() & F.col("y0").isNotNull()).select(
-        *keys, F.explode(F.sequence("x0", "x1")).alias("cell_x"), "y0", "y1"
-    )
-    return columns.select(*keys, "cell_x", F.explode(F.sequence("y0", "y1")).alias("cell_y"))
+    strips = 4 * max(df.sparkSession.sparkContext.defaultParallelism, 1)
+    width = F.greatest(F.ceil((F.col("x1") - F.col("x0") + 1) / F.lit(strips)).cast("int"), F.lit(1))
+    start = F.explode(F.sequence(F.col("x0"), F.col("x1"), width)).alias("_from")
+    box = box.where(F.col("x0").isNotNull() & F.col("y0").isNotNull())
+    dealt = keyed.spread(box.select(*keys, start, width.alias("_width"), "x1", "y0", "y1"))
+    columns = F.explode(F.sequence("_from", F.least(F.col("_from") + F.col("_width") - 1, F.col("x1")))).alias("cell_x")
+    return dealt.select(*keys, columns, "y0", "y1").select(*keys, "cell_x", F.explode(F.sequence("y0", "y1")).alias("cell_y"))
 
 
 def neighbour_means(grid: DataFrame, keys: Sequence[str] = (), value: str = "mean_traffic_index", radius: int = 1) -> DataFrame:
@@ -141,21 +147,25 @@ def fill_neighbours(
     return filled.withColumn(value, F.coalesce(F.col(value), F.lit(float(default))))
 
 
-def advanced_grid(observed: DataFrame, complete: DataFrame, keys: Sequence[str] = (), shape: float = 0.01, **fill) -> DataFrame:
+def advanced_grid(
+    observed: DataFrame, complete: DataFrame, keys: Sequence[str] = (), shape: float = 0.01, snap: str = "round", **fill
+) -> DataFrame:
     """The complete grid with observed means where they exist and filled ones elsewhere."""
     spot = [*keys, *CELL]
     seen = observed.select(*spot, "mean_traffic_index", "detectors_in_grid")
-    return with_coordinates(fill_neighbours(complete.join(seen, spot, "left"), keys, **fill), shape)
+    return with_coordinates(fill_neighbours(complete.join(seen, spot, "left"), keys, **fill), shape, snap)
 
 
-def hour_grid(df: DataFrame, interval: int, mode: str = "traffic", shape: float = 0.01, **fill) -> DataFrame:
+def hour_grid(
+    df: DataFrame, interval: int, mode: str = "traffic", shape: float = 0.01, snap: str = "round", **fill
+) -> DataFrame:
     """Grid of one interval; ``traffic_complete`` fills the bounding box of all intervals."""
-    observed = grid_mean(df.where(F.col("interval_s") == interval), shape=shape)
+    observed = grid_mean(df.where(F.col("interval_s") == interval), shape=shape, snap=snap)
     if mode == "traffic":
         return observed
     if mode != "traffic_complete":
         raise ValueError(f"unknown mode {mode!r}: traffic or traffic_complete")
-    return advanced_grid(observed, complete_grid(df, shape), shape=shape, **fill)
+    return advanced_grid(observed, complete_grid(df, shape, snap=snap), shape=shape, snap=snap, **fill)
 
 
 def grid_cube(df: DataFrame, keys: Sequence[str] = ("weekday", "interval_s"), shape: float = 0.01) -> DataFrame:

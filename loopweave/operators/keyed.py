@@ -39,12 +39,31 @@ def join_stats(df: DataFrame, stats: DataFrame, group: Sequence[str]) -> DataFra
     return df.withColumn("_one", one).select("*", "_one.*").drop("_one")
 
 
+def range_offsets(ranged: DataFrame, count: Column) -> DataFrame:
+    """(``_range``, ``_offset``, ``_total``): the sum of ``count`` in all lower ranges, and in all.
+
+    A range is a task's share of a sorted table, so this is a row per task; the running sum needs no window.
+    """
+    per_range = ranged.groupBy("_range").agg(F.sum(count).alias("_m"))
+    sizes = per_range.agg(F.sort_array(F.collect_list(F.struct("_range", "_m"))).alias("_sizes"))
+
+    def total(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0).cast("bigint"), lambda acc, x: acc + x["_m"])
+
+    each = F.transform(
+        "_sizes",
+        lambda x, i: F.struct(x["_range"].alias("_range"), total(F.slice("_sizes", 1, i)).alias("_offset"), total(F.col("_sizes")).alias("_total")),
+    )
+    return sizes.select(F.inline(each))
+
+
 def rows_at_ranks(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     cell: Sequence[Column],
     ranks: Callable[[Column], Column],
+    few_keys: bool = False,
 ) -> DataFrame:
     """The order values at 0-based ``ranks(n)`` of each group of ``n`` rows.
 
@@ -54,6 +73,8 @@ def rows_at_ranks(
 
     The rows are scanned once to count cells, with the ends of each cell. Ranks that fall on an
     end are known from that; only for others the rows of their cells are looked up in a second scan.
+
+    Cells of a group are numbered by one task per group; with ``few_keys``, or without keys, by ranges of cells instead.
     """
     keys, order = list(keys), list(order)
     cells = [f"_cell{i}" for i in range(len(cell))]
@@ -64,9 +85,18 @@ def rows_at_ranks(
         *[F.min(c).alias(f"_lo_{c}") for c in order],
         *[F.max(c).alias(f"_hi_{c}") for c in order],
     )
-    along = Window.partitionBy(*keys).orderBy(*cells)
-    end = F.sum("_m").over(along.rowsBetween(Window.unboundedPreceding, 0))
-    counted = per_cell.select("*", end.alias("_end"), F.sum("_m").over(Window.partitionBy(*keys)).alias("n"))
+    if few_keys or keys == ["_all"]:
+        # a few groups over the whole table: running counts inside ranges of (key, cell), plus the ranges' counts
+        ranged = settle(per_cell.repartitionByRange(*keys, *cells).withColumn("_range", F.spark_partition_id()))
+        along = Window.partitionBy("_range").orderBy(*keys, *cells).rowsBetween(Window.unboundedPreceding, 0)
+        inner = ranged.withColumn("_end", F.sum("_m").over(along)).join(range_offsets(ranged, F.col("_m")), "_range")
+        summed = inner.withColumn("_end", F.col("_end") + F.col("_offset")).drop("_range", "_offset", "_total")
+        groups = summed.groupBy(*keys).agg(F.min(F.col("_end") - F.col("_m")).alias("_base"), F.sum("_m").alias("n"))
+        counted = summed.join(groups, keys).withColumn("_end", F.col("_end") - F.col("_base")).drop("_base")
+    else:
+        along = Window.partitionBy(*keys).orderBy(*cells)
+        end = F.sum("_m").over(along.rowsBetween(Window.unboundedPreceding, 0))
+        counted = per_cell.select("*", end.alias("_end"), F.sum("_m").over(Window.partitionBy(*keys)).alias("n"))
     begin = F.col("_end") - F.col("_m")
     held = F.filter(F.array_distinct(ranks(F.col("n"))), lambda q: (q >= begin) & (q < F.col("_end")))
     wanted = settle(counted.withColumn("_ranks", held).where(F.size("_ranks") > 0))
@@ -105,7 +135,9 @@ def rows_at_ranks(
     return known.unionByName(settle(found))
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: dict[str, float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], column: str, probs: dict[str, float], few_keys: bool = False
+) -> DataFrame:
     """Quantiles with linear interpolation, one row per key: ``{output name: probability}``.
 
     Missing values do not count. Exact for any group size; keys without a value give no row.
@@ -125,6 +157,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: dict
         ["_v"],
         [magnitude_cell("_v")],
         lambda n: F.array(*[f(n, p) for p in probs.values() for f in (below, above)]),
+        few_keys,
     )
     v, n = F.col("at._v"), F.col("n")
     ends = []
@@ -190,13 +223,16 @@ def part_number(order: Sequence[str], parts: int, starts: str = "_starts") -> Co
 def global_positions(df: DataFrame, order: Sequence[str], block: Column, out: str = "code") -> DataFrame:
     """Adds the 0-based position of every row in the whole ordered table.
 
-    ``block`` is non-decreasing along ``order``: rows are ranked inside their block, and only
-    the one-row-per-block counts are added up in a single task.
+    ``block`` is non-decreasing along ``order``: rows are ranked inside their block, and the
+    blocks' counts are added up in ranges of blocks.
     """
     blocked = df.withColumn("_block", block)
     sizes = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_m"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = settle(sizes.select("_block", (F.sum("_m").over(before) - F.col("_m")).alias("_offset")))
+    # blocks may be as many as rows: their counts are summed in ranges of blocks, then over the ranges
+    ranged = settle(sizes.repartitionByRange("_block").withColumn("_range", F.spark_partition_id()))
+    before = Window.partitionBy("_range").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = ranged.withColumn("_ahead", F.sum("_m").over(before) - F.col("_m")).join(range_offsets(ranged, F.col("_m")), "_range")
+    offsets = settle(inner.select("_block", (F.col("_ahead") + F.col("_offset")).alias("_offset")))
     rank = F.row_number().over(Window.partitionBy("_block").orderBy(*order))
     ranked = blocked.withColumn("_rank", rank)
     return (

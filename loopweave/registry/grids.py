@@ -89,6 +89,33 @@ def advanced_grid(spark, sf):
     return rounded(grid.hour_grid(placed(spark, sf), 28800, "traffic_complete"))
 
 
+# The older snap: down to multiples of the cell size.
+FLOOR = 0.02
+FLOOR_CELLS = f"""cells as (select *, cast(floor(lon / {FLOOR}::double) as integer) as cell_x, cast(floor(lat / {FLOOR}::double) as integer) as cell_y
+  from placed where lon is not null and lat is not null),
+  ends as (select min(cell_x) as x0, max(cell_x) as x1, min(cell_y) as y0, max(cell_y) as y1 from cells),
+  columns_ as (select unnest(range(x0, x1 + 1))::integer as cell_x, y0, y1 from ends),
+  complete as (select cell_x, unnest(range(y0, y1 + 1))::integer as cell_y from columns_)"""
+FLOOR_XY = f"{r(f'cell_x * {FLOOR}')} as lon_rounded, {r(f'cell_y * {FLOOR}')} as lat_rounded"
+
+
+@query("complete_grid_floor", f"with {FLOOR_CELLS} select cell_x, cell_y, {FLOOR_XY} from complete")
+def complete_grid_floor(spark, sf):
+    cells = grid.complete_grid(placed(spark, sf), FLOOR, snap="floor")
+    return rounded(grid.with_coordinates(cells, FLOOR, "floor").drop("grid_id"))
+
+
+@query(
+    "advanced_grid_floor",
+    f"""with {FLOOR_CELLS}, {fill_sql('''select c.cell_x, c.cell_y, o.v, o.n from complete c left join (
+      select cell_x, cell_y, avg(traffic) as v, count(detid) as n from cells where interval_s = 28800 group by 1, 2) o
+      using (cell_x, cell_y)''')}
+      select cell_x, cell_y, {r('mean_traffic_index')} as mean_traffic_index, detectors_in_grid, {FLOOR_XY} from filled""",
+)
+def advanced_grid_floor(spark, sf):
+    return rounded(grid.hour_grid(placed(spark, sf), 28800, "traffic_complete", FLOOR, "floor").drop("grid_id"))
+
+
 @query("join_grid_fill", f"""with {CELLS}, {BOX} select c.cell_x, c.cell_y, {r('o.v')} as mean_traffic_index, o.n as detectors_in_grid
     from complete c left join (select cell_x, cell_y, avg(traffic) as v, count(detid) as n from cells group by 1, 2) o using (cell_x, cell_y)""")
 def join_grid_fill(spark, sf):

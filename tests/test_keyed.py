@@ -74,3 +74,38 @@ def test_no_group_is_gathered_for_quantiles(spark):
     _, df = skewed(spark, kind="int")
     text = keyed.exact_quantiles(df, ["k"], "v", {"m": 0.5})._jdf.queryExecution().toString()
     assert "percentile" not in text and "LogicalRDD" not in text
+
+
+@pytest.mark.parametrize("kind", ["float", "int", "close"])
+def test_quantiles_of_the_whole_table(spark, kind):
+    """Several ranges of cells, each with its own running counts."""
+    rows, df = skewed(spark, kind=kind)
+    probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.72, "e": 1.0}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = keyed.exact_quantiles(df, (), "v", probs).first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for name, p in probs.items():
+        assert got[name] == pytest.approx(np.quantile(rows["v"], p), rel=1e-12, abs=1e-12)
+    assert keyed.exact_quantiles(df.limit(0), (), "v", probs).count() == 0
+
+
+def test_few_keys_give_what_many_give(spark):
+    rows, df = skewed(spark, n_cold=3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = keyed.exact_quantiles(df, ["k"], "v", {"a": 0.1, "b": 0.9}, few_keys=True).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(got) == sorted(keyed.exact_quantiles(df, ["k"], "v", {"a": 0.1, "b": 0.9}).collect()) and len(got) == 4
+
+
+def test_global_positions_over_many_blocks(spark):
+    df = spark.range(0, 5000).selectExpr("(id * 7919) % 5000 as x")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = keyed.global_positions(df, ["x"], F.floor(F.col("x") / 3)).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert all(r["x"] == r["code"] for r in placed) and len(placed) == 5000

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loopweave.models import baseline
-from loopweave.operators import aggregate, clean, grid, joins, outliers
+from loopweave.operators import aggregate, clean, grid, joins, keyed, outliers
 from loopweave.plans import dataset
 from loopweave.registry import base
 from loopweave.sources import readers, views, writers
@@ -56,6 +56,33 @@ def test_city_table_is_pruned(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[.*citycode", physical(found))
 
 
+def test_box_is_expanded_by_many_tasks(spark):
+    ends = spark.createDataFrame([(0.001, 50.0), (8.0, 54.0)], "lon double, lat double")
+    for snap in ("round", "floor"):
+        cells = grid.complete_grid(ends, snap=snap).withColumn("task", F.spark_partition_id())
+        per_task = [r["count"] for r in cells.groupBy("task").count().collect()]
+        assert len(per_task) > 1 and max(per_task) < sum(per_task) / 2
+        assert sum(per_task) == 801 * 401
+    single = grid.complete_grid(ends.limit(1).withColumn("k", F.lit("a")), keys=["k"])
+    assert [tuple(r) for r in single.collect()] == [("a", 0, 5000)]
+    assert grid.complete_grid(ends.limit(0)).count() == 0
+
+
+def test_keyless_ranks_need_no_single_task(spark):
+    """Quantiles of the whole table: no window over all cells, nor over all ranges."""
+    rows = base.hourly(spark, SF)
+    settled = []
+    keep = keyed.settle
+    keyed.settle = lambda df: (settled.append(physical(df)), keep(df))[1]
+    try:
+        found = keyed.exact_quantiles(rows, (), "traffic", {"q25": 0.25, "q72": 0.72})
+    finally:
+        keyed.settle = keep
+    plans = [*settled, physical(found)]
+    assert len(plans) > 1 and not any(re.search(r"windowspecdefinition\(_all|windowspecdefinition\(_cell", p) for p in plans)
+    assert any("windowspecdefinition(_range" in p for p in plans)
+
+
 def test_formats_are_checked(spark, tmp_path):
     with pytest.raises(ValueError):
         writers.write_dataset(spark.range(1), str(tmp_path / "x"), "xml")
