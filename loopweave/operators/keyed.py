@@ -64,6 +64,7 @@ def rows_at_ranks(
     cell: Sequence[Column],
     ranks: Callable[[Column], Column],
     few_keys: bool = False,
+    sums: Sequence[str] = (),
 ) -> DataFrame:
     """The order values at 0-based ``ranks(n)`` of each group of ``n`` rows.
 
@@ -74,6 +75,7 @@ def rows_at_ranks(
     The rows are scanned once to count cells, with the ends of each cell. Ranks that fall on an
     end are known from that; only for others the rows of their cells are looked up in a second scan.
 
+    ``sums`` of order columns over the whole group come along as ``sum_...`` from the same scan.
     Cells of a group are numbered by one task per group; with ``few_keys``, or without keys, by ranges of cells instead.
     """
     keys, order = list(keys), list(order)
@@ -84,19 +86,27 @@ def rows_at_ranks(
         F.count(F.lit(1)).alias("_m"),
         *[F.min(c).alias(f"_lo_{c}") for c in order],
         *[F.max(c).alias(f"_hi_{c}") for c in order],
+        *[F.sum(c).alias(f"_part_{c}") for c in sums],
     )
+    totals = [f"sum_{c}" for c in sums]
     if few_keys or keys == ["_all"]:
         # a few groups over the whole table: running counts inside ranges of (key, cell), plus the ranges' counts
         ranged = settle(per_cell.repartitionByRange(*keys, *cells).withColumn("_range", F.spark_partition_id()))
         along = Window.partitionBy("_range").orderBy(*keys, *cells).rowsBetween(Window.unboundedPreceding, 0)
         inner = ranged.withColumn("_end", F.sum("_m").over(along)).join(range_offsets(ranged, F.col("_m")), "_range")
-        summed = inner.withColumn("_end", F.col("_end") + F.col("_offset")).drop("_range", "_offset", "_total")
-        groups = summed.groupBy(*keys).agg(F.min(F.col("_end") - F.col("_m")).alias("_base"), F.sum("_m").alias("n"))
+        summed = inner.withColumn("_end", F.col("_end") + F.col("_offset")).drop("_range", "_offset")
+    if keys == ["_all"] and not sums:
+        counted = summed.withColumnRenamed("_total", "n")
+    elif few_keys or keys == ["_all"]:
+        summed = summed.drop("_total")
+        groups = summed.groupBy(*keys).agg(F.min(F.col("_end") - F.col("_m")).alias("_base"), F.sum("_m").alias("n"), *[F.sum(f"_part_{c}").alias(f"sum_{c}") for c in sums])
         counted = summed.join(groups, keys).withColumn("_end", F.col("_end") - F.col("_base")).drop("_base")
     else:
         along = Window.partitionBy(*keys).orderBy(*cells)
         end = F.sum("_m").over(along.rowsBetween(Window.unboundedPreceding, 0))
-        counted = per_cell.select("*", end.alias("_end"), F.sum("_m").over(Window.partitionBy(*keys)).alias("n"))
+        whole = Window.partitionBy(*keys)
+        added = [F.sum(f"_part_{c}").over(whole).alias(f"sum_{c}") for c in sums]
+        counted = per_cell.select("*", end.alias("_end"), F.sum("_m").over(whole).alias("n"), *added)
     begin = F.col("_end") - F.col("_m")
     held = F.filter(F.array_distinct(ranks(F.col("n"))), lambda q: (q >= begin) & (q < F.col("_end")))
     wanted = settle(counted.withColumn("_ranks", held).where(F.size("_ranks") > 0))
@@ -112,9 +122,9 @@ def rows_at_ranks(
         return F.struct(*[F.when(q == begin, F.col(f"_lo_{c}")).otherwise(F.col(f"_hi_{c}")).alias(c) for c in order])
 
     pairs = F.transform(F.filter("_ranks", at_end), lambda q: F.struct(q.alias("rank"), end_row(q).alias("at")))
-    known = wanted.select(*keys, "n", F.inline(pairs))
+    known = wanted.select(*keys, "n", *totals, F.inline(pairs))
     hard = F.filter("_ranks", lambda q: ~at_end(q))
-    mixed = wanted.select(*keys, *cells, "n", begin.alias("_before"), hard.alias("_ranks")).where(F.size("_ranks") > 0)
+    mixed = wanted.select(*keys, *cells, "n", *totals, begin.alias("_before"), hard.alias("_ranks")).where(F.size("_ranks") > 0)
     if mixed.isEmpty():
         return known
 
@@ -124,6 +134,7 @@ def rows_at_ranks(
         .agg(
             F.count(F.lit(1)).alias("_m"),
             F.min("n").alias("n"),
+            *[F.min(c).alias(c) for c in totals],
             F.min("_before").alias("_before"),
             F.any_value("_ranks").alias("_ranks"),
         )
@@ -131,14 +142,14 @@ def rows_at_ranks(
     in_cell = Window.partitionBy(*keys, *cells).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     spans = inside.withColumn("_end", F.col("_before") + F.sum("_m").over(in_cell))
     here = F.filter("_ranks", lambda q: (q >= begin) & (q < F.col("_end")))
-    found = spans.select(*keys, "n", F.explode(here).alias("rank"), F.struct(*order).alias("at"))
+    found = spans.select(*keys, "n", *totals, F.explode(here).alias("rank"), F.struct(*order).alias("at"))
     return known.unionByName(settle(found))
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], column: str, probs: dict[str, float], few_keys: bool = False
+    df: DataFrame, keys: Sequence[str], column: str, probs: dict[str, float], few_keys: bool = False, mean: str | None = None
 ) -> DataFrame:
-    """Quantiles with linear interpolation, one row per key: ``{output name: probability}``.
+    """Quantiles with linear interpolation, one row per key: ``{output name: probability}``, and the mean if it is named.
 
     Missing values do not count. Exact for any group size; keys without a value give no row.
     """
@@ -158,12 +169,15 @@ def exact_quantiles(
         [magnitude_cell("_v")],
         lambda n: F.array(*[f(n, p) for p in probs.values() for f in (below, above)]),
         few_keys,
+        ["_v"] if mean else (),
     )
     v, n = F.col("at._v"), F.col("n")
     ends = []
     for name, p in probs.items():
         ends.append(F.max(F.when(F.col("rank") == below(n, p), v)).alias(f"_lo_{name}"))
         ends.append(F.max(F.when(F.col("rank") == above(n, p), v)).alias(f"_hi_{name}"))
+    if mean:
+        ends.append((F.max("sum__v") / F.max("n")).alias(mean))
     wide = found.groupBy(*group).agg(F.max("n").alias("n"), *ends)
     out = [
         (
@@ -172,14 +186,15 @@ def exact_quantiles(
         ).alias(name)
         for name, p in probs.items()
     ]
-    return wide.select(*list(keys), *out)
+    return wide.select(*list(keys), *out, *([mean] if mean else []))
 
 
-def iqr_fences(df: DataFrame, keys: Sequence[str], column: str, factor: float) -> DataFrame:
-    """``lower``/``upper`` = quartiles minus/plus ``factor`` inter-quartile ranges, per key."""
-    q = exact_quantiles(df, keys, column, {"q1": 0.25, "q3": 0.75})
+def iqr_fences(df: DataFrame, keys: Sequence[str], column: str, factor: float, mean: str | None = None) -> DataFrame:
+    """``lower``/``upper`` = quartiles minus/plus ``factor`` inter-quartile ranges, per key, and the mean if it is named."""
+    q = exact_quantiles(df, keys, column, {"q1": 0.25, "q3": 0.75}, mean=mean)
     reach = F.lit(float(factor)) * (F.col("q3") - F.col("q1"))
-    return q.select(*list(keys), (F.col("q1") - reach).alias("lower"), (F.col("q3") + reach).alias("upper"))
+    ends = [(F.col("q1") - reach).alias("lower"), (F.col("q3") + reach).alias("upper")]
+    return q.select(*list(keys), *ends, *([mean] if mean else []))
 
 
 def starts_of_parts(

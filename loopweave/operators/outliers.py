@@ -62,9 +62,11 @@ def clip_outliers(
     pairs = F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in columns])
     values = tagged.select(*group, "_bucket", F.inline(pairs)).where(F.col("_v").isNotNull())
     spot = [*group, "_bucket", "_col"]
-    means = values.groupBy(*spot).agg(F.avg("_v").alias("mean"))
-    fence_keys = spot if bounds == "bucket" else [*group, "_col"]
-    per_column = means.join(keyed.iqr_fences(values, fence_keys, "_v", factor), fence_keys)
+    if bounds == "bucket":
+        per_column = keyed.iqr_fences(values, spot, "_v", factor, mean="mean")
+    else:
+        means = values.groupBy(*spot).agg(F.avg("_v").alias("mean"))
+        per_column = means.join(keyed.iqr_fences(values, [*group, "_col"], "_v", factor), [*group, "_col"])
     picks = [
         F.max(F.when(F.col("_col") == c, F.col(part))).alias(f"_{part}_{c}")
         for c in columns

@@ -12,9 +12,21 @@ from . import keyed
 FLAGS = ("mean_out_of_bound", "IQR_to_small", "not_enough_data")
 
 
+def sensor_days(df: DataFrame, column: str = "traffic", key: str = "detid", day: str = "day", weekday: str = "weekday") -> DataFrame:
+    """Rows, values and their sum per sensor and day: what the means, the day counts and the weekdays are made of."""
+    value = F.col(column).cast("double")
+    return df.where(F.col(key).isNotNull()).groupBy(key, day, weekday).agg(
+        F.count(F.lit(1)).alias("_m"), F.count(value).alias("_values"), F.sum(value).alias("_sum")
+    )
+
+
 def mean_bounds(df: DataFrame, column: str = "traffic", factor: float = 3, key: str = "detid") -> DataFrame:
     """Sensors whose mean lies outside the IQR fences of all sensors' means."""
-    means = keyed.settle(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(column).alias("mean_value")))
+    return _mean_bounds(keyed.settle(sensor_days(df, column, key)), factor, key)
+
+
+def _mean_bounds(days: DataFrame, factor: float, key: str) -> DataFrame:
+    means = days.groupBy(key).agg(F.try_divide(F.sum("_sum"), F.sum("_values")).alias("mean_value"))
     fence = keyed.iqr_fences(means, (), "mean_value", factor).select(F.struct("lower", "upper")).scalar()
     outside = (F.col("mean_value") < F.col("_fence.lower")) | (F.col("mean_value") > F.col("_fence.upper"))
     return means.withColumn("_fence", fence).where(outside).select(key)
@@ -31,10 +43,9 @@ def small_spread(
 def iqr_range(df: DataFrame, keys: Sequence[str] = ("detid",), column: str = "traffic") -> DataFrame:
     """Inter-quartile and total range per key."""
     keys = list(keys)
-    present = df.where(F.col(column).isNotNull())
-    q = keyed.exact_quantiles(present, keys, column, {"q1": 0.25, "q3": 0.75})
-    ends = present.groupBy(*keys).agg((F.max(column) - F.min(column)).alias("total_range"))
-    return q.join(ends, keys).select(*keys, (F.col("q3") - F.col("q1")).alias("iqr"), "total_range")
+    # the ends of the range are known from the scan that finds the quartiles
+    q = keyed.exact_quantiles(df, keys, column, {"q0": 0.0, "q1": 0.25, "q3": 0.75, "q4": 1.0})
+    return q.select(*keys, (F.col("q3") - F.col("q1")).alias("iqr"), (F.col("q4") - F.col("q0")).alias("total_range"))
 
 
 def daily_counts(df: DataFrame, key: str = "detid", day: str = "day") -> DataFrame:
@@ -56,6 +67,10 @@ def not_enough(
 ) -> DataFrame:
     """Sensors with too few well-filled days, or without some weekday (counted over all their days)."""
     days = df.where(F.col(key).isNotNull()).groupBy(key, day, weekday).agg(F.count(F.lit(1)).alias("_m"))
+    return _not_enough(days, min_days, min_daily, key, weekday)
+
+
+def _not_enough(days: DataFrame, min_days: int, min_daily: int, key: str, weekday: str = "weekday") -> DataFrame:
     per_key = days.groupBy(key).agg(
         F.count_if(F.col("_m") >= min_daily).alias("valid_days"),
         F.count_distinct(weekday).alias("weekdays"),
@@ -73,11 +88,12 @@ def detect_anomalies(
     min_daily: int = 250,
     key: str = "detid",
 ) -> DataFrame:
-    """One row per flagged sensor with the three flags."""
+    """One row per flagged sensor with the three flags. Two scans of the rows: sums per sensor and day, and the quartiles' cells."""
+    days = keyed.settle(sensor_days(df, column, key))
     found = {
-        "mean_out_of_bound": mean_bounds(df, column, factor, key),
+        "mean_out_of_bound": _mean_bounds(days, factor, key),
         "IQR_to_small": small_spread(df, column, min_iqr, min_range, key),
-        "not_enough_data": not_enough(df, min_days, min_daily, key),
+        "not_enough_data": _not_enough(days, min_days, min_daily, key),
     }
     union = None
     for flag, sensors in found.items():
