@@ -74,36 +74,34 @@ def _split_units(df, k, min_weekdays, seed, splits, key, weekday, draw_many) ->
     """Test units (days or weeks) are drawn on the distinct (sensor, unit, weekday) table, whose
     size per sensor is bounded by the calendar; only the drawn units are joined to the rows."""
     present = df.where(F.col(key).isNotNull()).select(key, "_unit", weekday).distinct()
-    units, extra = _repeat(present, splits)
-    sensor = [*extra, key]
+    sensor = [key] if splits is None else ["split_id", key]
     if k == 1:
-        drawn = _draw_one(units, min_weekdays, seed, sensor, weekday)
+        drawn = _draw_one(present, min_weekdays, seed, key, weekday, splits)
     else:
-        drawn = draw_many(units, k, min_weekdays, seed, sensor, weekday)
+        drawn = draw_many(_repeat(present, splits)[0], k, min_weekdays, seed, sensor, weekday)
     test = keyed.settle(drawn.select(*sensor, "_unit", F.lit("test").alias("_role")))
     rows, _ = _repeat(df, splits)
     joined = rows.join(test, [*sensor, "_unit"], "left")
     return joined.withColumn("role", F.coalesce("_role", F.lit("train"))).drop("_role")
 
 
-def _draw_one(units: DataFrame, min_weekdays: int, seed, sensor: list[str], weekday: str) -> DataFrame:
-    """The admissible unit with the smallest hash. A unit takes away the weekdays only it has."""
-    by_sensor = Window.partitionBy(*sensor)
+def _draw_one(units: DataFrame, min_weekdays: int, seed, key: str, weekday: str, splits: int | None) -> DataFrame:
+    """The admissible unit with the smallest hash. A unit takes away the weekdays only it has.
+
+    Which units may go doesn't depend on the split: that is found once, and every split draws from the same units.
+    """
+    by_sensor = Window.partitionBy(key)
     marked = units.select(
-        *sensor,
+        key,
         "_unit",
-        F.count(F.lit(1)).over(Window.partitionBy(*sensor, weekday)).alias("_holders"),
+        F.count(F.lit(1)).over(Window.partitionBy(key, weekday)).alias("_holders"),
         F.size(F.collect_set(weekday).over(by_sensor)).alias("_all"),
     )
-    per_unit = marked.groupBy(*sensor, "_unit").agg(
-        (F.max("_all") - F.count_if(F.col("_holders") == 1)).alias("_kept")
-    )
+    per_unit = marked.groupBy(key, "_unit").agg((F.max("_all") - F.count_if(F.col("_holders") == 1)).alias("_kept"))
+    free, extra = _repeat(per_unit.where(F.col("_kept") >= min_weekdays), splits)
+    sensor = [*extra, key]
     order = F.struct(hash_text(seed, *[F.col(c) for c in sensor], F.col("_unit")), F.col("_unit"))
-    return (
-        per_unit.where(F.col("_kept") >= min_weekdays)
-        .groupBy(*sensor)
-        .agg(F.min_by("_unit", order).alias("_unit"))
-    )
+    return free.groupBy(*sensor).agg(F.min_by("_unit", order).alias("_unit"))
 
 
 def _draw_days(units: DataFrame, k: int, min_weekdays: int, seed, sensor: list[str], weekday: str) -> DataFrame:

@@ -8,7 +8,7 @@ from ..functions.calendar import WEEKDAYS, weekday_number
 from ..models import baseline, forest, knn, knn_pooled, polynomial, seasonal
 from ..operators import features, keyed
 from ..operators.metrics import macro_average, regression_metrics
-from ..plans import dataset
+from ..plans import dataset, predictions
 from ..sources import views
 from .aggregates import R2, SCORES
 from .base import WEEKDAY_SQL, clean_rows, hourly, query, r, rounded, train_test
@@ -382,14 +382,18 @@ def poly_quadratic(spark, sf):
 # -- forest -------------------------------------------------------------------------------------
 
 
-def tree_sql(depth: int) -> str:
+TEST_SPOTS = f"select detid, w, h from cells union select detid, cast({W} as integer), interval_s from test"
+WEEK_SPOTS = "select detid, w, h from cells union select detid, cast(d.range as integer), cast(s.range * 3600 as integer) from (select distinct detid from cells), range(7) d, range(24) s"
+
+
+def tree_sql(depth: int, spots: str = TEST_SPOTS) -> str:
     """A single tree per sensor, level by level: ``n{depth}`` gives the node of each point of ``spots``.
 
     Equal gains: weekday before interval, then the lower threshold.
     """
     parts = [
         f"""cells as (select detid, cast({W} as integer) as w, interval_s as h, count(*) as m, sum(traffic) as sy from train group by all)""",
-        "spots as (select detid, w, h from cells union select detid, cast(" + W + " as integer), interval_s from test)",
+        f"spots as ({spots})",
         "n0 as (select detid, w, h, 0 as node from spots)",
     ]
     for d in range(depth):
@@ -494,13 +498,13 @@ def fit_sql(priors, weekdays: bool = False, pooled: bool = False) -> str:
     variance = f"greatest(2 * sse / (n + sqrt(n * n + {4 / seasonal.NOISE_PRIOR**2!r} * sse)), {seasonal.LEAST_VARIANCE!r})"
     return f"""wide as (select {key}, {code}, cast(({W}) * 86400 + interval_s as integer) as second, count(*)::double as m, sum(traffic) as sy,
         sum(traffic * traffic) as syy from {rows} group by all),
-      points as (select *, {design_sql(weekdays, pooled)} as x from wide),
-      products as (select detid, i, j, sum(m * x[i] * x[j]) as v from points, range(1, {size + 1}) a(i), range(1, {size + 1}) b(j) group by all),
+      designs as (select *, {design_sql(weekdays, pooled)} as x from wide),
+      products as (select detid, i, j, sum(m * x[i] * x[j]) as v from designs, range(1, {size + 1}) a(i), range(1, {size + 1}) b(j) group by all),
       lines as (select detid, i, list(v order by j) as line from products group by all),
       grams as (select detid, list(line order by i) as g from lines group by all),
-      sides as (select detid, i, sum(sy * x[i]) as v from points, range(1, {size + 1}) a(i) group by all),
+      sides as (select detid, i, sum(sy * x[i]) as v from designs, range(1, {size + 1}) a(i) group by all),
       rights as (select detid, list(v order by i) as r from sides group by all),
-      sums as (select detid, sum(m) as n, sum(syy) as syy from points group by all),
+      sums as (select detid, sum(m) as n, sum(syy) as syy from designs group by all),
       spans as (select *, case when syy = 0 then 1.0 else sqrt(syy / n) end as scale,
         {f"case when g[{size}][{size}] = 0 then 1.0 else sqrt(g[{size}][{size}] / n) end" if pooled else "1.0"} as span
         from grams join rights using (detid) join sums using (detid)),
@@ -640,6 +644,38 @@ def predict_future_weekdays(spark, sf):
 
 # -- predictions on the map ---------------------------------------------------------------------
 
+NAMES = f"list_value({', '.join(repr(d) for d in WEEKDAYS)})"
+WEEK_ASKED = "select detid, cast(d.range as integer) as w, cast(s.range * 3600 as integer) as h from best, range(7) d, range(24) s"
+#: ``predicted``: all models, weekdays and slots; the forest is a single tree, which SQL can grow.
+PREDICTED = f"""with recursive {MODEL}, {CV.replace('with ', '')}, {forecast_sql(WEEK_ASKED)}, {tree_sql(TREE_DEPTH, WEEK_SPOTS)}, {fit_sql([seasonal.PRIOR_PER_SENSOR])},
+  leaf as (select detid, node, sum(sy) / sum(m) as p from cells join n{TREE_DEPTH} using (detid, w, h) group by all),
+  seconds as (select detid, coef, cast(d.range as integer) as w, cast(s.range * 3600 as integer) as h, cast(d.range * 86400 + s.range * 3600 as integer) as second
+    from fitted, range(7) d, range(24) s),
+  predicted as (
+    select 'random' as model, detid, weekday, interval_s, traffic::double as traffic from model
+    union all select 'knn', detid, {NAMES}[w + 1], h, traffic from forecast
+    union all select 'forest', n.detid, {NAMES}[n.w + 1], n.h, p from n{TREE_DEPTH} n join leaf using (detid, node) where n.h % 3600 = 0 and n.h < 86400
+    union all select 'seasonal', detid, {NAMES}[w + 1], h, {value_sql()} from seconds)"""
+
+
+def week_predictions(spark, sf):
+    """All models and weekdays; the forest is one tree of fixed depth, so that an oracle can follow."""
+    train, _ = train_test(spark, sf)
+    return predictions.week_predictions(train, forest_settings=forest.one_tree(train, TREE_DEPTH), bootstrap=False)
+
+
+@query(
+    "prediction_cube_all",
+    f"""{PREDICTED}, coords as (select p.*, d.lon, d.lat from predicted p join detectors d using (detid))
+        select model, weekday, interval_s, cast(round_even(lon * 100, 0) as integer) as cell_x,
+          cast(round_even(lat * 100, 0) as integer) as cell_y, {r('avg(traffic)', SOLVED)} as mean_traffic_index,
+          count(detid) as detectors_in_grid from coords group by 1, 2, 3, 4, 5""",
+)
+def prediction_cube_all(spark, sf):
+    cube = dataset.prediction_cube(week_predictions(spark, sf), views.detectors(spark, sf))
+    return rounded(cube.drop("grid_id", "lon_rounded", "lat_rounded"), SOLVED)
+
+
 
 @query(
     "prediction_cube",

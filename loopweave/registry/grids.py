@@ -261,9 +261,28 @@ def detector_points(spark, sf):
     return rounded(points)
 
 
-@query("sink_geojson")
+@query(
+    "sink_geojson",
+    f"""with {CELLS}, seen as (select cell_x, cell_y, avg(traffic) as m, count(detid) as n, {PLACE} from cells group by cell_x, cell_y),
+        ends as (select *, least(greatest(m / 99, 0), 1) * 2 as t from seen)
+        select grid_id, 'Polygon' as kind, {r('m')} as mean_traffic_index, n as detectors_in_grid,
+          '#' || printf('%02x', floor((case when t <= 1 then t * 255 else 255 end) * 255.9999 / 255)::integer)
+          || printf('%02x', floor((case when t <= 1 then 128 + t * 127 else 255 - (t - 1) * 255 end) * 255.9999 / 255)::integer) || '00' as colour,
+          [{', '.join(f"[{r(f'cell_x / 100 + {x}')}, {r(f'cell_y / 100 + {y}')}]" for x, y in ((-0.005, -0.005), (0.005, -0.005), (0.005, 0.005), (-0.005, 0.005), (-0.005, -0.005)))}]::varchar as ring
+        from ends""",
+)
 def sink_geojson(spark, sf):
-    return grid.geojson_cells(grid.grid_mean(placed(spark, sf)))
+    """Every feature's text, parsed back: ring, colour and counts."""
+    text = grid.geojson_cells(grid.grid_mean(placed(spark, sf)))
+    schema = (
+        "geometry struct<type: string, coordinates: array<array<array<double>>>>, "
+        "properties struct<grid_id: string, mean_traffic_index: double, detectors_in_grid: bigint, colour: string>"
+    )
+    lines = text.select(F.from_json("value", schema).alias("f"))
+    size = F.lit(1e6)
+    ring = F.transform(F.col("f.geometry.coordinates")[0], lambda p: F.transform(p, lambda v: F.floor(v * size + F.lit(0.501)) / size))
+    flat = F.concat(F.lit("["), F.array_join(F.transform(ring, lambda p: F.concat(F.lit("["), F.array_join(p.cast("array<string>"), ", "), F.lit("]"))), ", "), F.lit("]"))
+    return rounded(lines.select("f.properties.*", F.col("f.geometry.type").alias("kind"), flat.alias("ring")))
 
 
 @query(

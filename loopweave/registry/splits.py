@@ -108,3 +108,30 @@ SPLIT_LEAD = "cast(split_id as varchar), "
 def split_dispatch(spark, sf):
     rows = split.split("Sniper", hourly(spark, sf), 3, seed=27)
     return rounded(rows.select("split_id", "detid", "weekday", "interval_s", "traffic", "role"))
+
+
+def dispatch_sql(unit: str, least: int, splits: int = 3) -> str:
+    """``drawn``: per split and sensor the first admissible unit in hash order."""
+    return f"""with rows_ as (select *, {unit} as unit from hourly),
+      units as (select distinct detid, unit, weekday from rows_),
+      kept as (select detid, unit, max(all_days) - count(*) filter (where holders = 1) as kept
+        from (select u.*, count(*) over (partition by detid, weekday) as holders, w.all_days from units u
+              join (select detid, count(distinct weekday) as all_days from units group by 1) w using (detid)) group by 1, 2),
+      drawn as (select split_id, detid, unit from (select split_id, detid, unit, row_number() over (partition by split_id, detid
+          order by md5(concat_ws('|', '27', cast(split_id as varchar), detid, cast(unit as varchar))), unit) as rn
+        from kept, (select cast(range as integer) as split_id from range({splits})) where kept >= {least}) where rn = 1)
+      select x.split_id, h.detid, h.weekday, h.interval_s, {r('h.traffic')} as traffic, case when d.unit is null then 'train' else 'test' end as role
+      from rows_ h cross join (select cast(range as integer) as split_id from range({splits})) x
+      left join drawn d on d.split_id = x.split_id and d.detid = h.detid and d.unit = h.unit"""
+
+
+@query("split_dispatch_day", dispatch_sql("day", 7))
+def split_dispatch_day(spark, sf):
+    rows = split.split("Day", hourly(spark, sf), 3, seed=27)
+    return rounded(rows.select("split_id", "detid", "weekday", "interval_s", "traffic", "role"))
+
+
+@query("split_dispatch_week", dispatch_sql("cast(weekofyear(day) as integer)", 5))
+def split_dispatch_week(spark, sf):
+    rows = split.split("Week", hourly(spark, sf), 3, seed=27)
+    return rounded(rows.select("split_id", "detid", "weekday", "interval_s", "traffic", "role"))

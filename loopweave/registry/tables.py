@@ -12,7 +12,9 @@ from ..operators import joins, keyed
 from ..plans import dataset
 from ..sources import readers, views, writers
 from .base import hourly, query, r, rounded, train_test
-from .forecasts import MODEL
+from ..functions.calendar import WEEKDAYS
+from ..plans.predictions import MODELS
+from .forecasts import MODEL, PREDICTED, SOLVED, week_predictions
 from .grids import CELLS, PLACE, PLACED_XY, placed
 from .quality import DATASET_SQL, LIMITS, PLAN_SQL
 from .splits import SPLIT_LEAD, draw_sql
@@ -59,24 +61,30 @@ def sink_anomalies(spark, sf):
 
 @query(
     "sink_splits",
-    f"""select detid, weekday, interval_s, {r('traffic')} as traffic from (
-          select *, {draw_sql(SPLIT_LEAD)} from hourly, (select 1 as split_id)) where interval_s // 3600 in (s0, s1)""",
+    f"""select split_id, case when interval_s // 3600 in (s0, s1) then 'test' else 'train' end as role, detid, weekday, interval_s,
+        {r('traffic')} as traffic from (select *, {draw_sql(SPLIT_LEAD)} from hourly, (select cast(range as integer) as split_id from range(2)))""",
 )
 def sink_splits(spark, sf):
+    """All four written parts, each read by itself."""
     path = _path(spark, "splits")
     writers.write_splits(hourly(spark, sf), "Sniper", 2, path, seed=27)
-    return rounded(writers.read_split(spark, path, 1, "test").select("detid", "weekday", "interval_s", "traffic"))
+    union = None
+    for split_id in range(2):
+        for role in ("train", "test"):
+            part = writers.read_split(spark, path, split_id, role).withColumns({"split_id": F.lit(split_id), "role": F.lit(role)})
+            union = part if union is None else union.unionByName(part)
+    return rounded(union.select("split_id", "role", "detid", "weekday", "interval_s", "traffic"))
 
 
 @query(
     "sink_grid_cube",
     f"""with {CELLS} select weekday, interval_s, cell_x, cell_y, {r('avg(traffic)')} as mean_traffic_index,
-        count(detid) as detectors_in_grid, {PLACE}, {PLACED_XY} from cells where weekday = 'Friday' group by weekday, interval_s, cell_x, cell_y""",
+        count(detid) as detectors_in_grid, {PLACE}, {PLACED_XY} from cells group by weekday, interval_s, cell_x, cell_y""",
 )
 def sink_grid_cube(spark, sf):
     path = _path(spark, "cube")
     writers.write_grid_cube(placed(spark, sf), path)
-    return rounded(readers.read_table(spark, path, "weekday = 'Friday'"))
+    return rounded(readers.read_table(spark, path))
 
 
 @query("src_city_table", "select cast(c_custkey as bigint) as c_custkey, c_mktsegment as citycode from customer where c_mktsegment = 'MACHINERY'")
@@ -100,22 +108,48 @@ def store_predictions(spark, sf):
     return rounded(found.select("detid", "interval_s", "traffic", "lon", "lat"))
 
 
-@query("store_models", f"with {MODEL} select detid, weekday, interval_s, traffic from model where weekday = 'Sunday'")
+@query(
+    "store_predictions_all",
+    f"""{PREDICTED} select model, weekday, p.detid, interval_s, {r('traffic', SOLVED)} as traffic, {r('d.lon', SOLVED)} as lon, {r('d.lat', SOLVED)} as lat
+        from predicted p left join detectors d using (detid)""",
+)
+def store_predictions_all(spark, sf):
+    """All models and weekdays written in one plan, then read back by the dispatch over model and weekday, part by part."""
+    path = _path(spark, "predictions")
+    writers.store_predictions(week_predictions(spark, sf), path)
+    detectors, union = views.detectors(spark, sf), None
+    for model in MODELS:
+        for weekday in WEEKDAYS:
+            part = dataset.weekday_prediction(spark, path, model, weekday, detectors)
+            union = part if union is None else union.unionByName(part)
+    return rounded(union.select("model", "weekday", "detid", "interval_s", "traffic", "lon", "lat"), SOLVED)
+
+
+@query("store_models", f"with {MODEL} select detid, weekday, interval_s, traffic from model")
 def store_models(spark, sf):
     path = _path(spark, "models")
     writers.store_models(baseline.fit_random(train_test(spark, sf)[0]), path)
-    return writers.load_models(spark, path).where("weekday = 'Sunday'")
+    return writers.load_models(spark, path)
 
 
-@query("sink_geojson_points")
+@query(
+    "sink_geojson_points",
+    f"""with used as (select distinct detid, 'blue' as colour from readings where flow < 200 union all select distinct detid, 'red' from readings where flow >= 400)
+        select detid, 'Point' as kind, colour, 'Detector ID: ' || detid as label, {r('lon')} as lon, {r('lat')} as lat
+        from used join detectors using (detid)""",
+)
 def sink_geojson_points(spark, sf):
+    """The written lines, parsed back."""
     from ..operators import grid, outliers
 
     path = _path(spark, "points")
     rows = joins.with_detectors(views.readings(spark, sf), views.detectors(spark, sf), columns=("lon", "lat"), how="inner")
     points = grid.detector_points(rows.where("flow < 200"), rows.where("flow >= 400"), outliers.READING_ORDER)
     writers.write_geojson(grid.geojson_points(points), path)
-    return spark.read.text(path)
+    schema = "geometry struct<type: string, coordinates: array<double>>, properties struct<detid: string, colour: string, label: string>"
+    lines = spark.read.text(path).select(F.from_json("value", schema).alias("f"))
+    place = F.col("f.geometry.coordinates")
+    return rounded(lines.select("f.properties.*", F.col("f.geometry.type").alias("kind"), place[0].alias("lon"), place[1].alias("lat")))
 
 
 @query(

@@ -227,3 +227,19 @@ def test_pooled_neighbours_when_codes_lie_farther_apart_than_hours(spark):
     asked = spark.createDataFrame([(0, 0, 0)], "code long, w int, h int")
     got = {r["k"]: r["u1"] for r in pooled_fans(points, asked).collect()}
     assert got[10] == 5.0
+
+
+def test_week_predictions_hold_every_model_and_weekday(spark, tables):
+    from loopweave.plans import predictions
+
+    train, _ = tables
+    best = forest.one_tree(train, 3)
+    setting = train.select("detid").distinct().select("detid", F.lit(3).alias("k"), F.lit(1).alias("p"), F.lit("uniform").alias("weights"))
+    out = predictions.week_predictions(train, knn_settings=setting, forest_settings=best, bootstrap=False)
+    counts = {r["model"]: r["count"] for r in out.where("traffic is not null").groupBy("model").count().collect()}
+    assert counts == {"random": 3 * 7 * 288, "knn": 3 * 7 * 24, "forest": 3 * 7 * 24, "seasonal": 3 * 7 * 24}
+    only = predictions.week_predictions(train, ["forest"], [0, 3600], forest_settings=best, bootstrap=False)
+    day = forest.forecast_points(train, predictions.week_queries(best, [0, 3600]), best, bootstrap=False)
+    assert sorted(only.drop("model").collect()) == sorted(day.collect())
+    with pytest.raises(ValueError):
+        predictions.week_predictions(train, ["prophecy"])
