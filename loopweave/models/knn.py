@@ -6,11 +6,10 @@ never between raw rows:
 * equal train rows are cut to the first K of each lattice point (by row order), the only
   ones that can ever be among K neighbours; Spark prunes them before the shuffle;
 * queries are the distinct lattice points that need a forecast;
-* one step in interval outweighs any step in weekday, so the K nearest rows lie within the
-  smallest interval reach that holds K rows. That reach is looked up from counts, and only
-  those hours are joined, by equality.
-
-Intervals must be multiples of at least 7 seconds apart (they are, on a 300 s or hourly grid).
+* the smallest interval reach that holds K rows is looked up from counts. A row adds at most
+  ``WEEKDAY_STEP`` to its interval distance, so the K nearest rows lie within that much more, and
+  only those intervals are joined, by equality. Intervals may be any seconds apart; on a grid of
+  more than ``WEEKDAY_STEP`` seconds nothing is added.
 """
 
 from __future__ import annotations
@@ -30,6 +29,9 @@ WEIGHTS = ("uniform", "distance")
 POWERS = (1, 2)
 FOLDS = 5
 
+# Fixed value: the largest distance in weekday.
+WEEKDAY_STEP = 6
+
 ROW_ORDER = ("day", "interval_s")
 
 
@@ -73,39 +75,60 @@ def fans(points: DataFrame, queries: DataFrame, keys: Sequence[str], k: int = ma
     counts = short.groupBy(*keys, "h").agg(F.count(F.lit(1)).alias("n"))
     # At most one entry per interval of the day.
     hours = counts.groupBy(*keys).agg(F.collect_list(F.struct("h", "n")).alias("hours"))
-    asked = queries.groupBy(*keys, "h").agg(F.collect_set("w").alias("ws")).join(hours.hint("merge"), keys)
+    asked = queries.groupBy(*keys, "h").agg(F.collect_set("w").alias("ws")).join(hours, keys)
     near = asked.withColumn("reach", _reach(F.col("hours"), F.col("h"), k))
     targets = near.select(
         *keys,
         "ws",
         "h",
-        F.explode(F.filter("hours", lambda x: F.abs(x["h"] - F.col("h")) <= F.col("reach"))["h"]).alias("th"),
+        F.explode(F.filter("hours", lambda x: F.abs(x["h"] - F.col("h")) <= F.col("reach") + WEEKDAY_STEP)["h"]).alias("th"),
     )
     train = short.select(*keys, F.col("w").alias("tw"), F.col("h").alias("th"), "day", "y")
-    # Both sides grow with the data and are expanded from small files: never broadcast.
-    pairs = targets.join(train.hint("merge"), [*keys, "th"]).withColumn("w", F.explode("ws"))
+    pairs = targets.join(train, [*keys, "th"]).withColumn("w", F.explode("ws"))
     dh, dw = F.abs(F.col("th") - F.col("h")), F.abs(F.col("tw") - F.col("w"))
     measured = pairs.select(
-        *keys, "w", "h", "day", "th", "y", dh.alias("dh"), dw.alias("dw"),
+        *keys, "w", "h", "day", "th", "y",
         (dh + dw).cast("double").alias("d1"),
         F.sqrt((dh.cast("bigint") * dh + dw * dw).cast("double")).alias("d2"),
     )
-    # Both distances sort the rows alike, so one ranking serves both.
-    order = Window.partitionBy(*keys, "w", "h").orderBy("dh", "dw", "day", "th")
-    ranked = measured.select(*keys, "w", "h", *running_means(order, (1, 2), "rn", "u")).where(F.col("rn") <= k)
-    steps = F.sort_array(F.collect_list(F.struct("rn", "u", "e1", "e2")))
-    gathered = ranked.groupBy(*keys, "w", "h").agg(steps.alias("steps"))
-    return gathered.select(
+    spot = Window.partitionBy(*keys, "w", "h")
+    if _far_apart(short, queries):
+        # a step in interval outweighs any weekday, so both distances sort the rows alike: one ranking serves both
+        one = measured.select(*keys, "w", "h", *running_means(spot.orderBy("d1", "day", "th"), POWERS, "rn1", "u1"))
+        ranked = one.where(F.col("rn1") <= k).withColumns({"rn2": F.col("rn1"), "u2": F.col("u1")})
+        return best_steps(ranked, [*keys, "w", "h"], k)
+    ranked = measured.select(
         *keys, "w", "h",
+        *running_means(spot.orderBy("d1", "day", "th"), (1,), "rn1", "u1"),
+        *running_means(spot.orderBy("d2", "day", "th"), (2,), "rn2", "u2"),
+    )
+    return best_steps(ranked, [*keys, "w", "h"], k)
+
+
+def _far_apart(points: DataFrame, queries: DataFrame) -> bool:
+    """Whether different intervals lie more than ``WEEKDAY_STEP`` apart; one row from at most a day's seconds."""
+    h = F.sort_array(F.collect_set("h"))
+    gaps = F.zip_with(F.slice("_h", 2, F.size("_h")), F.slice("_h", 1, F.size("_h") - 1), lambda a, b: a - b)
+    both = points.select("h").unionByName(queries.select("h")).distinct().agg(h.alias("_h"))
+    least = both.where(F.size("_h") > 1).select(F.array_min(gaps).alias("gap")).first()
+    return least is None or least["gap"] > WEEKDAY_STEP
+
+
+def best_steps(ranked: DataFrame, spot: Sequence[str], k: int) -> DataFrame:
+    """One row per spot and number of neighbours, from the running means of both rankings."""
+    steps = [
+        F.sort_array(F.collect_list(F.when(F.col(f"rn{p}") <= k, F.struct(f"rn{p}", f"u{p}", f"e{p}")))).alias(f"steps{p}")
+        for p in POWERS
+    ]
+    gathered = ranked.where((F.col("rn1") <= k) | (F.col("rn2") <= k)).groupBy(*spot).agg(*steps)
+    return gathered.select(
+        *spot,
         F.inline(
             F.transform(
                 F.array(*[F.lit(n) for n in NEIGHBOURS if n <= k]),
                 lambda n: F.struct(
                     n.alias("k"),
-                    step_at("steps", n)["u"].alias("u1"),
-                    step_at("steps", n)["e1"].alias("e1"),
-                    step_at("steps", n)["u"].alias("u2"),
-                    step_at("steps", n)["e2"].alias("e2"),
+                    *[step_at(f"steps{p}", n)[f"{c}{p}"].alias(f"{c}{p}") for p in POWERS for c in ("u", "e")],
                 ),
             )
         ),

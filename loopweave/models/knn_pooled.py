@@ -27,16 +27,16 @@ from ..operators.metrics import regression_metrics
 from .knn import (
     FOLDS,
     NEIGHBOURS,
+    WEEKDAY_STEP,
     _reach,
     _shortlist,
+    best_steps,
     cv_table,
     running_means,
     serve_other_folds,
     setting_value,
-    step_at,
 )
 
-WEEKDAY_STEP = 6
 ROW_ORDER = ("code", "day", "interval_s")
 
 
@@ -104,24 +104,8 @@ def pooled_fans(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (),
         *running_means(spot.orderBy("d1", *rows), (1,), "rn1", "u1"),
         *running_means(spot.orderBy("d2", *rows), (2,), "rn2", "u2"),
     )
-    steps = [
-        F.sort_array(F.collect_list(F.when(F.col(f"rn{p}") <= k, F.struct(f"rn{p}", f"u{p}", f"e{p}")))).alias(f"steps{p}")
-        for p in (1, 2)
-    ]
-    gathered = ranked.where((F.col("rn1") <= k) | (F.col("rn2") <= k)).groupBy(*group, "code", "w", "h").agg(*steps)
-    return gathered.select(
-        *keys, "code", "w", "h",
-        F.inline(
-            F.transform(
-                F.array(*[F.lit(n) for n in NEIGHBOURS if n <= k]),
-                lambda n: F.struct(
-                    n.alias("k"),
-                    step_at("steps1", n)["u1"].alias("u1"), step_at("steps1", n)["e1"].alias("e1"),
-                    step_at("steps2", n)["u2"].alias("u2"), step_at("steps2", n)["e2"].alias("e2"),
-                ),
-            )
-        ),
-    )
+    out = best_steps(ranked, [*group, "code", "w", "h"], k)
+    return out.select(*keys, "code", "w", "h", "k", "u1", "e1", "u2", "e2")
 
 
 def _places(present: DataFrame, targets: DataFrame, group: list[str]) -> DataFrame:

@@ -243,3 +243,18 @@ def test_week_predictions_hold_every_model_and_weekday(spark, tables):
     assert sorted(only.drop("model").collect()) == sorted(day.collect())
     with pytest.raises(ValueError):
         predictions.week_predictions(train, ["prophecy"])
+
+
+@pytest.mark.parametrize("step", [1, 3, 300])
+def test_neighbours_on_any_step(spark, step):
+    """Intervals closer than a week of weekdays: both distances against all pairs."""
+    rng = np.random.default_rng(step)
+    rows = [(int(rng.integers(0, 7)), int(rng.integers(0, 25)) * step, f"2024-{i // 28 + 1:02d}-{i % 28 + 1:02d}", float(i)) for i in range(120)]
+    points = spark.createDataFrame([("a", *x) for x in rows], "detid string, w int, h int, day string, y double")
+    asked = [(w, h * step) for w in (0, 3, 6) for h in (0, 7, 24, 30)]
+    got = {(r["w"], r["h"], r["k"]): r for r in knn.fans(points, spark.createDataFrame([("a", *x) for x in asked], "detid string, w int, h int"), ["detid"]).collect()}
+    for w, h in asked:
+        for p in (1, 2):
+            near = sorted((abs(a - w) + abs(b - h) if p == 1 else float(np.hypot(a - w, b - h)), day, b, y) for a, b, day, y in rows)
+            for k in knn.NEIGHBOURS:
+                assert got[w, h, k][f"u{p}"] == pytest.approx(np.mean([x[3] for x in near[:k]]))
