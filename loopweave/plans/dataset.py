@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import aggregate, clean, grid, joins, keyed, outliers, quality
+from ..scratch import scope
 from ..sources.writers import load_predictions
 
 
@@ -51,17 +52,20 @@ def build_dataset(readings: DataFrame, detectors: DataFrame, limits: Limits = Li
     readings: row_id, detid, day, interval_s, flow, occ, error. The data set holds interval_s,
     day, detid, weekday, traffic (0..99) and the detector attributes but lanes.
     """
-    rows = clean_readings(readings, limits)
-    flags = keyed.settle(
-        quality.detect_anomalies(
-            rows, "traffic", limits.anomaly_factor, limits.min_iqr, limits.min_range, limits.min_days, limits.min_daily
+    # Only the flags and the hourly table outlive the block; the rows staged on the way are deleted at its end.
+    with scope(readings.sparkSession) as keep:
+        rows = clean_readings(readings, limits)
+        flags = keyed.settle(
+            quality.detect_anomalies(
+                rows, "traffic", limits.anomaly_factor, limits.min_iqr, limits.min_range, limits.min_days, limits.min_daily
+            )
         )
-    )
-    if limits.rescue:
-        kept, flags = quality.handle_anomalies(rows, flags)
-    else:
-        kept = joins.drop_keys(rows, flags, "detid")
-    hourly = keyed.settle(aggregate.hourly_mean(kept, ratio=limits.ratio))
+        if limits.rescue:
+            kept, flags = quality.handle_anomalies(rows, flags)
+        else:
+            kept = joins.drop_keys(rows, flags, "detid")
+        hourly = keep(aggregate.hourly_mean(kept, ratio=limits.ratio))
+        flags = keep(flags)
     scaled = clean.normalize_minmax(clean.clip_upper(hourly, "traffic", limits.cap))
     placed = joins.with_detectors(scaled, detectors, columns=attributes)
     return clean.final_process(placed), flags

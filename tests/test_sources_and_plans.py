@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from loopweave import scratch
 from loopweave.models import baseline
 from loopweave.operators import aggregate, clean, grid, joins, keyed, outliers
 from loopweave.plans import dataset
@@ -83,6 +84,39 @@ def test_keyless_ranks_need_no_single_task(spark):
     assert any("windowspecdefinition(_range" in p for p in plans)
 
 
+def _tables(spark) -> set[str]:
+    root = scratch.scratch_root(spark)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {str(f.getPath().getName()) for f in fs.listStatus(path)} if fs.exists(path) else set()
+
+
+def test_a_scope_deletes_what_it_does_not_keep(spark):
+    before = _tables(spark)
+    with scratch.scope(spark) as keep:
+        first = scratch.settle(spark.range(10))
+        with scratch.scope(spark) as keep_inner:
+            inner = scratch.settle(first.where("id > 3"))
+            passed = keep_inner(inner.where("id > 5"))
+        assert passed.count() == 4 and len(_tables(spark) - before) == 2
+        result = keep(passed.where("id > 7"))
+    assert [r["id"] for r in result.orderBy("id").collect()] == [8, 9]
+    assert len(_tables(spark) - before) == 1
+    with pytest.raises(ZeroDivisionError):
+        with scratch.scope(spark):
+            scratch.settle(spark.range(3))
+            1 / 0
+    assert len(_tables(spark) - before) == 1
+
+
+def test_build_dataset_leaves_only_its_results(spark):
+    before = _tables(spark)
+    data, flags = dataset.build_dataset(views.readings(spark, SF), views.detectors(spark, SF))
+    assert len(_tables(spark) - before) <= 3  # the hourly table, the flags, the index's ends
+    assert data.count() >= 0 and flags.count() > 0
+
+
 def test_formats_are_checked(spark, tmp_path):
     with pytest.raises(ValueError):
         writers.write_dataset(spark.range(1), str(tmp_path / "x"), "xml")
