@@ -1,7 +1,8 @@
 """Language identification with interpolated Kneser-Ney character models, one per language.
 
-Training. Of every language at most ``SAMPLE`` labelled documents of at most ``SAMPLE_CHARS`` characters are taken, in
-the order of a hash of their id; the whole of each is read. Every eighth of them is held back for calibration. The other
+Training. Of every language at most ``SAMPLE`` labelled documents are taken, in the order of a hash of their id: those of
+at most ``SAMPLE_CHARS`` characters first, whole; where they are too few, a slice of that size, at a place given by the hash,
+of longer ones. Every eighth of them is held back for calibration. The other
 texts, lower-cased, white space, digits and signs each folded to one mark, give the character n-grams up to order 5.
 Interpolated Kneser-Ney smoothing with one discount per order turns the counts into probabilities; lower orders count the
 different characters before an n-gram, the lowest one backs off to the uniform distribution.
@@ -223,18 +224,18 @@ class Model:
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int, chars: int) -> dict[str, list[str]]:
-    """At most ``per_lang`` texts of each language, whole, in the order of a hash of their id."""
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.length(text_col).between(1, chars))
-    rank = Window.partitionBy("lang").orderBy("h", "id")
-    ids = (
-        rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
-        .withColumn("n", F.row_number().over(rank))
-        .where(F.col("n") <= per_lang)
-        .select("id", F.col("lang").alias("l"), "n")
-    )
-    texts = rows.join(F.broadcast(ids), (rows[id_col] == ids["id"]) & (rows[lang_col] == ids["l"]))
+    """At most ``per_lang`` texts of each language: short ones whole, then slices of long ones, in the order of a hash of their id."""
+    size, text = F.length(text_col), F.col(text_col)
+    rows = docs.where(F.col(lang_col).isNotNull() & text.isNotNull() & (size > 0))
+    h = F.xxhash64(id_col)
+    long = size > chars
+    start = F.when(long, F.pmod(h, F.greatest(size - chars, F.lit(1)))).otherwise(0).cast("int") + 1
+    taken = rows.select(F.col(lang_col).alias("l"), long.alias("long"), h.alias("h"), F.xxhash64(text_col).alias("x"), F.substring(text, start, F.lit(chars)).alias("t"))
+    # ranked with the slices: Spark keeps per_lang rows of a language in each task before it shuffles any
+    rank = Window.partitionBy("l").orderBy("long", "h", "x")
+    chosen = taken.withColumn("n", F.row_number().over(rank)).where(F.col("n") <= per_lang)
     out: dict[str, list[str]] = defaultdict(list)
-    for r in sorted(texts.select("l", "n", F.col(text_col).alias("t")).collect(), key=lambda r: (r["l"], r["n"], r["t"])):
+    for r in sorted(chosen.select("l", "n", "t").collect(), key=lambda r: (r["l"], r["n"])):
         out[r["l"]].append(r["t"])
     return dict(out)
 

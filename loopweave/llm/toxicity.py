@@ -1,7 +1,8 @@
 """Toxicity by compression distance: how much shorter a window gets with a dictionary of toxic text than with one of ordinary text.
 
-Training. At most ``SAMPLE`` labelled documents of either class, of at most ``SAMPLE_BYTES`` bytes, in the order of a hash
-of their id, exact copies once. Both zstandard dictionaries end with the same content, trained on windows of ordinary
+Training. At most ``SAMPLE`` labelled documents of either class, in the order of a hash of their id, exact copies once: those
+of at most ``SAMPLE_BYTES`` bytes first, whole; where they are too few, a slice of longer ones at a place given by the hash.
+Both zstandard dictionaries end with the same content, trained on windows of ordinary
 texts, so that ordinary language costs the same with either. Before it the toxic dictionary holds the segments that its
 class repeats and the other does not: words, and beginnings of words from four letters on, so that inflected forms count.
 A segment is one if the documents that hold it, or those of whose words it makes up a two hundredth, differ between the
@@ -30,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import settle
 from .common import text_of
 
 SAMPLE, SAMPLE_BYTES = 2000, 16384
@@ -181,12 +183,20 @@ def train(
         .groupBy(F.col(id_col).alias("id"))
         .agg((F.max(label_col) > 0).cast("int").alias("label"))
     )
-    parts = [
-        marked.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(per_class) for c in (0, 1)
-    ]
+    ids = docs.select(F.col(id_col).alias("id"), (F.octet_length(text_of(text_col)) > max_bytes).alias("long"))
+    # only ids and sizes meet the labels; per class the first rows that have a document
+    held = settle(ids.join(marked, "id").groupBy("id", "label").agg(F.min("long").alias("long")))
+    order = [F.col("long"), F.xxhash64("id"), F.col("id")]
+    parts = [held.where(F.col("label") == c).orderBy(*order).limit(per_class).select("id", "label") for c in (0, 1)]
     chosen = parts[0].unionAll(parts[1])  # at most 2 * per_class rows
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).where(F.octet_length("text") <= max_bytes)
-    found = rows.join(F.broadcast(chosen), "id").groupBy("text").agg(F.max("label").alias("label")).collect()
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    found = rows.join(F.broadcast(chosen), "id")
+    room = max_bytes // 4  # characters that surely fit
+    long, size = F.octet_length("text") > max_bytes, F.length("text")
+    start = F.pmod(F.xxhash64("id"), F.greatest(size - room, F.lit(1))).cast("int") + 1
+    found = found.withColumn("text", F.when(long, F.substring("text", start, F.lit(room))).otherwise(F.col("text")))
+    found = found.groupBy("text").agg(F.max("label").alias("label"))
+    found = found.orderBy(F.xxhash64("text"), "text").limit(4 * per_class).collect()  # an id may have many texts
     texts = sorted((r["label"], r["text"]) for r in found)
     return Model(texts) if len({label for label, _ in texts}) == 2 else None
 
