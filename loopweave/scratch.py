@@ -76,6 +76,23 @@ def scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
             _delete(spark, path)
 
 
+@contextlib.contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of the tables settled in the block; nothing is deleted. For ``drop``, once nobody reads them any more."""
+    own: list[str] = []
+    token = _scopes.set((*_scopes.get(), own))
+    try:
+        yield own
+    finally:
+        _scopes.reset(token)
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes settled tables by the paths that ``recorded`` gave, and empties the list."""
+    while paths:
+        _delete(spark, paths.pop())
+
+
 def _delete(spark: SparkSession, name: str) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(name)

@@ -110,6 +110,15 @@ def test_a_scope_deletes_what_it_does_not_keep(spark):
     assert len(_tables(spark) - before) == 1
 
 
+def test_recorded_tables_are_dropped_later(spark):
+    before = _tables(spark)
+    with scratch.recorded() as paths:
+        table = scratch.settle(spark.range(5))
+    assert table.count() == 5 and len(_tables(spark) - before) == 1
+    scratch.drop(spark, paths)
+    assert _tables(spark) == before and paths == []
+
+
 def test_build_dataset_leaves_only_its_results(spark):
     before = _tables(spark)
     data, flags = dataset.build_dataset(views.readings(spark, SF), views.detectors(spark, SF))
