@@ -6,12 +6,17 @@ jaccard_join    of each group of near duplicates (five words, 0.8) the one with
 pii             personal data are replaced by pseudonyms of the same format
 packing         the texts that are left are packed into sequences; a row per piece
 
+A stage is called when its predecessor's result has been written and read again, so it begins by deleting the tables that
+its predecessor settled on the way.
+
 Rows are never lost for a null or repeated id: stages that drop rows number the rows first. Columns of other names are
 carried through the first four stages.
 """
 
 from __future__ import annotations
 
+import contextvars
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,22 +25,41 @@ from pyspark.sql import functions as F
 from loopweave.llm import exact_dedup, jaccard_join, packing, pii, toxicity
 from loopweave.llm.common import numbered
 from loopweave.llm.queries import PII_KEY, tokenizer_file, toxicity_model
-from loopweave.scratch import settle
+from loopweave.scratch import drop, recorded, settle
 
 #: The toxicity model and the tokenizer can't be said in SQL; the stages are tested one by one.
 ORACLE_SQL = None
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Tables that the stage before has settled, per thread.
+_settled: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("settled", default=None)
+
+
+def stage(fn: Stage) -> Stage:
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop(spark, _settled.get() or [])
+        with recorded() as paths:
+            out = fn(spark, docs, sf_dir)
+        _settled.set(paths)
+        return out
+
+    return run_stage
+
 
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, toxicity_model(spark, sf_dir))
 
 
+@stage
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs, "_row")
     found = exact_dedup.exact_dedup(rows, row_col="_row")
     return rows.join(settle(found.where("not kept").select("_row")), "_row", "left_anti").drop("_row")
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs, "_row")
     found = jaccard_join.jaccard_components(rows, id_col="_row")
@@ -50,16 +74,18 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return rows.join(settle(gone), "_row", "left_anti").drop("_row")
 
 
+@stage
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = pii.pseudonymise(docs, PII_KEY)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
+@stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_file())
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
     ("jaccard_join", drop_near_copies),
@@ -71,6 +97,6 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each stage's result is written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir))
+    for _, step in STAGES:
+        docs = settle(step(spark, docs, sf_dir))
     return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import settle
+from ..scratch import scope, settle
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bits in one bitmap of Spark's bitmap aggregate.
@@ -69,22 +69,23 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 100)
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     of = None
     for _ in range(rounds):
-        hooks = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("p")))
-        up = hooks.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-        jumped = settle(hooks.join(up, "p").select("u", F.least("p", "pp").alias("p")))
-        if of is None:
-            of = jumped.select(F.col("u").alias("node"), F.col("p").alias("root"))
-        else:
-            step = jumped.select(F.col("u").alias("root"), "p")
-            of = settle(of.join(step, "root", "left").select("node", F.coalesce("p", "root").alias("root")))
-        left, right = jumped.select("u", F.col("p").alias("pu")), jumped.select(F.col("u").alias("v"), F.col("p").alias("pv"))
-        edges = settle(
-            edges.join(left, "u")
-            .join(right, "v")
-            .where("pu != pv")
-            .select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v"))
-            .distinct()
-        )
+        with scope(links.sparkSession) as keep:  # a round leaves the roots so far and the links that are left
+            hooks = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("p")))
+            up = hooks.select(F.col("u").alias("p"), F.col("p").alias("pp"))
+            jumped = settle(hooks.join(up, "p").select("u", F.least("p", "pp").alias("p")))
+            if of is None:
+                of = keep(jumped.select(F.col("u").alias("node"), F.col("p").alias("root")))
+            else:
+                step = jumped.select(F.col("u").alias("root"), "p")
+                of = keep(of.join(step, "root", "left").select("node", F.coalesce("p", "root").alias("root")))
+            left, right = jumped.select("u", F.col("p").alias("pu")), jumped.select(F.col("u").alias("v"), F.col("p").alias("pv"))
+            edges = keep(
+                edges.join(left, "u")
+                .join(right, "v")
+                .where("pu != pv")
+                .select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v"))
+                .distinct()
+            )
         if edges.isEmpty():
             return of
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..scratch import settle
+from ..scratch import scope, settle
 from .common import components, flag_keys, key_filter, text_of
 from .shingles import mixed, shingle_sets
 
@@ -289,66 +289,70 @@ def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id that links reach)."""
-    base = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    keys = settle(shingle_keys(base, words))
-    classes = settle(keys.where("c is not null").groupBy("c").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")))
-
-    # one representative's text per class: by a filter of fixed size on its id, false positives only repeat a leaf
-    reps = only(base.withColumn("k", F.xxhash64("id")), "k", classes.select(F.xxhash64("id").alias("k"))).drop("k")
-    nodes = settle(leaves_of(reps, words, percent).dropDuplicates(["c"]))
-    counts = settle(nodes.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
-    usual = counts.where(F.col("k") > COMMON).orderBy(F.desc("k"), "t").limit(COMMON_TOKENS).select("t").collect()
-    if usual:
-        # leaves with such a token in front get their first tokens anew
-        last = np.sort(np.array([r["t"] for r in usual], np.int64).view(np.uint64))
-        touched = only(nodes.select("c", F.explode("prefix").alias("t")), "t", counts.where(F.col("k") > COMMON)).select("c").distinct()
-        touched = settle(touched)
-        ids = classes.join(touched, "c").select(F.xxhash64("id").alias("k"))
-        again = leaves_of(only(base.withColumn("k", F.xxhash64("id")), "k", ids), words, percent, last)
-        again = again.join(touched, "c", "left_semi").dropDuplicates(["c"])
-        nodes = settle(nodes.join(touched, "c", "left_anti").unionByName(again))
+    # of all tables on the way only the keys and the components are left; those of a phase go when it ends
+    with scope(docs.sparkSession) as keep:
+        base = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+        keys = keep(shingle_keys(base, words))
+        classes = settle(keys.where("c is not null").groupBy("c").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")))
+
+        # one representative's text per class: by a filter of fixed size on its id, false positives only repeat a leaf
+        reps = only(base.withColumn("k", F.xxhash64("id")), "k", classes.select(F.xxhash64("id").alias("k"))).drop("k")
+        nodes = settle(leaves_of(reps, words, percent).dropDuplicates(["c"]))
         counts = settle(nodes.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
-    tokens = nodes.select(F.explode("prefix").alias("t"), "c", "n")
-    rows = settle(only(tokens, "t", counts).join(counts, "t"))
-    few, many = rows.where(F.col("k") <= FEW), rows.where(F.col("k") > FEW)
-
-    degree = many.groupBy("c").agg((F.count(F.lit(1)) / F.first("n")).alias("q"), F.count(F.lit(1)).alias("crowded"))
-    degree = settle(degree)
-    ranked = settle(many.join(degree, "c"))
-    heads = ranked.groupBy("t").agg(F.max(F.struct("q", "n", "c")).alias("head"))
-    heads = settle(heads.select("t", F.col("head.c").alias("head"), F.col("head.n").alias("head_n")))
-    stars = (
-        ranked.join(heads, "t")
-        .where("c != head")
-        .where((F.least("n", "head_n") * 100) >= (F.greatest("n", "head_n") * percent))
-        .select(F.least("c", "head").alias("a"), F.greatest("c", "head").alias("b"))
-    )
-    stars = stars.unionAll(settle(_meetings(few, degree, percent))).distinct()
-    checked = settle(bounded(settle(stars), nodes, percent))
-    links = settle(_verify(checked, classes, base, words, percent))
-    first = components(links) if not links.isEmpty() else None
-
-    with_comp = many.withColumn("comp", F.col("c"))
-    if first is not None:
-        first = settle(first.select(F.col("node").alias("c"), "root"))
-        with_comp = many.join(first, "c", "left").withColumn("comp", F.coalesce("root", "c")).drop("root")
-    with_comp = settle(with_comp)
-    open_ = with_comp.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("t")
-    held = settle(with_comp.join(settle(open_), "t"))
-    tokens_of = held.groupBy("c").agg(F.collect_list("t").alias("ts"))  # leading tokens of one set at most
-    held = held.join(settle(tokens_of.join(nodes.select("c", "sig"), "c")), "c")
-    rest = tree_pairs(held, percent)
-    if first is not None:
-        rest = settle(rest.join(checked, ["a", "b"], "left_anti"))  # those are decided
-    more = settle(_verify(rest, classes, base, words, percent))
-    both = links.unionAll(more)
-    out = classes.select("c", "id", "copies").withColumn("root", F.col("c"))
-    if not both.isEmpty():
-        final = settle(components(both))
-        out = classes.join(final.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-    out = settle(out)
-    roots = settle(out.groupBy("root").agg(F.min("id").alias("component_id")))
-    named = settle(out.join(roots, "root").select("c", "component_id"))
+        usual = counts.where(F.col("k") > COMMON).orderBy(F.desc("k"), "t").limit(COMMON_TOKENS).select("t").collect()
+        if usual:
+            # leaves with such a token in front get their first tokens anew
+            last = np.sort(np.array([r["t"] for r in usual], np.int64).view(np.uint64))
+            touched = only(nodes.select("c", F.explode("prefix").alias("t")), "t", counts.where(F.col("k") > COMMON)).select("c").distinct()
+            touched = settle(touched)
+            ids = classes.join(touched, "c").select(F.xxhash64("id").alias("k"))
+            again = leaves_of(only(base.withColumn("k", F.xxhash64("id")), "k", ids), words, percent, last)
+            again = again.join(touched, "c", "left_semi").dropDuplicates(["c"])
+            nodes = settle(nodes.join(touched, "c", "left_anti").unionByName(again))
+            counts = settle(nodes.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
+        tokens = nodes.select(F.explode("prefix").alias("t"), "c", "n")
+        rows = settle(only(tokens, "t", counts).join(counts, "t"))
+        few, many = rows.where(F.col("k") <= FEW), rows.where(F.col("k") > FEW)
+
+        with scope(docs.sparkSession) as keep_links:
+            degree = many.groupBy("c").agg((F.count(F.lit(1)) / F.first("n")).alias("q"), F.count(F.lit(1)).alias("crowded"))
+            degree = settle(degree)
+            ranked = settle(many.join(degree, "c"))
+            heads = ranked.groupBy("t").agg(F.max(F.struct("q", "n", "c")).alias("head"))
+            heads = settle(heads.select("t", F.col("head.c").alias("head"), F.col("head.n").alias("head_n")))
+            stars = (
+                ranked.join(heads, "t")
+                .where("c != head")
+                .where((F.least("n", "head_n") * 100) >= (F.greatest("n", "head_n") * percent))
+                .select(F.least("c", "head").alias("a"), F.greatest("c", "head").alias("b"))
+            )
+            stars = stars.unionAll(settle(_meetings(few, degree, percent))).distinct()
+            checked = keep_links(bounded(settle(stars), nodes, percent))
+            links = keep_links(_verify(checked, classes, base, words, percent))
+        first = components(links) if not links.isEmpty() else None
+
+        with scope(docs.sparkSession) as keep_more:
+            with_comp = many.withColumn("comp", F.col("c"))
+            if first is not None:
+                first = settle(first.select(F.col("node").alias("c"), "root"))
+                with_comp = many.join(first, "c", "left").withColumn("comp", F.coalesce("root", "c")).drop("root")
+            with_comp = settle(with_comp)
+            open_ = with_comp.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("t")
+            held = settle(with_comp.join(settle(open_), "t"))
+            tokens_of = held.groupBy("c").agg(F.collect_list("t").alias("ts"))  # leading tokens of one set at most
+            held = held.join(settle(tokens_of.join(nodes.select("c", "sig"), "c")), "c")
+            rest = tree_pairs(held, percent)
+            if first is not None:
+                rest = settle(rest.join(checked, ["a", "b"], "left_anti"))  # those are decided
+            more = keep_more(_verify(rest, classes, base, words, percent))
+        both = links.unionAll(more)
+        out = classes.select("c", "id", "copies").withColumn("root", F.col("c"))
+        if not both.isEmpty():
+            final = settle(components(both))
+            out = classes.join(final.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+        out = settle(out)
+        roots = settle(out.groupBy("root").agg(F.min("id").alias("component_id")))
+        named = keep(out.join(roots, "root").select("c", "component_id"))
     single = keys.where("c is null").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
     joined = keys.where("c is not null").join(named, "c").select("id", F.col("n").alias("n_shingles"), "component_id")
     return joined.unionAll(single).withColumnRenamed("id", id_col)
