@@ -52,26 +52,36 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, toxicity_model(spark, sf_dir))
 
 
+def _free(docs: DataFrame) -> str:
+    """A column name for row numbers that the table doesn't have."""
+    name, taken = "_row", {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 @stage
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = numbered(docs, "_row")
-    found = exact_dedup.exact_dedup(rows, row_col="_row")
-    return rows.join(settle(found.where("not kept").select("_row")), "_row", "left_anti").drop("_row")
+    row = _free(docs)
+    rows = numbered(docs, row)
+    found = exact_dedup.exact_dedup(rows, row_col=row)
+    return rows.join(settle(found.where("not kept").select(row)), row, "left_anti").drop(row)
 
 
 @stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = numbered(docs, "_row")
-    found = jaccard_join.jaccard_components(rows, id_col="_row")
+    row = _free(docs)
+    rows = numbered(docs, row)
+    found = jaccard_join.jaccard_components(rows, id_col=row)
     # a group's first row number stands for the group; the row with the smallest doc_id stays, nulls last
-    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
-    grouped = settle(found.where("n_shingles > 0").select("_row", "component_id"))
+    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row))
+    grouped = settle(found.where("n_shingles > 0").select(row, "component_id"))
     many = grouped.groupBy("component_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("component_id")
     members = settle(grouped.join(settle(many), "component_id"))
-    ids = rows.select("_row", "doc_id").join(members, "_row")
-    stays = ids.groupBy("component_id").agg(F.min(place)["_row"].alias("_row"))
-    gone = members.select("_row").join(settle(stays.select("_row")), "_row", "left_anti")
-    return rows.join(settle(gone), "_row", "left_anti").drop("_row")
+    ids = rows.select(row, "doc_id").join(members, row)
+    stays = ids.groupBy("component_id").agg(F.min(place)[row].alias(row))
+    gone = members.select(row).join(settle(stays.select(row)), row, "left_anti")
+    return rows.join(settle(gone), row, "left_anti").drop(row)
 
 
 @stage

@@ -24,7 +24,6 @@ def test_stages(spark, tmp_path):
     extra = [" ".join(base), " ".join(near), texts[1].upper(), "mail me at some.one12@mail.example.com now", None, ""]
     rows = [(i, t, "en", "s", len(t or ""), "kept") for i, t in enumerate(texts + extra)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _row string")
-    docs = docs.drop("_row").withColumnRenamed("source", "source")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     labels = [(i, 1, int(i % 4 == 0)) for i in range(160)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
@@ -36,6 +35,7 @@ def test_stages(spark, tmp_path):
         after = settle(stage(spark, at, sf))
         if name != "packing":
             assert after.columns == at.columns
+            assert after.where("_row = 'kept'").count() == after.count()
         seen[name], at = {r["doc_id"]: r for r in after.collect()}, after
     assert sum(i % 4 == 0 for i in seen["toxicity"] if i < 200) <= 3
     assert all(i in seen["toxicity"] for i in range(200, 206)) and sum(i % 4 != 0 for i in seen["toxicity"] if i < 200) >= 148
@@ -49,4 +49,4 @@ def test_stages(spark, tmp_path):
 
 def test_every_operator_has_its_query():
     numbers = {int(n[2:].split("_")[0]) for n in queries.QUERIES}
-    assert numbers == set(range(1, 11)) and [n for n, _ in corpus_pipeline.STAGES][-1] == "packing"
+    assert numbers == set(range(1, 14)) and [n for n, _ in corpus_pipeline.STAGES][-1] == "packing"
