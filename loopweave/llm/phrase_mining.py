@@ -46,7 +46,7 @@ from .shingles import mixed
 #: One document in so many is in the sample; a phrase is proposed if it reaches this share of its expected count there.
 SAMPLE, LOWERED = 8, 0.4
 #: Bytes of text that a task counts at once.
-PART = 3 << 20
+PART = 2 << 20
 #: Bits of the bitmap per proposed phrase and per failure, and a bitmap's least and largest size.
 BITS, RARE, LEAST_BITS, MOST_BITS = 16, 256, 1 << 20, 1 << 30
 LONGEST = 5
@@ -58,7 +58,7 @@ _COUNTS = "lang string, phrase string, hash long, n long"
 def parts(batches):
     """(languages, blocks of folded text) of a task's batches: pieces end with a line feed, blocks between pieces."""
     langs, texts, size = [], [], 0
-    for batch in batches:
+    for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):  # few texts as Python strings at once
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             data, at = text.encode("utf-8", "surrogatepass").translate(_FOLD), 0
             while at < len(data):
