@@ -1,11 +1,13 @@
 """Exact Jaccard self-join of documents on word shingles with signature trees; result: connected components.
 
 Texts with the same set of shingles are one class; all further work is on one representative per class. A class is a
-leaf with its size and a bitmap of its tokens, about eight bits per token. The root of each tree is a token: two sets
+leaf with its size and a bitmap of its tokens, two to four bits per token. The root of each tree is a token: two sets
 with a Jaccard similarity of t or more share one of the first ``n - ceil(t n) + 1`` of their n tokens in any common order
 (here the order of the hashes, tokens of several classes last), so every linked pair meets under some token, and only
-tokens that two classes hold there matter. Which tokens are put last changes the work and not the result. Under a token come size bands, under a band blocks of some dozens of classes. A node holds the OR of its leaves'
-bitmaps, the range of their sizes and of their components.
+tokens that two classes hold there matter. Which tokens are put last changes the work and not the result; a bit filter sized
+by their number, of 16 MB at most, says it, and what it takes for one of them is put last too. Under a token come size
+bands, under a band blocks of some dozens of classes that are alike: those with one and the same first token of the trees
+stay together. A node holds the OR of its leaves' bitmaps, the ranges of their sizes, components and first tokens.
 
 Two passes find the links:
 
@@ -13,9 +15,9 @@ Two passes find the links:
    a token of many, each class is compared with the one class there that shares most of its tokens with others. That
    links nearly all of a family of copies without a pair of members, and gives first components.
 2. A dual traversal of each tree of a token of many classes descends into pairs of nodes: bands, then blocks, then leaves. A pair is pruned if both
-   are of one and the same component, if the size ranges admit no link, or if the largest overlap that the bitmaps admit
-   is below what the smallest sizes need. Leaf pairs are pruned by the same bound: bits that differ count tokens that
-   differ. Leaves are fetched for pairs of blocks that are left, and a pair comes from the first token that both hold.
+   are of one and the same component, if both have one and the same first token (they meet in that token's tree), if the
+   size ranges admit no link, or if the largest overlap that the bitmaps admit is below what the smallest sizes need. Leaf
+   pairs are pruned by the same bound: bits that differ count tokens that differ. Leaves are fetched for pairs of blocks that are left.
 
 Pairs that remain in either pass are decided by the sizes of the true intersections, so the bounds cost nothing but
 work. No pass drops, caps or samples anything. Token order and bitmaps come from 64-bit hashes of shingles, as does the
@@ -37,18 +39,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import scope, settle
-from .common import components, flag_keys, key_filter, text_of
+from .common import BITMAP_BITS, components, flag_keys, key_filter, text_of
 from .shingles import mixed, shingle_sets
 
 #: Leaves of a block, on average.
 BLOCK = 48
-#: Tokens under more classes than this go to the end of the common order, at most so many of them, the commonest first.
-COMMON, COMMON_TOKENS = 3, 1_000_000
+#: Tokens under more classes than this go to the end of the common order.
+COMMON = 3
 #: Under a token of at most so many classes all its pairs are met; beyond it a tree is built.
 FEW = 8
 #: Rows of an Arrow batch where a row holds blocks of bitmaps.
 BATCH_ROWS = 64
-BITS_PER_TOKEN = 8
+#: Documents whose shingles are held at once.
+PORTION = 1024
+BITS_PER_TOKEN = 2
+#: A key filter has 16 bits or more per key, up to so many buckets of 4 kB; beyond that it lets more keys through.
+MOST_BUCKETS = 4096
+#: Bytes of bitmaps compared at once.
+COMPARED = 1 << 22
 
 
 def _class(tokens: np.ndarray) -> int:
@@ -66,7 +74,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def signature(tokens: np.ndarray) -> bytes:
-    """Bitmap of the tokens; its width is a power of two of at least eight bits per token."""
+    """Bitmap of the tokens; its width is a power of two of at least two bits per token."""
     width = 1 << max(6, int(BITS_PER_TOKEN * len(tokens) - 1).bit_length())
     bits = np.zeros(width, dtype=bool)
     bits[(mixed(tokens) >> np.uint64(7)).astype(np.int64) & (width - 1)] = True
@@ -92,34 +100,49 @@ def may_link(n: int, a: bytes, m: int, b: bytes, percent: int) -> bool:
     return (x ^ y).bit_count() <= most
 
 
-def shingle_keys(docs: DataFrame, words: int) -> DataFrame:
-    """(id, n, class) of every document."""
-
-    def run(batches):
-        for batch in batches:
-            sets = shingle_sets(batch.column("text").to_pylist(), words)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_class(s) if len(s) else None for s in sets], pa.int64())],
-                names=["id", "n", "c"],
-            )
-
-    return docs.select("id", "text").mapInArrow(run, f"id {dict(docs.dtypes)['id']}, n long, c long")
+def portions(batches):
+    """The batches in slices of a number of rows whose shingles fit in memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PORTION):
+            yield batch.slice(at, PORTION)
 
 
 def leading(tokens: np.ndarray, percent: int, last: np.ndarray) -> np.ndarray:
-    """The first tokens in common order: those not in the sorted array ``last`` by hash, then the others."""
+    """The first tokens in common order: those not in the bit filter ``last`` by hash, then the others."""
     if len(last):
-        common = last[np.minimum(np.searchsorted(last, tokens), len(last) - 1)] == tokens
+        at = (tokens & np.uint64(8 * len(last) - 1)).astype(np.int64)
+        common = (last[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
         tokens = np.concatenate([tokens[~common], tokens[common]])
     return tokens[: prefix_length(len(tokens), percent)]
 
 
-def leaves_of(docs: DataFrame, words: int, percent: int, last: np.ndarray | None = None) -> DataFrame:
-    """(c, n, prefix, sig) of every document with shingles. ``last``: tokens at the end of the order."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.zeros(0, np.uint64) if last is None else last)  # COMMON_TOKENS at most
+def shingle_keys(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(id, n, class, first tokens by hash) of every document."""
+    none = np.zeros(0, np.uint8)
 
     def run(batches):
-        for batch in batches:
+        for batch in portions(batches):
+            sets = shingle_sets(batch.column("text").to_pylist(), words)
+            prefixes = [leading(s, percent, none).view(np.int64) if len(s) else [] for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([_class(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array(prefixes, pa.list_(pa.int64())),
+                ],
+                names=["id", "n", "c", "prefix"],
+            )
+
+    return docs.select("id", "text").mapInArrow(run, f"id {dict(docs.dtypes)['id']}, n long, c long, prefix array<long>")
+
+
+def leaves_of(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> DataFrame:
+    """(c, n, prefix, sig) of every document with shingles. ``last``: bit filter of tokens at the end of the order."""
+    shared = docs.sparkSession.sparkContext.broadcast(last)  # MOST_BUCKETS of 4 kB at most
+
+    def run(batches):
+        for batch in portions(batches):
             sets = [s for s in shingle_sets(batch.column("text").to_pylist(), words) if len(s)]
             prefixes = [leading(s, percent, shared.value).view(np.int64) for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -139,7 +162,7 @@ def token_sets(docs: DataFrame, words: int) -> DataFrame:
     """(c, tokens) of every document with shingles."""
 
     def run(batches):
-        for batch in batches:
+        for batch in portions(batches):
             sets = [s for s in shingle_sets(batch.column("text").to_pylist(), words) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_class(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
@@ -149,9 +172,26 @@ def token_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "c long, tokens array<long>")
 
 
+def buckets_for(keys: DataFrame) -> int:
+    """Buckets of a key filter for a written table of keys, a power of two."""
+    return min(MOST_BUCKETS, 1 << max(0, -(-16 * keys.count() // BITMAP_BITS) - 1).bit_length())
+
+
 def only(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows whose key may be among ``wanted``, by a broadcast filter of fixed size; no shuffle of the texts."""
-    return flag_keys(docs, key, key_filter(wanted, key), "_in").where("_in").drop("_in")
+    """Rows whose key may be in the written table ``wanted``, by a broadcast filter of bounded size; no shuffle of the texts."""
+    buckets = buckets_for(wanted)
+    return flag_keys(docs, key, key_filter(wanted, key, buckets), "_in", buckets).where("_in").drop("_in")
+
+
+def filter_bytes(keys: DataFrame, key: str) -> np.ndarray:
+    """The bits of a key filter over a written table, empty if that has no rows; MOST_BUCKETS of 4 kB at most reach the driver."""
+    buckets = buckets_for(keys)
+    out = np.zeros(buckets * BITMAP_BITS // 8, np.uint8)
+    rows = key_filter(keys, key, buckets).collect()
+    for row in rows:
+        at = (row["_bucket"] - 1) * BITMAP_BITS // 8
+        out[at : at + len(row["_bits"])] = np.frombuffer(row["_bits"], np.uint8)
+    return out if rows else out[:0]
 
 
 def bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -213,38 +253,71 @@ def admits(x: dict, y: dict, percent: int) -> bool:
     return folded or shared + min(x["hidden"], y["hidden"]) >= needed(x["least"], y["least"], percent)
 
 
-def _leaf_pairs(t: int, xs: list[dict], ys: list[dict] | None, percent: int):
-    """Pairs of leaves of different components that the bounds admit, each under the first token that both hold; within one block if ``ys`` is None."""
-    for i, x in enumerate(xs):
-        for y in xs[i + 1 :] if ys is None else ys:
-            if x["comp"] == y["comp"] or x["c"] == y["c"] or not may_link(x["n"], x["sig"], y["n"], y["sig"], percent):
-                continue
-            if min(set(x["ts"]).intersection(y["ts"])) == t:
-                yield min(x["c"], y["c"]), max(x["c"], y["c"])
+def _bits(members: list[dict], width: int) -> np.ndarray:
+    """A row of 64-bit words per leaf: its bitmap folded to ``width`` bytes."""
+    rows = [np.bitwise_or.reduce(np.frombuffer(m["sig"], np.uint8).reshape(-1, width), axis=0) for m in members]
+    return np.stack(rows).view(np.uint64)
 
 
-def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of leaves that the dual traversal of the tokens' trees leaves. ``rows``: t, c, n, comp, sig, ts (all t of c)."""
+def _leaf_pairs(t: int, xs: list[dict], ys: list[dict] | None, percent: int):
+    """Pairs of leaves of different components that the bounds admit and that meet in no earlier tree by their first tokens;
+    within one block if ``ys`` is None."""
+    left, right = xs, xs if ys is None else ys
+    cx, nx, px, fx = (np.array([m[k] for m in left], np.int64)[:, None] for k in ("c", "n", "comp", "f"))
+    cy, ny, py, fy = (np.array([m[k] for m in right], np.int64)[None, :] for k in ("c", "n", "comp", "f"))
+    open_ = (px != py) & (cx != cy) & ((fx != fy) | (fx == t))
+    open_ &= 100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)
+    i, j = np.nonzero(np.triu(open_, 1) if ys is None else open_)
+    if not len(i):
+        return
+    width = min(len(m["sig"]) for m in (*left, *right))
+    x, y = _bits(left, width), _bits(right, width)
+    total = nx[i, 0] + ny[0, j]
+    most = total - 2 * -(-percent * total // (100 + percent))  # tokens that may differ
+    step = max(1, COMPARED // width)
+    for at in range(0, len(i), step):
+        p, q = i[at : at + step], j[at : at + step]
+        keep = np.bitwise_count(x[p] ^ y[q]).sum(axis=1, dtype=np.int64) <= most[at : at + step]
+        for a, b in zip(cx[p[keep], 0].tolist(), cy[0, q[keep]].tolist()):
+            yield min(a, b), max(a, b)
+
+
+def tree_pairs(rows: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of leaves that the dual traversal of the tokens' trees leaves.
+
+    ``rows``: t, c, n, comp, f (the first t of c); ``sigs``: c, sig. Both written tables.
+    """
     band = F.floor(F.log(F.col("n")) / float(np.log(100 / percent))).cast("int")
     banded = rows.withColumn("band", band)
-    sizes = settle(banded.groupBy("t", "band").agg(F.count(F.lit(1)).alias("count")))
-    placed = banded.join(sizes, ["t", "band"]).withColumn(
-        "block", F.pmod(F.xxhash64("c"), F.ceil(F.col("count") / BLOCK)).cast("int")
+    # leaves with one first token have blocks of their own if they fill one; the others are put together by that token
+    alike = settle(banded.groupBy("t", "band", "f").agg(F.count(F.lit(1)).alias("alike")))
+    loose = alike.groupBy("t", "band").agg(F.sum(F.when(F.col("alike") < BLOCK, F.col("alike")).otherwise(0)).alias("loose"))
+    own = F.col("alike") >= BLOCK
+    part = F.when(own, F.pmod(F.xxhash64("c"), F.ceil(F.col("alike") / BLOCK))).otherwise(
+        F.pmod(F.xxhash64("f"), F.ceil(F.col("loose") / BLOCK))
+    )
+    sizes = settle(alike.join(loose, ["t", "band"]))
+    placed = settle(
+        banded.join(sizes, ["t", "band", "f"])
+        .withColumn("block", F.xxhash64(F.when(own, F.col("f")), part))
+        .select("t", "band", "block", "c", "n", "comp", "f")
     )
-    member = F.struct("c", "n", "comp", "sig", "ts")
-    grouped = placed.groupBy("t", "band", "block").agg(
+    member = F.struct("c", "n", "comp", "f", "sig")
+    grouped = placed.join(sigs, "c").groupBy("t", "band", "block").agg(
         F.collect_list(member).alias("members"),  # BLOCK leaves on average
         F.min("n").alias("least"),
         F.max("n").alias("most"),
         F.min("comp").alias("lo"),
         F.max("comp").alias("hi"),
+        F.min("f").alias("flo"),
+        F.max("f").alias("fhi"),
     )
     schema = T.StructType([*grouped.schema.fields, T.StructField("hidden", T.LongType()), T.StructField("sig", T.BinaryType())])
     nodes = settle_in_small_batches(grouped.mapInArrow(_nodes, schema))
 
     def inside(batches):
         for batch in batches:
-            found = {p for x in batch.to_pylist() if x["lo"] != x["hi"] for p in _leaf_pairs(x["t"], x["members"], None, percent)}
+            found = {p for x in batch.to_pylist() for p in _leaf_pairs(x["t"], x["members"], None, percent)}
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     def admitted(batches):
@@ -265,7 +338,7 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
         "(band2 = band and blocks > 1 or band2 = band + 1) and least(blo, blo2) != greatest(bhi, bhi2)"
     )
     # blocks are paired by their nodes; the leaves follow for the pairs that the nodes admit, by the block's own key
-    bounds = F.struct("least", "most", "lo", "hi", "hidden", "sig")
+    bounds = F.struct("least", "most", "lo", "hi", "flo", "fhi", "hidden", "sig")
     x = nodes.select("t", "band", "block", bounds.alias("x"))
     y = nodes.select("t", F.col("band").alias("band2"), F.col("block").alias("block2"), bounds.alias("y"))
     block_pairs = (
@@ -273,6 +346,7 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
         .join(x, ["t", "band"])
         .join(y, ["t", "band2"])
         .where("(band != band2 or block < block2) and least(x.lo, y.lo) != greatest(x.hi, y.hi)")
+        .where("least(x.flo, y.flo) != greatest(x.fhi, y.fhi) or x.flo = t")
         .where((F.col("x.most") * 100 >= F.col("y.least") * percent) & (F.col("y.most") * 100 >= F.col("x.least") * percent))
     )
     places = T.StructType([f for f in block_pairs.schema.fields if f.name not in ("x", "y")])
@@ -280,7 +354,7 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
     xs = nodes.select("t", "band", "block", F.col("members").alias("xs"))
     ys = nodes.select("t", F.col("band").alias("band2"), F.col("block").alias("block2"), F.col("members").alias("ys"))
     leaves = block_pairs.join(xs, ["t", "band", "block"]).join(ys, ["t", "band2", "block2"])
-    near = nodes.where("lo != hi").select("t", "members", "lo", "hi").mapInArrow(inside, "a long, b long")
+    near = nodes.where("lo != hi and (flo != fhi or flo = t)").select("t", "members").mapInArrow(inside, "a long, b long")
     far = leaves.select("t", "xs", "ys").mapInArrow(across, "a long, b long")
     return settle_in_small_batches(near.unionAll(far).distinct())
 
@@ -292,24 +366,21 @@ def jaccard_components(
     # of all tables on the way only the keys and the components are left; those of a phase go when it ends
     with scope(docs.sparkSession) as keep:
         base = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-        keys = keep(shingle_keys(base, words))
-        classes = settle(keys.where("c is not null").groupBy("c").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")))
-
-        # one representative's text per class: by a filter of fixed size on its id, false positives only repeat a leaf
-        reps = only(base.withColumn("k", F.xxhash64("id")), "k", classes.select(F.xxhash64("id").alias("k"))).drop("k")
-        nodes = settle(leaves_of(reps, words, percent).dropDuplicates(["c"]))
+        hashed = base.withColumn("k", F.xxhash64("id"))
+        with scope(docs.sparkSession) as keep_keys:
+            first = settle(shingle_keys(base, words, percent))
+            keys = keep(first.select("id", "n", "c"))
+            grouped = keys.where("c is not null").groupBy("c").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+            classes = keep_keys(grouped)
+            chosen = keep_keys(classes.select(F.xxhash64("id").alias("k")))
+            tokens = only(first.withColumn("k", F.xxhash64("id")), "k", chosen).select(F.explode("prefix").alias("t"))
+            usual = settle(tokens.groupBy("t").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > COMMON).select("t"))
+            last = filter_bytes(usual, "t")
+
+        # one representative's text per class: by a filter on its id; what that lets through besides only repeats a leaf
+        reps = only(hashed, "k", chosen)
+        nodes = settle(leaves_of(reps, words, percent, last).dropDuplicates(["c"]))
         counts = settle(nodes.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
-        usual = counts.where(F.col("k") > COMMON).orderBy(F.desc("k"), "t").limit(COMMON_TOKENS).select("t").collect()
-        if usual:
-            # leaves with such a token in front get their first tokens anew
-            last = np.sort(np.array([r["t"] for r in usual], np.int64).view(np.uint64))
-            touched = only(nodes.select("c", F.explode("prefix").alias("t")), "t", counts.where(F.col("k") > COMMON)).select("c").distinct()
-            touched = settle(touched)
-            ids = classes.join(touched, "c").select(F.xxhash64("id").alias("k"))
-            again = leaves_of(only(base.withColumn("k", F.xxhash64("id")), "k", ids), words, percent, last)
-            again = again.join(touched, "c", "left_semi").dropDuplicates(["c"])
-            nodes = settle(nodes.join(touched, "c", "left_anti").unionByName(again))
-            counts = settle(nodes.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
         tokens = nodes.select(F.explode("prefix").alias("t"), "c", "n")
         rows = settle(only(tokens, "t", counts).join(counts, "t"))
         few, many = rows.where(F.col("k") <= FEW), rows.where(F.col("k") > FEW)
@@ -338,10 +409,10 @@ def jaccard_components(
                 with_comp = many.join(first, "c", "left").withColumn("comp", F.coalesce("root", "c")).drop("root")
             with_comp = settle(with_comp)
             open_ = with_comp.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("t")
-            held = settle(with_comp.join(settle(open_), "t"))
-            tokens_of = held.groupBy("c").agg(F.collect_list("t").alias("ts"))  # leading tokens of one set at most
-            held = held.join(settle(tokens_of.join(nodes.select("c", "sig"), "c")), "c")
-            rest = tree_pairs(held, percent)
+            held = settle(with_comp.join(settle(open_), "t").select("t", "c", "n", "comp"))
+            first_of = settle(held.groupBy("c").agg(F.min("t").alias("f")))
+            sigs = settle(nodes.select("c", "sig").join(first_of, "c", "left_semi"))
+            rest = tree_pairs(settle(held.join(first_of, "c")), sigs, percent)
             if first is not None:
                 rest = settle(rest.join(checked, ["a", "b"], "left_anti"))  # those are decided
             more = keep_more(_verify(rest, classes, base, words, percent))
@@ -385,7 +456,7 @@ def _meetings(few: DataFrame, degree: DataFrame, percent: int) -> DataFrame:
 def _verify(pairs: DataFrame, classes: DataFrame, base: DataFrame, words: int, percent: int) -> DataFrame:
     """Exact decision of pairs of classes; their sets are made again from the texts of their representatives alone."""
     ends = settle(pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct())
-    ids = classes.join(ends, "c").select(F.xxhash64("id").alias("k"))
+    ids = settle(classes.join(ends, "c").select(F.xxhash64("id").alias("k")))
     reps = only(base.withColumn("k", F.xxhash64("id")), "k", ids)
     sets = settle(token_sets(reps, words).join(ends, "c", "left_semi").dropDuplicates(["c"]))
     left = sets.select(F.col("c").alias("a"), F.col("tokens").alias("ta"))
