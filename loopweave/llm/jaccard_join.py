@@ -1,7 +1,7 @@
 """Exact Jaccard self-join of documents on word shingles with signature trees; result: connected components.
 
 Texts with the same set of shingles are one class; all further work is on one representative per class. A class is a
-leaf with its size and a bitmap of its tokens, two to four bits per token. The root of each tree is a token: two sets
+leaf with its size and a bitmap of its tokens, two to four bits per token, and as many parities. The root of each tree is a token: two sets
 with a Jaccard similarity of t or more share one of the first ``n - ceil(t n) + 1`` of their n tokens in any common order
 (here the order of the hashes, tokens of several classes last), so every linked pair meets under some token, and only
 tokens that two classes hold there matter. Which tokens are put last changes the work and not the result; a bit filter sized
@@ -17,7 +17,7 @@ Two passes find the links:
 2. A dual traversal of each tree of a token of many classes descends into pairs of nodes: bands, then blocks, then leaves. A pair is pruned if both
    are of one and the same component, if both have one and the same first token (they meet in that token's tree), if the
    size ranges admit no link, or if the largest overlap that the bitmaps admit is below what the smallest sizes need. Leaf
-   pairs are pruned by the same bound: bits that differ count tokens that differ. Leaves are fetched for pairs of blocks that are left.
+   pairs are pruned by their parities: bits that differ count tokens that differ. Leaves are fetched for pairs of blocks that are left.
 
 Pairs that remain in either pass are decided by the sizes of the true intersections, so the bounds cost nothing but
 work. No pass drops, caps or samples anything. Token order and bitmaps come from 64-bit hashes of shingles, as does the
@@ -81,6 +81,13 @@ def signature(tokens: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """Bitmap as wide as the signature, each bit the parity of the tokens there; what differs in two counts differing tokens closely."""
+    width = 1 << max(6, int(BITS_PER_TOKEN * len(tokens) - 1).bit_length())
+    at = (mixed(tokens) >> np.uint64(7)).astype(np.int64) & (width - 1)
+    return np.packbits((np.bincount(at, minlength=width) & 1).astype(bool), bitorder="little").tobytes()
+
+
 def _number(bits: bytes, width: int) -> int:
     """The bitmap as an integer, folded to ``width`` bytes; a power-of-two table folds by OR of its halves."""
     x, have = int.from_bytes(bits, "little"), len(bits)
@@ -91,13 +98,19 @@ def _number(bits: bytes, width: int) -> int:
 
 
 def may_link(n: int, a: bytes, m: int, b: bytes, percent: int) -> bool:
-    """Whether sizes and bitmaps admit a link: each differing bit stands for a token that only one set has."""
+    """Whether sizes and parities admit a link: each differing bit stands for a token that only one set has."""
     if 100 * min(n, m) < percent * max(n, m):
         return False
     width = min(len(a), len(b))
-    x, y = (int.from_bytes(a, "little"), int.from_bytes(b, "little")) if len(a) == len(b) else (_number(a, width), _number(b, width))
+    x, y = _folded(a, width), _folded(b, width)
     most = n + m - 2 * needed(n, m, percent)  # tokens that may differ
-    return (x ^ y).bit_count() <= most
+    return int(np.bitwise_count(x ^ y).sum()) <= most
+
+
+def _folded(bits: bytes, width: int) -> np.ndarray:
+    """The parities as 64-bit words, folded to ``width`` bytes by XOR of the halves."""
+    words = np.frombuffer(bits, np.uint64)
+    return words if len(bits) == width else np.bitwise_xor.reduce(words.reshape(-1, width // 8), axis=0)
 
 
 def portions(batches):
@@ -138,7 +151,7 @@ def shingle_keys(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def leaves_of(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> DataFrame:
-    """(c, n, prefix, sig) of every document with shingles. ``last``: bit filter of tokens at the end of the order."""
+    """(c, n, prefix, sig, odd) of every document with shingles. ``last``: bit filter of tokens at the end of the order."""
     shared = docs.sparkSession.sparkContext.broadcast(last)  # MOST_BUCKETS of 4 kB at most
 
     def run(batches):
@@ -151,11 +164,12 @@ def leaves_of(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> Da
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(prefixes, pa.list_(pa.int64())),
                     pa.array([signature(s) for s in sets], pa.binary()),
+                    pa.array([parity(s) for s in sets], pa.binary()),
                 ],
-                names=["c", "n", "prefix", "sig"],
+                names=["c", "n", "prefix", "sig", "odd"],
             )
 
-    return docs.select("text").mapInArrow(run, "c long, n long, prefix array<long>, sig binary")
+    return docs.select("text").mapInArrow(run, "c long, n long, prefix array<long>, sig binary, odd binary")
 
 
 def token_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -195,7 +209,7 @@ def filter_bytes(keys: DataFrame, key: str) -> np.ndarray:
 
 
 def bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that sizes and bitmaps admit."""
+    """The pairs (a, b) that sizes and parities admit."""
 
     def run(batches):
         for batch in batches:
@@ -203,8 +217,8 @@ def bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             keep = [may_link(na, sa, nb, sb, percent) for na, sa, nb, sb in zip(*columns)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = nodes.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
-    right = nodes.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
+    left = nodes.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("odd").alias("sa"))
+    right = nodes.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("odd").alias("sb"))
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
@@ -253,12 +267,6 @@ def admits(x: dict, y: dict, percent: int) -> bool:
     return folded or shared + min(x["hidden"], y["hidden"]) >= needed(x["least"], y["least"], percent)
 
 
-def _bits(members: list[dict], width: int) -> np.ndarray:
-    """A row of 64-bit words per leaf: its bitmap folded to ``width`` bytes."""
-    rows = [np.bitwise_or.reduce(np.frombuffer(m["sig"], np.uint8).reshape(-1, width), axis=0) for m in members]
-    return np.stack(rows).view(np.uint64)
-
-
 def _leaf_pairs(t: int, xs: list[dict], ys: list[dict] | None, percent: int):
     """Pairs of leaves of different components that the bounds admit and that meet in no earlier tree by their first tokens;
     within one block if ``ys`` is None."""
@@ -270,8 +278,8 @@ def _leaf_pairs(t: int, xs: list[dict], ys: list[dict] | None, percent: int):
     i, j = np.nonzero(np.triu(open_, 1) if ys is None else open_)
     if not len(i):
         return
-    width = min(len(m["sig"]) for m in (*left, *right))
-    x, y = _bits(left, width), _bits(right, width)
+    width = min(len(m["odd"]) for m in (*left, *right))
+    x, y = (np.stack([_folded(m["odd"], width) for m in side]) for side in (left, right))
     total = nx[i, 0] + ny[0, j]
     most = total - 2 * -(-percent * total // (100 + percent))  # tokens that may differ
     step = max(1, COMPARED // width)
@@ -285,7 +293,7 @@ def _leaf_pairs(t: int, xs: list[dict], ys: list[dict] | None, percent: int):
 def tree_pairs(rows: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b) of leaves that the dual traversal of the tokens' trees leaves.
 
-    ``rows``: t, c, n, comp, f (the first t of c); ``sigs``: c, sig. Both written tables.
+    ``rows``: t, c, n, comp, f (the first t of c); ``sigs``: c, sig, odd. Both written tables.
     """
     band = F.floor(F.log(F.col("n")) / float(np.log(100 / percent))).cast("int")
     banded = rows.withColumn("band", band)
@@ -302,7 +310,7 @@ def tree_pairs(rows: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
         .withColumn("block", F.xxhash64(F.when(own, F.col("f")), part))
         .select("t", "band", "block", "c", "n", "comp", "f")
     )
-    member = F.struct("c", "n", "comp", "f", "sig")
+    member = F.struct("c", "n", "comp", "f", "sig", "odd")
     grouped = placed.join(sigs, "c").groupBy("t", "band", "block").agg(
         F.collect_list(member).alias("members"),  # BLOCK leaves on average
         F.min("n").alias("least"),
@@ -313,7 +321,8 @@ def tree_pairs(rows: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
         F.max("f").alias("fhi"),
     )
     schema = T.StructType([*grouped.schema.fields, T.StructField("hidden", T.LongType()), T.StructField("sig", T.BinaryType())])
-    nodes = settle_in_small_batches(grouped.mapInArrow(_nodes, schema))
+    built = grouped.mapInArrow(_nodes, schema)
+    nodes = settle_in_small_batches(built.withColumn("members", F.transform("members", lambda m: m.dropFields("sig"))))
 
     def inside(batches):
         for batch in batches:
@@ -411,7 +420,7 @@ def jaccard_components(
             open_ = with_comp.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("t")
             held = settle(with_comp.join(settle(open_), "t").select("t", "c", "n", "comp"))
             first_of = settle(held.groupBy("c").agg(F.min("t").alias("f")))
-            sigs = settle(nodes.select("c", "sig").join(first_of, "c", "left_semi"))
+            sigs = settle(nodes.select("c", "sig", "odd").join(first_of, "c", "left_semi"))
             rest = tree_pairs(settle(held.join(first_of, "c")), sigs, percent)
             if first is not None:
                 rest = settle(rest.join(checked, ["a", "b"], "left_anti"))  # those are decided
