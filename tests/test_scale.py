@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loopweave.models import baseline
+from loopweave.models import baseline, seasonal
 
 
 def _plan(df):
@@ -19,3 +19,10 @@ def test_expanded_model_is_not_broadcast_to_test_rows(spark):
     scores = baseline.score_random(test, _model(spark))
     assert "SortMergeJoin" in _plan(scores)
     assert sorted((r["detid"], r["MAE"]) for r in scores.collect()) == [("a", 3.0), ("b", 0.0)]
+
+
+def test_future_frame_is_not_broadcast(spark):
+    train = spark.createDataFrame([("a", "Monday", h * 3600, 10.0 + h) for h in range(24)], "detid string, weekday string, interval_s int, traffic double")
+    shown = seasonal.predict_future(seasonal.fit_seasonal(train), seasonal.future_frame(train))
+    assert "BroadcastExchange" not in _plan(shown)
+    assert shown.count() == 300
