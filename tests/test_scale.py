@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from loopweave.models import baseline, seasonal
+from loopweave.plans import dataset
 
 
 def _plan(df):
@@ -26,3 +27,10 @@ def test_future_frame_is_not_broadcast(spark):
     shown = seasonal.predict_future(seasonal.fit_seasonal(train), seasonal.future_frame(train))
     assert "BroadcastExchange" not in _plan(shown)
     assert shown.count() == 300
+
+
+def test_predictions_of_a_week_are_not_broadcast_to_detectors(spark):
+    places = spark.createDataFrame([("a", 1.0, 2.0), ("b", 1.0, 2.0)], "detid string, lon double, lat double")
+    cube = dataset.prediction_cube(_model(spark).withColumn("model", F.lit("random")), places)
+    assert "BroadcastExchange" not in _plan(cube)
+    assert cube.count() == 7 * 288
