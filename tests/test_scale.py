@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loopweave.models import baseline, seasonal
+from loopweave.models import baseline, knn, seasonal
 from loopweave.plans import dataset
 
 
@@ -34,3 +34,11 @@ def test_predictions_of_a_week_are_not_broadcast_to_detectors(spark):
     cube = dataset.prediction_cube(_model(spark).withColumn("model", F.lit("random")), places)
     assert "BroadcastExchange" not in _plan(cube)
     assert cube.count() == 7 * 288
+
+
+def test_pairs_of_neighbours_are_not_shuffled(spark):
+    rows = [("a", w, h * 3600, f"2024-01-{w + 1:02d}", float(h)) for w in range(7) for h in range(24)]
+    points = spark.createDataFrame(rows, "detid string, w int, h int, day string, y double")
+    plan = _plan(knn.fans(points, points.select("detid", "w", "h"), ["detid"]))
+    assert "Window" in plan.split("Generate explode(ws")[0]
+    assert "Exchange" not in plan.split("Generate explode(ws")[0]
