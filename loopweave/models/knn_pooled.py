@@ -28,7 +28,6 @@ from .knn import (
     FOLDS,
     NEIGHBOURS,
     WEEKDAY_STEP,
-    _reach,
     _shortlist,
     best_steps,
     cv_table,
@@ -69,30 +68,39 @@ def pooled_fans(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (),
 
     def hours_within(df: DataFrame, reach: str) -> DataFrame:
         near = F.filter("hours", lambda x: F.abs(x["h"] - F.col("h")) <= F.col(reach))
-        return df.select(*group, "code", "h", "ws", F.explode(near).alias("t")).select(
-            *group, "code", "h", "ws", F.col("t.h").alias("th"), F.col("t.n").alias("held")
+        return df.select(*group, "code", "h", "ws", reach, F.explode(near).alias("t")).select(
+            *group, "code", "h", "ws", reach, F.col("t.h").alias("th"), F.col("t.n").alias("held")
         )
 
-    nearby = keyed.settle(hours_within(asked.withColumn("reach", _reach(F.col("hours"), F.col("h"), k)), "reach"))
+    nearby = keyed.settle(hours_within(asked.withColumn("reach", _hours_reach(F.col("hours"), F.col("h"), k)), "reach").drop("reach"))
     places = _places(present, nearby, group)
+    lookups = keyed.settle(_surroundings(places, group, k))
     apart = F.abs(F.col("th") - F.col("h")) + F.col("radius")
-    known = nearby.join(_radius(places, group, k), [*group, "th", "code"]).groupBy(*group, "code", "h").agg(
+    known = nearby.join(lookups, [*group, "th", "code"]).groupBy(*group, "code", "h").agg(
         F.least(F.max(apart), F.min(F.when(F.col("held") >= k, apart))).alias("within")
     )
     targets = keyed.settle(hours_within(asked.join(known, [*group, "code", "h"]), "within").drop("held"))
-    lookups = places.where("asked").select(*group, "th", "code", "rank", "sensors")
     farther = targets.join(lookups, [*group, "th", "code"], "left_anti")
     if not farther.isEmpty():
-        more = _places(present, farther, group).where("asked").select(*group, "th", "code", "rank", "sensors")
-        lookups = lookups.unionByName(more)
-
-    reach = k + WEEKDAY_STEP
-    ranks = F.sequence(F.greatest(F.lit(0), F.col("rank") - reach), F.least(F.col("rank") + reach, F.col("sensors") - 1))
-    spread = targets.join(lookups, [*group, "th", "code"]).select(*group, "code", "h", "ws", "th", F.explode(ranks).alias("rank"))
+        lookups = lookups.unionByName(keyed.settle(_surroundings(_places(present, farther, group), group, k)))
+
+    # Of an hour only codes in this distance can matter; the unit on top covers rounding. Neither distance is
+    # smaller than the Euclidean one of code and hour alone.
+    square = (F.col("within") + 1).cast("double") * (F.col("within") + 1)
+    off = (F.col("th") - F.col("h")).cast("double")
+    room = F.sqrt(F.greatest(square - off * off, F.lit(0.0)))
+    in_room = targets.join(lookups, [*group, "th", "code"]).withColumn("room", room)
+    low = F.greatest(F.lit(0), F.col("rank") - _ranks_in_room("below", k // 2, k))
+    high = F.least(F.col("rank") + _ranks_in_room("above", k - k // 2, k) - 1, F.col("sensors") - 1)
+    ranks = F.explode(F.when(low <= high, F.sequence(low, high))).alias("rank")
+    spread = in_room.select(*group, "code", "h", "ws", "th", "room", ranks)
     numbers = places.where("seen").select(*group, "th", F.col("code").alias("tcode"), "rank")
     train = short.select(*group, F.col("code").alias("tcode"), F.col("w").alias("tw"), F.col("h").alias("th"), "day", "y")
     train = train.join(numbers, [*group, "th", "tcode"])
-    pairs = spread.join(train, [*group, "th", "rank"]).select("*", F.explode("ws").alias("w"))
+    inside = spread.join(train, [*group, "th", "rank"]).where(F.abs(F.col("tcode") - F.col("code")) <= F.col("room"))
+    # weekdays are told apart after the shuffle
+    met = inside.select(*group, "code", "h", "ws", "tcode", "tw", "th", "day", "y").repartition(*group, "code", "h")
+    pairs = met.select("*", F.explode("ws").alias("w"))
     dc, dw, dh = (F.abs(F.col(a) - F.col(b)) for a, b in (("tcode", "code"), ("tw", "w"), ("th", "h")))
     d1 = (dc + dw + dh).cast("double")
     d2 = F.sqrt((dc * dc + dw * dw + dh.cast("bigint") * dh).cast("double"))
@@ -108,40 +116,72 @@ def pooled_fans(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (),
     return out.select(*keys, "code", "w", "h", "k", "u1", "e1", "u2", "e2")
 
 
+def _hours_reach(hours: Column, h: Column, k: int) -> Column:
+    """Smallest interval distance within which ``hours`` (array of h, n) holds ``k`` rows, else the largest."""
+    near = F.sort_array(F.transform(hours, lambda x: F.struct(F.abs(x["h"] - h).alias("gap"), x["n"].alias("n"))))
+    start = F.struct(F.lit(0).cast("bigint").alias("got"), F.lit(0).alias("gap"))
+
+    def step(state, x):
+        more = F.struct((state["got"] + x["n"]).alias("got"), x["gap"].alias("gap"))
+        return F.when(state["got"] >= k, state).otherwise(more)
+
+    return F.aggregate(near, start, step)["gap"]
+
+
 def _places(present: DataFrame, targets: DataFrame, group: list[str]) -> DataFrame:
     """Rank of every sensor and query code among the sensors of each hour: group, ``th``, code, ``n``, ``seen``, ``asked``, ``rank``,
-    and of the hour ``sensors`` and its ``lowest`` and ``highest`` code."""
+    ``first`` (rows of sensors with smaller codes), and of the hour ``sensors``, ``rows`` and its ``lowest`` and ``highest`` code."""
     no, yes = F.lit(False), F.lit(True)
     sensors = present.select(*group, F.col("h").alias("th"), "code", "n", yes.alias("seen"), no.alias("asked"))
     queries = targets.select(*group, "th", "code", F.lit(0).cast("bigint").alias("n"), no.alias("seen"), yes.alias("asked"))
     order = [*group, "th", "code"]
     merged = sensors.unionByName(queries).groupBy(*order).agg(F.sum("n").alias("n"), F.max("seen").alias("seen"), F.max("asked").alias("asked"))
     ranged = keyed.settle(merged.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
-    mark = F.col("seen").cast("bigint")
-    offsets = keyed.range_offsets(ranged, mark).drop("_total")
     within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = ranged.withColumn("_before", F.sum(mark).over(within) - mark).join(offsets, "_range")
-    placed = keyed.settle(placed.withColumn("_before", F.col("_before") + F.col("_offset")).drop("_range", "_offset"))
+    mark = F.col("seen").cast("bigint")
+    counts = {"_before": mark, "_rows": F.col("n")}
+    placed = ranged.select("*", *[(F.sum(c).over(within) - c).alias(name) for name, c in counts.items()])
+    for name, c in counts.items():
+        offsets = keyed.range_offsets(ranged, c).drop("_total")
+        placed = placed.join(offsets, "_range").withColumn(name, F.col(name) + F.col("_offset")).drop("_offset")
+    placed = keyed.settle(placed.drop("_range"))
     code = F.when(F.col("seen"), F.col("code"))
     hours = placed.groupBy(*group, "th").agg(
-        F.min("_before").alias("_base"), F.sum(mark).alias("sensors"), F.min(code).alias("lowest"), F.max(code).alias("highest")
+        F.min("_before").alias("_base"), F.sum(mark).alias("sensors"), F.min("_rows").alias("_base_rows"), F.sum("n").alias("rows"),
+        F.min(code).alias("lowest"), F.max(code).alias("highest"),
+    )
+    ranks = {"rank": F.col("_before") - F.col("_base"), "first": F.col("_rows") - F.col("_base_rows")}
+    return placed.join(hours, [*group, "th"]).withColumns(ranks).drop("_before", "_base", "_rows", "_base_rows")
+
+
+def _surroundings(places: DataFrame, group: list[str], k: int) -> DataFrame:
+    """Per (hour, query code) its ``rank``, the hour's ``sensors``, the distances in code to the first, a middle and the k-th row
+    below and above (``below_1`` ...; null past the end), and ``radius``: a distance in code and weekday within which k rows of
+    that hour lie, or all of them. Rows of the query's own code count as above."""
+    last = F.col("first") + F.col("n") - 1
+    rows = places.where("seen").select(*group, "th", F.col("code").alias("_at"), F.explode(F.sequence("first", last)).alias("_row"))
+    half = k // 2
+    steps = {f"below_{j}": -j for j in (1, half, k)} | {f"above_{j}": j - 1 for j in (1, k - half, k)}
+    wanted = F.array(*[F.struct(F.lit(name).alias("_step"), (F.col("first") + by).alias("_row")) for name, by in steps.items()])
+    held = F.filter(wanted, lambda x: (x["_row"] >= 0) & (x["_row"] < F.col("rows")))
+    asked = places.where("asked").select(*group, "th", "code", "rank", "sensors", "lowest", "highest", F.inline(held))
+    found = asked.join(rows, [*group, "th", "_row"]).groupBy(*group, "th", "code").agg(
+        *[F.any_value(c).alias(c) for c in ("rank", "sensors", "lowest", "highest")],
+        *[F.max(F.when(F.col("_step") == name, F.abs(F.col("_at") - F.col("code")))).alias(name) for name in steps],
     )
-    return placed.join(hours, [*group, "th"]).withColumn("rank", F.col("_before") - F.col("_base")).drop("_before", "_base")
-
-
-def _radius(places: DataFrame, group: list[str], k: int) -> DataFrame:
-    """Per (hour, query code) a distance in code and weekday within which k rows of that hour lie, or all of them."""
-    codes = places.where("seen").select(*group, "th", "rank", F.col("code").alias("_at"))
-    asked = places.where("asked")
-
-    def at(df: DataFrame, rank: Column, name: str) -> DataFrame:
-        return df.withColumn("_rank", rank).join(codes.select(*group, "th", F.col("rank").alias("_rank"), F.col("_at").alias(name)), [*group, "th", "_rank"], "left")
-
-    both = at(at(asked, F.col("rank") - k, "below"), F.col("rank") + k - 1, "above")
     far = F.greatest(F.col("code") - F.col("lowest"), F.col("highest") - F.col("code"))
-    sides = F.least(F.col("code") - F.col("below"), F.col("above") - F.col("code"))
-    radius = F.when(F.col("n") >= k, F.lit(0)).otherwise(F.coalesce(sides, far)) + WEEKDAY_STEP
-    return both.select(*group, "th", "code", radius.alias("radius"))
+    below, above = F.col(f"below_{half}"), F.col(f"above_{k - half}")
+    both = F.when(below.isNotNull() & above.isNotNull(), F.greatest(below, above))
+    radius = F.coalesce(F.least(both, F.col(f"below_{k}"), F.col(f"above_{k}")), far) + WEEKDAY_STEP
+    return found.select(*group, "th", "code", "rank", "sensors", *steps, radius.alias("radius"))
+
+
+def _ranks_in_room(side: str, middle: int, k: int) -> Column:
+    """How many sensors on a side can have a row within ``room``: each holds at least one row."""
+    out = F.when(F.col(f"{side}_1") > F.col("room"), 0)
+    for j in sorted({middle, k}):
+        out = out.when(F.col(f"{side}_{j}") > F.col("room"), j - 1)
+    return out.otherwise(k + WEEKDAY_STEP + (side == "above"))
 
 
 def forecast_pooled_knn(

@@ -1,8 +1,10 @@
 """Join sides that grow by expanding rows, and how few rows the neighbour searches move."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from loopweave.models import baseline, knn, seasonal
+from loopweave.models import baseline, knn, knn_pooled, seasonal
 from loopweave.plans import dataset
 
 
@@ -42,3 +44,35 @@ def test_pairs_of_neighbours_are_not_shuffled(spark):
     plan = _plan(knn.fans(points, points.select("detid", "w", "h"), ["detid"]))
     assert "Window" in plan.split("Generate explode(ws")[0]
     assert "Exchange" not in plan.split("Generate explode(ws")[0]
+
+
+def _present(spark, step):
+    seen = spark.createDataFrame([(0, 0, step * c, 5) for c in range(31)], "_all int, h int, code bigint, n bigint")
+    asked = spark.createDataFrame([(0, 0, step * 15), (0, 0, step * 40), (0, 0, -step)], "_all int, th int, code bigint")
+    return knn_pooled._surroundings(knn_pooled._places(seen, asked, ["_all"]), ["_all"], 10)
+
+
+def test_radius_counts_rows_on_both_sides(spark):
+    """Five rows a sensor: ten rows lie within one sensor's distance, not within ten sensors'."""
+    got = {r["code"]: r["radius"] for r in _present(spark, 1000).collect()}
+    assert got == {15000: 1000 + 6, 40000: 11000 + 6, -1000: 2000 + 6}
+
+
+def test_pooled_neighbours_against_all_pairs(spark):
+    for step, seed in ((1, 1), (700, 2), (5000, 3)):
+        rng = np.random.default_rng(seed)
+        code, w, h = rng.integers(0, 60, 500) * step, rng.integers(0, 7, 500), rng.integers(0, 6, 500) * 3600
+        code[code > 40 * step] += 200 * step
+        rows = pd.DataFrame({"code": code, "w": w, "h": h, "day": [f"2024-{i // 28 % 12 + 1:02d}-{i % 28 + 1:02d}" for i in range(500)], "y": rng.normal(50, 9, 500)})
+        rows = rows.drop_duplicates(["code", "w", "h", "day"])
+        asked = pd.DataFrame({"code": rng.integers(-20, 320, 60) * step, "w": rng.integers(0, 7, 60), "h": rng.integers(0, 7, 60) * 3600}).drop_duplicates()
+        points = spark.createDataFrame(rows).select(F.col("code").cast("bigint"), F.col("w").cast("int"), F.col("h").cast("int"), "day", "y")
+        queries = spark.createDataFrame(asked).select(F.col("code").cast("bigint"), F.col("w").cast("int"), F.col("h").cast("int"))
+        got = {(r["code"], r["w"], r["h"], r["k"]): (r["u1"], r["u2"]) for r in knn_pooled.pooled_fans(points, queries).collect()}
+        assert len(got) == len(asked) * len(knn.NEIGHBOURS)
+        for q in asked.itertuples(index=False):
+            dc, dw, dh = abs(rows["code"] - q.code), abs(rows["w"] - q.w), abs(rows["h"] - q.h)
+            for i, d in enumerate((dc + dw + dh, np.sqrt(1.0 * dc**2 + dw**2 + 1.0 * dh**2))):
+                order = rows.assign(d=d).sort_values(["d", "code", "day", "h"])["y"].to_numpy()
+                for k in knn.NEIGHBOURS:
+                    assert abs(got[(q.code, q.w, q.h, k)][i] - order[:k].mean()) < 1e-9
