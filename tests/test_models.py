@@ -164,6 +164,25 @@ def test_one_fit_answers_all_settings(min_leaf):
                 assert np.allclose(got[i, j, k], want)
 
 
+@pytest.mark.parametrize("min_leaf", [1, 2, 4])
+def test_fits_share_draws_and_forecast_only_what_is_asked(min_leaf):
+    rng = np.random.default_rng(4)
+    place = rng.permutation([(w, h * 3600) for w in range(7) for h in range(24)])[:60]
+    w, h = place.T
+    rows = np.where(np.arange(60) % 5 == 0, 0, rng.integers(1, 4, 60))
+    mean = np.where(rows > 0, np.round(rng.gamma(1, 30, 60), 2), 0.0)
+    n, asked = rows.sum(), np.flatnonzero(rows == 0)
+    drawn = forest.draws(rows, 6, np.random.default_rng(5))
+    assert (drawn == np.random.default_rng(5).multinomial(n, rows / n, size=6)).all()
+    got = forest.forest_values(w, h, rows, mean, (2, 6), (2, 10, 40), (2, 5, 10), min_leaf, drawn, asked)
+    assert got.shape == (2, 3, 3, len(asked))
+    for j, d in enumerate((2, 10, 40)):
+        for k, s in enumerate((2, 5, 10)):
+            grown = [_tree([x for x in zip(w.tolist(), h.tolist(), draw.tolist(), mean.tolist()) if x[2]], d, s, min_leaf) for draw in drawn]
+            each = np.array([[tree(*x) for x in place[asked].tolist()] for tree in grown])
+            assert np.allclose(got[0, j, k], each[:2].mean(0)) and np.allclose(got[1, j, k], each.mean(0))
+
+
 def test_forest_of_few_rows(spark):
     rows = [("one", "Monday", 0, 5.0), ("null", "Monday", 0, None), ("two", "Monday", 0, 2.0), ("two", "Friday", 0, 4.0), (None, "Monday", 0, 1.0), ("two", None, 0, 9.0)]
     train = spark.createDataFrame([(*r, "2024-01-01") for r in rows], "detid string, weekday string, interval_s int, traffic double, day string")
