@@ -54,7 +54,12 @@ def clip_outliers(
         size = F.floor(n / F.lit(buckets)).cast("bigint")
         return [size * i for i in range(1, buckets)]
 
-    cuts = keyed.starts_of_parts(df, group, order, [F.col(c) for c in slot], starts)
+    def some(n: Column, first: Column, end: Column) -> Column:
+        size = F.floor(n / F.lit(buckets))
+        part = F.greatest(F.ceil(first / F.greatest(size, F.lit(1))), F.lit(1))  # the first that starts at ``first`` or later
+        return (part < buckets) & (size * part >= first) & (size * part < end)
+
+    cuts = keyed.starts_of_parts(df, group, order, slot, starts, some)
     cuts = keyed.settle(cuts) if keys else cuts
     tagged = keyed.join_stats(df, cuts, group).withColumn("_bucket", keyed.part_number(order, buckets)).drop("_starts")
     tagged = keyed.settle(tagged)  # read again for means, fences and the result

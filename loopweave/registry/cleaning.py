@@ -343,7 +343,7 @@ def clip_outliers(spark, sf):
 )
 def clip_outliers_dense(spark, sf):
     rows = outliers.clip_outliers(
-        views.dense(spark, sf), ["price"], factor=0.7, order=("day", "row_id"), slot=("day",)
+        views.dense(spark, sf).select("row_id", "detid", "day", "price"), ["price"], factor=0.7, order=("day", "row_id"), slot=("day",)
     )
     return rounded(rows.select("row_id", "detid", "price"))
 
@@ -354,7 +354,7 @@ def clip_outliers_dense(spark, sf):
 )
 def clip_outliers_v0(spark, sf):
     rows = outliers.clip_outliers(
-        views.dense(spark, sf), ["price"], factor=0.4, order=("day", "row_id"), slot=("day",), bounds="group"
+        views.dense(spark, sf).select("row_id", "detid", "day", "price"), ["price"], factor=0.4, order=("day", "row_id"), slot=("day",), bounds="group"
     )
     return rounded(rows.select("row_id", "detid", "price"))
 

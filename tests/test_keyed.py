@@ -109,3 +109,36 @@ def test_global_positions_over_many_blocks(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert all(r["x"] == r["code"] for r in placed) and len(placed) == 5000
+
+
+@pytest.mark.parametrize("named", [False, True])
+def test_ranks_are_looked_for_without_lambdas_over_all_cells(spark, named, monkeypatch):
+    """Only the cells that hold a rank reach the array of ranks; a condition of the caller finds the same ones."""
+    rows, df = skewed(spark, n_hot=700)
+    plans = []
+    settle = keyed.settle
+
+    def spied(table):
+        plans.append(table._jdf.queryExecution().optimizedPlan().toString())
+        return settle(table)
+
+    monkeypatch.setattr(keyed, "settle", spied)
+    cell = ["row_id"] if named else [F.floor(F.col("row_id") / 7)]
+
+    def starts(n):
+        return [F.floor(n / 24).cast("bigint") * i for i in range(1, 24)]
+
+    def some(n, first, end):
+        size = F.floor(n / 24)
+        part = F.greatest(F.ceil(first / F.greatest(size, F.lit(1))), F.lit(1))
+        return (part < 24) & (size * part >= first) & (size * part < end)
+
+    plain = keyed.starts_of_parts(df, ["k"], ["row_id"], cell, starts).collect()
+    asked = keyed.starts_of_parts(df, ["k"], ["row_id"], cell, starts, some).collect()
+    assert sorted(plain) == sorted(asked) and len(plain) == rows["k"].nunique()
+    wanted = [p for p in plans if "_ranks" in p and "_before" not in p]
+    assert wanted and all("lambda" not in line for p in wanted for line in p.splitlines() if line.strip(" :+-").startswith("Filter"))
+    for r in asked:
+        mine = rows["row_id"][rows["k"] == r["k"]].sort_values().to_numpy()
+        size = len(mine) // 24
+        assert [x["row_id"] for x in r["_starts"]] == [mine[size * i] for i in range(1, 24)]
