@@ -497,3 +497,37 @@ def test_style_tree_counts_pages_and_not_blocks_or_copies(spark):
     assert got[0].count("cell") == 30
     assert all(got[i].startswith("Part 0 of a story") and "Part 9" in got[i] for i in range(1, 201))
     assert got[305] == "Another story, number 5."
+
+
+def test_style_tree_judges_articles_too_and_agrees_with_brute_force(spark):
+    page = (
+        "<body><article><h1>Case {0}</h1><h2>In short</h2><p>Story number {0} about {0}.</p><p class=sign>Our desk in Lyon.</p>"
+        "<div class=box><div class=b{0}>Call us</div></div></article><div class=list><p>{0}</p></div></body>"
+    )
+    dated = "<body><article><p>The same long story on every page.</p><div class=when>Day {0}</div></article></body>"
+    rows = [(i, "https://site.example.com/", page.format(i * i)) for i in range(12)]
+    rows += [(100 + i, "https://two.example.com/", page.format(i)) for i in range(2)]
+    rows += [(200 + i, "https://dated.example.com/", dated.format(i)) for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(df).collect()}
+    assert got[3] == "Case 9 In short Story number 9 about 9. Call us"  # the boxes look different on every page
+    assert got[101] == "Case 1 In short Story number 1 about 1. Our desk in Lyon. Call us"  # too few pages to tell
+    assert got[204] == "The same long story on every page. Day 4"
+
+    parsed = df.selectExpr("page_id id", "url", "url host", "page_id row", "html").mapInArrow(
+        html_text.parse, f"id long, url string, host string, row long, {html_text.PARSED}"
+    )
+    tree = {(r["host"], r["path"]): (r["n"], r["importance"]) for r in html_text.importance(parsed).collect()}
+    seen = {}
+    for _, url, source in rows:
+        found = html_text.blocks(source)
+        for path, content, style in html_text.nodes_of(found)[1]:
+            seen.setdefault((url, path), {})[tuple(b[0] for b in found)] = (content, style)
+    assert tree.keys() == seen.keys()
+    for node, pages in seen.items():
+        n, entropies = len(pages), []
+        for feature in zip(*pages.values()):
+            shares = [feature.count(x) / n for x in set(feature)]
+            entropies.append(-sum(p * math.log(p) for p in shares) / math.log(n) if n > 1 else 1.0)
+        assert tree[node] == (n, pytest.approx(sum(entropies) / 2, abs=1e-9))
+    assert tree["https://site.example.com/", "body/article/p.sign/#"] == (12, pytest.approx(0, abs=1e-9))
