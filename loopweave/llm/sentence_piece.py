@@ -15,7 +15,8 @@ with the piece table by hash, and the edges that remain are grouped by word. Wha
 Characters without a piece become the byte pieces of their UTF-8 form, or the unknown piece in models without those.
 
 The texts are encoded where they are read: the occurrences of words are not shuffled. Words longer than ``WIDE`` are
-merged one at a time with a heap. Workers keep the ids of up to ``WORDS_KEPT`` words.
+merged one at a time with a heap. Workers keep the ids of the words met lately: when ``WORDS_KEPT`` are held these become
+the older ones, what was older before goes, and an older word that is met again is one of the newer.
 
 Defined cases: null text counts as empty and gives no pieces; an empty text has none; repeated rows get the same ids; an
 empty table gives an empty result; texts and words of any length are encoded whole; decoding writes U+2581 as a space.
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,8 @@ WIDE = 24
 WORDS_KEPT = 200_000
 #: Words merged at once.
 GROUP = 8192
+#: Bits of a hash that the table of beginnings leaves out.
+SHIFT = 44
 UNKNOWN_PENALTY = 10.0
 
 _workers: dict[int, "Bpe"] = {}
@@ -89,6 +93,13 @@ def words_of(text: str) -> list[str]:
     return out + [held] if held else out
 
 
+def keys_of(text: str) -> list[str]:
+    """Words of a text, each without the mark that it begins with."""
+    if MARK in text or "  " in text or text[:1] in ("", " ") or text[-1] == " ":
+        return [word[1:] for word in words_of(marked(text))]
+    return text.split(" ")
+
+
 class Bpe:
     """Merges words by the scores of the pieces that their substrings are."""
 
@@ -106,7 +117,12 @@ class Bpe:
         self.rank = rank[order].astype(np.int32)
         self.by_rank = np.empty(len(hashes), np.int32)
         self.by_rank[rank] = pieces.ids
-        self.known: dict[str, np.ndarray] = {}
+        # whether a piece's hash may begin with these bits: most substrings are no piece
+        self.begun = np.zeros(1 << (64 - SHIFT), bool)
+        self.begun[self.hashes >> np.uint64(SHIFT)] = True
+        # ids, as bytes, of words without their first mark
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def _hash(codes: np.ndarray) -> np.ndarray:
@@ -125,42 +141,52 @@ class Bpe:
         for length in range(1, min(width, self.longest) + 1):
             starts = width - length + 1
             h = h[:, :starts] * np.uint64(0x9E3779B97F4A7C15) + letters[:, length - 1 :]
-            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            found = np.where(self.hashes[at] == h, self.rank[at], none)
-            i = np.arange(starts)
-            out[:, i, i + length - 1] = found
+            row, i = np.nonzero(self.begun[h >> np.uint64(SHIFT)])
+            mine = h[row, i]
+            at = np.minimum(np.searchsorted(self.hashes, mine), len(self.hashes) - 1)
+            same = self.hashes[at] == mine
+            row, i = row[same], i[same]
+            out[row, i, i + length - 1] = self.rank[at[same]]
         return out
 
-    def merge_words(self, words: list[str]) -> list[np.ndarray]:
+    def merge_words(self, words: list[str]) -> list[bytes]:
         """Ids of words of one and the same length."""
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
         n, width = codes.shape
         lattice = self.edges(codes)
         none = np.int32(len(self.hashes))
-        ends = np.tile(np.arange(width), (n, 1))  # last character of the symbol that starts here; -1: none starts here
+        place = np.arange(width)
+        ends = np.tile(place, (n, 1))  # last character of the symbol that starts here; -1: none starts here
+        begins = ends.copy()  # first character of the symbol that ends here
+        joins = np.full((n, width), none, np.int32)  # rank of the piece that the symbol that starts here and the next one make
+        joins[:, :-1] = lattice[:, place[:-1], place[1:]]
         live = np.arange(n)
-        while len(live) and width > 1:
-            e = ends[live]
-            after = np.minimum(e + 1, width - 1)
-            joined = np.take_along_axis(e, after, 1)
-            at = lattice[live[:, None], np.arange(width)[None, :], np.maximum(joined, 0)]
-            at = np.where((e >= 0) & (e + 1 < width), at, none)
+        while len(live):
+            at = joins[live]
             best = at.argmin(1)
-            row = np.arange(len(live))
-            going = at[row, best] < none
-            live, row, best = live[going], row[going], best[going]
-            gone = e[row, best] + 1
-            ends[live, best] = ends[live, gone]
-            ends[live, gone] = -1
-        out = []
-        ids = np.where(ends >= 0, lattice[np.arange(n)[:, None], np.arange(width)[None, :], np.maximum(ends, 0)], -1)
-        plain = np.where((ids >= 0) & (ids < none), self.by_rank[np.clip(ids, 0, none - 1)], -2)
-        for k, word in enumerate(words):
-            mine = plain[k][ends[k] >= 0]
-            if (mine == -2).any():
-                starts = np.flatnonzero(ends[k] >= 0)
-                mine = np.array([x for s, i in zip(starts, mine) for x in ([i] if i >= 0 else self.fallback(word[s]))], np.int32)
-            out.append(mine.astype(np.int32))
+            going = at[np.arange(len(live)), best] < none
+            live, best = live[going], best[going]
+            gone = ends[live, best] + 1
+            end = ends[live, gone]
+            ends[live, best], ends[live, gone] = end, -1
+            begins[live, end] = best
+            joins[live, gone] = none
+            # only the merged symbol's joins with its neighbours are others now
+            after = np.minimum(end + 1, width - 1)
+            joins[live, best] = np.where(end + 1 < width, lattice[live, best, ends[live, after]], none)
+            inner = best > 0
+            row, before = live[inner], begins[live[inner], best[inner] - 1]
+            joins[row, before] = lattice[row, before, end[inner]]
+        row, start = np.nonzero(ends >= 0)
+        ranks = lattice[row, start, ends[row, start]]
+        ids = np.where(ranks < none, self.by_rank[np.minimum(ranks, none - 1)], -1).astype(np.int32)
+        bounds = np.searchsorted(row, np.arange(n + 1)) * 4
+        data, edges = ids.tobytes(), bounds.tolist()
+        out = [data[a:b] for a, b in zip(edges[:-1], edges[1:])]
+        for k in np.unique(row[ids < 0]).tolist():
+            mine = slice(edges[k] // 4, edges[k + 1] // 4)
+            parts = ([i] if i >= 0 else self.fallback(words[k][at]) for at, i in zip(start[mine].tolist(), ids[mine].tolist()))
+            out[k] = np.array([x for part in parts for x in part], np.int32).tobytes()
         return out
 
     def fallback(self, char: str) -> list[int]:
@@ -200,24 +226,28 @@ class Bpe:
         return np.array(ids, np.int32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [words_of(marked(t)) for t in texts]
+        split = [keys_of(t) for t in texts]
         if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        groups: dict[int, list[str]] = {}
-        new: dict[str, np.ndarray] = {}
-        for word in {w for words in split for w in words}:
-            if word not in self.known:
-                if len(word) > WIDE:
-                    new[word] = self.merge_long(word)
-                else:
-                    groups.setdefault(len(word), []).append(word)
-        for words in groups.values():
-            for at in range(0, len(words), GROUP):
-                part = words[at : at + GROUP]
-                self.known.update(zip(part, self.merge_words(part)))
+            self.known, self.older = {}, self.known
         known = self.known
-        nothing = np.zeros(0, np.int32)
-        return [np.concatenate([known[w] if w in known else new[w] for w in words]) if words else nothing for words in split]
+        groups: dict[int, list[str]] = {}
+        long: dict[str, bytes] = {}
+        for key in set(chain.from_iterable(split)).difference(known):
+            if key in self.older:
+                known[key] = self.older[key]
+            elif len(key) >= WIDE:
+                long[key] = self.merge_long(MARK + key).tobytes()
+            else:
+                groups.setdefault(len(key), []).append(key)
+        for keys in groups.values():
+            for at in range(0, len(keys), GROUP):
+                part = keys[at : at + GROUP]
+                known.update(zip(part, self.merge_words([MARK + key for key in part])))
+        known.update(long)
+        out = [np.frombuffer(b"".join(map(known.__getitem__, keys)), np.int32) for keys in split]
+        for key in long:  # not kept: their number of ids has no bound
+            del known[key]
+        return out
 
 
 def worker(pieces: Pieces) -> Bpe:

@@ -531,3 +531,24 @@ def test_style_tree_judges_articles_too_and_agrees_with_brute_force(spark):
             entropies.append(-sum(p * math.log(p) for p in shares) / math.log(n) if n > 1 else 1.0)
         assert tree[node] == (n, pytest.approx(sum(entropies) / 2, abs=1e-9))
     assert tree["https://site.example.com/", "body/article/p.sign/#"] == (12, pytest.approx(0, abs=1e-9))
+
+
+def test_sentence_piece_keeps_the_words_it_meets(monkeypatch):
+    """Words met in every batch are merged once, however many others there are; ids stay those of the library."""
+    import public_tokenizers
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    monkeypatch.setattr(sentence_piece, "WORDS_KEPT", 50)
+    bpe = sentence_piece.Bpe(queries.piece_table())
+    merged = []
+    of = bpe.merge_words
+    monkeypatch.setattr(bpe, "merge_words", lambda words: merged.extend(words) or of(words))
+    rng = np.random.default_rng(7)
+    letters = np.array([*"aabcdeeghinorst", "\u00e9", "\n", "\u4e2d", "\U0001f600", "\u2581"])
+    for _ in range(30):
+        texts = ["the story of " + " ".join("".join(rng.choice(letters, rng.integers(0, 30))) for _ in range(20)) for _ in range(3)]
+        texts += ["", " ", "  the  story ", "of"]
+        assert [ids.tolist() for ids in bpe.encode(texts)] == sp.encode(texts)
+        assert len(bpe.known) < 150
+    assert merged.count(sentence_piece.MARK + "story") == 1
