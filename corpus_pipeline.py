@@ -23,13 +23,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loopweave.llm import exact_dedup, jaccard_join, packing, pii, toxicity
-from loopweave.llm.common import numbered
+from loopweave.llm.common import numbered, settle_in_small_batches
 from loopweave.llm.queries import PII_KEY, tokenizer_file, toxicity_model
 from loopweave.scratch import drop, recorded, settle
 
 #: The toxicity model and the tokenizer can't be said in SQL; the stages are tested one by one.
 ORACLE_SQL = None
 
+#: Documents of an Arrow batch in a stage that passes whole texts to Python.
+BATCH_ROWS = 1024
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: Tables that the stage before has settled, per thread.
 _settled: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("settled", default=None)
@@ -49,7 +52,8 @@ def stage(fn: Stage) -> Stage:
 
 @stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return toxicity.keep_clean(docs, toxicity_model(spark, sf_dir))
+    # written here, where the size of an Arrow batch can be set: of default size, texts take much of an executor's memory
+    return settle_in_small_batches(toxicity.keep_clean(docs, toxicity_model(spark, sf_dir)), BATCH_ROWS)
 
 
 def _free(docs: DataFrame) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +57,17 @@ def numbered(docs: DataFrame, name: str = "_row") -> DataFrame:
     return settle(docs.withColumn(name, F.monotonically_increasing_id()))
 
 
+def settle_in_small_batches(df: DataFrame, rows: int, write: Callable[[DataFrame], DataFrame] = settle) -> DataFrame:
+    """Writes a table whose plan passes large rows to Python: at most so many in an Arrow batch."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, str(rows))
+    try:
+        return write(df)
+    finally:
+        conf.set(name, before)
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 100) -> DataFrame:
     """(node, root) of the connected components of ``links``, root the smallest node; nodes without links are absent.
 

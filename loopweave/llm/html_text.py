@@ -1,6 +1,6 @@
 """Main text of web pages with a site style tree: pages of a host laid over each other show what the site repeats.
 
-A page becomes a list of blocks, each with its path of elements. Three kinds of branches are told apart:
+A page becomes a list of blocks, each with its path of elements. Two kinds of branches are told apart:
 
 * never content, by what HTML says they are: navigation, headers and footers of the page, sidebars, forms, scripts,
   styles, hidden parts, and elements whose class, id or role names an advert, a notice, a menu, comments and the like;

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import scope, settle
-from .common import BITMAP_BITS, components, flag_keys, key_filter, text_of
+from .common import BITMAP_BITS, components, flag_keys, key_filter, settle_in_small_batches, text_of
 from .shingles import mixed, shingle_sets
 
 #: Leaves of a block, on average.
@@ -50,7 +50,7 @@ COMMON = 3
 FEW = 8
 #: Rows of an Arrow batch where a row holds blocks of bitmaps.
 BATCH_ROWS = 64
-#: Documents whose shingles are held at once.
+#: Documents of an Arrow batch; those whose shingles are held at once, if a batch has more.
 PORTION = 1024
 BITS_PER_TOKEN = 2
 #: A key filter has 16 bits or more per key, up to so many buckets of 4 kB; beyond that it lets more keys through.
@@ -222,17 +222,6 @@ def bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
-def settle_in_small_batches(df: DataFrame) -> DataFrame:
-    """Writes a table whose plan passes rows of whole blocks to Python: few rows in an Arrow batch."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(name)
-    conf.set(name, str(BATCH_ROWS))
-    try:
-        return settle(df)
-    finally:
-        conf.set(name, before)
-
-
 def _nodes(batches):
     """Blocks to nodes: the OR of the leaves' bitmaps, and the most tokens of a leaf that share a bit with another."""
     for batch in batches:
@@ -322,7 +311,7 @@ def tree_pairs(rows: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     )
     schema = T.StructType([*grouped.schema.fields, T.StructField("hidden", T.LongType()), T.StructField("sig", T.BinaryType())])
     built = grouped.mapInArrow(_nodes, schema)
-    nodes = settle_in_small_batches(built.withColumn("members", F.transform("members", lambda m: m.dropFields("sig"))))
+    nodes = settle_in_small_batches(built.withColumn("members", F.transform("members", lambda m: m.dropFields("sig"))), BATCH_ROWS)
 
     def inside(batches):
         for batch in batches:
@@ -359,13 +348,13 @@ def tree_pairs(rows: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
         .where((F.col("x.most") * 100 >= F.col("y.least") * percent) & (F.col("y.most") * 100 >= F.col("x.least") * percent))
     )
     places = T.StructType([f for f in block_pairs.schema.fields if f.name not in ("x", "y")])
-    block_pairs = settle_in_small_batches(block_pairs.mapInArrow(admitted, places))
+    block_pairs = settle_in_small_batches(block_pairs.mapInArrow(admitted, places), BATCH_ROWS)
     xs = nodes.select("t", "band", "block", F.col("members").alias("xs"))
     ys = nodes.select("t", F.col("band").alias("band2"), F.col("block").alias("block2"), F.col("members").alias("ys"))
     leaves = block_pairs.join(xs, ["t", "band", "block"]).join(ys, ["t", "band2", "block2"])
     near = nodes.where("lo != hi and (flo != fhi or flo = t)").select("t", "members").mapInArrow(inside, "a long, b long")
     far = leaves.select("t", "xs", "ys").mapInArrow(across, "a long, b long")
-    return settle_in_small_batches(near.unionAll(far).distinct())
+    return settle_in_small_batches(near.unionAll(far).distinct(), BATCH_ROWS)
 
 
 def jaccard_components(
@@ -377,7 +366,7 @@ def jaccard_components(
         base = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
         hashed = base.withColumn("k", F.xxhash64("id"))
         with scope(docs.sparkSession) as keep_keys:
-            first = settle(shingle_keys(base, words, percent))
+            first = settle_in_small_batches(shingle_keys(base, words, percent), PORTION)
             keys = keep(first.select("id", "n", "c"))
             grouped = keys.where("c is not null").groupBy("c").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
             classes = keep_keys(grouped)
@@ -388,7 +377,7 @@ def jaccard_components(
 
         # one representative's text per class: by a filter on its id; what that lets through besides only repeats a leaf
         reps = only(hashed, "k", chosen)
-        nodes = settle(leaves_of(reps, words, percent, last).dropDuplicates(["c"]))
+        nodes = settle_in_small_batches(leaves_of(reps, words, percent, last).dropDuplicates(["c"]), PORTION)
         counts = settle(nodes.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
         tokens = nodes.select(F.explode("prefix").alias("t"), "c", "n")
         rows = settle(only(tokens, "t", counts).join(counts, "t"))
@@ -407,7 +396,7 @@ def jaccard_components(
                 .select(F.least("c", "head").alias("a"), F.greatest("c", "head").alias("b"))
             )
             stars = stars.unionAll(settle(_meetings(few, degree, percent))).distinct()
-            checked = keep_links(bounded(settle(stars), nodes, percent))
+            checked = settle_in_small_batches(bounded(settle(stars), nodes, percent), PORTION, keep_links)
             links = keep_links(_verify(checked, classes, base, words, percent))
         first = components(links) if not links.isEmpty() else None
 
@@ -467,7 +456,7 @@ def _verify(pairs: DataFrame, classes: DataFrame, base: DataFrame, words: int, p
     ends = settle(pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct())
     ids = settle(classes.join(ends, "c").select(F.xxhash64("id").alias("k")))
     reps = only(base.withColumn("k", F.xxhash64("id")), "k", ids)
-    sets = settle(token_sets(reps, words).join(ends, "c", "left_semi").dropDuplicates(["c"]))
+    sets = settle_in_small_batches(token_sets(reps, words).join(ends, "c", "left_semi").dropDuplicates(["c"]), PORTION)
     left = sets.select(F.col("c").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("c").alias("b"), F.col("tokens").alias("tb"))
     common = F.size(F.array_intersect("ta", "tb"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes hashed at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))

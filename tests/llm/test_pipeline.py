@@ -50,3 +50,26 @@ def test_stages(spark, tmp_path):
 def test_every_operator_has_its_query():
     numbers = {int(n[2:].split("_")[0]) for n in queries.QUERIES}
     assert numbers == set(range(1, 14)) and [n for n, _ in corpus_pipeline.STAGES][-1] == "packing"
+
+
+def test_stages_pass_texts_to_python_in_small_batches(spark, monkeypatch):
+    """What an executor's Python workers and their JVM hold of a batch is bounded by its rows."""
+    from loopweave import scratch
+    from loopweave.llm import common, jaccard_join
+
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    write = scratch.settle
+
+    def settle(df):
+        if "MapInArrow" in df._jdf.queryExecution().optimizedPlan().toString():
+            seen.append(int(spark.conf.get(name)))
+        return write(df)
+
+    for module in (common, jaccard_join, scratch):
+        monkeypatch.setattr(module, "settle", settle)
+    monkeypatch.setattr(common.settle_in_small_batches, "__defaults__", (settle,))
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(i, f"{i % 3} " + "one two three four five six seven " * 3) for i in range(40)], "doc_id long, text string")
+    assert jaccard_join.jaccard_components(docs).select("component_id").distinct().count() == 3
+    assert len(seen) > 4 and max(seen) <= 1024
+    assert spark.conf.get(name) == before
