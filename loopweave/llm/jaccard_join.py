@@ -13,11 +13,14 @@ Two passes find the links:
 
 1. Under a token of a few classes, their pairs meet; the number of tokens under which a pair meets must admit a link. Under
    a token of many, each class is compared with the one class there that shares most of its tokens with others. That
-   links nearly all of a family of copies without a pair of members, and gives first components.
+   links nearly all of a family of copies without a pair of members, and gives first components. Where a token still has
+   several of those, each class outside its largest meets one class of that, another one under each token.
 2. A dual traversal of each tree of a token of many classes descends into pairs of nodes: bands, then blocks, then leaves. A pair is pruned if both
    are of one and the same component, if both have one and the same first token (they meet in that token's tree), if the
    size ranges admit no link, or if the largest overlap that the bitmaps admit is below what the smallest sizes need. Leaf
-   pairs are pruned by their parities: bits that differ count tokens that differ. Leaves are fetched for pairs of blocks that are left.
+   pairs are pruned by their parities: bits that differ count tokens that differ. Classes in the trees have wider parities, so that
+   hardly a pair is left that isn't a link. A pair comes out of one tree only, that of the first token that both have there.
+   Leaves are fetched for pairs of blocks that are left.
 
 Pairs that remain in either pass are decided by the sizes of the true intersections, so the bounds cost nothing but
 work. No pass drops, caps or samples anything. Token order and bitmaps come from 64-bit hashes of shingles, as does the
@@ -53,6 +56,8 @@ BATCH_ROWS = 64
 #: Documents of an Arrow batch; those whose shingles are held at once, if a batch has more.
 PORTION = 1024
 BITS_PER_TOKEN = 2
+#: The same for the parities of classes in trees, up to so many bits of a class unless it has more by the former rule.
+TREE_BITS_PER_TOKEN, TREE_BITS = 8, 1 << 16
 #: A key filter has 16 bits or more per key, up to so many buckets of 4 kB; beyond that it lets more keys through.
 MOST_BUCKETS = 4096
 #: Bytes of bitmaps compared at once.
@@ -73,17 +78,21 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _width(n: int, bits: int) -> int:
+    return 1 << max(6, int(bits * n - 1).bit_length())
+
+
 def signature(tokens: np.ndarray) -> bytes:
     """Bitmap of the tokens; its width is a power of two of at least two bits per token."""
-    width = 1 << max(6, int(BITS_PER_TOKEN * len(tokens) - 1).bit_length())
+    width = _width(len(tokens), BITS_PER_TOKEN)
     bits = np.zeros(width, dtype=bool)
     bits[(mixed(tokens) >> np.uint64(7)).astype(np.int64) & (width - 1)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def parity(tokens: np.ndarray) -> bytes:
-    """Bitmap as wide as the signature, each bit the parity of the tokens there; what differs in two counts differing tokens closely."""
-    width = 1 << max(6, int(BITS_PER_TOKEN * len(tokens) - 1).bit_length())
+def parity(tokens: np.ndarray, bits: int = BITS_PER_TOKEN) -> bytes:
+    """Bitmap of so many bits per token, each the parity of the tokens there; what differs in two counts differing tokens closely."""
+    width = max(_width(len(tokens), BITS_PER_TOKEN), min(_width(len(tokens), bits), TREE_BITS))
     at = (mixed(tokens) >> np.uint64(7)).astype(np.int64) & (width - 1)
     return np.packbits((np.bincount(at, minlength=width) & 1).astype(bool), bitorder="little").tobytes()
 
@@ -186,6 +195,20 @@ def token_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "c long, tokens array<long>")
 
 
+def tree_parities(docs: DataFrame, words: int) -> DataFrame:
+    """(c, odd) of every document with shingles, ``odd`` as wide as the trees have it."""
+
+    def run(batches):
+        for batch in portions(batches):
+            sets = [s for s in shingle_sets(batch.column("text").to_pylist(), words) if len(s)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_class(s) for s in sets], pa.int64()), pa.array([parity(s, TREE_BITS_PER_TOKEN) for s in sets], pa.binary())],
+                names=["c", "odd"],
+            )
+
+    return docs.select("text").mapInArrow(run, "c long, odd binary")
+
+
 def buckets_for(keys: DataFrame) -> int:
     """Buckets of a key filter for a written table of keys, a power of two."""
     return min(MOST_BUCKETS, 1 << max(0, -(-16 * keys.count() // BITMAP_BITS) - 1).bit_length())
@@ -279,10 +302,35 @@ def _leaf_pairs(t: int, xs: list[dict], ys: list[dict] | None, percent: int):
             yield min(a, b), max(a, b)
 
 
+def met_first(t: int, pairs, leaves: list[dict]):
+    """The pairs for which ``t`` is the first token of the trees that both have; ``ts`` holds those of a leaf."""
+    of = None
+    for a, b in pairs:
+        of = of or {m["c"]: m["ts"] for m in leaves}
+        for c in (a, b):
+            if isinstance(of[c], bytes):
+                of[c] = set(np.frombuffer(of[c], np.int64).tolist())
+        if min(of[a] & of[b]) == t:
+            yield a, b
+
+
+def token_lists(held: DataFrame) -> DataFrame:
+    """(c, f, ts) of rows t, c: the first t of c, and all of them, no more than a row of leading tokens holds, as bytes."""
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("ts")
+            ts = [np.asarray(x.values, np.int64) for x in lists]
+            columns = [batch.column("c"), pa.array([x.min() for x in ts], pa.int64()), pa.array([x.tobytes() for x in ts], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["c", "f", "ts"])
+
+    return held.groupBy("c").agg(F.collect_set("t").alias("ts")).mapInArrow(run, "c long, f long, ts binary")
+
+
 def tree_pairs(rows: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b) of leaves that the dual traversal of the tokens' trees leaves.
 
-    ``rows``: t, c, n, comp, f (the first t of c); ``sigs``: c, sig, odd. Both written tables.
+    ``rows``: t, c, n, comp, f (the first t of c); ``sigs``: c, sig, odd, ts (all t of c). Both written tables.
     """
     band = F.floor(F.log(F.col("n")) / float(np.log(100 / percent))).cast("int")
     banded = rows.withColumn("band", band)
@@ -299,7 +347,7 @@ def tree_pairs(rows: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
         .withColumn("block", F.xxhash64(F.when(own, F.col("f")), part))
         .select("t", "band", "block", "c", "n", "comp", "f")
     )
-    member = F.struct("c", "n", "comp", "f", "sig", "odd")
+    member = F.struct("c", "n", "comp", "f", "sig", "odd", "ts")
     grouped = placed.join(sigs, "c").groupBy("t", "band", "block").agg(
         F.collect_list(member).alias("members"),  # BLOCK leaves on average
         F.min("n").alias("least"),
@@ -315,7 +363,9 @@ def tree_pairs(rows: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
 
     def inside(batches):
         for batch in batches:
-            found = {p for x in batch.to_pylist() for p in _leaf_pairs(x["t"], x["members"], None, percent)}
+            found = set()
+            for x in batch.to_pylist():
+                found.update(met_first(x["t"], _leaf_pairs(x["t"], x["members"], None, percent), x["members"]))
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     def admitted(batches):
@@ -325,7 +375,9 @@ def tree_pairs(rows: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
 
     def across(batches):
         for batch in batches:
-            found = {p for row in batch.to_pylist() for p in _leaf_pairs(row["t"], row["xs"], row["ys"], percent)}
+            found = set()
+            for x in batch.to_pylist():
+                found.update(met_first(x["t"], _leaf_pairs(x["t"], x["xs"], x["ys"], percent), x["xs"] + x["ys"]))
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     # upper nodes: a band of a token with the range of its components; pairs of one component go before blocks are paired
@@ -401,16 +453,18 @@ def jaccard_components(
         first = components(links) if not links.isEmpty() else None
 
         with scope(docs.sparkSession) as keep_more:
-            with_comp = many.withColumn("comp", F.col("c"))
+            held = _open(many, first)
             if first is not None:
-                first = settle(first.select(F.col("node").alias("c"), "root"))
-                with_comp = many.join(first, "c", "left").withColumn("comp", F.coalesce("root", "c")).drop("root")
-            with_comp = settle(with_comp)
-            open_ = with_comp.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("t")
-            held = settle(with_comp.join(settle(open_), "t").select("t", "c", "n", "comp"))
-            first_of = settle(held.groupBy("c").agg(F.min("t").alias("f")))
-            sigs = settle(nodes.select("c", "sig", "odd").join(first_of, "c", "left_semi"))
-            rest = tree_pairs(settle(held.join(first_of, "c")), sigs, percent)
+                again = settle(_outside(held, percent).join(checked, ["a", "b"], "left_anti"))
+                again = settle_in_small_batches(bounded(again, nodes, percent), PORTION)
+                checked = settle(checked.unionAll(again))
+                links = keep_more(links.unionAll(_verify(again, classes, base, words, percent)))
+                held = _open(many, components(links))
+            own = settle_in_small_batches(token_lists(held), PORTION)
+            in_trees = _representatives(own, classes, base)
+            wide = settle_in_small_batches(tree_parities(in_trees, words).join(own, "c", "left_semi").dropDuplicates(["c"]), PORTION)
+            sigs = settle(nodes.select("c", "sig").join(wide, "c").join(own.select("c", "ts"), "c"))
+            rest = tree_pairs(settle(held.join(own.select("c", "f"), "c")), sigs, percent)
             if first is not None:
                 rest = settle(rest.join(checked, ["a", "b"], "left_anti"))  # those are decided
             more = keep_more(_verify(rest, classes, base, words, percent))
@@ -427,6 +481,33 @@ def jaccard_components(
     return joined.unionAll(single).withColumnRenamed("id", id_col)
 
 
+def _open(many: DataFrame, found: DataFrame | None) -> DataFrame:
+    """(t, c, n, comp) of tokens whose classes are of several components; ``found``: (node, root) of the links so far."""
+    with_comp = many.withColumn("comp", F.col("c"))
+    if found is not None:
+        roots = settle(found.select(F.col("node").alias("c"), "root"))
+        with_comp = many.join(roots, "c", "left").withColumn("comp", F.coalesce("root", "c")).drop("root")
+    with_comp = settle(with_comp)
+    open_ = with_comp.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("t")
+    return settle(with_comp.join(settle(open_), "t").select("t", "c", "n", "comp"))
+
+
+def _outside(held: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of a class and one of the largest component under a token, if the class is of another; a pair a row at most."""
+    sizes = held.groupBy("t", "comp").agg(F.count(F.lit(1)).alias("k"))
+    largest = settle(sizes.groupBy("t").agg(F.max(F.struct("k", "comp"))["comp"].alias("main")))
+    inside = settle(held.join(largest, "t"))
+    drawn = F.max(F.struct(F.xxhash64("t", "c").alias("by"), "c", "n")).alias("head")
+    heads = settle(inside.where("comp = main").groupBy("t").agg(drawn).select("t", F.col("head.c").alias("head"), F.col("head.n").alias("head_n")))
+    return (
+        inside.where("comp != main")
+        .join(heads, "t")
+        .where((F.least("n", "head_n") * 100) >= (F.greatest("n", "head_n") * percent))
+        .select(F.least("c", "head").alias("a"), F.greatest("c", "head").alias("b"))
+        .distinct()
+    )
+
+
 def _meetings(few: DataFrame, degree: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that meet under tokens of at most ``FEW`` classes and whose leading tokens admit a link.
 
@@ -451,12 +532,16 @@ def _meetings(few: DataFrame, degree: DataFrame, percent: int) -> DataFrame:
     return met.where(F.col("shared") + crowded >= need - behind).select("a", "b")
 
 
+def _representatives(wanted: DataFrame, classes: DataFrame, base: DataFrame) -> DataFrame:
+    """Rows of ``base`` that stand for the classes c of the written table ``wanted``, and some others that the filter lets through."""
+    ids = settle(classes.join(wanted.select("c"), "c").select(F.xxhash64("id").alias("k")))
+    return only(base.withColumn("k", F.xxhash64("id")), "k", ids)
+
+
 def _verify(pairs: DataFrame, classes: DataFrame, base: DataFrame, words: int, percent: int) -> DataFrame:
     """Exact decision of pairs of classes; their sets are made again from the texts of their representatives alone."""
     ends = settle(pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct())
-    ids = settle(classes.join(ends, "c").select(F.xxhash64("id").alias("k")))
-    reps = only(base.withColumn("k", F.xxhash64("id")), "k", ids)
-    sets = settle_in_small_batches(token_sets(reps, words).join(ends, "c", "left_semi").dropDuplicates(["c"]), PORTION)
+    sets = settle_in_small_batches(token_sets(_representatives(ends, classes, base), words).join(ends, "c", "left_semi").dropDuplicates(["c"]), PORTION)
     left = sets.select(F.col("c").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("c").alias("b"), F.col("tokens").alias("tb"))
     common = F.size(F.array_intersect("ta", "tb"))
