@@ -1,8 +1,8 @@
 """Byte-level BPE inside tasks: ids of whole texts as the tokenizer file's own library gives them.
 
 The pre-tokenizer cuts before every single space that has other characters on both sides, whatever stands further left
-or right, so a text may be encoded word by word. A worker keeps the ids of the words it has met, up to a fixed number,
-and asks the BPE library only for new ones. Texts with white space of other kinds next to a space are encoded whole.
+or right, so a long text may be encoded in parts cut there. A text or part is one call of the BPE library: where a
+tenth of the words are new, as in these tables, a call for each new word takes longer than one for the whole.
 """
 
 from __future__ import annotations
@@ -12,9 +12,7 @@ from collections.abc import Iterator
 
 #: Fixed value: the pre-tokenizer pattern of this family of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words that a worker keeps; beyond it the store starts anew.
-WORDS_KEPT = 300_000
-#: Characters that are split into words at once.
+#: Characters that are encoded at once, about.
 SLICE = 1 << 20
 
 _encoders: dict[int, "ByteBpe"] = {}
@@ -46,41 +44,16 @@ class ByteBpe:
             bytes(letters[c] for c in piece): i for piece, i in data["model"]["vocab"].items() if piece not in self.special
         }
         self.bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
-        self.words: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a text that is encoded at once."""
         return self.bpe.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
 
-    def _sliced(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        get = self.words.get
-        found = list(map(get, rest))
-        if None in found or first[-1:].isspace() or (rest and not first):
-            if (rest and (not first or first[-1].isspace())) or any(
-                not w or w[0].isspace() or w[-1].isspace() for w, ids in zip(rest, found) if ids is None
-            ):
-                return self.ids(text)
-            if len(self.words) > WORDS_KEPT:
-                self.words.clear()
-            for i, ids in enumerate(found):
-                if ids is None:
-                    word = rest[i]
-                    known = get(word)
-                    if known is None:
-                        known = self.ids(" " + word)
-                        if len(word) < 64:
-                            self.words[word] = known
-                    found[i] = known
-        return self.ids(first) + b"".join(found)
-
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of the whole text, special strings taken as special tokens."""
         if len(text) <= SLICE:
-            return self._sliced(text)
-        return b"".join(self._sliced(part) for part in slices(text, SLICE))
+            return self.ids(text)
+        return b"".join(self.ids(part) for part in slices(text, SLICE))
 
 
 def slices(text: str, size: int) -> Iterator[str]:

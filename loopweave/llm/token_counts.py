@@ -46,14 +46,16 @@ def encode_chunk(bpe: ByteBpe, text: str, at: int, overlap: int, first: bool, la
     """Tokens of a chunk that starts at ``at``, and the boundaries in its overlaps with the tokens before each."""
     margin = 2 * max(map(len, bpe.special), default=1)
     head, tail, n = [], [], 0
+    lengths: dict[str, int] = {}  # of the chunk's pre-tokens
     for k, (a, b) in enumerate(pre_tokens(text, bpe.special)):
         if not first and k and a < overlap:
             head.append((at + a, n))
         if not last and len(text) - overlap <= a and b < len(text) - margin:
             tail.append((at + a, n))
         piece = text[a:b]
-        ids = bpe.words.get(piece[1:]) if piece[0] == " " else None
-        n += len(bpe.ids(piece) if ids is None else ids) // 4
+        if piece not in lengths:
+            lengths[piece] = len(bpe.ids(piece)) // 4
+        n += lengths[piece]
     return {"n": n, "head": head, "tail": tail}
 
 

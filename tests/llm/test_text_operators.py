@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loopweave.llm import (
+    byte_bpe,
     common,
     exact_dedup,
     fingerprints,
@@ -187,6 +188,15 @@ def test_packing_is_whole(spark, spec, library):
     assert packing.pack(empty(spark), spec).count() == 0
 
 
+def test_a_text_of_new_words_is_one_call_of_the_library(spec, library, monkeypatch):
+    bpe, calls = byte_bpe.ByteBpe(spec), []
+    ids = bpe.ids
+    monkeypatch.setattr(bpe, "ids", lambda text: (calls.append(text), ids(text))[1])
+    text = " ".join(f"word{i}" for i in range(3000))
+    assert np.frombuffer(bpe.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(calls) == 1
+
+
 def test_plan_places_every_piece_with_little_padding():
     rng = np.random.default_rng(5)
     lengths = np.minimum(rng.lognormal(5.5, 1, 20_000).astype(int) + 1, 2048)
