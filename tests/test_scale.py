@@ -4,8 +4,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from loopweave.models import baseline, knn, knn_pooled, seasonal
-from loopweave.plans import dataset
+from loopweave.functions.calendar import WEEKDAYS
+from loopweave.models import baseline, forest, knn, knn_pooled, seasonal
+from loopweave.operators import keyed
+from loopweave.plans import dataset, predictions
 
 
 def _plan(df):
@@ -38,6 +40,50 @@ def test_predictions_of_a_week_are_not_broadcast_to_detectors(spark):
     assert cube.count() == 7 * 288
 
 
+def _week(spark):
+    """Train rows of two sensors over two weeks, and the 168 hours of a week asked of each."""
+    rows = [(d, str(np.datetime64("2024-01-01") + i), WEEKDAYS[i % 7], h * 3600, 10.0 + h + i) for d in "ab" for i in range(14) for h in (3, 9)]
+    train = spark.createDataFrame(rows, "detid string, day string, weekday string, interval_s int, traffic double")
+    sensors = spark.createDataFrame([("a", 3, 1, "uniform"), ("b", 5, 2, "distance")], "detid string, k int, p int, weights string")
+    train, sensors = keyed.settle(train), keyed.settle(sensors)  # small files: Spark knows it
+    return train, sensors, predictions.week_queries(sensors, baseline.DAY_HOURS)
+
+
+def _broadcast(df) -> list[str]:
+    """The part of the plan below each broadcast."""
+    lines, parts = _plan(df).split("\n"), []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            depth = line.index("BroadcastExchange")
+            below = [j for j in range(i + 1, len(lines)) if len(lines[j]) - len(lines[j].lstrip(" :+-")) < depth]
+            parts.append("\n".join(lines[i : min(below, default=len(lines))]))
+    return parts
+
+
+def test_week_of_queries_is_not_broadcast_by_neighbours(spark):
+    train, sensors, asked = _week(spark)
+    found = knn.forecast_points(train, asked, sensors)
+    assert not [x for x in _broadcast(found) if "Generate" in x]
+    assert found.count() == 2 * 168
+
+
+def test_week_of_queries_is_not_broadcast_by_trees(spark):
+    train, _, asked = _week(spark)
+    found = forest.forecast_points(train, asked, forest.one_tree(train, 3), bootstrap=False)
+    assert not [x for x in _broadcast(found) if "Generate" in x or "Aggregate" in x and "collect" in x]
+    assert found.count() == 2 * 168
+
+
+def test_truths_of_folds_are_not_broadcast(spark):
+    train, _, _ = _week(spark)
+    rows = knn.fold_rows(train)
+    points = knn._lattice(rows, ["detid", "fold"])
+    spot = ["detid", "fold", "w", "h"]
+    scores = knn.cv_table(points, knn.fans(points, points.select(*spot).distinct(), ["detid"], fold="fold"), spot, ["detid"])
+    assert not [x for x in _broadcast(scores) if "y#" in x.split("\n")[1]]
+    assert scores.count() == 2 * 16
+
+
 def test_pairs_of_neighbours_are_not_shuffled(spark):
     rows = [("a", w, h * 3600, f"2024-01-{w + 1:02d}", float(h)) for w in range(7) for h in range(24)]
     points = spark.createDataFrame(rows, "detid string, w int, h int, day string, y double")
