@@ -11,12 +11,14 @@ ranges' counts, so no task holds an hour.
 Which hours matter is settled in two steps, since codes may lie farther apart than hours. The
 nearest hours that together hold k rows give a distance within which k rows are known to lie: the
 best of the hours with k rows of their own, and at most the farthest row of all of them. Every
-hour within that distance is then searched; rows elsewhere are farther.
+hour within that distance is then looked up, once for each code. The first rows of all these hours
+on both sides bound each of the two distances once more, and only ranks within those bounds are
+searched; all other rows are farther.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +40,9 @@ from .knn import (
 
 ROW_ORDER = ("code", "day", "interval_s")
 
+# Besides the middle and the last, the rows on each side of a code whose distance is looked up.
+NEAREST_STEPS = (1, 2, 3)
+
 
 def coded_rows(rows: DataFrame, codes: DataFrame, key: str = "detid") -> DataFrame:
     """Rows with the train set's sensor code; sensors the train set does not know are left out."""
@@ -63,33 +68,29 @@ def pooled_fans(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (),
 
     per_hour = present.groupBy(*group, "h").agg(F.sum("n").alias("n"))
     hours = keyed.settle(per_hour.groupBy(*group).agg(F.collect_list(F.struct("h", "n")).alias("hours")))
-    asked = keyed.join_stats(queries.groupBy(*group, "code", "h").agg(F.collect_set("w").alias("ws")), hours, group)
-    asked = keyed.settle(asked)
-
-    def hours_within(df: DataFrame, reach: str) -> DataFrame:
-        near = F.filter("hours", lambda x: F.abs(x["h"] - F.col("h")) <= F.col(reach))
-        return df.select(*group, "code", "h", "ws", reach, F.explode(near).alias("t")).select(
-            *group, "code", "h", "ws", reach, F.col("t.h").alias("th"), F.col("t.n").alias("held")
-        )
-
-    nearby = keyed.settle(hours_within(asked.withColumn("reach", _hours_reach(F.col("hours"), F.col("h"), k)), "reach").drop("reach"))
+    asked = keyed.settle(queries.groupBy(*group, "code", "h").agg(F.collect_set("w").alias("ws")))
+    reach = keyed.join_stats(asked.drop("ws"), hours, group).withColumn("reach", _hours_reach(F.col("hours"), F.col("h"), k))
+    near = F.filter("hours", lambda x: F.abs(x["h"] - F.col("h")) <= F.col("reach"))
+    nearby = reach.select(*group, "code", "h", F.explode(near).alias("t"))
+    nearby = keyed.settle(nearby.select(*group, "code", "h", F.col("t.h").alias("th"), F.col("t.n").alias("held")))
     places = _places(present, nearby, group)
     lookups = keyed.settle(_surroundings(places, group, k))
     apart = F.abs(F.col("th") - F.col("h")) + F.col("radius")
     known = nearby.join(lookups, [*group, "th", "code"]).groupBy(*group, "code", "h").agg(
         F.least(F.max(apart), F.min(F.when(F.col("held") >= k, apart))).alias("within")
     )
-    targets = keyed.settle(hours_within(asked.join(known, [*group, "code", "h"]), "within").drop("held"))
-    farther = targets.join(lookups, [*group, "th", "code"], "left_anti")
+    asked = keyed.settle(asked.join(known, [*group, "code", "h"]))
+    spots = asked.groupBy(*group, "code").agg(F.collect_list(F.struct("h", "within")).alias("spots"))
+    reached = F.filter("hours", lambda x: F.exists("spots", lambda s: F.abs(x["h"] - s["h"]) <= s["within"]))
+    targets = keyed.join_stats(spots, hours, group).select(*group, "code", F.explode(reached).alias("t")).select(*group, "code", F.col("t.h").alias("th"))
+    farther = keyed.settle(targets.join(lookups, [*group, "th", "code"], "left_anti"))
     if not farther.isEmpty():
         lookups = lookups.unionByName(keyed.settle(_surroundings(_places(present, farther, group), group, k)))
 
-    # Of an hour only codes in this distance can matter; the unit on top covers rounding. Neither distance is
-    # smaller than the Euclidean one of code and hour alone.
-    square = (F.col("within") + 1).cast("double") * (F.col("within") + 1)
-    off = (F.col("th") - F.col("h")).cast("double")
-    room = F.sqrt(F.greatest(square - off * off, F.lit(0.0)))
-    in_room = targets.join(lookups, [*group, "th", "code"]).withColumn("room", room)
+    # A code's hours come as one list, so that its queries are not shuffled once for each of them.
+    hour = [c for c in lookups.columns if c not in (*group, "code", "radius")]
+    looks = lookups.groupBy(*group, "code").agg(F.collect_list(F.struct(*hour)).alias("looks"))
+    in_room = _rooms(keyed.never_broadcast(asked).join(keyed.never_broadcast(looks), [*group, "code"]), [*group, "code", "h", "ws"], k)
     low = F.greatest(F.lit(0), F.col("rank") - _ranks_in_room("below", k // 2, k))
     high = F.least(F.col("rank") + _ranks_in_room("above", k - k // 2, k) - 1, F.col("sensors") - 1)
     ranks = F.explode(F.when(low <= high, F.sequence(low, high))).alias("rank")
@@ -97,7 +98,7 @@ def pooled_fans(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (),
     numbers = places.where("seen").select(*group, "th", F.col("code").alias("tcode"), "rank")
     train = short.select(*group, F.col("code").alias("tcode"), F.col("w").alias("tw"), F.col("h").alias("th"), "day", "y")
     train = train.join(numbers, [*group, "th", "tcode"])
-    inside = spread.join(train, [*group, "th", "rank"]).where(F.abs(F.col("tcode") - F.col("code")) <= F.col("room"))
+    inside = keyed.never_broadcast(spread).join(train, [*group, "th", "rank"]).where(F.abs(F.col("tcode") - F.col("code")) <= F.col("room"))
     # weekdays are told apart after the shuffle
     met = inside.select(*group, "code", "h", "ws", "tcode", "tw", "th", "day", "y").repartition(*group, "code", "h")
     pairs = met.select("*", F.explode("ws").alias("w"))
@@ -116,6 +117,29 @@ def pooled_fans(points: DataFrame, queries: DataFrame, keys: Sequence[str] = (),
     return out.select(*keys, "code", "w", "h", "k", "u1", "e1", "u2", "e2")
 
 
+def _rooms(df: DataFrame, kept: list[str], k: int) -> DataFrame:
+    """The hours of ``looks`` that can hold one of the k nearest rows of a query, each with its ``room``: of that hour only codes
+    in this distance can matter. k rows lie ``within`` a distance, by both measures; the first rows of all hours may tell more."""
+
+    def kth(distance: Callable[[Column, Column], Column]) -> Column:
+        def to(x: Column, side: str) -> Column:
+            return distance(x[side].cast("double"), F.abs(x["th"] - F.col("h")).cast("double"))
+
+        steps = [f"{side}_{j}" for side in ("below", "above") for j in NEAREST_STEPS]
+        firsts = F.flatten(F.transform("looks", lambda x: F.array(*[to(x, c) for c in steps])))
+        return F.least(F.col("within").cast("double"), F.get(F.sort_array(F.array_compact(firsts)), F.lit(k - 1)))
+
+    sums = kth(lambda dc, dh: dc + dh + WEEKDAY_STEP)
+    roots = kth(lambda dc, dh: F.sqrt(dc * dc + dh * dh + WEEKDAY_STEP**2))
+    # expanded before the rooms are reckoned: inside a lambda the bounds would be worked out for each hour again
+    hours = df.select(*kept, "within", sums.alias("_sums"), roots.alias("_roots"), "looks").select(*kept, "within", "_sums", "_roots", F.inline("looks"))
+    off = F.abs(F.col("th") - F.col("h")).cast("double")
+    edge = F.col("_roots") + 1  # the unit on top covers rounding
+    room = F.greatest(F.col("_sums") + 1 - off, F.sqrt(F.greatest(edge * edge - off * off, F.lit(0.0))))
+    in_reach = hours.where(off <= F.col("within")).withColumn("room", room).drop("within", "_sums", "_roots")
+    return in_reach.where((F.col("below_1") <= F.col("room")) | (F.col("above_1") <= F.col("room")))
+
+
 def _hours_reach(hours: Column, h: Column, k: int) -> Column:
     """Smallest interval distance within which ``hours`` (array of h, n) holds ``k`` rows, else the largest."""
     near = F.sort_array(F.transform(hours, lambda x: F.struct(F.abs(x["h"] - h).alias("gap"), x["n"].alias("n"))))
@@ -155,13 +179,13 @@ def _places(present: DataFrame, targets: DataFrame, group: list[str]) -> DataFra
 
 
 def _surroundings(places: DataFrame, group: list[str], k: int) -> DataFrame:
-    """Per (hour, query code) its ``rank``, the hour's ``sensors``, the distances in code to the first, a middle and the k-th row
+    """Per (hour, query code) its ``rank``, the hour's ``sensors``, the distances in code to the first three, a middle and the k-th row
     below and above (``below_1`` ...; null past the end), and ``radius``: a distance in code and weekday within which k rows of
     that hour lie, or all of them. Rows of the query's own code count as above."""
     last = F.col("first") + F.col("n") - 1
     rows = places.where("seen").select(*group, "th", F.col("code").alias("_at"), F.explode(F.sequence("first", last)).alias("_row"))
     half = k // 2
-    steps = {f"below_{j}": -j for j in (1, half, k)} | {f"above_{j}": j - 1 for j in (1, k - half, k)}
+    steps = {f"below_{j}": -j for j in {*NEAREST_STEPS, half, k}} | {f"above_{j}": j - 1 for j in {*NEAREST_STEPS, k - half, k}}
     wanted = F.array(*[F.struct(F.lit(name).alias("_step"), (F.col("first") + by).alias("_row")) for name, by in steps.items()])
     held = F.filter(wanted, lambda x: (x["_row"] >= 0) & (x["_row"] < F.col("rows")))
     asked = places.where("asked").select(*group, "th", "code", "rank", "sensors", "lowest", "highest", F.inline(held))
@@ -179,7 +203,7 @@ def _surroundings(places: DataFrame, group: list[str], k: int) -> DataFrame:
 def _ranks_in_room(side: str, middle: int, k: int) -> Column:
     """How many sensors on a side can have a row within ``room``: each holds at least one row."""
     out = F.when(F.col(f"{side}_1") > F.col("room"), 0)
-    for j in sorted({middle, k}):
+    for j in sorted({*NEAREST_STEPS, middle, k} - {1}):
         out = out.when(F.col(f"{side}_{j}") > F.col("room"), j - 1)
     return out.otherwise(k + WEEKDAY_STEP + (side == "above"))
 

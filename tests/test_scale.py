@@ -122,3 +122,31 @@ def test_pooled_neighbours_against_all_pairs(spark):
                 order = rows.assign(d=d).sort_values(["d", "code", "day", "h"])["y"].to_numpy()
                 for k in knn.NEIGHBOURS:
                     assert abs(got[(q.code, q.w, q.h, k)][i] - order[:k].mean()) < 1e-9
+
+
+def test_queries_far_from_all_sensors_meet_few_rows(spark, monkeypatch):
+    """Held-out sensors lie far from all others, and then every hour of the day lies within reach: few rows of each can be near."""
+    rows = [(1_000_000 + 1000 * c, w, h * 3600, f"2024-01-{w + 1:02d}", float(c + h + w)) for c in range(12) for h in range(24) for w in (1, 4)]
+    points = keyed.settle(spark.createDataFrame(rows, "code bigint, w int, h int, day string, y double"))
+    asked = [(1000 * c, 2, h * 3600) for c in range(4) for h in range(24)]
+    met, steps = [], knn_pooled.best_steps
+    monkeypatch.setattr(knn_pooled, "best_steps", lambda ranked, *a: met.append(ranked.count()) or steps(ranked, *a))
+    found = knn_pooled.pooled_fans(points, spark.createDataFrame(asked, "code bigint, w int, h int"))
+    got = {(r["code"], r["h"], r["k"]): (r["u1"], r["u2"]) for r in found.collect()}
+    assert len(got) == len(asked) * len(knn.NEIGHBOURS)
+    for code, w, h in asked:
+        near1 = sorted((abs(c - code) + abs(tw - w) + abs(th - h), c, day, th, y) for c, tw, th, day, y in rows)
+        near2 = sorted((np.sqrt(float((c - code) ** 2 + (tw - w) ** 2 + (th - h) ** 2)), c, day, th, y) for c, tw, th, day, y in rows)
+        for k in knn.NEIGHBOURS:
+            assert np.allclose(got[code, h, k], [np.mean([x[-1] for x in near[:k]]) for near in (near1, near2)])
+    assert met[0] < 40 * len(asked)
+
+
+def test_expanded_ranks_are_not_broadcast(spark, monkeypatch):
+    train, _, _ = _week(spark)
+    codes = keyed.settle(spark.createDataFrame([("a", 0), ("b", 1000)], "detid string, code bigint"))
+    points = keyed.settle(knn_pooled._lattice(knn_pooled.coded_rows(train, codes)))
+    plans, steps = [], knn_pooled.best_steps
+    monkeypatch.setattr(knn_pooled, "best_steps", lambda ranked, *a: plans.append(_broadcast(ranked)) or steps(ranked, *a))
+    assert knn_pooled.pooled_fans(points, points.select("code", "w", "h").distinct()).count() == 2 * 14 * 4
+    assert not [x for x in plans[0] if "sequence(" in x or "inline" in x]
