@@ -136,7 +136,7 @@ def _rooms(df: DataFrame, kept: list[str], k: int) -> DataFrame:
     off = F.abs(F.col("th") - F.col("h")).cast("double")
     edge = F.col("_roots") + 1  # the unit on top covers rounding
     room = F.greatest(F.col("_sums") + 1 - off, F.sqrt(F.greatest(edge * edge - off * off, F.lit(0.0))))
-    in_reach = hours.where(off <= F.col("within")).withColumn("room", room).drop("within", "_sums", "_roots")
+    in_reach = hours.where(off <= F.col("within")).withColumn("room", F.floor(room)).drop("within", "_sums", "_roots")
     return in_reach.where((F.col("below_1") <= F.col("room")) | (F.col("above_1") <= F.col("room")))
 
 
@@ -180,10 +180,10 @@ def _places(present: DataFrame, targets: DataFrame, group: list[str]) -> DataFra
 
 def _surroundings(places: DataFrame, group: list[str], k: int) -> DataFrame:
     """Per (hour, query code) its ``rank``, the hour's ``sensors``, the distances in code to the first three, a middle and the k-th row
-    below and above (``below_1`` ...; null past the end), and ``radius``: a distance in code and weekday within which k rows of
-    that hour lie, or all of them. Rows of the query's own code count as above."""
+    below and above (``below_1`` ...; null past the end), the ranks these rows' sensors have (``at_below_1`` ...), and ``radius``: a
+    distance in code and weekday within which k rows of that hour lie, or all of them. Rows of the query's own code count as above."""
     last = F.col("first") + F.col("n") - 1
-    rows = places.where("seen").select(*group, "th", F.col("code").alias("_at"), F.explode(F.sequence("first", last)).alias("_row"))
+    rows = places.where("seen").select(*group, "th", F.col("code").alias("_at"), F.col("rank").alias("_place"), F.explode(F.sequence("first", last)).alias("_row"))
     half = k // 2
     steps = {f"below_{j}": -j for j in {*NEAREST_STEPS, half, k}} | {f"above_{j}": j - 1 for j in {*NEAREST_STEPS, k - half, k}}
     wanted = F.array(*[F.struct(F.lit(name).alias("_step"), (F.col("first") + by).alias("_row")) for name, by in steps.items()])
@@ -192,19 +192,23 @@ def _surroundings(places: DataFrame, group: list[str], k: int) -> DataFrame:
     found = asked.join(rows, [*group, "th", "_row"]).groupBy(*group, "th", "code").agg(
         *[F.any_value(c).alias(c) for c in ("rank", "sensors", "lowest", "highest")],
         *[F.max(F.when(F.col("_step") == name, F.abs(F.col("_at") - F.col("code")))).alias(name) for name in steps],
+        *[F.max(F.when(F.col("_step") == name, F.col("_place"))).alias(f"at_{name}") for name in steps],
     )
     far = F.greatest(F.col("code") - F.col("lowest"), F.col("highest") - F.col("code"))
     below, above = F.col(f"below_{half}"), F.col(f"above_{k - half}")
     both = F.when(below.isNotNull() & above.isNotNull(), F.greatest(below, above))
     radius = F.coalesce(F.least(both, F.col(f"below_{k}"), F.col(f"above_{k}")), far) + WEEKDAY_STEP
-    return found.select(*group, "th", "code", "rank", "sensors", *steps, radius.alias("radius"))
+    return found.select(*group, "th", "code", "rank", "sensors", *steps, *[f"at_{name}" for name in steps], radius.alias("radius"))
 
 
 def _ranks_in_room(side: str, middle: int, k: int) -> Column:
-    """How many sensors on a side can have a row within ``room``: each holds at least one row."""
-    out = F.when(F.col(f"{side}_1") > F.col("room"), 0)
-    for j in sorted({*NEAREST_STEPS, middle, k} - {1}):
-        out = out.when(F.col(f"{side}_{j}") > F.col("room"), j - 1)
+    """How many sensors on a side can have a row within ``room``: those before the sensor of the first looked up row beyond it."""
+    out = None
+    for j in sorted({*NEAREST_STEPS, middle, k}):
+        at = F.col(f"at_{side}_{j}")
+        nearer = at - F.col("rank") if side == "above" else F.col("rank") - at - 1
+        beyond = F.col(f"{side}_{j}") > F.col("room")
+        out = F.when(beyond, nearer) if out is None else out.when(beyond, nearer)
     return out.otherwise(k + WEEKDAY_STEP + (side == "above"))
 
 
